@@ -269,16 +269,33 @@ def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.join(two.select("b", "pb"), "b").where(may_link("pa", "pb", "na", "nb")).select("a", "b")
 
 
-def _blocks(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks of a bucket, of different components, that pass both bounds."""
-    left, right = group[group["side"] == 0], group[group["side"] == 1]
-    same = int(group["i"].iloc[0]) == int(group["j"].iloc[0])
-    if same:
-        right = left
-    out_a, out_b = [], []
-    lengths = sorted({*left["parity"].map(len), *right["parity"].map(len)}) if len(left) and len(right) else []
-    if lengths:
-        least = lengths[0]
+def _nearest_joins(comp_i: np.ndarray, comp_j: np.ndarray, far: np.ndarray) -> list[int]:
+    """Places of pairs, nearest first, that join components not yet joined: a forest over components."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out = []
+    for at in np.argsort(far, kind="stable"):
+        u, v = find(int(comp_i[at])), find(int(comp_j[at]))
+        if u != v:
+            root[u] = v
+            out.append(int(at))
+    return out
+
+
+def _blocks(whole: bool):
+    """Pairs of nodes of two blocks of a bucket, of different components, that pass both bounds.
+
+    A group holds many small (bucket, i, j) or a large one. whole: all such pairs; else the nearest ones
+    that would join the components.
+    """
+
+    def compare(node: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[bytes], home: np.ndarray, guest: np.ndarray, same: bool):
+        least = min(map(len, bits))
 
         def fold(x: bytes) -> np.ndarray:
             v = np.frombuffer(x, np.uint8)
@@ -286,24 +303,56 @@ def _blocks(group: pd.DataFrame) -> pd.DataFrame:
                 v = v[: len(v) // 2] ^ v[len(v) // 2 :]
             return v
 
-        wide = np.stack([fold(x) for x in right["parity"]]).view(U)
-        rc, rn, rid = right["comp"].to_numpy(), right["n"].to_numpy(), right["node"].to_numpy()
-        for node, comp, n, bits in zip(left["node"], left["comp"], left["n"], left["parity"]):
-            use = (rc != comp) & (np.minimum(rn, n) * DEN >= np.maximum(rn, n) * NUM)
+        wide = np.stack([fold(x) for x in bits]).view(U)
+        out = []
+        step = max(1, (1 << 21) // max(1, len(guest) * wide.shape[1]))
+        for lo in range(0, len(home), step):
+            h = home[lo : lo + step]
+            ok = comp[h][:, None] != comp[guest][None, :]
+            ok &= np.minimum(n[h][:, None], n[guest]) * DEN >= np.maximum(n[h][:, None], n[guest]) * NUM
             if same:
-                use &= rid > node
-            at = np.flatnonzero(use)
-            if len(at):
-                far = np.bitwise_count(wide[at] ^ fold(bits).view(U)).sum(axis=1)
-                at = at[far <= (rn[at] + n) * (DEN - NUM) // (DEN + NUM)]
-                out_a.append(np.minimum(rid[at], node))
-                out_b.append(np.maximum(rid[at], node))
-    a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-    b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-    return pd.DataFrame({"a": a, "b": b})
-
-
-def _open_buckets(rest: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
+                ok &= node[h][:, None] < node[guest][None, :]
+            x, y = np.nonzero(ok)
+            if len(x):
+                x, y = h[x], guest[y]
+                far = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1)
+                ok = far <= (n[x] + n[y]) * (DEN - NUM) // (DEN + NUM)
+                out.append((x[ok], y[ok], far[ok]))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        x, y, far = (np.concatenate(v) for v in zip(*out))
+        if not whole and len(x):
+            # the nearest pair of each two components, then a forest over them
+            lo, hi = np.minimum(comp[x], comp[y]), np.maximum(comp[x], comp[y])
+            order = np.lexsort((far, hi, lo))
+            first = np.append(True, (lo[order][1:] != lo[order][:-1]) | (hi[order][1:] != hi[order][:-1]))
+            order = order[first]
+            use = order[_nearest_joins(lo[order], hi[order], far[order])]
+            x, y = x[use], y[use]
+        return node[x], node[y]
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["bucket", "i", "j"], kind="stable")
+        key = group[["bucket", "i", "j"]].to_numpy()
+        node, comp, n, side = (group[c].to_numpy() for c in ("node", "comp", "n", "side"))
+        bits = group["parity"].to_list()
+        cut = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for lo, hi in zip(cut, np.append(cut[1:], len(key))):
+            same = key[lo, 1] == key[lo, 2]
+            at = np.arange(hi - lo)
+            home = at[side[lo:hi] == 0]
+            guest = home if same else at[side[lo:hi] == 1]
+            if len(home) and len(guest):
+                found.append(compare(node[lo:hi], comp[lo:hi], n[lo:hi], bits[lo:hi], home, guest, same))
+        x, y = (np.concatenate(v) for v in zip(*found))
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
+def _open_buckets(rest: DataFrame, comps: DataFrame, nodes: DataFrame, groups: int, whole: bool) -> DataFrame:
     """What the stars of large buckets leave open: pairs of nodes of one bucket that are not yet connected."""
     labelled = rest.join(comps.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     state = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
@@ -315,7 +364,16 @@ def _open_buckets(rest: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFr
         lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j"), F.when(F.col("own") <= k, 0).otherwise(1).alias("side")),
     )
     rows = rows.select("bucket", "node", "comp", "n", "parity", F.explode(across).alias("t")).select("bucket", "node", "comp", "n", "parity", "t.*")
-    return rows.groupBy("bucket", "i", "j").applyInPandas(_blocks, "a long, b long").distinct()
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
+    return rows.groupBy("group").applyInPandas(_blocks(whole), "a long, b long").distinct()
+
+
+def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs of nodes that are not yet connected."""
+    label = comps.withColumnRenamed("component", "comp")
+    pairs = pairs.join(label.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left")
+    pairs = pairs.join(label.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
+    return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -336,20 +394,22 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     found = saved(packed.groupBy("p").applyInPandas(_bucket_pairs, "kind int, a long, b long"), "buckets")
 
     pairs = saved(_possible(found.where("kind = 0").select("a", "b").distinct(), nodes), "possible")
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = saved(_verified(first, nodes, docs), "links")
-    comps = saved(components(links), "components")
-
-    label = comps.withColumnRenamed("component", "comp")
-    more = pairs.join(first, ["a", "b"], "left_anti")
-    more = more.join(label.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left")
-    more = more.join(label.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
-    more = more.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     rest = found.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("node"))
-    more = saved(more.unionByName(_open_buckets(rest, comps, nodes)).distinct(), "possible")
-    if not more.isEmpty():
-        links = saved(links.unionByName(_verified(more, nodes, docs)), "links")
-        comps = saved(components(links), "components")
+    groups = max(shuffle_partitions(spark), int(rest.count() // 50_000))
+    # one partner for each node first: most groups are whole then, and little is left to compare
+    tested = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = saved(_verified(tested, nodes, docs), "links")
+    comps = components(links)
+    for step in ("stars", "nearest", "whole"):
+        if step == "stars":
+            more = _across(pairs.join(tested, ["a", "b"], "left_anti"), comps)
+        else:
+            more = _open_buckets(rest, comps, nodes, groups, step == "whole").join(tested, ["a", "b"], "left_anti")
+        more = saved(more, "possible")
+        if not more.isEmpty():
+            links = saved(links.unionByName(_verified(more, nodes, docs)), "links")
+            comps = components(links)
+            tested = tested.unionByName(more)
 
     lead = nodes.select("node", "first_id").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = lead.groupBy("component").agg(F.min("first_id").alias("component_id"))
