@@ -6,10 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import ORACLE_OP5, op5_chat_format
+from .embedding_dups import op8_embedding_dups
+from .html_text import op6_html_text
 from .jaccard import op1_ngram_jaccard
+from .mixing import ORACLE_OP7, op7_mix_sources
+from .pieces import op2_sentencepiece
+from .quality_model import op9_quality_classifier
+from .quality_rules import op4_quality_rules
+from .secrets import op3_secret_scan
+from .token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_chat_format": op5_chat_format,
+    "op6_html_text": op6_html_text,
+    "op7_mix_sources": op7_mix_sources,
+    "op8_embedding_dups": op8_embedding_dups,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_chat_format": ORACLE_OP5, "op7_mix_sources": ORACLE_OP7}
