@@ -29,6 +29,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before them as make them new in df (names differ by more than case)."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

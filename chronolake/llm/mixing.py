@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import fresh, saved, table
 
 #: Slices of the keys of a source: at a billion documents a slice holds some ten thousand.
 SLICES = 1 << 16
@@ -93,9 +93,10 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int =
 
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: the rows of docs, each as often as it is taken. doc_id must be unique; sizes of 0 go."""
-    taken = mixed(docs, **how).where("taken > 0").select(F.col("doc_id").alias("taken_id"), F.col("copies").alias("taken_copies"))
-    copies = docs.join(taken, F.col("doc_id") == F.col("taken_id"))
-    return copies.withColumn("taken_copy", F.explode(F.sequence(F.lit(1), F.col("taken_copies").cast("int")))).select(*(docs[c] for c in docs.columns))
+    id_, times, copy = fresh(docs, "taken_id", "taken_times", "taken_copy")
+    taken = mixed(docs, **how).where("taken > 0").select(F.col("doc_id").alias(id_), F.col("copies").alias(times))
+    rows = docs.join(taken, F.col("doc_id").cast("long") == F.col(id_))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop(id_, times, copy)
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import fresh, saved, table
 
 SCOPE = 300
 
@@ -122,10 +122,11 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """
     text = F.col("text")
     names = docs.columns
+    id_, digest, own, cleaned = fresh(docs, "found_id", "found_digest", "found_spans", "cleaned_text")
     free = docs.where(~suspect(text))
     held = docs.where(suspect(text))
-    spans = found_spans(held).where(F.size("spans") > 0).select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.sort_array("spans").alias("__spans")).distinct()
-    rows = held.join(spans, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__digest")), "left")
+    spans = found_spans(held).where(F.size("spans") > 0).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), F.sort_array("spans").alias(own)).distinct()
+    rows = held.join(spans, (F.col("doc_id").cast("long") == F.col(id_)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(digest)), "left")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -134,11 +135,11 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], part)).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
 
-    clean = F.aggregate("__spans", start, step, lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))), ""))
-    rows = rows.withColumn("__clean", F.when(F.col("__spans").isNotNull(), clean))
-    new = {"text": F.coalesce("__clean", "text")}
+    clean = F.aggregate(own, start, step, lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))), ""))
+    rows = rows.withColumn(cleaned, F.when(F.col(own).isNotNull(), clean))
+    new = {"text": F.coalesce(cleaned, "text")}
     if "n_chars" in names:
-        new["n_chars"] = F.when(F.col("__clean").isNotNull(), F.length("__clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        new["n_chars"] = F.when(F.col(cleaned).isNotNull(), F.length(cleaned).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return free.unionByName(rows.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in names)))
 
 
