@@ -14,6 +14,7 @@ Words are independent where no piece spans a space; they are encoded once and re
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from .token_counts import vocabulary
 
 SPACE = "▁"
 #: Words remembered by a task, and their longest length.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
 
 
 class Pieces:
@@ -55,10 +56,22 @@ class Pieces:
                 self.score[piece] = sp.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
         self.window = max(map(len, self.ids))
-        glued = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        newline = any("\n" in p for p in self.ids)
-        self.words = re.compile(f".+" if glued else f"{SPACE}*[^{SPACE}]+|{SPACE}+" if newline else f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+", re.S)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.trie: dict = {}
+        for piece in self.ids:
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = piece
+        self.words = self.independent()
+        self.pairs: dict[str, dict[str, bool]] = {}
+
+    def independent(self) -> re.Pattern:
+        """Parts of a text that no piece spans: words with the spaces before them, and newlines."""
+        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+            return re.compile(".+", re.S)
+        if any("\n" in p for p in self.ids):
+            return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        return re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging the best neighbours, the leftmost first."""
@@ -75,43 +88,69 @@ class Pieces:
 
     def stays(self, left: str, right: str) -> bool:
         """Whether two pieces next to each other stay as they are."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            known = self.merged(left + right) == ([left, right] if left else [right])
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            self.pairs[left, right] = known
-        return known
+        return self.merged(left + right) == ([left, right] if left else [right])
+
+    def extend(self, text: str, last: list[str | None], at: int, stop: int) -> None:
+        """Extend the paths to the boundaries from at to stop - 1 by all pieces that start there.
+
+        last[i] is the piece that ends the path to boundary i, None while no piece has reached it.
+        """
+        n, trie, pairs = len(text), self.trie, self.pairs
+        while at < stop:
+            left = last[at]
+            known = pairs.get(left)
+            if known is None:
+                known = pairs[left] = {}
+            node, j = trie, at
+            while j < n:
+                node = node.get(text[j])
+                if node is None:
+                    break
+                j += 1
+                piece = node.get("")
+                if piece is not None:
+                    ok = known.get(piece)
+                    if ok is None:
+                        ok = known[piece] = self.stays(left, piece)
+                    if ok:
+                        last[j] = piece
+            at += 1
+            if last[at] is None:
+                last[at] = text[at - 1]
 
     def path(self, parts: Iterable[str]) -> Iterator[str]:
         """Pieces of a text that arrives in parts, committed as soon as all surviving paths meet."""
-        text, last, due = "", [""], self.window
-        for part in parts:
+        text, last, at, step = "", [""], 0, 4 * self.window
+        for part, final in _marked(parts):
             text += part
-            while len(last) <= len(text):
-                i = len(last)
-                for size in range(min(self.window, i), 0, -1):
-                    piece = text[i - size : i]
-                    if (size == 1 or piece in self.ids) and self.stays(last[i - size], piece):
-                        last.append(piece)
-                        break
-                else:
-                    raise ValueError(f"no piece ends at {i} of {text!r}")
-                if i >= due:
-                    at = self.meeting(last)
-                    if at:
-                        yield from self.back(last, at)
-                        text, last = text[at:], last[at:]
-                    due = len(last) - 1 + self.window
+            last.extend([None] * len(part))
+            while True:
+                stop = len(text) if final else max(at, len(text) - self.window + 1)
+                upto = min(stop, at + step)
+                self.extend(text, last, at, upto)
+                at = upto
+                if at == stop:
+                    break
+                meet = self.meeting(last, at)
+                if meet:
+                    yield from self.back(last, meet)
+                    text, last, at = text[meet:], last[meet:], at - meet
         yield from self.back(last, len(last) - 1)
 
-    def meeting(self, last: list[str]) -> int:
-        """The last boundary that the paths from all boundaries of the window pass."""
-        alive = set(range(max(0, len(last) - self.window), len(last)))
+    def word(self, text: str) -> list[str]:
+        """Pieces of a text of a few windows: one pass without commits."""
+        last: list[str | None] = [""] + [None] * len(text)
+        self.extend(text, last, 0, len(text))
+        return self.back(last, len(text))
+
+    @staticmethod
+    def meeting(last: list[str | None], at: int) -> int:
+        """The last boundary that the paths to at and to all boundaries reached beyond it have in common."""
+        alive = {i for i in range(at, len(last)) if last[i] is not None}
         while len(alive) > 1:
             top = max(alive)
             alive.remove(top)
-            alive.add(top - len(last[top]) if top else 0)
+            alive.add(top - len(last[top]))
         return alive.pop()
 
     @staticmethod
@@ -139,6 +178,16 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+def _marked(parts: Iterable[str]) -> Iterator[tuple[str, bool]]:
+    """Each part, with whether it is the last; an empty last part ends a text of no parts."""
+    held = None
+    for part in parts:
+        if held is not None:
+            yield held, False
+        held = part
+    yield held or "", True
+
+
 class Remembered(dict):
     """Packed ids of each word that was met."""
 
@@ -146,8 +195,9 @@ class Remembered(dict):
         self.model = model
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.model.to_ids(self.model.path([word])), np.int32).tobytes()
-        if len(word) <= REMEMBERED_CHARS:
+        short = len(word) <= REMEMBERED_CHARS
+        ids = array("i", self.model.to_ids(self.model.word(word) if short else self.model.path([word]))).tobytes()
+        if short:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = ids
