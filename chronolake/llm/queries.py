@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracles
 from .chat import ORACLE_OP5, op5_chat_format
 from .embedding_dups import op8_embedding_dups
 from .html_text import op6_html_text
@@ -30,4 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_chat_format": ORACLE_OP5, "op7_mix_sources": ORACLE_OP7}
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": oracles.OP1,
+    "op3_secret_scan": oracles.OP3,
+    "op4_quality_rules": oracles.OP4,
+    "op5_chat_format": ORACLE_OP5,
+    "op7_mix_sources": ORACLE_OP7,
+    "op8_embedding_dups": oracles.OP8,
+}

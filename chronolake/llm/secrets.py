@@ -23,7 +23,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 USER = r"""(?i)(user_?name|user_?id|login|client_?id|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})"""
 RANDOM = r"[A-Za-z0-9+/_-]{32,}={0,2}"
-ENDPOINT = r"""[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}"""
+ENDPOINT = r"""[a-z][a-z0-9+.-]{1,15}://[^\x20\x09-\x0D"'<>]{4,}"""
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "user", "random", "endpoint")
 BASE = KINDS[:3]
