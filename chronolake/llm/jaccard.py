@@ -143,7 +143,7 @@ def signatures(doc: np.ndarray, s: np.ndarray, n: int, low: np.ndarray, high: np
     return np.concatenate(out_sig), np.concatenate(out_doc)
 
 
-def _signer(ranges: int, most: int = 1 << 21):
+def _signer(ranges: int, most: int = 1 << 20):
     """Packed signatures: for each hash range a row of (range, 6-byte signatures, 8-byte nodes)."""
 
     def pack(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
