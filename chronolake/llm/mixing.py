@@ -2,8 +2,8 @@
 
 Each document draws an exponential key, -ln(u) / weight, with u from a hash of its id, so that
 reruns agree. A source's target is filled with complete epochs first; the fraction that is left takes
-documents in key order up to a word budget. Key order inside a source is taken in slices of equal
-probability: slice totals give each slice its start, and only the documents of one slice are sorted
+documents in key order up to a word budget. Key order inside a source is taken in slices of the
+key: slice totals give each slice its start, and only the documents of one slice are sorted
 together, so a source with a third of all rows is spread over all tasks.
 """
 
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh, saved, table
 
-#: Slices of the keys of a source: at a billion documents a slice holds some ten thousand.
-SLICES = 1 << 16
+#: Slices for each doubling of 1 + key: some ten thousand for a source at most, and none holds more than about a thousandth of it.
+SLICES = 1 << 10
 #: Weights of the sources in order, repeated; share of all words that the mix takes; most epochs of a source.
 WEIGHTS, SHARE, EPOCHS = (3, 1, 2), 1.5, 2
 
@@ -68,9 +68,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int =
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), quality_weight(F.col("text")).alias("quality"))
     u = uniform("doc_id")
-    # u ** (1 / weight) descending is the key ascending; slices by it hold equal numbers where weights are equal
+    # u ** (1 / weight) descending is the key ascending; a logarithm keeps low weights, whose keys are long, apart too
     slim = slim.withColumn("key", -F.ln(u) / F.col("quality"))
-    slim = saved(slim.withColumn("slice", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * SLICES).cast("int")), "sizes")
+    slim = saved(slim.withColumn("slice", F.floor(F.log2(F.lit(1.0) + F.col("key")) * SLICES).cast("int")), "sizes")
     slices = saved(slim.groupBy("source", "slice").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "slices")
     sources = targets(slices.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, epochs)
     sources = sources.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
