@@ -31,18 +31,27 @@ RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe",
 BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 OUT = {"head", "nav", "footer", "aside", "form", "button", "select", "input", "menu", "dialog", "object", "embed", "audio", "video", "canvas", "map", "label", "fieldset", "datalist", "output", "progress", "meter"} | RAW
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar", "status", "note"}
-PARTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "sponsor", "sponsored", "promo", "promotion", "banner", "nav", "navbar", "navigation", "menu", "topbar", "toolbar", "breadcrumb", "breadcrumbs", "sidebar", "aside", "widget", "widgets", "rail", "header", "masthead", "footer", "foot", "colophon", "copyright", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "share", "sharing", "social", "related", "recommended", "recommendations", "pagination", "pager", "skip", "search", "form"}
+PARTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "sponsor", "sponsored", "promo", "promotion", "banner", "nav", "navbar", "navigation", "menu", "topbar", "toolbar", "breadcrumb", "breadcrumbs", "sidebar", "aside", "widget", "widgets", "header", "masthead", "footer", "colophon", "copyright", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "share", "sharing", "social", "related", "recommended", "recommendations", "pagination", "pager"}
 CONTENT = {"article", "main"}
+#: Names that say a layout has a part, not that it is one, and names of articles that are none.
+ABOUT = {"has", "with", "no", "without"}
+NO_ARTICLE = {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related", "recommended", "teaser"}
 #: Start tags that end an open element of these kinds, unless one of the fences stands between.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 CLOSES_P = BLOCK - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "summary", "legend", "li", "dt", "dd"} | {"li", "dd", "dt"}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "attrs", "parent", "children", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None) -> None:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        #: Whether an article or main element stands below.
+        self.holds = False
+
+    def names(self) -> set[str]:
+        """Words of the id and class."""
+        return {w for key, value in NAMES.findall(self.attrs) if key.lower() in ("id", "class") for w in re.split(r"[^a-z]+", html.unescape(value.strip("\"'")).lower())}
 
 
 def tree(page: str) -> Node:
@@ -98,6 +107,11 @@ def tree(page: str) -> Node:
                 now = hit.parent
         node = Node(tag, m[3] if m[2] else m[6], now)
         now.children.append(node)
+        if tag in CONTENT and not NO_ARTICLE & node.names():
+            above = now
+            while above is not None and not above.holds:
+                above.holds = True
+                above = above.parent
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -108,21 +122,22 @@ def tree(page: str) -> Node:
 
 def boilerplate(node: Node, inside: bool) -> bool:
     """Whether a node is no part of an article by its element, role or name; inside: below an article or main element."""
-    if node.tag in OUT or (node.tag == "header" and not inside):
-        return True
     if node.tag in ("html", "body"):
         return False
+    if node.tag in OUT and not (node.tag == "form" and node.holds) or (node.tag == "header" and not inside):
+        return True
     for key, value in NAMES.findall(node.attrs):
         key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return True
         if key == "role" and value in ROLES:
             return True
-        if key in ("id", "class") and node.tag not in CONTENT | {"h1"} and PARTS & set(re.split(r"[^a-z]+", value)):
-            return True
-        if key in ("id", "class") and node.tag == "article" and {"comment", "comments", "ad", "advert", "sponsored", "promo", "related"} & set(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+    names = node.names()
+    if node.tag in CONTENT:
+        return bool(NO_ARTICLE & names)
+    if node.holds or ABOUT & names or node.tag in ("h1", "h2"):
+        return False
+    return bool((PARTS - {"header"} if inside else PARTS) & names)
 
 
 def measure(root: Node) -> list[Node]:
@@ -166,8 +181,9 @@ def content(order: list[Node]) -> list[Node]:
         path.append(node)
         node = node.parent
     around = [x for x in path if x.tag in CONTENT or re.search(r"""role\s*=\s*["']?main\b""", x.attrs)]
+    articles = [x for x in around if x.tag == "article"]
     if around:
-        return [around[-1]]
+        return [(articles or around)[-1]]
     body = [x for x in path if x.tag != "html"] or path
     limit = min(x.density for x in body)
     return [x for x in order if x.density >= limit and x.chars]

@@ -114,6 +114,7 @@ PAGES = [
     ('<html><head><title>T</title><style>p{}</style></head><body><nav><a href="/">Home</a></nav><div id="content"><h1>Head</h1><p>First long paragraph of the article with many words.</p><p>Second long paragraph of the article with many words.</p></div><div class="sidebar"><a href="/x">link</a> <a href="/y">other</a></div><footer>foot</footer></body></html>', "Head First long paragraph of the article with many words. Second long paragraph of the article with many words."),
     ('<body><header><h1>Site</h1></header><article><h1>A &lt;b&gt;</h1><p>x  y\n z&nbsp;w<br>v<p>u<script>var t="</p>";</script><form><input><button>Go</button></form><ul><li>i<li>j</ul><div class="ad">buy</div><section id="comments"><p>nice</p></section></article><div class="cookie-notice">ok</div></body>', "A <b> x y z w v u i j"),
     ("<main><p>a</p><!-- <p>no</p> --><table><tr><td>c1<td>c2</table><aside>s</aside></main>", "a c1 c2"),
+    ('<body class="has-sidebar"><form><div class="with-menu"><main><div class="breadcrumb">a / b</div><article><header><h1>T</h1></header><div class="article-header">by me</div><p>text</p></article><section class="comments"><article class="comment"><p>no</p></article></section></main></div></form><div class="newsletter">sign</div></body>', "T by me text"),
     ('<article><p>unclosed <i>tag <p title="a > b">next</article><p>after', "unclosed tag next"),
 ]
 
