@@ -1,10 +1,9 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
-Rows of an Arrow batch are cut into pieces and the pieces packed into calls of about equal bytes,
-so that one long text neither inflates a call nor delays the others. A long text is cut only
-before a single space that stands between two word characters: the pre-tokenizer of the byte-level
-vocabularies always ends a word there and starts the next with that space, and special strings hold
-no space, so the counts of the pieces add up to the count of the text.
+Texts are split at safe boundaries: places where the pre-tokenizer of the byte-level vocabularies
+always ends one word and starts the next, so that the counts of the parts add up to the count of the
+text. Parts met before are counted from memory; the others go to the tokenizer in batches of about
+equal bytes, so that a long text neither inflates a call nor delays the others.
 """
 
 from __future__ import annotations
@@ -19,11 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .words import chunks
 
-#: Bytes of a call to the tokenizer, and characters from which a text is cut.
+#: Bytes of a call to the tokenizer; parts remembered by a task, and their longest length.
 CALL_BYTES = 1 << 18
-LONG_CHARS = 1 << 14
-SAFE = re.compile(r"(?<=\w) (?=\w)")
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
+#: A part is a word with the space before it, a single other white space between words, or words around runs of
+#: white space. No part ends inside such a run, and special strings hold no white space.
+PART = re.compile(r" ?\S+(?:\s{2,}\S+)*|\s{2,}\S+(?:\s{2,}\S+)*|\s+")
+#: Characters that Python counts as white space and the pre-tokenizer does not: texts with them stay whole.
+UNLIKE = re.compile("[\x1c-\x1f]")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -33,16 +37,35 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(text: str, long: int = LONG_CHARS) -> list[str]:
+def parts_of(text: str) -> list[str]:
     """Parts of a text whose token counts add up to its own."""
-    out, at = [], 0
-    while len(text) - at > long:
-        cut = SAFE.search(text, at + long)
-        if not cut:
-            break
-        out.append(text[at : cut.start()])
-        at = cut.start()
-    return [*out, text[at:]]
+    return [text] if UNLIKE.search(text) else PART.findall(text)
+
+
+class Counts(dict):
+    """Token counts of parts by a tokenizer; ask for new parts in batches with learn()."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+
+    def learn(self, parts: set[str]) -> None:
+        call, held = [], 0
+        for part in parts:
+            call.append(part)
+            held += len(part)
+            if held >= CALL_BYTES:
+                self.encode(call)
+                call, held = [], 0
+        self.encode(call)
+
+    def encode(self, call: list[str]) -> None:
+        for part, e in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False)):
+            self[part] = len(e)
+
+    def forget_long(self, parts: set[str]) -> None:
+        for part in parts:
+            if len(part) > REMEMBERED_CHARS:
+                self.pop(part, None)
 
 
 def counter(path: str):
@@ -56,31 +79,17 @@ def counter(path: str):
             tokenizer = Tokenizer.from_buffer(f.read())
         tokenizer.no_truncation()
         tokenizer.no_padding()
+        counts = Counts(tokenizer)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            n_tokens, n_bytes = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-            call, owner, held = [], [], 0
-
-            def flush() -> None:
-                if call:
-                    for i, e in zip(owner, tokenizer.encode_batch_fast(call, add_special_tokens=False)):
-                        n_tokens[i] += len(e)
-                    call.clear()
-                    owner.clear()
-
-            for i, text in enumerate(texts):
-                if text:
-                    for piece in pieces(text):
-                        size = len(piece) if piece.isascii() else len(piece.encode())
-                        n_bytes[i] += size
-                        call.append(piece)
-                        owner.append(i)
-                        held += size
-                        if held >= CALL_BYTES:
-                            flush()
-                            held = 0
-            flush()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes), pa.array(n_tokens)], ["doc_id", "n_bytes", "n_tokens"])
+            for lo, hi, data, offsets in chunks(batch.column("text")):
+                split = [parts_of(t) if t else [] for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
+                if len(counts) > REMEMBERED:
+                    counts.clear()
+                new = {p for parts in split for p in parts if p not in counts}
+                counts.learn(new)
+                n_tokens = [sum(map(counts.__getitem__, parts)) for parts in split]
+                counts.forget_long(new)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(offsets)), pa.array(n_tokens, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return run
 

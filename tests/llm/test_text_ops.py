@@ -81,10 +81,19 @@ def test_token_counts_equal_the_librarys(spark, texts, odd_rows, no_rows):
     assert token_counts.count_tokens(odd_rows).count() == 9 and token_counts.count_tokens(no_rows).count() == 0
 
 
-def test_pieces_add_up():
-    text = "alpha beta, gamma-delta " * 400
-    assert "".join(token_counts.pieces(text, 100)) == text and len(token_counts.pieces(text, 100)) > 20
-    assert token_counts.pieces("x" * 1000, 100) == ["x" * 1000]
+def test_parts_add_up():
+    """Counts of parts against the library on white space of all kinds, special strings and marks."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary())
+    n = lambda x: len(t.encode(x, add_special_tokens=False).ids)
+    rng = random.Random(9)
+    bits = [" ", " ", " ", "\n", "\t", "\r\n", "\u00a0", "\u2003", "\x1c", "\x85", "\u3000", "a", "word", "'s", "'ll", "12", "!?", "<|endoftext|>", "é", "日本", "😀", ".", "_", "\u200b"]
+    for _ in range(4000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        parts = token_counts.parts_of(text)
+        assert "".join(parts) == text and sum(map(n, parts)) == n(text), repr(text)
+    assert len(token_counts.parts_of("alpha beta, gamma\ndelta")) == 5
 
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
