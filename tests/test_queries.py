@@ -1,5 +1,7 @@
 """Every registered query of the point-in-time part against its SQL."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from chronolake.plans import catalog
@@ -9,13 +11,25 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def con():
-    return connect(SF)
+def outcomes(spark):
+    """Queries run side by side; what went wrong with each, or None."""
+    con = connect(SF)
+
+    def run(name):
+        try:
+            same_rows(catalog.QUERIES[name](spark, SF), con.cursor(), catalog.ORACLE_SQL[name])
+        except Exception as e:
+            return e
+
+    names = sorted(catalog.ORACLE_SQL)
+    with ThreadPoolExecutor(6) as pool:
+        return dict(zip(names, pool.map(run, names)))
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
-def test_query_matches_sql(spark, con, name):
-    same_rows(catalog.QUERIES[name](spark, SF), con, catalog.ORACLE_SQL[name])
+def test_query_matches_sql(outcomes, name):
+    if outcomes[name] is not None:
+        raise outcomes[name]
 
 
 def test_flagship(spark):
