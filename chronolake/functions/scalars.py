@@ -57,6 +57,15 @@ def board_of_prefixed_code(code: Column) -> Column:
     )
 
 
+def board_of_listing(symbol: Column) -> Column:
+    """Board of a listing: STAR, CHINEXT, SSE_MAIN, SZSE_MAIN, BSE or null."""
+    code = normalize_symbol(symbol)
+    return first_match(
+        [(starts_with(code, ("688", "689")), "STAR"), (starts_with(code, ("300", "301", "302")), "CHINEXT"), (starts_with(code, ("600", "601", "603", "605")), "SSE_MAIN"), (starts_with(code, ("000", "001", "002", "003")), "SZSE_MAIN"), (starts_with(code, ("4", "8", "92")), "BSE")],
+        None,
+    ).cast("string")
+
+
 def entity_id(code: Column) -> Column:
     """Six digits and market suffix; null unless the value holds exactly six digits."""
     digits = F.regexp_replace(F.coalesce(code.cast("string"), F.lit("")), r"\D", "")
@@ -146,65 +155,121 @@ def earnings_direction(text: Column) -> Column:
     return first_match([(up & down, "UNKNOWN"), (down, "DOWN"), (up, "UP")], "UNKNOWN")
 
 
+def compact(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", "")
+
+
 def report_period(title: Column) -> Column:
     """Quarter-end date that a report title names; null without a year and a report word."""
-    year = F.regexp_extract(title, r"((?:19|20)\d{2})\s*年", 1)
+    t = compact(title)
+    year = F.regexp_extract(t, r"(20\d{2})年", 1)
     y = F.when(year != "", year.cast("int"))
     end = lambda m, d: F.make_date(y, F.lit(m), F.lit(d))
     return (
-        F.when(contains_any(title, ("一季度报告", "第一季度")), end(3, 31))
-        .when(contains_any(title, ("半年度报告", "半年报")), end(6, 30))
-        .when(contains_any(title, ("三季度报告", "第三季度")), end(9, 30))
-        .when(contains_any(title, ("年度报告", "年报")), end(12, 31))
+        F.when(contains_any(t, ("第一季度", "一季度")), end(3, 31))
+        .when(contains_any(t, ("半年度", "半年报", "中期报告")), end(6, 30))
+        .when(contains_any(t, ("第三季度", "三季度")), end(9, 30))
+        .when(contains_any(t, ("年度报告", "年报")), end(12, 31))
     )
 
 
+NUMERIC_REPORTS = ("年度报告", "第一季度报告", "一季度报告", "半年度报告", "第三季度报告", "三季度报告")
+NOT_NUMERIC = ("摘要", "英文版", "审计报告", "问询", "回复", "提示性公告", "关于")
+REVISED = ("修订", "更正", "修正", "更新")
+
+
 def is_numeric_report(title: Column) -> Column:
     """Whether a title announces a full numeric report."""
-    asked = contains_any(title, REPORTS) & title.rlike(r"(?:19|20)\d{2}\s*年")
-    return asked & ~contains_any(title, ("摘要", "英文", "审计", "问询", "提示性公告"))
+    t = compact(title)
+    return contains_any(t, NUMERIC_REPORTS) & t.rlike(r"20\d{2}年") & ~contains_any(t, NOT_NUMERIC)
 
 
 def title_family(title: Column) -> Column:
-    """Title without the mark that tells the body from the full text."""
-    return F.regexp_replace(F.regexp_replace(title, r"\s+", ""), "(正文|全文)", "")
+    """Title without the mark at its end that tells the body from the full text."""
+    return F.regexp_replace(compact(title), "(?:（?(?:正文|全文)）?)$", "")
 
 
 def variant_priority(title: Column) -> Column:
-    return F.when(title.contains("全文"), 2).when(title.contains("正文"), 0).otherwise(1)
+    """0 for a body, 1 for the full or only text."""
+    return F.when(compact(title).rlike("(?:（?正文）?)$"), 0).otherwise(1)
 
 
 def revision_priority(title: Column) -> Column:
-    return contains_any(title, ("更正", "修订", "更新后", "修正")).cast("int")
+    return contains_any(compact(title), REVISED).cast("int")
 
 
-def presentation(text: Column, head: int = 1200) -> Column:
-    """FULL, BODY, SUMMARY or UNKNOWN by the marks in the leading part of a text; conflicting marks are UNKNOWN."""
-    start = F.left(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", ""), F.lit(head))
-    marks = F.array_distinct(F.regexp_extract_all(start, F.lit("报告(全文|正文|摘要)"), F.lit(1)))
-    name = first_match([(marks[0] == "全文", "FULL"), (marks[0] == "正文", "BODY")], "SUMMARY")
-    return F.when(F.size(marks) == 1, name).otherwise("UNKNOWN")
+CARRIER = r"20\d{2}(?:年?年度报告|年(?:半年度报告|第一季度报告|一季度报告|第三季度报告|三季度报告))(?:（?(摘要|正文|全文)）?)?"
 
 
-def notice_date(text: Column) -> Column:
-    """Effective date in a notice: the first pattern that matches."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", "")
+def presentation(text: Column) -> Column:
+    """FULL_OR_CANONICAL, BODY, SUMMARY or UNKNOWN by the report titles in the leading part of a text.
+
+    Marks in the first 1,200 characters count, conflicting ones give UNKNOWN; without a mark a report title in the first 5,000 is enough.
+    """
+    t = F.left(compact(text), F.lit(5000))
+    marks = F.array_distinct(F.filter(F.regexp_extract_all(F.left(t, F.lit(1200)), F.lit(CARRIER), F.lit(1)), lambda m: m != ""))
+    return (
+        F.when(~t.rlike(CARRIER) | (F.size(marks) > 1), "UNKNOWN")
+        .when(F.array_contains(marks, "摘要"), "SUMMARY")
+        .when(F.array_contains(marks, "正文"), "BODY")
+        .otherwise("FULL_OR_CANONICAL")
+    )
+
+
+#: How index notices and exchange notices name the day from which a change holds.
+INDEX_NOTICE = (r"于(\d{4})年(\d{1,2})月(\d{1,2})日[^。；;]{0,40}(?:生效|实施)", r"(\d{4})年(\d{1,2})月(\d{1,2})日[^。；;]{0,40}(?:正式实施|正式生效)")
+EXCHANGE_NOTICE = (r"于\s*(\d{4})年(\d{1,2})月(\d{1,2})日.*?生效", r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2}).*?生效")
+
+
+def notice_date(text: Column, patterns: tuple[str, ...] = INDEX_NOTICE) -> Column:
+    """Effective date in a notice: the first pattern that matches; null without one."""
+    t = compact(F.regexp_replace(F.coalesce(text, F.lit("")), "<[^>]+>", " "))
 
     def of(pattern: str) -> Column:
         y, m, d = (F.regexp_extract(t, pattern, k) for k in (1, 2, 3))
         return F.when(y != "", F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-M-d"))
 
-    return F.coalesce(of(r"于(\d{4})年(\d{1,2})月(\d{1,2})日(?:收市后)?(?:正式)?生效"), of(r"自(\d{4})年(\d{1,2})月(\d{1,2})日起"), of(r"(\d{4})年(\d{1,2})月(\d{1,2})日"))
+    return F.coalesce(*(of(p) for p in patterns))
+
+
+POLICY_NEGATIVE = ("行政处罚", "市场禁入", "立案", "处罚决定", "监管措施", "责令改正", "暂停业务", "撤销许可")
+
+
+def policy_type(title: Column, default: Column) -> Column:
+    """Negative words override the type of the channel."""
+    return F.when(contains_any(title, POLICY_NEGATIVE), "MAJOR_NEGATIVE_EVENT").otherwise(default)
+
+
+def policy_identity(url: Column, manuscript: Column) -> Column:
+    """Manuscript id, else the folder of a content page (or the word document) and 16 hex digits of the url's hash."""
+    path = F.regexp_replace(F.regexp_replace(url, r"^[a-z]+://[^/]*", ""), r"[?#].*$", "")
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
+    leaf = F.when((F.size(parts) >= 2) & (F.element_at(parts, -1) == "content.shtml"), F.try_element_at(parts, F.lit(-2))).otherwise("document")
+    return F.when(manuscript != "", F.concat(F.lit("MANUSCRIPT:"), manuscript)).otherwise(F.concat(leaf, F.lit(":"), F.left(F.sha2(url, 256), F.lit(16))))
 
 
 # --- errors, limits, states ---------------------------------------------------------------------------
 
 
 def failure_signature(error: Column) -> Column:
-    """Error text with urls, hashes and numbers masked, for grouping."""
-    t = F.regexp_replace(F.coalesce(error, F.lit("")), r"https?://\S+", "<url>")
-    t = F.regexp_replace(t, r"\b[0-9a-f]{16,}\b", "<hash>")
-    return F.left(F.trim(F.regexp_replace(F.regexp_replace(t, r"\d+", "<n>"), r"\s+", " ")), F.lit(200))
+    """Error text with urls, hashes and long numbers masked, for grouping."""
+    t = F.regexp_replace(F.trim(F.coalesce(error, F.lit(""))), r"https://\S+", "<url>")
+    t = F.regexp_replace(t, r"\b[0-9a-fA-F]{32,}\b", "<hash>")
+    return F.left(F.regexp_replace(t, r"\b\d{6,}\b", "<id>"), F.lit(240))
+
+
+#: Messages of documents that hold too little, as against failures.
+SOFT_MESSAGES = (
+    "official filing has no extractable text layer",
+    "filing text does not contain an explicit table unit declaration",
+    "filing target fact has explicit supported amount unit but no parseable value",
+    "filing has no target facts with locally proven",
+    "filing parser produced no standardized facts",
+)
+
+
+def failure_severity(error: Column) -> Column:
+    return F.when(contains_any(F.coalesce(error, F.lit("")), SOFT_MESSAGES), "SOFT_DATA_INSUFFICIENCY").otherwise("HARD_FAILURE")
 
 
 STAR_FIRST_DAY, CHINEXT_REFORM, MAIN_RISK_10 = "2019-07-22", "2020-08-24", "2026-07-06"

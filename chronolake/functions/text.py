@@ -19,7 +19,8 @@ def nfkc(text: Column) -> Column:
 
 
 def normalized_text(text: Column) -> Column:
-    """NFKC, without control characters, full-width punctuation folded, white space collapsed."""
-    out = F.regexp_replace(nfkc(text), r"[\p{Cc}\p{Cf}&&[^\n\t ]]", "")
-    out = F.translate(out, "，。；：（）【】", ",.;:()[]")
-    return F.trim(F.regexp_replace(out, r"[\s ]+", " "))
+    """NFKC without control characters, some full-width marks folded; lines with single spaces, empty lines gone."""
+    out = F.regexp_replace(nfkc(text), r"[\p{C}&&[^\n\r\t]]", "")
+    out = F.translate(out, "，：（）／−—", ",:()/--")
+    lines = F.transform(F.split(out, r"\r\n|[\n\r]"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")

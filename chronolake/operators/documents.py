@@ -9,6 +9,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Labels of the standard facts, and the factors of units: fixed values.
+FACT_LABELS = [
+    ("营业收入", "OPERATING_REVENUE"),
+    ("归属于上市公司股东的净利润", "NET_PROFIT_PARENT"),
+    ("归属于母公司股东的净利润", "NET_PROFIT_PARENT"),
+    ("归属于母公司所有者的净利润", "NET_PROFIT_PARENT"),
+    ("经营活动产生的现金流量净额", "OPERATING_CASH_FLOW_NET"),
+    ("总资产", "TOTAL_ASSETS"),
+    ("归属于上市公司股东的所有者权益", "EQUITY_PARENT"),
+    ("归属于上市公司股东的净资产", "EQUITY_PARENT"),
+    ("归属于母公司所有者权益", "EQUITY_PARENT"),
+    ("基本每股收益", "BASIC_EPS"),
+]
+UNIT_SCALE = {"元": 1.0, "千元": 1_000.0, "万元": 10_000.0, "百万元": 1_000_000.0, "亿元": 100_000_000.0}
+UNIT = r"单位:(?:人民币)?(亿元|百万元|万元|千元|元)(?=$|币种|金额|[,:;()。])"
+
+
+def declared_unit(rows: DataFrame, reach: int = 20, wrapped: int = 5, key: str = "doc_id") -> DataFrame:
+    """Add unit: the nearest unit declaration at or above a line; a declaration may be wrapped over several lines."""
+    w = in_order(key).rowsBetween(0, wrapped - 1)
+    rows = rows.withColumn("__next", F.collect_list("line").over(w))
+    text = lambda k: F.replace(F.regexp_replace(F.array_join(F.slice("__next", F.lit(1), k), ""), r"\s+", ""), F.lit("："), F.lit(":"))
+    spans = F.transform(F.sequence(F.lit(1), F.size("__next")), lambda k: F.regexp_extract(text(k), UNIT, 1))
+    own = F.get(F.filter(spans, lambda u: u != ""), F.lit(0))
+    starts = F.col("line").contains("单")
+    return nearest_above(rows, F.when(starts, own), "unit", reach, key).drop("__next")
+
+
+def standard_facts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, fact, value of filing texts: the first labelled number in the nearest declared unit; per-share values are not scaled.
+
+    A line without a declared unit above gives no amount. Null and empty texts give no rows.
+    """
+    rows = logical_rows(declared_unit(lines(docs, key, text), key=key), key=key)
+    scale = F.create_map(*(x for k, v in UNIT_SCALE.items() for x in (F.lit(k), F.lit(v))))[F.col("unit")]
+    labels = docs.sparkSession.createDataFrame(FACT_LABELS, "label string, fact string")
+    scaled = rows.withColumn("scale", scale)
+    found = labelled_values(rows, labels, key=key).join(scaled.select(key, "line_no", "scale"), [key, "line_no"])
+    value = F.when(F.col("fact") == "BASIC_EPS", F.col("value")).otherwise(F.col("value") * F.col("scale"))
+    return found.select(key, "fact", value.alias("value")).where("value is not null")
+
+
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, line_no, line: trimmed non-empty lines with their places."""
     rows = docs.select(key, F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
@@ -41,12 +83,12 @@ def logical_rows(rows: DataFrame, most: int = 6, key: str = "doc_id") -> DataFra
 
 
 def labelled_values(rows: DataFrame, labels: DataFrame, text: str = "row_text", key: str = "doc_id") -> DataFrame:
-    """key, fact, line_no, value: for each document and fact the first line that holds a label, its first number.
+    """key, fact, line_no, value: for each document and fact the first logical row whose first line starts a label, its first number.
 
     labels: label, fact. A bounded rule table, read into one expression so that no cross join is made.
     """
     rules = [(r["label"], r["fact"]) for r in labels.orderBy("label").collect()]
-    hits = F.filter(F.array(*(F.when(F.col(text).contains(a), F.struct(F.lit(b).alias("fact"), F.lit(len(a)).alias("width"))) for a, b in rules)), lambda x: x.isNotNull())
+    hits = F.filter(F.array(*(F.when(F.instr(text, a).between(1, F.length("line")), F.struct(F.lit(b).alias("fact"))) for a, b in rules)), lambda x: x.isNotNull())
     number = F.expr(f"try_cast(replace(regexp_extract({text}, '(-?[0-9][0-9,]*(?:[.][0-9]+)?)', 1), ',', '') as double)")
     found = rows.select(key, "line_no", number.alias("value"), F.explode(hits).alias("h")).select(key, "line_no", "value", "h.fact").where("value is not null")
     return found.groupBy(key, "fact").agg(F.min("line_no").alias("line_no"), F.min_by("value", "line_no").alias("value"))

@@ -10,7 +10,7 @@ from chronolake.functions import scalars as S
 from .windows import session_rank
 
 #: Days after listing in which a history without its listing day counts as truncated.
-UNCERTAIN_DAYS = 60
+UNCERTAIN_DAYS = 14
 
 
 def special_days(daily: DataFrame, lifecycle: DataFrame, overrides: DataFrame | None = None) -> DataFrame:

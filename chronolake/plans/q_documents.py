@@ -36,7 +36,7 @@ def nearest_unit(spark, sf):
 
 
 LOGICAL = f"""{LINES}, nx AS (SELECT doc_id, line_no, list(line) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS n FROM ln),
-lr AS (SELECT doc_id, line_no, array_to_string(n[1:coalesce(list_position(list_transform(n, lambda x: regexp_matches(x, '[0-9]')), true), len(n))], ' ') AS row_text FROM nx)"""
+lr AS (SELECT doc_id, line_no, n[1] AS line, array_to_string(n[1:coalesce(list_position(list_transform(n, lambda x: regexp_matches(x, '[0-9]')), true), len(n))], ' ') AS row_text FROM nx)"""
 
 
 @query("doc_3_logical_rows", "", f"WITH {LOGICAL} SELECT doc_id, line_no, sha256(row_text) AS row_hash FROM lr")
@@ -47,7 +47,7 @@ def logical_rows(spark, sf):
 LABELS = [("token", "TOKEN"), ("mail", "MAIL"), ("the", "ENGLISH"), ("der", "GERMAN"), ("que", "ROMANCE")]
 LABEL_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in LABELS) + ") l(label, fact)"
 NUMBER = "try_cast(replace(regexp_extract(row_text, '(-?[0-9][0-9,]*(?:[.][0-9]+)?)', 1), ',', '') AS DOUBLE)"
-FACTS = f"{LOGICAL}, f AS (SELECT doc_id, fact, min(line_no) AS line_no, arg_min(v, line_no) AS value FROM (SELECT doc_id, line_no, fact, {NUMBER} AS v FROM lr JOIN {LABEL_SQL} ON contains(row_text, label)) WHERE v IS NOT NULL GROUP BY doc_id, fact)"
+FACTS = f"{LOGICAL}, f AS (SELECT doc_id, fact, min(line_no) AS line_no, arg_min(v, line_no) AS value FROM (SELECT doc_id, line_no, fact, {NUMBER} AS v FROM lr JOIN {LABEL_SQL} ON strpos(row_text, label) BETWEEN 1 AND length(line)) WHERE v IS NOT NULL GROUP BY doc_id, fact)"
 
 
 def fact_rows(spark, sf):
@@ -139,7 +139,7 @@ def parser_replay(spark, sf):
     return diff(old, new, ["doc_id", "fact"])
 
 
-@query("doc_16_conflict_recheck", "v_facts", ", c AS (SELECT ent, pe, ft, av FROM v_facts GROUP BY ALL HAVING count(DISTINCT val) > 1) SELECT f.ent, f.pe, f.ft, f.ver, CASE WHEN c.ent IS NULL THEN 'UNCHECKED' WHEN f.ver = 'F' THEN 'FULL' ELSE 'BODY' END AS presentation FROM v_facts f LEFT JOIN c ON c.ent = f.ent AND c.pe = f.pe AND c.ft = f.ft AND c.av = f.av")
+@query("doc_16_conflict_recheck", "v_facts", ", c AS (SELECT ent, pe, ft, av FROM v_facts GROUP BY ALL HAVING count(DISTINCT val) > 1) SELECT f.ent, f.pe, f.ft, f.ver, CASE WHEN c.ent IS NULL THEN 'UNCHECKED' WHEN f.ver = 'F' THEN 'FULL_OR_CANONICAL' ELSE 'BODY' END AS presentation FROM v_facts f LEFT JOIN c ON c.ent = f.ent AND c.pe = f.pe AND c.ft = f.ft AND c.av = f.av")
 def conflict_recheck(spark, sf):
     from chronolake.functions.scalars import presentation
     from chronolake.operators.sets import conflicts
@@ -147,7 +147,7 @@ def conflict_recheck(spark, sf):
     f = X.facts(spark, sf)
     keys = ["ent", "pe", "ft", "av"]
     bad = conflicts(f, keys, ["val"]).select(*keys)
-    docs = f.join(bad, keys, "left_semi").select(*keys, "ver", presentation(F.when(F.col("ver") == "F", "季度报告全文").otherwise("季度报告正文")).alias("p"))
+    docs = f.join(bad, keys, "left_semi").select(*keys, "ver", presentation(F.when(F.col("ver") == "F", "2023年第一季度报告全文").otherwise("2023年第一季度报告正文")).alias("p"))
     return f.join(docs, [*keys, "ver"], "left").select("ent", "pe", "ft", "ver", F.coalesce("p", F.lit("UNCHECKED")).alias("presentation"))
 
 

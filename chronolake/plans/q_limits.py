@@ -18,7 +18,7 @@ k AS (SELECT *, CASE WHEN first_traded = listed THEN rank0 END AS post_rank FROM
 sp AS (SELECT *, CASE WHEN code % 13 = 0 AND day(d) = 15 THEN 'no_limit'
   WHEN post_rank = 1 AND (board IN ('SSE_MAIN', 'SZSE_MAIN') OR (board = 'CHINEXT' AND listed < DATE '2020-08-24')) THEN 'unknown'
   WHEN ((board = 'STAR' AND listed >= DATE '2019-07-22') OR (board = 'CHINEXT' AND listed >= DATE '2020-08-24')) AND post_rank BETWEEN 1 AND 5 THEN 'no_limit'
-  WHEN (board = 'STAR' OR (board = 'CHINEXT' AND listed >= DATE '2020-08-24')) AND first_traded <> listed AND first_traded <= listed + 60 AND d BETWEEN first_traded AND listed + 60 THEN 'unknown'
+  WHEN (board = 'STAR' OR (board = 'CHINEXT' AND listed >= DATE '2020-08-24')) AND first_traded <> listed AND first_traded <= listed + 14 AND d BETWEEN first_traded AND listed + 14 THEN 'unknown'
   WHEN d >= delisted THEN 'unknown' WHEN d < listed THEN 'unknown' WHEN board = 'UNKNOWN' THEN 'unknown' ELSE 'ordinary' END AS special_day_status FROM k),
 li AS (SELECT *, CASE WHEN board = 'UNKNOWN' THEN NULL WHEN board = 'STAR' THEN CASE WHEN d >= DATE '2019-07-22' THEN 20.0 END WHEN board = 'CHINEXT' THEN CASE WHEN d >= DATE '2020-08-24' THEN 20.0 WHEN is_st THEN 5.0 ELSE 10.0 END
   WHEN is_st AND d < DATE '2026-07-06' THEN 5.0 ELSE 10.0 END::DOUBLE AS limit_pct FROM sp),

@@ -8,6 +8,7 @@ from chronolake.functions import scalars as S
 from chronolake.functions.text import normalized_text
 
 from . import fixtures as X
+from .q_streams import TIMING_SQL, timed
 from .registry import query
 
 #: Title words in turn by event id: fixed values of the taxonomies.
@@ -38,9 +39,12 @@ def normalize_symbol(spark, sf):
 
 
 @query("nrm_2_board_inference", "", f"""WITH {CODES} SELECT code, CASE WHEN code[:3] IN ('688','689') THEN 'star' WHEN code[:3] IN ('300','301','302') THEN 'chinext' WHEN code[:1] IN ('4','8') OR code[:2] = '92' THEN 'beijing' ELSE 'main' END AS board,
-  CASE WHEN code[:3] = '688' THEN 'STAR' WHEN code[:3] IN ('600','601','603','605') THEN 'SSE_MAIN' ELSE 'UNKNOWN' END AS exchange_board, count(*) AS n FROM c GROUP BY ALL""")
+  CASE WHEN code[:3] = '688' THEN 'STAR' WHEN code[:3] IN ('600','601','603','605') THEN 'SSE_MAIN' ELSE 'UNKNOWN' END AS exchange_board,
+  CASE WHEN code[:3] IN ('688','689') THEN 'STAR' WHEN code[:3] IN ('300','301','302') THEN 'CHINEXT' WHEN code[:3] IN ('600','601','603','605') THEN 'SSE_MAIN' WHEN code[:3] IN ('000','001','002','003') THEN 'SZSE_MAIN' WHEN code[:1] IN ('4','8') OR code[:2] = '92' THEN 'BSE' END AS listing_board, count(*) AS n FROM c GROUP BY ALL""")
 def board_inference(spark, sf):
-    return codes(spark, sf).select("code", S.board_of_symbol(F.col("code")).alias("board"), S.board_of_prefixed_code(F.concat(F.lit("sh."), F.col("code"))).alias("exchange_board")).groupBy("code", "board", "exchange_board").agg(F.count("*").alias("n"))
+    c = F.col("code")
+    rows = codes(spark, sf).select("code", S.board_of_symbol(c).alias("board"), S.board_of_prefixed_code(F.concat(F.lit("sh."), c)).alias("exchange_board"), S.board_of_listing(c).alias("listing_board"))
+    return rows.groupBy("code", "board", "exchange_board", "listing_board").agg(F.count("*").alias("n"))
 
 
 @query("nrm_3_entity_id", "", f"WITH {CODES} SELECT DISTINCT code, code || CASE WHEN code[:1] IN ('5','6','9') THEN '.SH' WHEN code[:1] IN ('0','1','2','3') THEN '.SZ' WHEN code[:1] IN ('4','8') THEN '.BJ' ELSE '' END AS entity FROM c")
@@ -105,30 +109,31 @@ def earnings_direction(spark, sf):
     return titles(spark, sf).select("event_id", S.earnings_direction(F.col("title")).alias("direction"))
 
 
-@query("nrm_12_policy_type", "", f"WITH {TITLE_SQL} SELECT event_id, CASE WHEN contains(title, '立案') OR contains(title, '逾期') THEN 'NEGATIVE' ELSE 'CHANNEL_' || event_id % 3 END AS evidence_type FROM t")
+@query("nrm_12_policy_type", "", f"WITH {TITLE_SQL} SELECT event_id, CASE WHEN {like_any(S.POLICY_NEGATIVE)} THEN 'MAJOR_NEGATIVE_EVENT' ELSE 'CHANNEL_' || event_id % 3 END AS evidence_type FROM t")
 def policy_type(spark, sf):
-    return titles(spark, sf).select("event_id", F.when(S.contains_any(F.col("title"), ("立案", "逾期")), "NEGATIVE").otherwise(F.concat(F.lit("CHANNEL_"), (F.col("event_id") % 3).cast("string"))).alias("evidence_type"))
+    default = F.concat(F.lit("CHANNEL_"), (F.col("event_id") % 3).cast("string"))
+    return titles(spark, sf).select("event_id", S.policy_type(F.col("title"), default).alias("evidence_type"))
 
 
-@query("nrm_13_report_period", "", f"WITH {TITLE_SQL}, y AS (SELECT event_id, title, regexp_extract(title, '((?:19|20)\\d{{2}})\\s*年', 1) AS y FROM t) SELECT event_id, CASE WHEN y = '' THEN NULL WHEN {like_any(('一季度报告', '第一季度'))} THEN make_date(y::INT, 3, 31) WHEN {like_any(('半年度报告', '半年报'))} THEN make_date(y::INT, 6, 30) WHEN {like_any(('三季度报告', '第三季度'))} THEN make_date(y::INT, 9, 30) WHEN {like_any(('年度报告', '年报'))} THEN make_date(y::INT, 12, 31) END AS period FROM y")
+@query("nrm_13_report_period", "", f"WITH {TITLE_SQL}, y AS (SELECT event_id, title, regexp_extract(title, '(20\\d{{2}})年', 1) AS y FROM t) SELECT event_id, CASE WHEN y = '' THEN NULL WHEN {like_any(('第一季度', '一季度'))} THEN make_date(y::INT, 3, 31) WHEN {like_any(('半年度', '半年报', '中期报告'))} THEN make_date(y::INT, 6, 30) WHEN {like_any(('第三季度', '三季度'))} THEN make_date(y::INT, 9, 30) WHEN {like_any(('年度报告', '年报'))} THEN make_date(y::INT, 12, 31) END AS period FROM y")
 def report_period(spark, sf):
     return titles(spark, sf).select("event_id", S.report_period(F.col("title")).alias("period"))
 
 
-@query("nrm_14_numeric_report", "", f"WITH {TITLE_SQL} SELECT event_id, title FROM t WHERE {like_any(S.REPORTS)} AND regexp_matches(title, '(19|20)\\d{{2}}\\s*年') AND NOT {like_any(('摘要', '英文', '审计', '问询', '提示性公告'))}")
+@query("nrm_14_numeric_report", "", f"WITH {TITLE_SQL} SELECT event_id, title FROM t WHERE {like_any(S.NUMERIC_REPORTS)} AND regexp_matches(title, '20\\d{{2}}年') AND NOT {like_any(S.NOT_NUMERIC)}")
 def numeric_report(spark, sf):
     return titles(spark, sf).where(S.is_numeric_report(F.col("title")))
 
 
-@query("nrm_15_title_priorities", "", f"WITH {TITLE_SQL} SELECT event_id, regexp_replace(regexp_replace(title, '\\s+', '', 'g'), '(正文|全文)', '', 'g') AS family, CASE WHEN contains(title, '全文') THEN 2 WHEN contains(title, '正文') THEN 0 ELSE 1 END AS variant, {like_any(('更正', '修订', '更新后', '修正'))}::INT AS revision FROM t")
+@query("nrm_15_title_priorities", "", f"WITH {TITLE_SQL} SELECT event_id, regexp_replace(regexp_replace(title, '\\s+', '', 'g'), '(?:（?(?:正文|全文)）?)$', '') AS family, CASE WHEN regexp_matches(title, '(?:（?正文）?)$') THEN 0 ELSE 1 END AS variant, {like_any(S.REVISED)}::INT AS revision FROM t")
 def title_priorities(spark, sf):
     t = F.col("title")
     return titles(spark, sf).select("event_id", S.title_family(t).alias("family"), S.variant_priority(t).alias("variant"), S.revision_priority(t).alias("revision"))
 
 
-@query("nrm_16_presentation", "", f"WITH {TITLE_SQL}, x AS (SELECT event_id, list_distinct(regexp_extract_all(title || CASE WHEN event_id % 7 = 0 THEN '年度报告摘要' ELSE '' END, '报告(全文|正文|摘要)', 1)) AS m FROM t) SELECT event_id, CASE WHEN len(m) <> 1 THEN 'UNKNOWN' WHEN m[1] = '全文' THEN 'FULL' WHEN m[1] = '正文' THEN 'BODY' ELSE 'SUMMARY' END AS presentation FROM x")
+@query("nrm_16_presentation", "", f"WITH {TITLE_SQL}, x AS (SELECT event_id, title || CASE WHEN event_id % 7 = 0 THEN ' 2023年年度报告（摘要）' ELSE '' END AS title FROM t), m AS (SELECT event_id, regexp_matches(replace(title, ' ', ''), '{S.CARRIER}') AS any_, list_distinct(list_filter(regexp_extract_all(replace(title, ' ', ''), '{S.CARRIER}', 1), lambda w: w <> '')) AS m FROM x) SELECT event_id, CASE WHEN NOT any_ OR len(m) > 1 THEN 'UNKNOWN' WHEN list_contains(m, '摘要') THEN 'SUMMARY' WHEN list_contains(m, '正文') THEN 'BODY' ELSE 'FULL_OR_CANONICAL' END AS presentation FROM m")
 def presentation(spark, sf):
-    text = F.concat(F.col("title"), F.when(F.col("event_id") % 7 == 0, "年度报告摘要").otherwise(""))
+    text = F.concat(F.col("title"), F.when(F.col("event_id") % 7 == 0, " 2023年年度报告（摘要）").otherwise(""))
     return titles(spark, sf).select("event_id", S.presentation(text).alias("presentation"))
 
 
@@ -137,10 +142,11 @@ def document_identity(spark, sf):
     return X.table(spark, sf, "pages").select("page_id", "url", S.query_parameter(F.col("url"), "page").alias("page"))
 
 
-@query("nrm_19_policy_identity", "", "SELECT page_id, regexp_extract(split_part(split_part(url, '?', 1), '#', 1), '([^/]*)$', 1) || '-' || left(sha256(url), 16) AS identity FROM pages")
+@query("nrm_19_policy_identity", "", "WITH u AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN split_part(split_part(url, '?', 1), '#', 1) || '/content.shtml' ELSE url END AS url FROM pages) SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'MANUSCRIPT:' || page_id WHEN page_id % 2 = 0 THEN regexp_extract(url, '([^/]+)/+content.shtml$', 1) || ':' || left(sha256(url), 16) ELSE 'document:' || left(sha256(url), 16) END AS identity FROM u")
 def policy_identity(spark, sf):
-    path = F.substring_index(F.substring_index("url", "?", 1), "#", 1)
-    return X.table(spark, sf, "pages").select("page_id", F.concat(F.substring_index(path, "/", -1), F.lit("-"), F.left(F.sha2("url", 256), F.lit(16))).alias("identity"))
+    url = F.when(F.col("page_id") % 2 == 0, F.concat(F.regexp_replace("url", "[?#].*$", ""), F.lit("/content.shtml"))).otherwise(F.col("url"))
+    manuscript = F.when(F.col("page_id") % 5 == 0, F.col("page_id").cast("string")).otherwise("")
+    return X.table(spark, sf, "pages").select("page_id", S.policy_identity(url, manuscript).alias("identity"))
 
 
 @query("nrm_20_stable_hash", "", "SELECT event_id, sha256(event_id::VARCHAR || chr(31) || user_id::VARCHAR || chr(31) || event_type) AS h FROM events")
@@ -164,11 +170,12 @@ def unit_canonical(spark, sf):
     return X.table(spark, sf, "orders").select("o_orderkey", yuan.alias("yuan"), (~unit.isin("CNY", "CNY_100M")).alias("unknown_unit"))
 
 
-@query("nrm_26_notice_date", "", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 1 THEN CAST(o_orderdate AS DATE) ELSE NULL END AS effective FROM orders")
+@query("nrm_26_notice_date", "", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 1 THEN CAST(o_orderdate AS DATE) END AS index_notice, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 2 THEN CAST(o_orderdate AS DATE) END AS exchange_notice FROM orders")
 def notice_date(spark, sf):
-    d = F.date_format(F.col("o_orderdate").cast("date"), "yyyy年M月d日")
-    text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("公告日2001年1月1日 于 "), d, F.lit(" 收市后 生效"))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("自"), d, F.lit("起施行"))).otherwise("无日期")
-    return X.table(spark, sf, "orders").select("o_orderkey", S.notice_date(text).alias("effective"))
+    d, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 4
+    named = F.date_format(d, "yyyy年M月d日")
+    text = F.when(k == 0, F.concat(F.lit("2001年1月1日公告。 <b>于</b> "), named, F.lit(" 收市后生效"))).when(k == 1, F.concat(named, F.lit("起正式实施"))).when(k == 2, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 起生效"))).otherwise("无日期")
+    return X.table(spark, sf, "orders").select("o_orderkey", S.notice_date(text).alias("index_notice"), S.notice_date(text, S.EXCHANGE_NOTICE).alias("exchange_notice"))
 
 
 @query("nrm_27_availability_basis", "", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(ts AS DATE) WHEN 1 THEN CAST(ts + INTERVAL 30 DAY AS DATE) ELSE CAST(ts + INTERVAL 8 HOUR AS DATE) END AS event_date, CASE event_id % 3 WHEN 0 THEN 'PUBLICATION_DATE' WHEN 1 THEN 'APPROVAL_DATE' ELSE 'FIRST_OBSERVED' END AS basis, event_id % 3 <> 2 AS reconstructable FROM events")
@@ -185,21 +192,17 @@ def record_identity(spark, sf):
     return X.table(spark, sf, "events").select("event_id", F.coalesce(rule, F.left(S.stable_hash(F.col("event_id"), F.col("event_type")), F.lit(24))).alias("record_id"))
 
 
-@query("nrm_29_failure_signature", "", "SELECT CASE event_id % 2 WHEN 0 THEN 'timeout after <n> s at <url>' ELSE 'bad digest <hash> for <n>' END AS signature, CASE event_id % 2 WHEN 0 THEN 'TRANSPORT' ELSE 'REVIEW' END AS disposition, count(*) AS n FROM events GROUP BY ALL")
+@query("nrm_29_failure_signature", "", "SELECT CASE event_id % 3 WHEN 0 THEN 'timeout at <url>' WHEN 1 THEN 'bad digest <hash> for <id>' ELSE 'filing parser produced no standardized facts' END AS signature, CASE event_id % 3 WHEN 2 THEN 'SOFT_DATA_INSUFFICIENCY' ELSE 'HARD_FAILURE' END AS severity, count(*) AS n FROM events GROUP BY ALL")
 def failure_signature(spark, sf):
-    e = F.col("event_id").cast("string")
-    error = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("timeout after "), e, F.lit(" s at https://h.example.com/x?"), e)).otherwise(F.concat(F.lit("bad digest "), F.left(F.sha2(e, 256), F.lit(40)), F.lit(" for "), e))
-    rows = X.table(spark, sf, "events").select(S.failure_signature(error).alias("signature"), F.when(error.rlike("(?i)timeout|refused|reset"), "TRANSPORT").otherwise("REVIEW").alias("disposition"))
-    return rows.groupBy("signature", "disposition").agg(F.count("*").alias("n"))
+    e, k = F.col("event_id").cast("string"), F.col("event_id") % 3
+    error = F.when(k == 0, F.concat(F.lit("timeout at https://h.example.com/x?"), e)).when(k == 1, F.concat(F.lit("bad digest "), F.left(F.sha2(e, 256), F.lit(40)), F.lit(" for 100"), F.lpad(e, 7, "0"))).otherwise("filing parser produced no standardized facts")
+    rows = X.table(spark, sf, "events").select(S.failure_signature(error).alias("signature"), S.failure_severity(error).alias("severity"))
+    return rows.groupBy("signature", "severity").agg(F.count("*").alias("n"))
 
 
-@query("nrm_30_capture_timing", "", "SELECT event_id, CASE WHEN clock < '15:00:00' THEN 'BEFORE_CLOSE' WHEN clock <= '17:00:00' THEN 'ON_TIME' WHEN clock <= '21:00:00' THEN 'LATE_RECOVERY' ELSE 'AFTER_CUTOFF' END AS timing, clock >= '15:00:00' AND clock <= '21:00:00' AS eligible FROM (SELECT event_id, strftime(ts + INTERVAL 8 HOUR, '%H:%M:%S') AS clock FROM events)")
+@query("nrm_30_capture_timing", "", "WITH " + TIMING_SQL.replace("{ts}", "(ts + INTERVAL 8 HOUR)"))
 def capture_timing(spark, sf):
-    from chronolake.streaming.ingest import capture_class
-
-    rows = X.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
-    c = capture_class(F.expr("ts + interval 8 hours"))
-    return rows.select("event_id", c.alias("c")).select("event_id", "c.timing", "c.eligible")
+    return timed(X.table(spark, sf, "events").select("event_id", F.expr("cast(ts as timestamp_ntz) + interval 8 hours").alias("at")))
 
 
 @query("nrm_31_column_allowlist", "", "SELECT o_orderkey, o_orderdate FROM orders")

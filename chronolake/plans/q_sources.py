@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
 from chronolake.operators import contracts, membership, sets
 from chronolake.sources import publish, readers
+from chronolake.sources.scratch import new_path
 
 from . import fixtures as X
 from .registry import query
 
 
-def work(spark):
-    base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="chronolake-")
-    return f"{base}/source-{uuid.uuid4().hex}"
-
-
 @query("src_1_anchor_scan", "", "SELECT lpad((s_suppkey % 90)::VARCHAR, 6, '0') AS symbol, count(*) AS n FROM supplier GROUP BY 1 HAVING count(*) > 1")
 def anchor_scan(spark, sf):
-    path = work(spark)
+    path = new_path(spark, "source")
     X.table(spark, sf, "supplier").select((F.col("s_suppkey") % 90).cast("string").alias("symbol"), F.lit("2024-01-01").alias("snapshot_date")).write.option("header", True).csv(path)
     return readers.anchor_snapshot(readers.read_csv(spark, path, "symbol string, snapshot_date string"))[1]
 
@@ -35,7 +28,7 @@ def pairs(spark, sf):
 @query("src_2_adjustment_scan", "", """SELECT DATE '2020-01-01' + (s_suppkey % 30)::INT AS ed, lpad(s_suppkey::VARCHAR, 6, '0') AS sym, 'out' AS side FROM supplier WHERE s_suppkey % 9 <> 0
 UNION ALL SELECT DATE '2020-01-01' + (s_suppkey % 30)::INT, lpad((CASE WHEN s_suppkey % 7 = 0 THEN s_suppkey ELSE s_suppkey + 5000 END)::VARCHAR, 6, '0'), 'in' FROM supplier WHERE s_suppkey % 6 <> 0""")
 def adjustment_scan(spark, sf):
-    path = work(spark)
+    path = new_path(spark, "source")
     pairs(spark, sf).write.option("header", True).csv(path)
     return readers.adjustment_ledger(readers.read_csv(spark, path, "effective_date string, out_symbol string, in_symbol string"))[0]
 
@@ -56,14 +49,14 @@ def anchor_manifest(spark, sf):
 
 @query("src_4_universe_scan", "", "SELECT lpad(s_suppkey::VARCHAR, 6, '0') AS symbol, CASE WHEN lpad(s_suppkey::VARCHAR, 6, '0')[:1] IN ('4', '8') THEN 'beijing' ELSE 'main' END AS board, DATE '2020-01-01' + (s_suppkey % 30)::INT AS effective_start, 'point_in_time' AS universe_mode FROM supplier")
 def universe_scan(spark, sf):
-    path = work(spark)
+    path = new_path(spark, "source")
     X.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("symbol"), F.expr("date_add(date'2020-01-01', cast(s_suppkey % 30 as int))").alias("effective_start")).write.option("header", True).csv(path)
     return readers.normalize_universe(readers.read_csv(spark, path, "symbol string, effective_start string")).select("symbol", "board", "effective_start", "universe_mode")
 
 
 @query("src_5_many_shards", "", "SELECT 'shard=' || n_regionkey AS shard, count(*) AS n FROM nation GROUP BY 1")
 def many_shards(spark, sf):
-    path = work(spark)
+    path = new_path(spark, "source")
     X.table(spark, sf, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("shard")).coalesce(1).write.option("header", True).partitionBy("shard").csv(path)
     rows = readers.read_many(spark, path, "*.csv", "n_nationkey string, n_name string")
     return readers.file_counts(rows).groupBy(F.regexp_extract("source_file", "(shard=[^/]*)", 1).alias("shard")).agg(F.sum("n").alias("n"))
@@ -173,13 +166,13 @@ def unlock_queue(spark, sf):
 @query("src_21_publish_manifest", "", "SELECT * FROM (SELECT 'nation' AS dataset, count(*) AS n, 'n_name,n_nationkey' AS columns FROM nation UNION ALL SELECT 'supplier', count(*), 's_name,s_suppkey' FROM supplier)")
 def publish_manifest(spark, sf):
     sets_ = {"nation": X.table(spark, sf, "nation").select("n_nationkey", "n_name"), "supplier": X.table(spark, sf, "supplier").select("s_suppkey", "s_name")}
-    return publish.publish(sets_, work(spark)).select("dataset", "n", "columns")
+    return publish.publish(sets_, new_path(spark, "source")).select("dataset", "n", "columns")
 
 
 @query("src_22_incremental_chunks", "v_bars", "SELECT date_trunc('month', d)::DATE AS month, count(*) AS n FROM v_bars GROUP BY 1 HAVING month >= DATE '1996-01-01'")
 def incremental_chunks(spark, sf):
     b = X.bars(spark, sf).select("sym", "d", "px", F.trunc("d", "MM").alias("month")).where(F.col("month") >= X.day("1996-01-01"))
-    path = work(spark)
+    path = new_path(spark, "source")
     early = F.col("month") < X.day("1998-01-01")
     publish.write_chunks(b.where(early), path, "month")
     done = spark.read.parquet(path).groupBy("month").agg(F.count("*").alias("n")).withColumn("complete", F.lit(True))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
 from chronolake.operators import contracts
+from chronolake.sources.scratch import new_path
 from chronolake.streaming import ingest
 
 from .registry import query
@@ -19,38 +20,51 @@ def landed(spark, sf):
 def append_once(spark, sf):
     rows = landed(spark, sf).select("event_id", "user_id", "event_type", "ts")
     twice = rows.unionByName(rows.where("event_id % 10 = 0"))
-    return ingest.drain(ingest.append_once(twice, "event_id", "ts"), ingest.work_dir(spark)).select("event_id", "user_id", "event_type")
+    return ingest.drain(ingest.append_once(twice, "event_id", "ts"), new_path(spark, "stream")).select("event_id", "user_id", "event_type")
 
 
 @query("str_2_first_observation", "", "SELECT event_type, CAST(ts AS DATE) AS session, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_observed FROM events WHERE value > 10 GROUP BY ALL")
 def first_observation(spark, sf):
     rows = landed(spark, sf).withColumn("session", F.col("ts").cast("date"))
-    out = ingest.upsert(ingest.first_observation(rows, ["event_type", "session"], "ts", F.col("value") > 10), ingest.work_dir(spark), ["event_type", "session"])
+    out = ingest.upsert(ingest.first_observation(rows, ["event_type", "session"], "ts", F.col("value") > 10), new_path(spark, "stream"), ["event_type", "session"])
     return out.withColumn("first_observed", F.date_format("first_observed", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("str_3_late_classes", "", "SELECT event_id, CASE WHEN clock < '15:00:00' THEN 'BEFORE_CLOSE' WHEN clock <= '17:00:00' THEN 'ON_TIME' WHEN clock <= '21:00:00' THEN 'LATE_RECOVERY' ELSE 'AFTER_CUTOFF' END AS timing, clock >= '15:00:00' AND clock <= '21:00:00' AS eligible FROM (SELECT event_id, strftime(ts, '%H:%M:%S') AS clock FROM events)")
+#: A capture before 15:00 belongs to the session of the day before; here every day is a session.
+TIMING_SQL = """c AS (SELECT event_id, {ts} AS t0, CASE WHEN strftime({ts}, '%H:%M:%S') < '15:00:00' THEN CAST({ts} AS DATE) - 1 ELSE CAST({ts} AS DATE) END AS session FROM events)
+SELECT event_id, CASE WHEN t0 <= session + 1 + TIME '05:30:00' THEN 'PREOPEN_BEFORE_FORMER_0530_SLA' WHEN t0 <= session + 1 + TIME '08:45:00' THEN 'LATE_PREOPEN_BEFORE_SHADOW_DECISION_CUTOFF' WHEN t0 < session + 1 + TIME '09:30:00' THEN 'POST_CUTOFF_PRE_EXECUTION_LATE_RECOVERY' ELSE 'POST_EXECUTION_LATE_RECOVERY' END AS timing, t0 <= session + 1 + TIME '08:45:00' AS eligible FROM c"""
+
+
+def timed(rows):
+    """event_id, timing, eligible of rows with a local time at."""
+    day = F.col("at").cast("date")
+    session = F.when(F.date_format("at", "HH:mm:ss") < "15:00:00", F.date_sub(day, 1)).otherwise(day)
+    c = ingest.capture_class(F.col("at"), session, F.date_add(session, 1))
+    return rows.select("event_id", c.alias("c")).select("event_id", "c.timing", "c.eligible")
+
+
+@query("str_3_late_classes", "", "WITH " + TIMING_SQL.replace("{ts}", "ts"))
 def late_classes(spark, sf):
-    rows = landed(spark, sf).select("event_id", ingest.capture_class(F.col("ts")).alias("c")).select("event_id", "c.timing", "c.eligible")
-    return ingest.drain(rows, ingest.work_dir(spark))
+    rows = landed(spark, sf).select("event_id", F.col("ts").cast("timestamp_ntz").alias("at"))
+    return ingest.drain(timed(rows), new_path(spark, "stream"))
 
 
 @query("str_4_session_readiness", "", "SELECT CAST(ts AS DATE) AS session, array_to_string(list_filter(['click', 'purchase', 'error', 'never'], lambda x: list_contains(list(DISTINCT event_type), x)), ',') AS arrived, array_to_string(list_filter(['click', 'purchase', 'error', 'never'], lambda x: NOT list_contains(list(DISTINCT event_type), x)), ',') AS missing, false AS ready FROM events GROUP BY 1")
 def session_readiness(spark, sf):
     out = ingest.readiness(landed(spark, sf), F.col("ts").cast("date"), "event_type", ["click", "purchase", "error", "never"])
-    return ingest.upsert(out, ingest.work_dir(spark), ["session"])
+    return ingest.upsert(out, new_path(spark, "stream"), ["session"])
 
 
-@query("str_5_failure_breaker", "", "SELECT user_id, 'code <n>' AS signature, count(*) AS failures, count(*) >= 3 AS stop FROM events WHERE event_type = 'error' GROUP BY user_id")
+@query("str_5_failure_breaker", "", "SELECT user_id, 'code ' || CASE WHEN event_id >= 100000 THEN '<id>' ELSE '1' END AS signature, count(*) AS failures, count(*) >= 3 AS stop FROM events WHERE event_type = 'error' GROUP BY ALL")
 def failure_breaker(spark, sf):
     rows = landed(spark, sf).where("event_type = 'error'")
-    signature = S.failure_signature(F.concat(F.lit("code "), F.col("event_id").cast("string")))
-    return ingest.upsert(ingest.breaker(rows, "user_id", signature), ingest.work_dir(spark), ["user_id", "signature"])
+    signature = S.failure_signature(F.concat(F.lit("code "), F.when(F.col("event_id") >= 100000, F.col("event_id").cast("string")).otherwise("1")))
+    return ingest.upsert(ingest.breaker(rows, "user_id", signature), new_path(spark, "stream"), ["user_id", "signature"])
 
 
 @query("str_7_event_roll_up", "", "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def event_roll_up(spark, sf):
-    out = ingest.upsert(ingest.roll_up(landed(spark, sf), "ts", "event_type", "value"), ingest.work_dir(spark), ["day", "event_type"])
+    out = ingest.upsert(ingest.roll_up(landed(spark, sf), "ts", "event_type", "value"), new_path(spark, "stream"), ["day", "event_type"])
     return out.select(F.col("day").cast("date").alias("day"), "event_type", "n", F.round("total", 2).alias("total"))
 
 

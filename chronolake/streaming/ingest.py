@@ -5,18 +5,26 @@ Each job reads files as they land, runs with trigger(availableNow) or continuous
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def capture_class(local: Column) -> Column:
-    """struct(timing, eligible) of a capture by its exchange-local clock: closes at 15:00, due by 17:00, recovery to 21:00."""
-    clock = F.date_format(local, "HH:mm:ss")
-    timing = F.when(clock < "15:00:00", "BEFORE_CLOSE").when(clock <= "17:00:00", "ON_TIME").when(clock <= "21:00:00", "LATE_RECOVERY").otherwise("AFTER_CUTOFF")
-    return F.struct(timing.alias("timing"), ((clock >= "15:00:00") & (clock <= "21:00:00")).alias("eligible"))
+def capture_class(observed: Column, session: Column, decision: Column) -> Column:
+    """struct(timing, eligible) of an exchange-local capture time for a session and the next session, its decision day.
+
+    Nothing may be captured before the session closes at 15:00; on the decision day 05:30, 08:45 and 09:30 end the
+    early, the late and the recovery class. Late captures keep their rows; only eligibility ends at 08:45.
+    """
+    at = lambda day, clock: F.to_timestamp_ntz(F.concat(day.cast("string"), F.lit(f" {clock}")))
+    timing = (
+        F.when(observed < at(session, "15:00:00"), "BEFORE_SESSION_CLOSE")
+        .when(observed <= at(decision, "05:30:00"), "PREOPEN_BEFORE_FORMER_0530_SLA")
+        .when(observed <= at(decision, "08:45:00"), "LATE_PREOPEN_BEFORE_SHADOW_DECISION_CUTOFF")
+        .when(observed < at(decision, "09:30:00"), "POST_CUTOFF_PRE_EXECUTION_LATE_RECOVERY")
+        .otherwise("POST_EXECUTION_LATE_RECOVERY")
+    )
+    eligible = (observed >= at(session, "15:00:00")) & (observed <= at(decision, "08:45:00"))
+    return F.struct(timing.alias("timing"), eligible.alias("eligible"))
 
 
 def landing(spark: SparkSession, path: str, time: str) -> DataFrame:
@@ -26,11 +34,6 @@ def landing(spark: SparkSession, path: str, time: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]").withColumn(time, F.col(time).cast("timestamp"))
 
 
-def work_dir(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="chronolake-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
-
-
 def drain(stream: DataFrame, out: str, mode: str = "append") -> DataFrame:
     """Run a stream over all that has landed into a table at out, and read the table."""
     spark = stream.sparkSession

@@ -153,6 +153,24 @@ def test_trailing_value_needs_all_parts(spark):
     assert got == {("e", D(2022, 4, 20)): None, ("e", D(2023, 4, 1)): 100, ("e", D(2023, 4, 20)): 110, ("f", D(2023, 4, 20)): None}
 
 
+def test_filing_facts_need_a_unit_and_keep_shares(spark):
+    text = "合并利润表\n单 位：人民币\n万元\n营业收入\n本期 1,234.5 900\n基本每股收益 0.25\n归属于上市公司股东的净利润 (说明) 7"
+    rows = frame(spark, [(1, text), (2, "营业收入 5"), (3, None), (4, "")], "doc_id long, text string")
+    from chronolake.operators import documents
+
+    assert values(documents.standard_facts(rows), "doc_id", "fact", "value") == [(1, "BASIC_EPS", 0.25), (1, "NET_PROFIT_PARENT", 70000.0), (1, "OPERATING_REVENUE", 12345000.0)]
+
+
+def test_report_titles(spark):
+    rows = frame(spark, [("2023年年度报告（更新后）",), ("2023年第一季度报告正文",), ("关于2023年年度报告的公告",), ("2023年半年度报告摘要",)], "t string")
+    t = F.col("t")
+    got = {r["t"]: r for r in rows.select("t", S.report_period(t).alias("p"), S.is_numeric_report(t).alias("n"), S.title_family(t).alias("f"), S.variant_priority(t).alias("v"), S.revision_priority(t).alias("r"), S.presentation(t).alias("c")).collect()}
+    a, b, c, d = got.values()
+    assert (a["p"], a["n"], a["v"], a["r"], a["c"]) == (D(2023, 12, 31), True, 1, 1, "FULL_OR_CANONICAL")
+    assert (b["p"], b["n"], b["f"], b["v"], b["c"]) == (D(2023, 3, 31), True, "2023年第一季度报告", 0, "BODY")
+    assert (c["n"], d["n"], d["c"]) == (False, False, "SUMMARY")
+
+
 def test_empty_tables(spark):
     none = frame(spark, [], "sym string, d date, px double")
     assert breadth.breadth(breadth.flags(breadth.measures(none)), ["d"]).count() == 0

@@ -46,7 +46,7 @@ def test_text_normalisation_matches_unicodedata(spark):
 
     from chronolake.functions.text import normalized_text
 
-    texts = ["ＡＢＣ　１２３", "plain", None, "a​b  c", "（注）"]
+    texts = ["ＡＢＣ　１２３", "plain", None, "a\u200bb  c\r\n\n x\x07", "（注）—"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", normalized_text(F.col("t")).alias("n")).collect()
-    assert [r["n"] for r in rows] == ["ABC 123", "plain", None, "ab c", "(注)"]
+    assert [r["n"] for r in rows] == ["ABC 123", "plain", None, "ab c\nx", "(注)-"]
     assert unicodedata.normalize("NFKC", texts[0]).split() == ["ABC", "123"]
