@@ -2,29 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolake.sources.scratch import new_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir; a local one only where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", "")
-    if not where:
-        where = tempfile.mkdtemp(prefix="chronolake-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it again: cuts the lineage, survives lost executors."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
