@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolake.llm.common import scratch_dir, table
+from chronolake.llm.common import table
 from chronolake.llm.jaccard import jaccard_groups
 from chronolake.llm.mixing import mix_documents
 from chronolake.llm.pieces import encode_documents
 from chronolake.llm.quality_model import keep_good
 from chronolake.llm.secrets import redacted
+from chronolake.sources.scratch import new_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}-{k}"
+        path = new_path(spark, f"pipeline-{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
