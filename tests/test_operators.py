@@ -95,7 +95,7 @@ def test_reconstruction_against_a_walk_backwards(spark):
     rng = random.Random(3)
     lo, hi = D(2024, 1, 1), D(2024, 2, 20)
     for _ in range(3):
-        events, held = [], {}
+        events = []
         start = {s for s in "abcdef" if rng.random() < 0.5}
         now = set(start)
         for k in range(1, 50):
@@ -108,7 +108,6 @@ def test_reconstruction_against_a_walk_backwards(spark):
         days = out.select("sym", F.explode(F.sequence("s", "e")).alias("d")).where("sym <> 'none'")
         assert values(days, "sym", "d") == slow_membership(now, events, lo, hi)
         assert membership.inconsistent(anchor, frame(spark, events, "ed date, sym string, side string"), F.lit(lo)).where("sym <> 'none'").count() == 0
-        del held
 
 
 def test_inconsistent_ledgers_are_reported(spark):
