@@ -50,14 +50,13 @@ def test_near_copies_around_the_threshold(spark, seed):
     out = {}
     for base in range(12):
         words = [word() for _ in range(rng.choice([3, 6, 9, 14, 30, 80, 200]))]
-        for copy in range(rng.choice([1, 3, 40])):
+        for _ in range(rng.choice([1, 3, 40])):
             own = list(words)
-            for _ in range(rng.randrange(0, max(2, len(words) // 12))):
+            for _edit in range(rng.randrange(0, max(2, len(words) // 12))):
                 own[rng.randrange(len(own))] = word()
             if rng.random() < 0.3:
                 own += [word() for _ in range(rng.randrange(0, 3))]
             out[len(out)] = " ".join(own) + (" " + passage if base % 4 == 0 else "")
-        del copy
     df = spark.createDataFrame(list(out.items()), "doc_id long, text string").repartition(5)
     assert groups(df) == brute_force(out)
 
