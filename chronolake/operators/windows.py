@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolake.sources.scratch import new_path
+
 
 def by_time(keys: list[str], date: str = "d"):
     return Window.partitionBy(*keys).orderBy(date)
@@ -65,3 +67,24 @@ def spread_sample(rows: DataFrame, group: str, order: str, k: int) -> DataFrame:
     numbered = rows.withColumn("n", n).withColumn("rn", rn)
     picks = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * (F.col("n") - 1) / F.lit(max(k - 1, 1))).cast("int"))
     return numbered.where(F.array_contains(picks, F.col("rn"))).drop("n", "rn")
+
+
+def numbered(rows: DataFrame, order: list[str], out: str = "rn") -> DataFrame:
+    """Number all rows from 1 by a total order without one task seeing them all.
+
+    Rows are dealt by range and written with the number of their range, so that later reads agree; each range is numbered
+    on its own and starts after the rows of the ranges before it.
+    """
+    path = new_path(rows.sparkSession, "ranges")
+    rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()).write.parquet(path)
+    dealt = rows.sparkSession.read.parquet(path)
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    local = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    starts = sizes.select("__range", before.alias("__before"))
+    return dealt.join(starts, "__range").withColumn(out, F.col("__before") + local).drop("__range", "__before")
+
+
+def modulo_shards(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """Add shard: the place of a key in the sorted scope modulo n."""
+    return numbered(rows, [key]).withColumn("shard", F.pmod(F.col("rn") - 1, F.lit(n))).drop("rn")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
-from chronolake.operators import contracts, membership, sets
+from chronolake.operators import contracts, membership, sets, windows
 from chronolake.sources import publish, readers
 from chronolake.sources.scratch import new_path
 
@@ -244,12 +244,10 @@ def bundle_quality(spark, sf):
     return g.crossJoin(total).select("latest", "symbols", F.round(F.col("symbols") / F.col("total"), 6).alias("coverage"))
 
 
-@query("tk_6_modulo_shards", "", "SELECT (rn - 1) % 8 AS shard, count(*) AS n FROM (SELECT row_number() OVER (ORDER BY s_suppkey) AS rn FROM supplier) GROUP BY 1")
+@query("tk_6_modulo_shards", "", "SELECT (rn - 1) % 8 AS shard, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM (SELECT DISTINCT o_orderkey FROM orders)) GROUP BY 1")
 def modulo_shards(spark, sf):
-    from pyspark.sql import Window
-
-    rows = X.table(spark, sf, "supplier").select("s_suppkey", F.row_number().over(Window.orderBy("s_suppkey")).alias("rn"))
-    return rows.groupBy(F.pmod(F.col("rn") - 1, F.lit(8)).cast("long").alias("shard")).agg(F.count("*").alias("n"))
+    scope = X.table(spark, sf, "orders").select("o_orderkey").distinct()
+    return windows.modulo_shards(scope, "o_orderkey", 8).groupBy("shard").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
 @query("tk_5_canonical_order", "v_annc", "SELECT doc, row_number() OVER (PARTITION BY CAST(pub AS DATE) ORDER BY cls, ent, doc) AS place FROM v_annc")
