@@ -53,11 +53,11 @@ def calendar_lag(spark, sf):
     return C.calendar_lag(X.bars(spark, sf).select("d", "sym", "px"), X.calendar(spark, sf), ["sym"], "px", 20, "px_20").select("sym", "d", "px", "px_20")
 
 
-@query("jn_25_exact_calendar", "v_cal v_bars", "SELECT coalesce(c.d, b.d) AS d, CASE WHEN c.d IS NULL THEN 'right_only' ELSE 'left_only' END AS side FROM v_cal c FULL OUTER JOIN (SELECT DISTINCT d FROM v_bars WHERE sym = 7) b ON c.d = b.d WHERE c.d IS NULL OR b.d IS NULL")
+@query("jn_25_exact_calendar", "v_cal v_bars", "SELECT coalesce(c.d, b.d) AS d, CASE WHEN c.d IS NULL THEN 'right_only' ELSE 'left_only' END AS side FROM v_cal c FULL OUTER JOIN (SELECT DISTINCT d FROM v_bars WHERE vol > 80) b ON c.d = b.d WHERE c.d IS NULL OR b.d IS NULL")
 def exact_calendar(spark, sf):
     from chronolake.operators.sets import reconcile
 
-    return reconcile(X.calendar(spark, sf), X.bars(spark, sf).where("sym = 7"), ["d"]).where("side <> 'both'")
+    return reconcile(X.calendar(spark, sf), X.bars(spark, sf).where("vol > 80"), ["d"]).where("side <> 'both'")
 
 
 @query("tk_4_floor_dates", "v_cal", "SELECT DISTINCT (SELECT max(d) FROM v_cal WHERE d <= t) AS d FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS t FROM lineitem) WHERE (SELECT max(d) FROM v_cal WHERE d <= t) IS NOT NULL")

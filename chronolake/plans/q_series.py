@@ -42,12 +42,12 @@ def rolling_extrema(spark, sf):
     return breadth.measures(px(spark, sf)).select("sym", "d", "low60", "high252")
 
 
-SPINE = "sp AS (SELECT k.sym, c.d, b.px FROM (SELECT DISTINCT sym FROM v_bars WHERE sym % 4 = 0) k CROSS JOIN v_cal c LEFT JOIN v_bars b ON b.sym = k.sym AND b.d = c.d)"
+SPINE = "sp AS (SELECT k.sym, c.d, b.px FROM (SELECT DISTINCT sym FROM v_bars) k CROSS JOIN v_cal c LEFT JOIN v_bars b ON b.sym = k.sym AND b.d = c.d)"
 COVERAGE = f"""{SPINE}, cv AS (SELECT *, px IS NOT NULL AS observed, CASE WHEN row_number() {W}) >= 60 THEN sum((px IS NOT NULL)::INT) {W} ROWS 59 PRECEDING) / 60.0::DOUBLE END AS coverage FROM sp)"""
 
 
 def spine(spark, sf):
-    return calendar.on_spine(px(spark, sf).where("sym % 4 = 0"), X.calendar(spark, sf), ["sym"]).drop("slot")
+    return calendar.on_spine(px(spark, sf), X.calendar(spark, sf), ["sym"]).drop("slot")
 
 
 @query("win_4_trailing_coverage", "v_bars", f", {COVERAGE} SELECT sym, d, observed, round(coverage, 6) AS coverage, coalesce(coverage >= 0.2 AND observed, false) AS eligible FROM cv")
@@ -106,10 +106,11 @@ def median_scale(spark, sf):
     return m.withColumn("plausible", F.col("median_px") / F.col("median_vol") <= 2000)
 
 
-@query("jn_7_rail_attach", "v_bars", "SELECT b.sym, b.d, b.px, r.rail FROM v_bars b LEFT JOIN (SELECT d, px AS rail FROM v_bars WHERE sym = 1) r USING (d)")
+@query("jn_7_rail_attach", "v_bars", "SELECT b.sym, b.d, b.px, r.rail FROM v_bars b LEFT JOIN (SELECT d, max(px) AS rail FROM v_bars WHERE vol >= 30 GROUP BY d) r USING (d)")
 def rail_attach(spark, sf):
     b = px(spark, sf)
-    return b.join(b.where("sym = 1").select("d", F.col("px").alias("rail")), "d", "left").select("sym", "d", "px", "rail")
+    rail = X.bars(spark, sf).where("vol >= 30").groupBy("d").agg(F.max("px").alias("rail"))
+    return b.join(rail, "d", "left").select("sym", "d", "px", "rail")
 
 
 @query("jn_8_bilateral_combine", "v_bars", "SELECT d, a.vol + b.vol AS total, a.vol AS one, b.vol AS two FROM (SELECT d, sum(vol) AS vol FROM v_bars WHERE sym % 2 = 0 GROUP BY d) a JOIN (SELECT d, sum(vol) AS vol FROM v_bars WHERE sym % 2 = 1 GROUP BY d) b USING (d) WHERE a.vol + b.vol > 0")
@@ -118,18 +119,18 @@ def bilateral_combine(spark, sf):
     return b.where("one is not null and two is not null and one + two > 0").select("d", (F.col("one") + F.col("two")).alias("total"), "one", "two")
 
 
-@query("jn_9_calendar_spine", "v_bars", "SELECT c.d, a.px AS one, b.px AS two, a.px IS NOT NULL AND b.px IS NOT NULL AS bilateral_complete FROM v_cal c LEFT JOIN v_bars a ON a.d = c.d AND a.sym = 1 LEFT JOIN v_bars b ON b.d = c.d AND b.sym = 2")
+@query("jn_9_calendar_spine", "v_bars", "SELECT c.d, a.px AS one, b.px AS two, a.px IS NOT NULL AND b.px IS NOT NULL AS bilateral_complete FROM v_cal c LEFT JOIN (SELECT d, max(px) AS px FROM v_bars WHERE vol >= 60 GROUP BY d) a ON a.d = c.d LEFT JOIN (SELECT d, max(px) AS px FROM v_bars WHERE vol < 4 GROUP BY d) b ON b.d = c.d")
 def calendar_spine(spark, sf):
-    b, cal = px(spark, sf), X.calendar(spark, sf).select("d")
-    feed = lambda k, name: b.where(f"sym = {k}").select("d", F.col("px").alias(name))
-    return cal.join(feed(1, "one"), "d", "left").join(feed(2, "two"), "d", "left").withColumn("bilateral_complete", F.col("one").isNotNull() & F.col("two").isNotNull())
+    b, cal = X.bars(spark, sf), X.calendar(spark, sf).select("d")
+    feed = lambda rule, name: b.where(rule).groupBy("d").agg(F.max("px").alias(name))
+    return cal.join(feed("vol >= 60", "one"), "d", "left").join(feed("vol < 4", "two"), "d", "left").withColumn("bilateral_complete", F.col("one").isNotNull() & F.col("two").isNotNull())
 
 
-@query("jn_20_tolerance_check", "v_bars", "SELECT d, a.px AS one, b.px AS two, abs(a.px - b.px) > 20000 AS mismatch FROM v_bars a JOIN v_bars b USING (d) WHERE a.sym = 3 AND b.sym = 4")
+@query("jn_20_tolerance_check", "v_bars", "SELECT a.sym, a.d, a.px AS one, b.px AS two, abs(a.px - b.px) > 20000 AS mismatch FROM v_bars a JOIN v_bars b ON b.d = a.d AND b.sym = a.sym + 1")
 def tolerance_check(spark, sf):
     b = px(spark, sf)
-    one, two = b.where("sym = 3").select("d", F.col("px").alias("one")), b.where("sym = 4").select("d", F.col("px").alias("two"))
-    return one.join(two, "d").withColumn("mismatch", F.abs(F.col("one") - F.col("two")) > 20000)
+    one, two = b.select("sym", "d", F.col("px").alias("one")), b.select((F.col("sym") - 1).alias("sym"), "d", F.col("px").alias("two"))
+    return one.join(two, ["sym", "d"]).withColumn("mismatch", F.abs(F.col("one") - F.col("two")) > 20000)
 
 
 @query("ag_22_benchmark_envelope", "v_bars", "SELECT sym, count(*) AS n_rows, max(d) AS latest, count(*) FILTER (vol > 30) AS positive_rows, arg_max(px, d) AS latest_px, count(*) >= 350 AS deep_enough FROM v_bars GROUP BY sym")

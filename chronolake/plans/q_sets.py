@@ -47,10 +47,10 @@ def dataset_diff(spark, sf):
 @query("jn_21_source_applicability", "v_annc", """
 , need AS (SELECT * FROM (VALUES ('click', 'all'), ('error', 'even'), ('purchase', 'odd')) t(source, scope)),
 seg AS (SELECT ent, cls AS source, min(CAST(pub AS DATE)) AS s, max(CAST(pub AS DATE)) AS e FROM v_annc GROUP BY ALL)
-SELECT c_custkey AS ent, n.source, coalesce(s <= DATE '2024-01-10' AND e >= DATE '2024-01-20', false) AS window_complete FROM customer JOIN need n ON scope = 'all' OR (scope = 'even') = (c_custkey % 2 = 0) LEFT JOIN seg ON seg.ent = c_custkey AND seg.source = n.source WHERE c_custkey <= 1500""")
+SELECT c_custkey AS ent, n.source, coalesce(s <= DATE '2024-01-10' AND e >= DATE '2024-01-20', false) AS window_complete FROM customer JOIN need n ON scope = 'all' OR (scope = 'even') = (c_custkey % 2 = 0) LEFT JOIN seg ON seg.ent = c_custkey AND seg.source = n.source""")
 def source_applicability(spark, sf):
     rules = F.array(*(F.struct(F.lit(s).alias("source"), F.lit(w).alias("scope")) for s, w in (("click", "all"), ("error", "even"), ("purchase", "odd"))))
-    need = T(spark, sf, "customer").where("c_custkey <= 1500").select(F.col("c_custkey").alias("ent"), F.explode(rules).alias("r")).select("ent", "r.*")
+    need = T(spark, sf, "customer").select(F.col("c_custkey").alias("ent"), F.explode(rules).alias("r")).select("ent", "r.*")
     need = need.where((F.col("scope") == "all") | ((F.col("scope") == "even") == (F.col("ent") % 2 == 0)))
     seg = X.announcements(spark, sf).groupBy("ent", F.col("cls").alias("source")).agg(F.min(F.col("pub").cast("date")).alias("s"), F.max(F.col("pub").cast("date")).alias("e"))
     done = F.coalesce((F.col("s") <= X.day("2024-01-10")) & (F.col("e") >= X.day("2024-01-20")), F.lit(False))
@@ -154,11 +154,11 @@ def reference_validation(spark, sf):
     return twice.unionByName(p.where("p_size > 48").select("p_name", F.lit(1).cast("long").alias("n"), F.lit("BASIS_UNKNOWN").alias("rule")))
 
 
-@query("set_4_replace_partition", "v_bars", "SELECT sym, d, CASE WHEN sym = 1 AND d >= DATE '1998-01-01' AND d < DATE '1998-02-01' THEN -1 ELSE px END AS px FROM v_bars WHERE sym < 5")
+@query("set_4_replace_partition", "v_bars", "SELECT sym, d, CASE WHEN vol > 40 AND d >= DATE '1998-01-01' AND d < DATE '1998-02-01' THEN -1 ELSE px END AS px FROM v_bars")
 def replace_partition(spark, sf):
-    b = X.bars(spark, sf).where("sym < 5").select("sym", "d", "px")
-    fresh = b.where((F.col("sym") == 1) & (F.col("d") >= X.day("1998-01-01")) & (F.col("d") < X.day("1998-02-01"))).withColumn("px", F.lit(-1.0))
-    return sets.replace_part(b, fresh, ["sym", "d"])
+    b = X.bars(spark, sf)
+    fresh = b.where((F.col("vol") > 40) & (F.col("d") >= X.day("1998-01-01")) & (F.col("d") < X.day("1998-02-01"))).select("sym", "d", F.lit(-1.0).alias("px"))
+    return sets.replace_part(b.select("sym", "d", "px"), fresh, ["sym", "d"])
 
 
 @query("set_6_set_differences", "v_bars", "SELECT period, sym, side FROM (SELECT coalesce(a.period, b.period) AS period, coalesce(a.sym, b.sym) AS sym, CASE WHEN a.sym IS NULL THEN 'right_only' WHEN b.sym IS NULL THEN 'left_only' ELSE 'both' END AS side FROM (SELECT DISTINCT date_trunc('quarter', d)::DATE AS period, sym FROM v_bars WHERE vol > 60) a FULL OUTER JOIN (SELECT DISTINCT date_trunc('quarter', d)::DATE AS period, sym FROM v_bars WHERE px > 70000) b ON a.period = b.period AND a.sym = b.sym) WHERE side <> 'both'")

@@ -40,10 +40,8 @@ def adjustment_violations(spark, sf):
 
 @query("src_3_anchor_manifest", "", "SELECT 'b' AS anchor, DATE '1998-12-31' AS effective_date, 'x.csv,y.csv' AS supplements")
 def anchor_manifest(spark, sf):
-    m = X.table(spark, sf, "region").where("r_regionkey < 3").select(
-        F.element_at(F.array(F.lit("1997-01-01"), F.lit("1998-12-31"), F.lit("2001-01-01")), (F.col("r_regionkey") + 1).cast("int")).cast("date").alias("effective_date"),
-        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("r_regionkey") + 1).cast("int")).alias("anchor"),
-        F.element_at(F.array(F.lit("y.csv"), F.lit("x.csv"), F.lit("z.csv")), (F.col("r_regionkey") + 1).cast("int")).alias("supplement"))
+    pick = lambda *names: F.element_at(F.array(*(F.lit(n) for n in names)), (F.col("r_regionkey") + 1).cast("int"))
+    m = X.table(spark, sf, "region").select(pick("1997-01-01", "1998-12-31", "2001-01-01", "2002-01-01", "2003-01-01").cast("date").alias("effective_date"), pick("a", "b", "c", "d", "e").alias("anchor"), pick("y.csv", "x.csv", "z.csv", "v.csv", "w.csv").alias("supplement"))
     return membership.effective_version(m, X.day("1999-06-30")).withColumn("supplements", F.array_join("supplements", ","))
 
 
@@ -85,13 +83,13 @@ def positional_payload(spark, sf):
     return rows.withColumn("close", F.expr("try_cast(close as double)")).select("code", "date", "close")
 
 
-@query("src_9_columnar_payload", "v_bars", "SELECT d AS date, px AS close, round(vol / 100, 6) AS change FROM v_bars WHERE sym = 5")
+@query("src_9_columnar_payload", "v_bars", "SELECT sym, d AS date, px AS close, round(vol / 100, 6) AS change FROM v_bars")
 def columnar_payload(spark, sf):
-    b = X.bars(spark, sf).where("sym = 5")
+    b = X.bars(spark, sf)
     item = F.array(F.lit("ts"), F.lit("close"), F.lit("change"))
     row = F.array(F.unix_millis(F.to_utc_timestamp(F.col("d").cast("timestamp"), "Asia/Shanghai")).cast("double"), F.col("px"), F.col("vol") / 100)
-    pages = b.groupBy(F.year("d").alias("y")).agg(F.to_json(F.struct(F.first(item).alias("item"), F.collect_list(row).alias("data"))).alias("payload"))
-    return readers.columnar_rows(pages, "payload", ["ts", "close", "change"]).select("date", "close", F.round("change", 6).alias("change"))
+    pages = b.groupBy("sym", F.year("d").alias("y")).agg(F.to_json(F.struct(F.first(item).alias("item"), F.collect_list(row).alias("data"))).alias("payload"))
+    return readers.columnar_rows(pages, "payload", ["ts", "close", "change"], ("sym",)).select("sym", "date", "close", F.round("change", 6).alias("change"))
 
 
 @query("src_10_announcement_pages", "", "SELECT event_id::VARCHAR AS code, min(event_type) AS title FROM events GROUP BY event_id")
@@ -129,10 +127,12 @@ def exchange_overview(spark, sf):
     return g.where("p0 is not null and p1 is not null and p2 is not null and p3 is not null").select("d", (F.col("p0") + F.col("p1")).alias("one"), (F.col("p2") - F.col("p3")).alias("two"))
 
 
-@query("src_14_share_snapshot", "v_bars", "SELECT lpad(sym::VARCHAR, 6, '0') AS fund_code, d AS date, vol AS fund_shares, 'SHARE' AS unit FROM v_bars WHERE sym IN (1, 2, 3) AND vol > 0")
+@query("src_14_share_snapshot", "v_bars", "SELECT lpad(sym::VARCHAR, 6, '0') AS fund_code, d AS date, vol AS fund_shares, 'SHARE' AS unit FROM v_bars JOIN supplier ON s_suppkey = sym WHERE s_acctbal > 0 AND vol > 0")
 def share_snapshot(spark, sf):
     raw = X.bars(spark, sf).select(F.concat(F.lit("F"), F.lpad(F.col("sym").cast("string"), 6, "0"), F.lit(" fund")).alias("name"), "d", "vol")
-    rows = raw.withColumn("fund_code", F.regexp_extract("name", r"(\d{6})", 1)).where(F.col("fund_code").isin("000001", "000002", "000003") & (F.col("vol") > 0))
+    rows = raw.withColumn("fund_code", F.regexp_extract("name", r"(\d{6})", 1)).where("vol > 0")
+    wanted = X.table(spark, sf, "supplier").where("s_acctbal > 0").select(F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("fund_code"))
+    rows = rows.join(wanted, "fund_code", "left_semi")
     return rows.join(F.broadcast(X.calendar(spark, sf).select("d")), "d", "left_semi").select("fund_code", F.col("d").alias("date"), F.col("vol").alias("fund_shares"), F.lit("SHARE").alias("unit"))
 
 
@@ -144,10 +144,10 @@ def share_archive(spark, sf):
     return rows.select("o_orderkey", F.col("shares").cast("string").alias("shares"), "reject")
 
 
-@query("src_16_margin_balances", "v_bars", "SELECT d, sym % 2 AS exchange, sum(px) AS balance, CASE sym % 2 WHEN 0 THEN 'CNY' ELSE 'CNY_100M' END AS source_unit FROM v_bars WHERE sym < 3 GROUP BY d, sym % 2")
+@query("src_16_margin_balances", "v_bars", "SELECT d, sym % 2 AS exchange, round(sum(px), 2) AS balance, CASE sym % 2 WHEN 0 THEN 'CNY' ELSE 'CNY_100M' END AS source_unit FROM v_bars GROUP BY d, sym % 2")
 def margin_balances(spark, sf):
-    rows = X.bars(spark, sf).where("sym < 3").select("d", (F.col("sym") % 2).alias("exchange"), F.expr("try_cast(cast(px as string) as double)").alias("px"))
-    return rows.groupBy("d", "exchange").agg(F.sum("px").alias("balance")).withColumn("source_unit", F.when(F.col("exchange") == 0, "CNY").otherwise("CNY_100M"))
+    rows = X.bars(spark, sf).select("d", (F.col("sym") % 2).alias("exchange"), F.expr("try_cast(cast(px as string) as double)").alias("px"))
+    return rows.groupBy("d", "exchange").agg(F.round(F.sum("px"), 2).alias("balance")).withColumn("source_unit", F.when(F.col("exchange") == 0, "CNY").otherwise("CNY_100M"))
 
 
 @query("src_17_listing_metadata", "", "SELECT p_partkey, p_size, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY p_size DESC) AS rn FROM part WHERE p_retailprice > 0 AND p_size > 5) WHERE rn = 1")
@@ -182,10 +182,10 @@ def incremental_chunks(spark, sf):
 
 
 @query("src_23_chunk_permanence", "v_bars", """
-, ex AS (SELECT date_trunc('month', c.d)::DATE AS month, c.d, k.sym FROM v_cal c CROSS JOIN (SELECT DISTINCT sym FROM v_bars WHERE sym <= 4) k)
+, ex AS (SELECT date_trunc('month', c.d)::DATE AS month, c.d, k.sym FROM v_cal c CROSS JOIN (SELECT DISTINCT sym FROM v_bars) k)
 SELECT month, count(*) AS expected, count(*) FILTER (b.px IS NULL) AS missing, 0::BIGINT AS nulls, count(*) FILTER (b.px IS NULL) = 0 AS permanent FROM ex LEFT JOIN v_bars b ON b.sym = ex.sym AND b.d = ex.d GROUP BY month""")
 def chunk_permanence(spark, sf):
-    b = X.bars(spark, sf).where("sym <= 4").select("sym", "d", "px")
+    b = X.bars(spark, sf).select("sym", "d", "px")
     cal = X.calendar(spark, sf).select("d", F.trunc("d", "MM").alias("month"))
     expected = b.select("sym").distinct().crossJoin(F.broadcast(cal))
     return publish.permanent_chunks(b, expected, "month", ["sym", "d"], "px")
@@ -216,10 +216,10 @@ def injected_rows(spark, sf):
     return materialize(X.bars(spark, sf))
 
 
-@query("udf_2_injected_documents", "", "SELECT doc_id, length(text) AS n, sha256(text) AS document_sha256 FROM documents WHERE doc_id % 2 = 0 AND text IS NOT NULL")
+@query("udf_2_injected_documents", "", "SELECT doc_id, length(text) AS n, sha256(text) AS document_sha256 FROM documents WHERE text IS NOT NULL")
 def injected_documents(spark, sf):
     """Documents come as a table keyed by id; a join replaces the loader."""
-    asked = X.table(spark, sf, "documents").where("doc_id % 2 = 0").select("doc_id")
+    asked = X.table(spark, sf, "documents").select("doc_id")
     texts = X.table(spark, sf, "documents").where("text is not null").select("doc_id", "text")
     return texts.join(asked, "doc_id", "left_semi").select("doc_id", F.length("text").cast("long").alias("n"), F.sha2("text", 256).alias("document_sha256"))
 
@@ -258,8 +258,8 @@ def canonical_order(spark, sf):
     return X.announcements(spark, sf).select("doc", F.row_number().over(w).alias("place"))
 
 
-@query("set_2_disjoint_append", "v_bars", "SELECT DISTINCT d FROM v_bars WHERE sym = 1 AND d BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'")
+@query("set_2_disjoint_append", "v_bars", "SELECT DISTINCT d FROM v_bars WHERE d BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'")
 def disjoint_append(spark, sf):
-    b = X.bars(spark, sf).where("sym = 1").select("d", "px")
+    b = X.bars(spark, sf).select("d", "px")
     _, overlap = sets.append_disjoint(b.where(F.col("d") <= X.day("1998-03-31")), b.where(F.col("d") >= X.day("1998-01-01")), "d")
     return overlap

@@ -101,13 +101,13 @@ def positional_rows(raw: DataFrame, column: str, fields: dict[str, int]) -> Data
     return raw.select(F.explode(items).alias("x")).select(*(F.get("x", F.lit(i)).alias(k) for k, i in fields.items()))
 
 
-def columnar_rows(raw: DataFrame, column: str, names: list[str]) -> DataFrame:
+def columnar_rows(raw: DataFrame, column: str, names: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows of a columnar payload {item: [names], data: [[values]]} with epoch milliseconds first: exchange-local date and numbers."""
-    parsed = raw.select(F.from_json(column, "item array<string>, data array<array<double>>").alias("p"))
-    rows = parsed.select(F.col("p.item").alias("item"), F.explode("p.data").alias("v"))
+    parsed = raw.select(*keys, F.from_json(column, "item array<string>, data array<array<double>>").alias("p"))
+    rows = parsed.select(*keys, F.col("p.item").alias("item"), F.explode("p.data").alias("v"))
     at = lambda n: F.get("v", F.array_position("item", F.lit(n)).cast("int") - 1)
     local = F.to_date(F.from_utc_timestamp(F.timestamp_millis(at(names[0]).cast("long")), "Asia/Shanghai"))
-    return rows.select(local.alias("date"), *(at(n).alias(n) for n in names[1:]))
+    return rows.select(*keys, local.alias("date"), *(at(n).alias(n) for n in names[1:]))
 
 
 def flatten_pages(raw: DataFrame, column: str, items: str, schema: str, keys: list[str]) -> DataFrame:
