@@ -72,12 +72,12 @@ def node_ids(doc: np.ndarray, s: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 
 
 def parity(doc: np.ndarray, s: np.ndarray, n: int) -> pa.Array:
-    """A bit string for each set: the parity of its elements in each of 64 or more cells, about four to an element.
+    """A bit string for each set: the parity of its elements in each of 64 or more cells, two to four an element.
 
     Two sets differ in at least as many elements as their bit strings do in bits.
     """
     size, _ = _spans(doc, n)
-    cells = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(size, 1) * 4)).astype(np.int64))
+    cells = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(size, 1) * 2)).astype(np.int64))
     start = np.cumsum(cells) - cells
     at = start[doc] + (mix(s ^ U(0x2545F4914F6CDD1D)) & (cells[doc] - 1).astype(U)).astype(np.int64)
     bits = np.packbits((np.bincount(at, minlength=int(cells.sum())) & 1).astype(np.uint8))
@@ -263,10 +263,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that pass the bounds by size and by parity."""
-    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
-    near = pairs.join(one, "a").join(two.select("b", "nb"), "b").where(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
-    return near.join(two.select("b", "pb"), "b").where(may_link("pa", "pb", "na", "nb")).select("a", "b")
+    of = lambda name, *columns: nodes.select(F.col("node").alias(name), *(F.col(c).alias(c[0] + name) for c in columns))
+    near = pairs.join(of("a", "n"), "a").join(of("b", "n"), "b").where(F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
+    near = near.join(of("a", "parity"), "a").join(of("b", "parity"), "b")
+    return near.where(may_link("pa", "pb", "na", "nb")).select("a", "b")
 
 
 def _nearest_joins(comp_i: np.ndarray, comp_j: np.ndarray, far: np.ndarray) -> list[int]:
