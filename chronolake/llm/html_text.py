@@ -2,8 +2,8 @@
 
 A tolerant pass over the tags builds the tree of each page. For every node the characters per tag
 are adjusted by its links (composite text density); the densities of a node's children add up to its
-density sum, the node with the greatest sum marks the content, and the least density on its path to
-the body is the threshold for further content nodes. Parts that are no article by their element,
+density sum, the least density on the path from the node with the greatest sum to the body is the
+threshold, and each node that reaches it marks the node of the greatest sum in it as content. Parts that are no article by their element,
 role or name (menus, headers, footers, sidebars, notices, adverts, forms, comments) go first.
 
 A page is one row: its tree lives in one task only while the row is read.
@@ -36,6 +36,9 @@ CONTENT = {"article", "main"}
 #: Names that say a layout has a part, not that it is one, and names of articles that are none.
 ABOUT = {"has", "with", "no", "without"}
 NO_ARTICLE = {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related", "recommended", "teaser"}
+#: Blocks that lay out a page, and lists, which are navigation where they consist of links.
+LAYOUT = {"div", "section", "center", "table", "tbody", "thead", "tfoot", "tr", "td", "th", "article", "main", "body", "form", "header", "details", "address"}
+LISTS = {"ul", "ol", "dl", "li", "dd", "dt", "p"}
 #: Start tags that end an open element of these kinds, unless one of the fences stands between.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 CLOSES_P = BLOCK - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "summary", "legend", "li", "dt", "dd"} | {"li", "dd", "dt"}
@@ -167,26 +170,90 @@ def measure(root: Node) -> list[Node]:
             plain = max(c - node.link_chars, 1)
             base = math.log(c / plain * node.link_chars + body_links * c + math.e)
             node.density = c / t * math.log(max((c / lc) * (t / lt), 1.0) + 1.0) / base
-        node.total = sum(k.density for k in node.children if isinstance(k, Node))
+        # text of the node itself counts like a child, up to the density of the node
+        own = c - sum(k.chars for k in node.children if isinstance(k, Node))
+        node.total = sum(k.density for k in node.children if isinstance(k, Node)) + min(own * math.log(own + 1.0) / math.log(body_links * own + math.e), node.density)
     return order
 
 
-def content(order: list[Node]) -> list[Node]:
-    """Content nodes in no order: the article around the greatest density sum, else all nodes that reach the threshold."""
+def _mostly_links(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
+
+
+def _kids(node: Node) -> list[Node]:
+    return [c for c in node.children if isinstance(c, Node)]
+
+
+def content(order: list[Node]) -> tuple[set[int], set[int], set[int]]:
+    """Ids of the content nodes, of nodes below them that are none, and of nodes whose own text alone is content.
+
+    One article or main element around the greatest density sum is the content. Elsewhere, and where articles
+    repeat, a node that reaches the threshold marks the node of the greatest density sum in it, and its children
+    are judged in turn. Headings, paragraphs, lists and loose text next to the path of a marked node, and what
+    stands between two marked ones, go with it unless most of it is links; blocks of links in a marked node go.
+    """
+    root = order[-1]
     best = max(order, key=lambda x: (x.total, x.chars))
     if best.total == 0:
-        return [order[-1]] if order[-1].chars else []
+        return ({id(root)} if root.chars else set()), set(), set()
     path, node = [], best
     while node is not None:
         path.append(node)
         node = node.parent
     around = [x for x in path if x.tag in CONTENT or re.search(r"""role\s*=\s*["']?main\b""", x.attrs)]
     articles = [x for x in around if x.tag == "article"]
-    if around:
-        return [(articles or around)[-1]]
-    body = [x for x in path if x.tag != "html"] or path
-    limit = min(x.density for x in body)
-    return [x for x in order if x.density >= limit and x.chars]
+    mains = [x for x in around if x.tag != "article"]
+    start = mains[-1] if mains else root
+    #: the outermost article of each node, and whether there are several
+    of, several, scope = {}, set(), {id(start)}
+    for x in reversed(order):
+        if x.parent is not None and id(x.parent) in scope:
+            scope.add(id(x))
+            of[id(x)] = of.get(id(x.parent)) or (x if x.tag == "article" else None)
+            if of[id(x)] is x and x.chars:
+                several.add(id(x))
+    if around and not (articles and len(several) > 1):
+        return {id((articles or around)[-1])}, set(), set()
+
+    below = path[: path.index(start) + 1]
+    limit = min(x.density for x in [x for x in below if x.tag != "html"] or below)
+    top: dict[int, Node] = {}
+    for x in order:
+        top[id(x)] = max([x, *(top[id(k)] for k in _kids(x))], key=lambda y: (y.total, y.chars))
+    marked: set[int] = set()
+    found, stack = [], [start]
+    while stack:
+        x = stack.pop()
+        if id(x) in marked or not x.chars or (x is not start and x.density < limit):
+            continue
+        target = of.get(id(top[id(x)])) or top[id(x)]
+        if id(target) not in marked:
+            marked.add(id(target))
+            found.append(target)
+        if target is not x:
+            stack.extend(_kids(x))
+
+    dropped, loose, above = set(), set(), {}
+    for x in found:
+        if x.tag not in CONTENT:
+            blocks = LAYOUT | LISTS if x.tag in ("body", "html") else LAYOUT
+            dropped |= {id(k) for k in _kids(x) if k.tag in blocks and k.density < limit and _mostly_links(k)}
+        while x is not start and x.parent is not None and id(x.parent) not in above:
+            x = x.parent
+            above[id(x)] = x
+    for x in above.values():
+        kids = _kids(x)
+        held = [k for k, y in enumerate(kids) if id(y) in marked or id(y) in above]
+        for k, y in enumerate(kids):
+            prose = y.tag not in LAYOUT and y.tag in BLOCK or held[0] < k < held[-1]
+            if y.chars and id(y) not in above and (y.tag == "h1" or prose and not _mostly_links(y)):
+                marked.add(id(y))
+        inline = [y for y in kids if y.tag not in BLOCK and id(y) not in above]
+        own = x.chars - sum(y.chars for y in kids)
+        if own + sum(y.chars - 2 * y.link_chars for y in inline) >= 0:
+            loose.add(id(x))
+            marked |= {id(y) for y in inline}
+    return marked, dropped, loose
 
 
 def main_text(page: str | None) -> str:
@@ -194,7 +261,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     order = measure(tree(page))
-    marked = {id(x) for x in content(order)}
+    marked, dropped, loose = content(order)
     blocks: list[str] = []
     run: list[str] = []
 
@@ -214,11 +281,12 @@ def main_text(page: str | None) -> str:
             if inside:
                 run.append(item)
         else:
-            inside = inside or id(item) in marked
+            inside = (inside or id(item) in marked) and id(item) not in dropped
             if item.tag in BLOCK:
                 close()
                 stack.append((None, inside))
-            stack.extend((c, inside) for c in reversed(item.children))
+            own = inside or id(item) in loose
+            stack.extend((c, own if isinstance(c, str) else inside) for c in reversed(item.children))
     close()
     return " ".join(blocks)
 

@@ -124,6 +124,35 @@ def test_main_text():
         assert html_text.main_text(page) == want, page
 
 
+PROSE = "<p>" + "A sentence of the article with plain words and no links in it. " * 4 + "</p>"
+LINKS = "<div class='x1'>" + "".join(f"<a href='/{k}'>Link {k}</a> " for k in range(12)) + "</div>"
+
+
+def test_link_blocks_with_neutral_names_go():
+    want = " ".join(("A sentence of the article with plain words and no links in it. " * 12).split())
+    for page in (
+        f"<body>{LINKS}<div class='x2'><h1>Head</h1>{PROSE * 3}</div>{LINKS}</body>",
+        f"<body>{LINKS}<h1>Head</h1><div class='x2'>{PROSE * 3}</div>{LINKS}</body>",
+        f"<body>{LINKS}<h1>Head</h1>{PROSE * 3}{LINKS}</body>",
+        f"<body><table><tr><td>{LINKS}<td><h1>Head</h1>{PROSE * 3}</table></body>",
+        f"<body><div class='x0'>{LINKS}<div class='x2'><h1>Head</h1>{PROSE}</div><div class='x3'>{PROSE * 2}</div></div><div class='x4'>Buy now</div></body>",
+        f"<body>{LINKS}<div class='x2'><h1>Head</h1>{PROSE.replace('<p>', '').replace('</p>', '<br>') * 3}</div>{LINKS}</body>",
+    ):
+        assert html_text.main_text(page) == "Head " + want, page
+
+
+def test_repeated_articles_stay_whole():
+    one = " ".join(("A sentence of the article with plain words and no links in it. " * 8).split())
+    for scope in ("main", "div"):
+        page = f"<body>{LINKS}<{scope}>{LINKS}<article><h2>One</h2>{PROSE * 2}</article>{LINKS}<article><h2>Two</h2><div>{PROSE * 2}</div></article></{scope}>{LINKS}</body>"
+        assert html_text.main_text(page) == f"One {one} Two {one}", page
+
+
+def test_short_parts_of_an_article_stay():
+    text = html_text.main_text(f"<body>Loose words<h2>Head</h2><div>{PROSE * 2}</div><div>short</div><div>{PROSE * 2}</div><p>end</p><ul><li>i<li>j</ul></body>")
+    assert text.startswith("Loose words Head A sentence") and " short A sentence" in text and text.endswith(" end i j")
+
+
 def test_all_pages_give_their_article(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = html_text.extract_pages(pages).join(pages.select("page_id", "html"), "page_id").collect()
