@@ -24,6 +24,7 @@ from .common import table
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 NAMES = re.compile(r"""\b(id|class|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+MAIN = re.compile(r"""\brole\s*=\s*["']?main\b""", re.I)
 
 # Element names with a meaning of their own: fixed values.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -39,17 +40,22 @@ NO_ARTICLE = {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored"
 #: Blocks that lay out a page, and lists, which are navigation where they consist of links.
 LAYOUT = {"div", "section", "center", "table", "tbody", "thead", "tfoot", "tr", "td", "th", "article", "main", "body", "form", "header", "details", "address"}
 LISTS = {"ul", "ol", "dl", "li", "dd", "dt", "p"}
+#: Elements and names that may wrap a whole page or article, and talk below it: kept where they hold more than this share of its text without links.
+WRAPS = {"form", "fieldset"}
+TALK = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply"}
+MAJOR, NEARLY, NEVER = 0.5, 0.9, 2.0
 #: Start tags that end an open element of these kinds, unless one of the fences stands between.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist"})}
 CLOSES_P = BLOCK - {"br", "body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "summary", "legend", "li", "dt", "dd"} | {"li", "dd", "dt"}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "attrs", "parent", "children", "article", "holds", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None) -> None:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-        #: Whether an article or main element stands below.
+        #: Whether this is an article or main element or plays the role of main; whether one stands below.
+        self.article = tag in CONTENT or bool(attrs) and MAIN.search(attrs) is not None
         self.holds = False
 
     def names(self) -> set[str]:
@@ -110,7 +116,7 @@ def tree(page: str) -> Node:
                 now = hit.parent
         node = Node(tag, m[3] if m[2] else m[6], now)
         now.children.append(node)
-        if tag in CONTENT and not NO_ARTICLE & node.names():
+        if node.article and not NO_ARTICLE & node.names():
             above = now
             while above is not None and not above.holds:
                 above.holds = True
@@ -123,35 +129,70 @@ def tree(page: str) -> Node:
     return root
 
 
-def boilerplate(node: Node, inside: bool) -> bool:
-    """Whether a node is no part of an article by its element, role or name; inside: below an article or main element."""
+def needed(node: Node, inside: bool) -> float:
+    """Share of the text around a node that keeps it: 0 for parts of an article by element, role and name, more than 1 for none.
+
+    inside: below an article or main element.
+    """
     if node.tag in ("html", "body"):
-        return False
-    if node.tag in OUT and not (node.tag == "form" and node.holds) or (node.tag == "header" and not inside):
-        return True
+        return 0.0
+    share = 0.0
+    if node.tag in WRAPS:
+        share = 0.0 if node.holds else MAJOR
+    elif node.tag in OUT or (node.tag == "header" and not inside):
+        return NEVER
     for key, value in NAMES.findall(node.attrs):
         key, value = key.lower(), html.unescape(value.strip("\"'")).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
+            return NEVER
         if key == "role" and value in ROLES:
-            return True
+            if value != "form":
+                return NEVER
+            share = max(share, 0.0 if node.holds else MAJOR)
     names = node.names()
-    if node.tag in CONTENT:
-        return bool(NO_ARTICLE & names)
+    if node.article:
+        return NEVER if NO_ARTICLE & names else share
     if node.holds or ABOUT & names or node.tag in ("h1", "h2"):
-        return False
-    return bool((PARTS - {"header"} if inside else PARTS) & names)
+        return share
+    if (PARTS - {"header"} if inside else PARTS) & names:
+        return NEARLY if TALK & names else MAJOR
+    return share
 
 
 def measure(root: Node) -> list[Node]:
     """Prune, then count characters, tags and links of every node, children first; returns the nodes in that order."""
-    order, stack = [], [(root, False)]
+    # what could be a part but may wrap the article is kept by its share of the text of the page or article it is in
+    seen, wanted, stack = [], {}, [(root, root, False)]
+    while stack:
+        node, scope, in_link = stack.pop()
+        if node.article:
+            scope = node
+        in_link = in_link or node.tag == "a"
+        seen.append((node, scope, in_link))
+        kept = []
+        for c in node.children:
+            if isinstance(c, Node):
+                share = needed(c, c.article or scope.article)
+                if share > 1:
+                    continue
+                if share:
+                    wanted[id(c)] = share
+                stack.append((c, scope, in_link))
+            kept.append(c)
+        node.children = kept
+    if wanted:
+        for node, _, in_link in reversed(seen):
+            own = 0 if in_link else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+            node.chars = own + sum(c.chars for c in node.children if isinstance(c, Node))
+        # on a page with an article, parts outside it are none
+        gone = {id(c) for c, scope, _ in seen if id(c) in wanted and (c.chars <= wanted[id(c)] * scope.chars or scope is root and root.holds)}
+        for node, _, _ in seen:
+            node.children = [c for c in node.children if isinstance(c, str) or id(c) not in gone]
+    order, stack = [], [root]
     while stack:
-        node, inside = stack.pop()
-        inside = inside or node.tag in CONTENT
-        node.children = [c for c in node.children if isinstance(c, str) or not boilerplate(c, inside)]
+        node = stack.pop()
         order.append(node)
-        stack.extend((c, inside) for c in node.children if isinstance(c, Node))
+        stack.extend(c for c in node.children if isinstance(c, Node))
     order.reverse()
     for node in order:
         kids = [c for c in node.children if isinstance(c, Node)]
@@ -200,7 +241,7 @@ def content(order: list[Node]) -> tuple[set[int], set[int], set[int]]:
     while node is not None:
         path.append(node)
         node = node.parent
-    around = [x for x in path if x.tag in CONTENT or re.search(r"""role\s*=\s*["']?main\b""", x.attrs)]
+    around = [x for x in path if x.article]
     articles = [x for x in around if x.tag == "article"]
     mains = [x for x in around if x.tag != "article"]
     start = mains[-1] if mains else root

@@ -148,6 +148,22 @@ def test_repeated_articles_stay_whole():
         assert html_text.main_text(page) == f"One {one} Two {one}", page
 
 
+def test_forms_and_names_around_an_article_stay():
+    want = " ".join(("A sentence of the article with plain words and no links in it. " * 12).split())
+    text = f"<h1>Head</h1>{PROSE * 3}"
+    for page in (
+        f"<body><form id='aspnetForm'><div class='header'>Site</div>{LINKS}<div>{text}</div><div class='footer'>foot</div></form></body>",
+        f"<body><form role='form'><fieldset><div>{text}</div><select><option>s</select></fieldset></form></body>",
+        f"<body><form><div role='main'>{text}</div></form></body>",
+        *(f"<body><div class='{name}'><div class='menu'>menu</div><div>{text}</div><div class='comments'>nice</div></div></body>" for name in ("content sidebar-left", "page header-fixed", "menu-open wrapper", "post comments-open")),
+        f"<body><div role='main' class='sidebar-left'>{text}</div><div class='sidebar'>side</div></body>",
+        f"<body><article><div class='content sidebar-left'>{text}</div><div class='related'>more</div></article><form>Mail <input></form></body>",
+        f"<body><div>{text}</div><div id='comments'>{PROSE.replace('article', 'talk') * 6}</div></body>",
+        f"<body><article>{text}</article><div class='newsletter'>{PROSE.replace('article', 'letter') * 9}</div></body>",
+    ):
+        assert html_text.main_text(page) == "Head " + want, page
+
+
 def test_short_parts_of_an_article_stay():
     text = html_text.main_text(f"<body>Loose words<h2>Head</h2><div>{PROSE * 2}</div><div>short</div><div>{PROSE * 2}</div><p>end</p><ul><li>i<li>j</ul></body>")
     assert text.startswith("Loose words Head A sentence") and " short A sentence" in text and text.endswith(" end i j")
