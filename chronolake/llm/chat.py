@@ -32,6 +32,13 @@ ESCAPES = [
 ]
 
 
+#: A JSON string and what stands in it.
+BODY = r'(?:[^"\\\x00-\x1F]++|\\(?:["\\/bfnrt]|u[0-9A-Fa-f]{4}))*+'
+STRING = f'"{BODY}"'
+#: The parser takes texts of any length; by default one of more than 20,000,000 characters would become null.
+ANY_LENGTH = {"maxStringLen": str((1 << 31) - 1)}
+
+
 class Layout(NamedTuple):
     """A record layout: its paths, its schema, and which of its fields make the turns.
 
@@ -77,9 +84,18 @@ def _mapping(layout: Layout):
     return lambda r: _mapped(layout, r)
 
 
+def outline(record: Column) -> Column:
+    """The JSON record with its string values empty and equal flat objects in a row as one: same paths, and small for any texts.
+
+    Strings that are no valid JSON stay, so a broken record stays broken.
+    """
+    empty = F.regexp_replace(record, rf'({STRING}[ \t\r\n]*+:)|("){BODY}(")', "$1$2$3")
+    return F.regexp_replace(empty, r"(\{[^{}\[\]]*+\})(?:,\1)++", "$1")
+
+
 def fingerprint(record: Column) -> Column:
     """Hash of the nested field paths of a JSON record; null fields count as text, broken JSON has none."""
-    paths = F.schema_of_variant(F.try_parse_json(record))
+    paths = F.schema_of_variant(F.try_parse_json(outline(record)))
     return F.sha2(F.regexp_replace(paths, "VOID", "STRING"), 256)
 
 
@@ -88,7 +104,7 @@ def canonical_turns(record: Column) -> Column:
     shape, out = fingerprint(record), F.lit(None).cast(TURNS)
     for layout in LAYOUTS:
         fits = shape == hashlib.sha256(layout.paths.encode()).hexdigest()
-        out = F.when(fits, F.transform(F.array(F.from_json(record, layout.schema)), _mapping(layout))[0]).otherwise(out)
+        out = F.when(fits, F.transform(F.array(F.from_json(record, layout.schema, ANY_LENGTH)), _mapping(layout))[0]).otherwise(out)
     return out
 
 
@@ -157,7 +173,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(told).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    out = format_records(packed(rows)).select("conv_id", "formatted", "loss_mask").withColumn("turns", read_back(F.col("formatted")))
+    out = format_records(packed(rows))
+    # a packed conversation always fits a layout: one that does not was not read, and must not pass as an empty one
+    read = F.when(F.col("turns").isNotNull(), F.col("formatted")).otherwise(F.raise_error(F.concat(F.lit("unread conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))))
+    out = out.select("conv_id", read.alias("formatted"), "loss_mask").withColumn("turns", read_back(F.col("formatted")))
     told_turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join(F.transform(F.filter("loss_mask", lambda s: s["loss"]), lambda s: unescaped(s["piece"])), "")
     out = out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told_turns, 256).alias("turns_sha256"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))

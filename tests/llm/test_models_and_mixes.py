@@ -100,6 +100,28 @@ def test_layouts_become_turns(spark):
     assert chat.format_records(df.where("false")).count() == 0
 
 
+def test_long_conversations_are_not_emptied(spark):
+    """A text beyond the default limit of the JSON parser, in each layout of packed()."""
+    rows = spark.range(3).select(F.col("id").alias("conv_id"), F.explode(F.sequence(F.lit(0), F.lit(1))).alias("turn"))
+    role = F.when(F.col("turn") == 1, "assistant").when(F.col("conv_id") == 0, "user").when(F.col("conv_id") == 1, "system").otherwise("human")
+    text = F.when(F.col("turn") == 1, F.repeat(F.lit('a "word", '), F.lit(2_100_000))).otherwise("q")
+    convs = chat.packed(rows.select("conv_id", "turn", role.alias("role"), text.alias("text")))
+    got = convs.select("conv_id", F.transform(chat.canonical_turns(F.col("record")), lambda t: F.concat(t["role"], F.lit(":"), F.length(t["text"]))).alias("t")).collect()
+    assert {r["conv_id"]: r["t"] for r in got} == {k: [f"{role}:1", "assistant:21000000"] for k, role in enumerate(["user", "system", "human"])}
+
+
+def test_outlines_keep_paths(spark):
+    rows = [
+        ('{"a" : "x\\"y: ", "b":["", "{,}", {"c":"v","k\\"1":1}]}', '{"a" : "", "b":["", "", {"c":"","k\\"1":1}]}'),
+        ('{"m":[{"r":"u","c":"1"},{"r":"v","c":"2"},{"r":"v","c":"3"},{"r":null,"c":"4"}]}', '{"m":[{"r":"","c":""},{"r":null,"c":""}]}'),
+    ]
+    df = spark.createDataFrame([(k, j) for k, (j, _) in enumerate(rows)], "k long, record string").select("k", chat.outline(F.col("record")).alias("o"))
+    assert {r["k"]: r["o"] for r in df.collect()} == {k: want for k, (_, want) in enumerate(rows)}
+    broken = ['{"prompt":"a\\q","completion":"c"}', '{"prompt":"a\nb","completion":"c"}', '{"prompt":"a","completion":"c', '{"prompt":"\\u12","completion":"c"}']
+    found = chat.format_records(spark.createDataFrame([(k, j) for k, j in enumerate(broken)], "k long, record string")).where("turns is not null")
+    assert found.count() == 0
+
+
 def test_chat_null_rows(spark):
     rows = spark.createDataFrame([(1, 0, None, None), (None, None, "user", "t"), (2, 5, "assistant", None), (2, 5, "assistant", None)], "conv_id long, turn long, role string, text string")
     got = {r["conv_id"]: len(r["turns"]) for r in chat.format_records(chat.packed(rows)).collect()}
