@@ -58,15 +58,16 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int
     return rows.withColumn("at", reached).select("source", "source_size", F.when(F.col("at").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("at") * F.col("w"))).alias("target"))
 
 
-def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, row: str | None = None) -> DataFrame:
     """How many words the mix takes of each document.
 
     docs: doc_id, text, source; more columns are ignored. Null texts and texts without words have size 0
     and are taken 0 times; null sources form one source, the last; rows that repeat an id count each and
     tie on the key, where equal rows are interchangeable; an empty table gives an empty result.
-    Returns doc_id, size, source_size, target, taken, copies.
+    Returns doc_id, size, source_size, target, taken, copies, and the column named row where one is given.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), quality_weight(F.col("text")).alias("quality"))
+    more = [row] if row else []
+    slim = docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), quality_weight(F.col("text")).alias("quality"))
     u = uniform("doc_id")
     # u ** (1 / weight) descending is the key ascending; a logarithm keeps low weights, whose keys are long, apart too
     slim = slim.withColumn("key", -F.ln(u) / F.col("quality"))
@@ -82,21 +83,25 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int =
     starts = starts.withColumn("place", F.when(F.col("before") + F.col("words") <= F.col("budget"), 1).when(F.col("before") >= F.col("budget"), -1).otherwise(0))
     place = starts.select(F.col("source").alias("s"), F.col("slice").alias("b"), "before", "place", "source_size", "target", "whole", "budget")
     rows = slim.join(place, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("b"))).drop("s", "b")
-    edge = Window.partitionBy("source", "slice").orderBy("key", "doc_id", "size")
+    edge = Window.partitionBy("source", "slice").orderBy("key", "doc_id", "size", *more)
     ordered = rows.where("place = 0").withColumn("upto", F.col("before") + F.sum("size").over(edge.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # the document that crosses the budget is taken if its greater part lies inside
     ordered = ordered.withColumn("once", (F.col("upto") - F.col("size") / 2.0 <= F.col("budget")).cast("long")).drop("upto")
     out = ordered.unionByName(rows.where("place <> 0").withColumn("once", (F.col("place") == 1).cast("long")))
     copies = F.when(F.col("size") > 0, F.least(F.col("whole") + F.col("once"), F.lit(epochs))).otherwise(0)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies.cast("long").alias("copies"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), copies.cast("long").alias("copies"), *more)
 
 
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken. doc_id must be unique; sizes of 0 go."""
-    id_, times, copy = fresh(docs, "taken_id", "taken_times", "taken_copy")
-    taken = mixed(docs, **how).where("taken > 0").select(F.col("doc_id").alias(id_), F.col("copies").alias(times))
-    rows = docs.join(taken, F.col("doc_id").cast("long") == F.col(id_))
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop(id_, times, copy)
+    """The mix itself: the rows of docs, each as often as it is taken; sizes of 0 go.
+
+    Rows are told apart by a written key, so ids may repeat or be null.
+    """
+    row, times, copy = fresh(docs, "taken_row", "taken_times", "taken_copy")
+    docs = saved(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    taken = mixed(docs, **how, row=row).where("taken > 0").select(row, F.col("copies").alias(times))
+    rows = docs.join(taken, row)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop(row, times, copy)
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

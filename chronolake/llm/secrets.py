@@ -119,14 +119,16 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by mask; other texts stay, n_chars follows a changed text.
 
     Only documents that match a pattern are joined to their spans, so most texts are not shuffled.
+    Spans depend on the text alone: where doc_id is null, a hash of the text stands for it.
     """
     text = F.col("text")
     names = docs.columns
     id_, digest, own, cleaned = fresh(docs, "found_id", "found_digest", "found_spans", "cleaned_text")
     free = docs.where(~suspect(text))
     held = docs.where(suspect(text))
-    spans = found_spans(held).where(F.size("spans") > 0).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), F.sort_array("spans").alias(own)).distinct()
-    rows = held.join(spans, (F.col("doc_id").cast("long") == F.col(id_)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(digest)), "left")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text))
+    spans = found_spans(held.select(key.alias("doc_id"), "text")).where(F.size("spans") > 0).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), F.sort_array("spans").alias(own)).distinct()
+    rows = held.join(spans, (key == F.col(id_)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(digest)), "left")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronolake.llm.common import table
+from chronolake.llm.common import fresh, saved, table
 from chronolake.llm.jaccard import jaccard_groups
 from chronolake.llm.mixing import mix_documents
 from chronolake.llm.pieces import encode_documents
@@ -20,9 +20,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id; documents without words stay."""
-    groups = jaccard_groups(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the one with the smallest id, null ids last; rows without words stay.
+
+    Rows are told apart by a written key, so ids may repeat or be null.
+    """
+    names = docs.columns
+    (row,) = fresh(docs, "kept_row")
+    docs = saved(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = jaccard_groups(docs.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    ids = docs.select(F.col(row).alias("r"), F.col("doc_id").cast("long").alias("id"))
+    groups = groups.join(ids, F.col("row") == F.col("r"))
+    groups = saved(groups.select("component_id", F.struct(F.col("id").isNull().alias("none"), "id", "row").alias("place")), "groups")
+    first = groups.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = groups.join(first, "component_id").where(F.col("place.row") != F.col("first.row")).select(F.col("place.row").alias(row))
+    return docs.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in names))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -306,6 +306,24 @@ def test_vectors_against_brute_force(spark, monkeypatch):
 # --- pipeline ---------------------------------------------------------------------------------------------
 
 
+def test_pipeline_rows_with_repeated_or_null_ids(spark, docs):
+    pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as P
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(5, text(0)), (5, text(0)), (5, text(0)), (6, text(0)), (7, text(1)), (7, text(2)), (None, text(3)), (None, text(3)), (None, text(4) + " login: bob " + "Ab3" * 12), (9, text(4) + " token = 'abcdef123'")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    alone = P.ngram_jaccard(spark, df, SF)
+    got = Counter((r["doc_id"], r["text"].split()[0]) for r in alone.collect())
+    assert alone.columns == df.columns and got == {(5, "w0x0"): 1, (7, "w1x0"): 1, (7, "w2x0"): 1, (None, "w3x0"): 1, (9, "w4x0"): 1}
+    masked = [r["text"] for r in P.secret_scan(spark, df, SF).collect()]
+    assert sum("[SECRET]" in t for t in masked) == 2 and not any("Ab3" in t or "bob" in t or "abcdef123" in t for t in masked)
+    want = sum(r["copies"] for r in mixing.mixed(df).collect())
+    mix = Counter((r["doc_id"], r["text"]) for r in P.mix_sources(spark, df, SF).collect())
+    held = Counter(rows)
+    assert sum(mix.values()) == want and all(n <= 2 * held[k] for k, n in mix.items()) and any(k[0] is None for k in mix)
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     pytest.importorskip("corpus_pipeline")
     import corpus_pipeline as P
