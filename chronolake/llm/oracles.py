@@ -29,9 +29,9 @@ c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node), k AS (SELEC
 SELECT m.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, c.component_id, c.component_id = m.vec_id AS kept FROM embeddings m JOIN c ON c.node = m.vec_id LEFT JOIN k ON k.a = m.vec_id
 """
 
-_RATIOS = ", ".join(
-    f"('{name}', floor({a} * {k} / greatest({b}, 1)::DOUBLE)::BIGINT, {quality_rules.LEAST[name]})"
-    for name, a, b, k in (("symbols", "n_symbols", "word_chars", 1000), ("dup_lines", "n_dup_lines", "n_lines", 1000), ("repeats", "n_repeat_words", "n_words", 1000), ("capitals", "n_capitals", "word_chars", 1000), ("word_length", "word_chars", "n_words", 10))
+_RATES = ", ".join(
+    f"('{name}', {'1000000 * (' + a + ' + 1) // (' + b + ' + 1)' if name != 'word_length' else '1000 * word_chars // greatest(n_words, 1)'}, {quality_rules.FENCE[name]})"
+    for name, a, b in (("symbols", "n_symbols", "word_chars"), ("dup_lines", "n_dup_lines", "n_lines"), ("repeats", "n_repeat_words", "n_words"), ("capitals", "n_capitals", "word_chars"), ("word_length", "word_chars", "n_words"))
 )
 
 OP4 = rf"""
@@ -43,14 +43,17 @@ h AS (SELECT doc_id, count(DISTINCT j) AS n FROM a, LATERAL (SELECT unnest([i, i
 c AS (SELECT w.doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(regexp_extract_all(text, '[A-Z]'))::BIGINT AS n_capitals,
        len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(h.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN h USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed FROM c),
-v AS (SELECT b.*, x.ratio, x.v, x.least_value, x.v - x.v % (2 ** greatest(length(bin(x.v)) - 7, 0))::BIGINT AS bucket FROM b, LATERAL (VALUES {_RATIOS}) x(ratio, v, least_value)),
-k AS (SELECT lang, source, ratio, least_value, bucket, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
-ks AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, source, ratio) AS total FROM k),
-kl AS (SELECT *, sum(n) OVER (PARTITION BY lang, ratio ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, ratio) AS total FROM (SELECT lang, ratio, least_value, bucket, sum(n) AS n FROM k GROUP BY ALL)),
-qs AS (SELECT lang, source, ratio, max(total) AS n, greatest(max(least_value), min(bucket) FILTER (upto * 10 >= total * 5) * {1 + quality_rules.SPREAD} - min(bucket) FILTER (upto * 10 >= total) * {quality_rules.SPREAD}) AS t FROM ks GROUP BY lang, source, ratio),
-ql AS (SELECT lang, ratio, greatest(max(least_value), min(bucket) FILTER (upto * 10 >= total * 5) * {1 + quality_rules.SPREAD} - min(bucket) FILTER (upto * 10 >= total) * {quality_rules.SPREAD}) AS t FROM kl GROUP BY lang, ratio),
-j AS (SELECT v.doc_id, bool_and(v.v <= coalesce(CASE WHEN qs.n >= {quality_rules.GROUP} THEN qs.t ELSE ql.t END, v.least_value)) AS inside
-      FROM v LEFT JOIN qs ON qs.lang IS NOT DISTINCT FROM v.lang AND qs.source IS NOT DISTINCT FROM v.source AND qs.ratio = v.ratio LEFT JOIN ql ON qs.ratio = ql.ratio AND ql.lang IS NOT DISTINCT FROM v.lang GROUP BY v.doc_id)
+v AS (SELECT b.*, x.rate, x.v, x.fence, x.v - x.v % (2 ** greatest(length(bin(x.v)) - 7, 0))::BIGINT AS bucket FROM b, LATERAL (VALUES {_RATES}) x(rate, v, fence)),
+k AS (SELECT lang, source, rate, fence, bucket, count(*)::HUGEINT AS n FROM v WHERE NOT base_failed GROUP BY ALL),
+kl AS (SELECT lang, rate, bucket, sum(n)::HUGEINT AS n FROM k GROUP BY ALL),
+tl AS (SELECT lang, rate, sum(n)::HUGEINT AS n FROM kl GROUP BY ALL),
+m AS (SELECT k.lang, k.source, k.rate, k.fence, k.bucket, k.n * tl.n AS w FROM k JOIN tl ON tl.rate = k.rate AND tl.lang IS NOT DISTINCT FROM k.lang
+      UNION ALL SELECT g.lang, g.source, g.rate, g.fence, kl.bucket, kl.n * {quality_rules.PRIOR} FROM (SELECT DISTINCT lang, source, rate, fence FROM k) g JOIN kl ON kl.rate = g.rate AND kl.lang IS NOT DISTINCT FROM g.lang),
+c2 AS (SELECT lang, source, rate, fence, bucket, sum(w)::HUGEINT AS w FROM m GROUP BY ALL),
+r AS (SELECT *, sum(w) OVER (PARTITION BY lang, source, rate ORDER BY bucket) AS upto, sum(w) OVER (PARTITION BY lang, source, rate) AS total FROM c2),
+q AS (SELECT lang, source, rate, fence, min(bucket) FILTER (upto * 4 >= total) AS low, min(bucket) FILTER (upto * 4 >= total * 3) AS high FROM r GROUP BY ALL),
+t2 AS (SELECT *, high + fence * greatest(high - low, high // {quality_rules.WIDTH}, 1) AS threshold FROM q),
+j AS (SELECT v.doc_id, bool_and(coalesce(v.v <= t2.threshold, false)) AS inside FROM v LEFT JOIN t2 ON t2.rate = v.rate AND t2.lang IS NOT DISTINCT FROM v.lang AND t2.source IS NOT DISTINCT FROM v.source GROUP BY v.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept FROM b JOIN j USING (doc_id)
 """
 

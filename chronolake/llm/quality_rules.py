@@ -1,10 +1,14 @@
 """Quality rules with adaptive thresholds, in DataFrame functions only.
 
-Counts of each whole text come from array functions inside one projection. Thresholds are not fixed:
-for each language and source a mergeable quantile sketch of every ratio (counts per bucket of seven
-significant bits, so quantiles are within 1.6 %) gives the median and the tenth percentile, and a
-document fails where it lies far above its group. Sketches merge by adding counts: small sources take
-the merged sketch of their language. The verdicts come from joining the thresholds to the counts.
+Counts of each whole text come from array functions inside one projection. No threshold is fixed: for
+each language and source a mergeable quantile sketch of every rate (counts per bucket of seven
+significant bits, so quantiles are within 1.6 %) gives the quartiles, and a document fails where it lies
+more than FENCE times their distance above the upper one. Rates add one to what they count, so that a
+short text without a symbol does not claim to have none in a million; sources without any then still
+have quartiles, from the lengths of their texts. Sketches merge by adding counts: every source takes the
+sketch of its language in with the weight of PRIOR documents, so a small source leans on its language
+and a large one on itself, without a switch between them. The verdicts come from joining the thresholds
+to the counts.
 """
 
 from __future__ import annotations
@@ -15,12 +19,12 @@ from pyspark.sql import functions as F
 from .common import saved, table
 
 SPACE = r"[\x20\x09-\x0D]+"
-#: Ratios and the least threshold of each: a group's own threshold is never below it, so a uniform group loses nothing.
-LEAST = {"symbols": 100, "dup_lines": 500, "repeats": 300, "capitals": 400, "word_length": 160}
-#: A threshold lies this many times the distance from the tenth percentile to the median above the median.
-SPREAD = 5
-#: Groups with fewer documents use the sketch of their language.
-GROUP = 50
+#: Rates, and how many times the distance of the quartiles a document may lie above the upper one.
+FENCE = {"symbols": 8, "dup_lines": 4, "repeats": 24, "capitals": 8, "word_length": 8}
+#: Weight of a language in the sketch of each of its sources, in documents.
+PRIOR = 50
+#: Least distance of the quartiles, as a share of the upper one: the width of a bucket.
+WIDTH = 64
 #: Repeated windows up to which membership is looked up in a list; more are found by sorting.
 FEW = 64
 SALT = 16
@@ -57,10 +61,10 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", repeated.cast("long").alias("n_repeat_words"))
 
 
-def ratios() -> dict[str, Column]:
-    """Whole-number ratios in thousandths (word length in tenths of a character)."""
-    of = lambda a, b, k=1000: F.floor(F.col(a) * k / F.greatest(F.col(b), F.lit(1)).cast("double")).cast("long")
-    return {"symbols": of("n_symbols", "word_chars"), "dup_lines": of("n_dup_lines", "n_lines"), "repeats": of("n_repeat_words", "n_words"), "capitals": of("n_capitals", "word_chars"), "word_length": of("word_chars", "n_words", 10)}
+def rates() -> dict[str, Column]:
+    """Whole-number rates in millionths, with one added to both counts (word length in thousandths of a character)."""
+    of = lambda a, b: F.expr(f"((1000000 * ({a} + 1)) div ({b} + 1))")
+    return {"symbols": of("n_symbols", "word_chars"), "dup_lines": of("n_dup_lines", "n_lines"), "repeats": of("n_repeat_words", "n_words"), "capitals": of("n_capitals", "word_chars"), "word_length": F.expr("((1000 * word_chars) div greatest(n_words, 1))")}
 
 
 def bucket(v: Column) -> Column:
@@ -69,15 +73,27 @@ def bucket(v: Column) -> Column:
     return v - F.pmod(v, step)
 
 
-def thresholds(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, ratio, n, threshold from sketches (keys, ratio, bucket, n)."""
-    merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
-    own = Window.partitionBy(*keys, "ratio")
-    ranked = merged.withColumn("upto", F.sum("n").over(own.orderBy("bucket"))).withColumn("total", F.sum("n").over(own))
-    at = lambda q: F.min(F.when(F.col("upto") * 10 >= F.col("total") * q, F.col("bucket")))
-    least = F.create_map(*(x for k, v in LEAST.items() for x in (F.lit(k), F.lit(v).cast("long"))))
-    out = ranked.groupBy(*keys, "ratio").agg(F.max("total").alias("n"), at(1).alias("low"), at(5).alias("mid"))
-    return out.select(*keys, "ratio", "n", F.greatest(least[F.col("ratio")], F.col("mid") + SPREAD * (F.col("mid") - F.col("low"))).alias("threshold"))
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """lang, source, rate, threshold from sketches (lang, source, rate, bucket, n).
+
+    Weights are exact: a source's own counts times the documents of its language, the language's times PRIOR.
+    """
+    whole = lambda c: F.col(c).cast("decimal(38,0)")
+    of_lang = sketch.groupBy("lang", "rate", "bucket").agg(F.sum("n").alias("n"))
+    size = of_lang.groupBy(F.col("lang").alias("l"), F.col("rate").alias("r")).agg(F.sum("n").alias("docs"))
+    met = F.col("lang").eqNullSafe(F.col("l")) & (F.col("rate") == F.col("r"))
+    own = sketch.join(size, met).select("lang", "source", "rate", "bucket", (whole("n") * whole("docs")).cast("decimal(38,0)").alias("w"))
+    groups = sketch.select("lang", "source", "rate").distinct()
+    prior = of_lang.select(F.col("lang").alias("l"), F.col("rate").alias("r"), "bucket", (whole("n") * PRIOR).cast("decimal(38,0)").alias("w"))
+    both = own.unionByName(groups.join(prior, met).select("lang", "source", "rate", "bucket", "w"))
+    merged = both.groupBy("lang", "source", "rate", "bucket").agg(F.sum("w").cast("decimal(38,0)").alias("w"))
+    group = Window.partitionBy("lang", "source", "rate")
+    ranked = merged.withColumn("upto", F.sum("w").over(group.orderBy("bucket"))).withColumn("total", F.sum("w").over(group))
+    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("bucket")))
+    fence = F.create_map(*(x for k, v in FENCE.items() for x in (F.lit(k), F.lit(v).cast("long"))))
+    out = ranked.groupBy("lang", "source", "rate").agg(at(1).alias("low"), at(3).alias("high"))
+    apart = F.greatest(F.col("high") - F.col("low"), F.expr(f"high div {WIDTH}"), F.lit(1).cast("long"))
+    return out.select("lang", "source", "rate", (F.col("high") + fence[F.col("rate")] * apart).alias("threshold"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -90,21 +106,17 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     base_failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     counts = saved(text_counts(docs).withColumn("base_failed", base_failed), "counts")
-    values = F.array(*(F.struct(F.lit(k).alias("ratio"), bucket(v).alias("bucket")) for k, v in ratios().items()))
+    values = F.array(*(F.struct(F.lit(k).alias("rate"), bucket(v).alias("bucket")) for k, v in rates().items()))
     sketch = counts.where(~F.col("base_failed")).select("lang", "source", F.explode(values).alias("v")).select("lang", "source", "v.*")
-    sketch = saved(sketch.groupBy("lang", "source", "ratio", "bucket").agg(F.count("*").alias("n")), "sketch")
-    by_source = thresholds(sketch, ["lang", "source"])
-    by_lang = thresholds(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("ratio").alias("r"), F.col("threshold").alias("of_lang"))
-    chosen = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("ratio") == F.col("r")))
-    chosen = chosen.withColumn("t", F.when(F.col("n") >= GROUP, F.col("threshold")).otherwise(F.col("of_lang")))
-    wide = chosen.groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(*(F.max(F.when(F.col("ratio") == k, F.col("t"))).alias(f"t_{k}") for k in LEAST))
+    sketch = saved(sketch.groupBy("lang", "source", "rate", "bucket").agg(F.count("*").alias("n")), "sketch")
+    wide = thresholds(sketch).groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(*(F.max(F.when(F.col("rate") == k, F.col("threshold"))).alias(f"t_{k}") for k in FENCE))
     # a source with a third of all rows would be one join key: both sides carry a salt
     wide = wide.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     rows = counts.withColumn("own_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
     rows = rows.join(wide, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("own_salt") == F.col("salt")), "left")
     within = F.lit(True)
-    for k, v in ratios().items():
-        within = within & (v <= F.coalesce(F.col(f"t_{k}"), F.lit(LEAST[k])))
+    for k, v in rates().items():
+        within = within & F.coalesce(v <= F.col(f"t_{k}"), F.lit(False))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & within).alias("kept"))
 
 

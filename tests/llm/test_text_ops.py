@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +172,50 @@ def test_adaptive_rules_drop_junk_and_keep_clean(spark, docs):
     clean = rows.where("quality = 1").agg(F.avg(F.col("kept").cast("int"))).first()[0]
     junk = rows.where("quality = 0").agg(F.avg(F.col("kept").cast("int"))).first()[0]
     assert clean > 0.99 and junk < 0.3
+
+
+def test_thresholds_follow_the_style_of_a_source(spark):
+    """The same rates pass in a source that always has them and fail in one that never has."""
+    rng = random.Random(8)
+    text = lambda marks: " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa".split()) + ("" if rng.random() > marks else "|") for _ in range(rng.randint(60, 300)))
+    rows = [(k, text(0.3), "en", "tables") for k in range(300)] + [(1000 + k, text(0.0), "en", "prose") for k in range(300)]
+    rows += [(2000, rows[0][1], "en", "prose"), (2001, rows[1][1], "en", "prose")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judged(df).collect()}
+    assert kept[0] and kept[1] and not kept[2000] and not kept[2001]
+    assert sum(kept[k] for k in range(300)) >= 295 and sum(kept[1000 + k] for k in range(300)) >= 295
+
+
+def test_thresholds_against_brute_force(spark, docs):
+    """Quartiles of the weighted sketch, recomputed in Python from the counts."""
+    from fractions import Fraction
+
+    counts = quality_rules.text_counts(docs).collect()
+    per = defaultdict(Counter)
+    floor7 = lambda v: v - v % (1 << max(v.bit_length() - 7, 0))
+    for r in counts:
+        if r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]:
+            continue
+        for rate, a, b in (("symbols", "n_symbols", "word_chars"), ("dup_lines", "n_dup_lines", "n_lines"), ("repeats", "n_repeat_words", "n_words"), ("capitals", "n_capitals", "word_chars")):
+            per[r["lang"], r["source"], rate][floor7(1_000_000 * (r[a] + 1) // (r[b] + 1))] += 1
+    langs = defaultdict(Counter)
+    for (lang, _, rate), own in per.items():
+        langs[lang, rate].update(own)
+    sketch = spark.createDataFrame([(*key, v, n) for key, own in per.items() for v, n in own.items()], "lang string, source string, rate string, bucket long, n long")
+    got = {(r["lang"], r["source"], r["rate"]): r["threshold"] for r in quality_rules.thresholds(sketch).collect()}
+    assert len(got) == len(per) and len(set(got.values())) > len(per) / 3
+    for (lang, source, rate), own in per.items():
+        whole = langs[lang, rate]
+        size = sum(whole.values())
+        weight = {v: Fraction(own[v]) + Fraction(quality_rules.PRIOR * whole[v], size) for v in whole}
+        total = sum(weight.values())
+
+        def at(q):
+            upto = 0
+            for v in sorted(weight):
+                upto += weight[v]
+                if upto >= q * total:
+                    return v
+
+        low, high = at(Fraction(1, 4)), at(Fraction(3, 4))
+        assert got[lang, source, rate] == high + quality_rules.FENCE[rate] * max(high - low, high // quality_rules.WIDTH, 1)
