@@ -8,8 +8,10 @@ the original vectors in double precision.
 
 Scale: equal vectors of a label count as one row. Two unit vectors with cosine c differ by at most
 sqrt(2 - 2c) in every coordinate, so the first two coordinates make a grid in which only a cell and
-its neighbours are compared; crowded cells are dealt into tiles of bounded size and compared tile by
-tile. A tile returns link counts and a spanning forest of its links, never its pairs.
+its neighbours are compared; a cell of more than TILE_BYTES is dealt into tiles of that size and compared
+tile by tile, so a vector travels nine times until its cell fills a tile and once more for each further
+tile. Inside two tiles rows go by the third coordinate, and blocks only meet blocks in reach. A tile
+returns link counts and a spanning forest of its links, never its pairs.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import components, saved, table
 
 THRESHOLD = 0.98
-TILE = 1024
+#: Bytes of vectors in a tile, and rows of the blocks that are compared at once in it.
+TILE_BYTES = 1 << 22
+BLOCK, AHEAD = 512, 4096
 #: Coordinates that are added before pairs are tested against the bound again.
 STEP = 8
 #: Room for rounding in the bounds; the last test is exact.
@@ -83,30 +87,44 @@ def _placer(axes: dict[int, np.ndarray], side: float):
 
 def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, upper: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) with cosine of a[i] and b[j] at or above threshold; upper: only i < j."""
-    ua, ub = unit(a), unit(b)
-    pa_, pb = ua @ axes, ub @ axes
-    tail = lambda p: np.sqrt(np.maximum(np.cumsum((p * p)[:, ::-1], 1)[:, ::-1], 0))
-    ta, tb = tail(pa_), tail(pb)
     width = axes.shape[0]
-    lead = min(STEP, width)
-    so_far = pa_[:, :lead] @ pb[:, :lead].T
-    rest = np.outer(ta[:, lead], tb[:, lead]) if lead < width else 0.0
-    keep = so_far + rest >= threshold - SLACK
-    if upper:
-        keep &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
-    i, j = np.nonzero(keep)
-    s = so_far[i, j]
-    while lead < width and len(i):
-        more = min(lead + STEP, width)
-        s = s + (pa_[i, lead:more] * pb[j, lead:more]).sum(1)
-        lead = more
-        bound = s + (ta[i, lead] * tb[j, lead] if lead < width else 0.0)
-        ok = bound >= threshold - SLACK
-        i, j, s = i[ok], j[ok], s[ok]
-    x, y = a[i], b[j]
-    cosine = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
-    ok = cosine >= threshold
-    return i[ok], j[ok]
+    by, lead = min(2, width - 1), min(STEP, width)
+    tail = lambda p: np.sqrt(np.maximum(np.cumsum((p * p)[:, ::-1], 1)[:, ::-1], 0))
+
+    def ordered(x: np.ndarray):
+        y = unit(x) @ axes
+        order = np.argsort(y[:, by], kind="stable")
+        return order, y[order], tail(y[order])
+
+    oa, ya, ta = ordered(a)
+    ob, yb, tb = (oa, ya, ta) if b is a else ordered(b)
+    norm_a, norm_b = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
+    reach = np.sqrt(max(2 - 2 * threshold, 0.0)) + SLACK
+    out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo in range(0, len(ya), BLOCK):
+        home = ya[lo : lo + BLOCK]
+        least, most = np.searchsorted(yb[:, by], [home[0, by] - reach, home[-1, by] + reach])
+        for at in range(int(least), int(most), AHEAD):
+            guest = yb[at : min(at + AHEAD, int(most))]
+            so_far = home[:, :lead] @ guest[:, :lead].T
+            rest = np.outer(ta[lo : lo + BLOCK, lead], tb[at : at + len(guest), lead]) if lead < width else 0.0
+            i, j = np.nonzero(so_far + rest >= threshold - SLACK)
+            s, i, j = so_far[i, j], i + lo, j + at
+            if upper:
+                ok = oa[i] < ob[j]
+                i, j, s = i[ok], j[ok], s[ok]
+            done = lead
+            while done < width and len(i):
+                more = min(done + STEP, width)
+                s = s + (ya[i, done:more] * yb[j, done:more]).sum(1)
+                done = more
+                ok = s + (ta[i, done] * tb[j, done] if done < width else 0.0) >= threshold - SLACK
+                i, j, s = i[ok], j[ok], s[ok]
+            x, y = oa[i], ob[j]
+            ok = (a[x] * b[y]).sum(1) / (norm_a[x] * norm_b[y]) >= threshold
+            out_i.append(x[ok])
+            out_j.append(y[ok])
+    return np.concatenate(out_i), np.concatenate(out_j)
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,17 +172,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     usable = all_rows.where(F.col("label").isNotNull() & (F.size("v") > 0) & F.forall("v", finite) & F.exists("v", lambda x: x != 0))
     usable = usable.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
-    # a vector whose square sum over- or underflows is scaled by its largest component first: cosines stay
+    # a power of two brings very large and very small vectors to a scale where no square over- or underflows; cosines stay
     top = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    usable = usable.withColumn("v", F.when((top > 1e100) | (top < 1e-100), F.transform("v", lambda x: x / top)).otherwise(F.col("v")))
-    usable = usable.withColumn("key", F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256))
+    scale = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(top)) - 1, F.lit(-1022)))
+    usable = usable.withColumn("v", F.when((top > 1e60) | (top < 1e-60), F.transform("v", lambda x: x / scale)).otherwise(F.col("v")))
+    usable = usable.withColumn("key", F.struct(F.xxhash64(F.lit(1), "v").alias("a"), F.xxhash64(F.lit(2), "v").alias("b")))
     sized = saved(usable.groupBy("label", "key").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.first("v").alias("v")), "vectors")
     axes = principal_axes(sized)
     side = float(np.sqrt(max(2 - 2 * threshold, 0.0))) + 1e-6
     placed = sized.select("first_id", "label", "copies", "v").mapInArrow(_placer(axes, side), "first_id long, label string, copies long, v array<double>, width int, x int, y int")
     placed = saved(placed, "placed")
     cell = ["label", "width", "x", "y"]
-    tiles = placed.groupBy(*cell).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    tiles = placed.groupBy(*cell).agg(F.ceil(F.count("*") * F.col("width") * 8 / TILE_BYTES).cast("int").alias("tiles"))
     dealt = placed.join(tiles, cell).withColumn("own", F.pmod(F.xxhash64("first_id"), F.col("tiles")).cast("int"))
 
     # inside a cell: each pair of its tiles once, and each tile with itself

@@ -273,7 +273,9 @@ def cosine_links(rows):
 
 
 def test_vectors_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dups, "TILE", 16)
+    monkeypatch.setattr(embedding_dups, "TILE_BYTES", 16 * 20 * 8)
+    monkeypatch.setattr(embedding_dups, "BLOCK", 5)
+    monkeypatch.setattr(embedding_dups, "AHEAD", 7)
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 20))
     rows = []
@@ -303,6 +305,21 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert embedding_dups.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vectors_of_any_scale(spark):
+    """The same links at every scale that doubles can hold, the least and the greatest included."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(4, 12))
+    rows, links = [], 0
+    for label, power in enumerate((-320, -300, -160, -90, -60, 0, 60, 78, 90, 150, 200, 306)):
+        for k in range(4):
+            for m in range(3):
+                v = (base[k] + rng.normal(size=12) * 0.01 * m) * 10.0 ** max(power, -300) * 10.0 ** min(power + 300, 0)
+                rows.append((label * 100 + k * 10 + m, v.tolist(), label))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dups.near_duplicates(df).collect()}
+    assert got == {i: (2, i - i % 10) for i, _, _ in rows}
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------
 
 
