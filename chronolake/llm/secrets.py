@@ -4,13 +4,13 @@ Spans of the base kinds come from each whole text by their patterns. Weak parts
 random strings, endpoints) prove nothing alone: an interval join inside each document looks for
 complementary parts within a scope of SCOPE code points. A long random string is reported next to an
 identifier, a user name next to a secret, an endpoint when both an identifier and a secret are in its
-scope. The join is an equi-join on document and stretch of text with semi-join results, so that no
-pair is ever emitted and one crowded document spreads over its stretches.
+scope. The joins are equi-joins on row and stretch of text with semi-join results, so that no pair is
+ever emitted and one crowded document spreads over its stretches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, saved, table
@@ -29,6 +29,17 @@ KINDS = ("assign", "access", "hex", "user", "random", "endpoint")
 BASE = KINDS[:3]
 
 
+SPANS = "array<struct<start:int,rank:int,stop:int>>"
+#: Code points of the pieces in which a text is masked.
+PIECE = 1000
+
+
+def running(lengths: Column) -> Column:
+    """Running sums of an array, by doubling strides: n log n steps, no growing copies."""
+    strides = F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size(lengths).cast("long"))) - 1), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+    return F.aggregate(strides, lengths, lambda acc, step: F.transform(acc, lambda x, i: x + F.coalesce(F.get(acc, i - step), F.lit(0))))
+
+
 def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
     """Spans (start, rank, stop) of the leftmost non-overlapping matches, in code points.
 
@@ -37,18 +48,15 @@ def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep == "value" else found
-    steps = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"), value.alias("v"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,stop:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["g"])
-        stop = begin + F.length(x["m"])
-        good = F.length(x["v"]) >= 6 if keep == "value" else (x["m"].rlike("[0-9]") & x["m"].rlike("[A-Z]") & x["m"].rlike("[a-z]") if keep == "mixed" else F.lit(True))
-        span = F.array(F.struct(begin.cast("int").alias("start"), F.lit(rank).alias("rank"), stop.cast("int").alias("stop")))
-        return F.struct(stop.cast("int").alias("at"), F.when(good, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
-
-    none = F.array().cast("array<struct<start:int,rank:int,stop:int>>")
-    return F.when(text.rlike(pattern), F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(none)
+    if keep == "value":
+        good = F.transform(value, lambda v: F.length(v) >= 6)
+    else:
+        good = F.transform(found, lambda m: m.rlike("[0-9]") & m.rlike("[A-Z]") & m.rlike("[a-z]") if keep == "mixed" else F.lit(True))
+    length = F.transform(found, lambda m: F.length(m))
+    stops = running(F.zip_with(F.transform(F.slice(gaps, F.lit(1), F.size(found)), lambda g: F.length(g)), length, lambda g, m: g + m))
+    spans = F.transform(F.arrays_zip(stops.alias("stop"), length.alias("length"), good.alias("good")), lambda x: F.struct((x["stop"] - x["length"]).cast("int").alias("start"), F.lit(rank).alias("rank"), x["stop"].cast("int").alias("stop"), x["good"].alias("good")))
+    kept = F.transform(F.filter(spans, lambda x: x["good"]), lambda x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["stop"].alias("stop")))
+    return F.when(text.rlike(pattern), kept).otherwise(F.array().cast(SPANS))
 
 
 def _listed(spans: Column) -> Column:
@@ -57,92 +65,107 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", kind(s["rank"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def _linked(parts: DataFrame) -> DataFrame:
-    """Weak parts with complementary parts in their scope: doc_id, digest, start, rank, stop."""
+def _stretches(a: Column, b: Column) -> Column:
+    return F.explode(F.sequence(F.floor(a / F.lit(SCOPE)), F.floor(b / F.lit(SCOPE))))
+
+
+def _linked(rows: DataFrame) -> DataFrame:
+    """row, more: the weak parts of each row that no base span covers and that have complements in their scope.
+
+    rows: row (unique), base, weak. Every step is an equi-join on row and stretch of text.
+    """
+    some = rows.where(F.size("weak") > 0)
+    parts = lambda name: some.select("row", F.explode(name).alias("p")).select("row", "p.*")
+    over = parts("base").select(F.col("row").alias("r"), F.col("start").alias("s"), F.col("stop").alias("e"), _stretches(F.col("start"), F.col("stop")).alias("at"))
+    # weak parts that a base span already covers are no new finding
+    weak = parts("weak").withColumn("place", _stretches(F.col("start"), F.col("stop")))
+    hit = weak.join(over, (F.col("row") == F.col("r")) & (F.col("place") == F.col("at")) & (F.col("s") < F.col("stop")) & (F.col("start") < F.col("e")), "left_semi").drop("place").distinct()
+    free = saved(parts("weak").join(hit, ["row", "start", "rank", "stop"], "left_anti").unionByName(parts("base")).distinct(), "parts")
     role = F.when(F.col("rank").isin(1, 3), "identifier").when(F.col("rank") == 5, "endpoint").otherwise("secret")
-    parts = parts.withColumn("role", role)
-    stretch = lambda a, b: F.explode(F.sequence(F.floor(a / F.lit(SCOPE)), F.floor(b / F.lit(SCOPE))))
-    cover = parts.select(F.col("doc_id").alias("d"), F.col("digest").alias("g"), F.col("role").alias("other"), F.col("start").alias("s"), F.col("stop").alias("e"), stretch(F.col("start"), F.col("stop")).alias("at"))
+    cover = free.select(F.col("row").alias("r"), role.alias("role"), F.col("start").alias("s"), F.col("stop").alias("e"), _stretches(F.col("start"), F.col("stop")).alias("at"))
 
-    def near(rows: DataFrame, other: str) -> DataFrame:
-        reach = rows.withColumn("place", stretch(F.col("start") - SCOPE, F.col("stop") + SCOPE))
+    def near(found: DataFrame, other: str) -> DataFrame:
+        reach = found.withColumn("place", _stretches(F.col("start") - SCOPE, F.col("stop") + SCOPE))
         inside = (F.col("s") <= F.col("stop") + SCOPE) & (F.col("e") >= F.col("start") - SCOPE)
-        met = reach.join(cover.where(F.col("other") == other), (F.col("doc_id") == F.col("d")) & (F.col("digest") == F.col("g")) & (F.col("place") == F.col("at")) & inside, "left_semi")
+        met = reach.join(cover.where(F.col("role") == other), (F.col("row") == F.col("r")) & (F.col("place") == F.col("at")) & inside, "left_semi")
         return met.drop("place").distinct()
 
-    users = near(parts.where("rank = 3"), "secret")
-    keys = near(parts.where("rank = 4"), "identifier")
-    ends = near(near(parts.where("rank = 5"), "identifier"), "secret")
-    return users.unionByName(keys).unionByName(ends).select("doc_id", "digest", "start", "rank", "stop")
-
-
-def found_spans(docs: DataFrame) -> DataFrame:
-    """Base and linked spans of each document: doc_id, digest (of the text), base, spans (arrays of start, rank, stop)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    text = F.col("text")
-    rows = rows.select(
-        "doc_id", F.xxhash64("text").alias("digest"),
-        _spans(text, ASSIGN, 0, "value").alias("assign"), _spans(text, ACCESS, 1).alias("access"), _spans(text, HEX, 2).alias("hex"),
-        _spans(text, USER, 3).alias("user"), _spans(text, RANDOM, 4, "mixed").alias("random"), _spans(text, ENDPOINT, 5).alias("endpoint"),
-    )
-    base = F.sort_array(F.concat("assign", "access", "hex"))
-    # weak parts that a base span already covers are no new finding
-    free = lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"]))
-    rows = rows.withColumn("base", base).withColumn("weak", F.filter(F.concat("user", "random", "endpoint"), free))
-    rows = saved(rows.select("doc_id", "digest", "base", "weak"), "spans")
-    some = rows.where(F.size("weak") > 0).select("doc_id", "digest", F.explode(F.concat("base", "weak")).alias("p")).select("doc_id", "digest", "p.*").distinct()
-    linked = _linked(some).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "rank", "stop")).alias("more"))
-    met = rows.where(F.size("weak") > 0).join(linked, ["doc_id", "digest"], "left").select("doc_id", "digest", "base", F.concat("base", F.coalesce("more", F.slice("base", 1, 0))).alias("spans"))
-    return met.unionByName(rows.where(F.size("weak") == 0).select("doc_id", "digest", "base", F.col("base").alias("spans")))
+    users = near(free.where("rank = 3"), "secret")
+    keys = near(free.where("rank = 4"), "identifier")
+    ends = near(near(free.where("rank = 5"), "identifier"), "secret")
+    return users.unionByName(keys).unionByName(ends).groupBy("row").agg(F.collect_list(F.struct("start", "rank", "stop")).alias("more"))
+
+
+def span_columns(text: Column) -> tuple[Column, Column]:
+    """(base, weak) spans of a text; a null text has none."""
+    text = F.coalesce(text, F.lit(""))
+    base = F.sort_array(F.concat(_spans(text, ASSIGN, 0, "value"), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
+    return base, F.concat(_spans(text, USER, 3), _spans(text, RANDOM, 4, "mixed"), _spans(text, ENDPOINT, 5))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Secrets of every whole text.
 
-    docs: doc_id long, text string; more columns are ignored. A null doc_id finds no links; null texts count
-    as empty and have no spans; repeated rows give repeated rows; an empty table gives an empty result.
+    docs: doc_id long, text string; more columns are ignored. Null texts count as empty and have no spans;
+    ids may be null or repeat: every row is scanned by itself; an empty table gives an empty result.
     Returns doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked.
     """
+    base, weak = span_columns(F.col("text"))
+    rows = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), base.alias("base"), weak.alias("weak")), "spans")
+    met = rows.where(F.size("weak") > 0).join(_linked(rows), "row", "left").select("doc_id", "base", F.concat("base", F.coalesce("more", F.slice("base", 1, 0))).alias("spans"))
+    found = met.unionByName(rows.where(F.size("weak") == 0).select("doc_id", "base", F.col("base").alias("spans")))
     count = lambda r: F.size(F.filter("base", lambda s: s["rank"] == r)).cast("long")
-    return found_spans(docs).select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_linked"))
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_linked"))
+
+
+def _masked(held: DataFrame, mask: str) -> DataFrame:
+    """row, clean: texts with each span, or run of spans that overlap, replaced by mask.
 
+    held: row, text, spans (exploded: row, start, stop come from it). A text is cut in pieces of PIECE code
+    points; each piece meets the spans that touch it, so the work is linear in text and spans.
+    """
+    pieces = held.select("row", F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).alias("at", "piece"))
+    spans = held.select("row", F.explode("spans").alias("p")).select("row", "p.start", "p.stop")
+    # a span that begins inside an earlier one adds length, not a mask
+    before = Window.partitionBy("row").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("opens", F.coalesce(F.col("start") >= F.max("stop").over(before), F.lit(True)))
+    cut = spans.select("row", "opens", "start", "stop", F.explode(F.sequence(F.floor(F.col("start") / PIECE).cast("int"), F.floor((F.col("stop") - 1) / PIECE).cast("int"))).alias("at"))
+    first = F.col("start") - F.col("at") * PIECE
+    local = F.struct(F.greatest(first, F.lit(0)).cast("int").alias("start"), F.least(F.col("stop") - F.col("at") * PIECE, F.lit(PIECE)).cast("int").alias("stop"), (F.col("opens") & (first >= 0)).alias("opens"))
+    cut = cut.groupBy("row", "at").agg(F.sort_array(F.collect_list(local)).alias("own"))
+    rows = pieces.join(cut, ["row", "at"], "left")
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        part = F.substring("piece", acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.concat(acc["out"], part, F.when(s["opens"], mask).otherwise("")).alias("out"))
 
-def suspect(text: Column) -> Column:
-    """Whether a text matches any pattern at all: the others need no look at their spans."""
-    out = F.lit(False)
-    for pattern in (ASSIGN, ACCESS, HEX, USER, RANDOM, ENDPOINT):
-        out = out | text.rlike(pattern)
-    return F.coalesce(out, F.lit(False))
+    clean = F.aggregate("own", begin, step, lambda acc: F.concat(acc["out"], F.substring("piece", acc["at"] + 1, F.lit(PIECE))))
+    rows = rows.select("row", F.struct("at", F.coalesce(clean, "piece").alias("piece")).alias("p"))
+    return rows.groupBy("row").agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["piece"]), "").alias("clean"))
 
 
 def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by mask; other texts stay, n_chars follows a changed text.
 
-    Only documents that match a pattern are joined to their spans, so most texts are not shuffled.
-    Spans depend on the text alone: where doc_id is null, a hash of the text stands for it.
+    Spans come from one scan; rows are told apart by a written key, so ids may repeat or be null. Only
+    documents with spans are joined to their masked texts. Null texts stay null; an empty table stays empty.
     """
-    text = F.col("text")
     names = docs.columns
-    id_, digest, own, cleaned = fresh(docs, "found_id", "found_digest", "found_spans", "cleaned_text")
-    free = docs.where(~suspect(text))
-    held = docs.where(suspect(text))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), text))
-    spans = found_spans(held.select(key.alias("doc_id"), "text")).where(F.size("spans") > 0).select(F.col("doc_id").alias(id_), F.col("digest").alias(digest), F.sort_array("spans").alias(own)).distinct()
-    rows = held.join(spans, (key == F.col(id_)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(digest)), "left")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        # a span that begins inside the last one adds no mask, only length
-        part = F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], part)).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate(own, start, step, lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))), ""))
-    rows = rows.withColumn(cleaned, F.when(F.col(own).isNotNull(), clean))
-    new = {"text": F.coalesce(cleaned, "text")}
+    row, base_, weak_, clean_ = fresh(docs, "masked_row", "masked_base", "masked_weak", "masked_text")
+    base, weak = span_columns(F.col("text"))
+    rows = saved(docs.select("*", F.monotonically_increasing_id().alias(row), base.alias(base_), weak.alias(weak_)), "rows")
+    some = (F.size(base_) > 0) | (F.size(weak_) > 0)
+    found = rows.where(some).select(F.col(row).alias("row"), "text", F.col(base_).alias("base"), F.col(weak_).alias("weak"))
+    spans = found.select("row", "text", "base").join(_linked(found.select("row", "base", "weak")), "row", "left")
+    spans = spans.select("row", "text", F.concat("base", F.coalesce("more", F.slice("base", 1, 0))).alias("spans")).where(F.size("spans") > 0)
+    clean = _masked(saved(spans, "held"), mask).select(F.col("row").alias(row), F.col("clean").alias(clean_))
+    held = rows.where(some).join(clean, row, "left")
+    new = {"text": F.coalesce(clean_, "text")}
     if "n_chars" in names:
-        new["n_chars"] = F.when(F.col(cleaned).isNotNull(), F.length(cleaned).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return free.unionByName(rows.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in names)))
+        new["n_chars"] = F.when(F.col(clean_).isNotNull(), F.length(clean_).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    own = [F.col(f"`{c}`") for c in names]
+    return rows.where(~some).select(*own).unionByName(held.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in names)))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,3 +219,21 @@ def test_thresholds_against_brute_force(spark, docs):
 
         low, high = at(Fraction(1, 4)), at(Fraction(3, 4))
         assert got[lang, source, rate] == high + quality_rules.FENCE[rate] * max(high - low, high // quality_rules.WIDTH, 1)
+
+
+def test_crowded_document(spark):
+    """Tens of thousands of spans in one text, masked and listed in about linear time."""
+    text = " ".join(f"{k:024x} login: bob{k}" + (" token=abcdef%05d" % k if k % 7 == 0 else "") for k in range(20_000))
+    df = spark.createDataFrame([(1, text), (1, text), (None, text[:3000])], "doc_id long, text string")
+    rows = secrets.scan(df).collect()
+    want = hashlib.sha256(base_spans(text).encode()).hexdigest()
+    assert [r["base_sha256"] == want for r in rows].count(True) == 2
+    assert all(r["n_linked"] == 20_000 for r in rows if r["doc_id"] == 1) and all(r["n_linked"] > 50 for r in rows)
+    marks = [tuple(map(int, p.split(":")[1:])) for p in rows[0]["spans"].split(",")] if rows[0]["doc_id"] else [tuple(map(int, p.split(":")[1:])) for p in rows[1]["spans"].split(",")]
+    out, at = [], 0
+    for a, b in marks:
+        if a >= at:
+            out += [text[at:a], "[SECRET]"]
+        at = max(at, b)
+    masked = [r["text"] for r in secrets.redacted(df).where("doc_id = 1").collect()]
+    assert masked == ["".join(out) + text[at:]] * 2
