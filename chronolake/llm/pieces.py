@@ -8,7 +8,8 @@ arc, so the path equals the library's encoding. The window is the longest piece;
 backpointer paths from the window meet in one boundary, the ids before it are committed and their
 states dropped, so memory is bounded for texts of any length.
 
-Words are independent where no piece spans a space; they are encoded once and remembered.
+Texts stream through the pass in cuts of a few windows. Words are independent where no piece spans a
+space: a word of up to REMEMBERED_CHARS is looked up first, and passed only when it is new.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ from .common import table
 from .token_counts import vocabulary
 
 SPACE = "▁"
-#: Words remembered by a task, and their longest length.
+#: Words and pairs of pieces remembered by a task, and the longest length of a word.
 REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
+#: Windows of a cut of a long word; characters of a section of a text, which ends where a word does.
+CUT_WINDOWS, SECTION = 16, 1 << 20
+WORD_END = re.compile("(?<=[^ ]) ")
 
 
 class Pieces:
@@ -62,12 +66,16 @@ class Pieces:
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = piece
+        #: Whether pieces may span words, so that a text is one.
+        self.whole = False
         self.words = self.independent()
         self.pairs: dict[str, dict[str, bool]] = {}
+        self.held = 0
 
     def independent(self) -> re.Pattern:
         """Parts of a text that no piece spans: words with the spaces before them, and newlines."""
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+            self.whole = True
             return re.compile(".+", re.S)
         if any("\n" in p for p in self.ids):
             return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -112,18 +120,25 @@ class Pieces:
                     ok = known.get(piece)
                     if ok is None:
                         ok = known[piece] = self.stays(left, piece)
+                        self.held += 1
                     if ok:
                         last[j] = piece
             at += 1
             if last[at] is None:
                 last[at] = text[at - 1]
 
-    def path(self, parts: Iterable[str]) -> Iterator[str]:
-        """Pieces of a text that arrives in parts, committed as soon as all surviving paths meet."""
+    def path(self, parts: Iterable[str]) -> Iterator[list[str]]:
+        """Pieces of a text that arrives in parts, in runs committed as soon as all surviving paths meet.
+
+        Only what is not committed yet is kept, so short parts make the work linear in the text.
+        """
         text, last, at, step = "", [""], 0, 4 * self.window
         for part, final in _marked(parts):
             text += part
             last.extend([None] * len(part))
+            if self.held > REMEMBERED:
+                self.pairs.clear()
+                self.held = 0
             while True:
                 stop = len(text) if final else max(at, len(text) - self.window + 1)
                 upto = min(stop, at + step)
@@ -133,15 +148,14 @@ class Pieces:
                     break
                 meet = self.meeting(last, at)
                 if meet:
-                    yield from self.back(last, meet)
+                    yield self.back(last, meet)
                     text, last, at = text[meet:], last[meet:], at - meet
-        yield from self.back(last, len(last) - 1)
+        yield self.back(last, len(last) - 1)
 
-    def word(self, text: str) -> list[str]:
-        """Pieces of a text of a few windows: one pass without commits."""
-        last: list[str | None] = [""] + [None] * len(text)
-        self.extend(text, last, 0, len(text))
-        return self.back(last, len(text))
+    def cuts(self, word: str) -> Iterator[str]:
+        """A word in cuts of a few windows."""
+        size = CUT_WINDOWS * self.window
+        return (word[k : k + size] for k in range(0, len(word), size))
 
     @staticmethod
     def meeting(last: list[str | None], at: int) -> int:
@@ -161,14 +175,16 @@ class Pieces:
             at -= len(last[at])
         return out[::-1]
 
-    def to_ids(self, path: Iterable[str]) -> list[int]:
-        out = []
-        for piece in path:
-            i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
-            else:
-                out.extend(self.byte_ids[b] for b in piece.encode())
+    def to_ids(self, path: Iterable[list[str]]) -> array:
+        """Ids of the runs of a path."""
+        out, ids = array("i"), self.ids
+        for run in path:
+            for piece in run:
+                i = ids.get(piece)
+                if i is not None:
+                    out.append(i)
+                else:
+                    out.extend(self.byte_ids[b] for b in piece.encode())
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -195,21 +211,32 @@ class Remembered(dict):
         self.model = model
 
     def __missing__(self, word: str) -> bytes:
-        short = len(word) <= REMEMBERED_CHARS
-        ids = array("i", self.model.to_ids(self.model.word(word) if short else self.model.path([word]))).tobytes()
-        if short:
+        ids = self.model.to_ids(self.model.path(self.model.cuts(word))).tobytes()
+        if len(word) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = ids
         return ids
 
 
+def sections(text: str, whole: bool) -> Iterator[str]:
+    """A text in sections that end where a word does; whole: in one."""
+    at = 0
+    while at < len(text):
+        end = None if whole else WORD_END.search(text, at + SECTION)
+        upto = end.start() if end else len(text)
+        yield text[at:upto]
+        at = upto
+
+
 def encode(model: Pieces, memory: Remembered, text: str) -> np.ndarray:
     """Ids of a whole text."""
-    if not text:
-        return np.zeros(0, np.int32)
-    words = model.words.findall(SPACE + text.replace(" ", SPACE))
-    return np.frombuffer(b"".join(map(memory.__getitem__, words)), np.int32)
+    out, lead = [], SPACE
+    for section in sections(text, model.whole):
+        words = model.words.findall(lead + section.replace(" ", SPACE))
+        out.append(b"".join(map(memory.__getitem__, words)))
+        lead = ""
+    return np.frombuffer(b"".join(out), np.int32)
 
 
 def encoder(path: str):

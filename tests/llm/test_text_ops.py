@@ -47,7 +47,31 @@ def test_streaming_equals_whole_for_any_cut(model, library):
             k = rng.randint(1, 40)
             parts.append(escaped[:k])
             escaped = escaped[k:]
-        assert not t or model.to_ids(model.path(parts)) == library.encode(t)
+        assert not t or model.to_ids(model.path(parts)).tolist() == library.encode(t)
+
+
+def test_long_text_without_spaces_is_linear(model, library):
+    """Chinese prose of hundreds of thousands of characters: ids of the library, time in proportion."""
+    import time
+
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 900)] + list("，。、的是在了")
+    text = "".join(rng.choice(letters) for _ in range(200_000))
+    memory, took = pieces.Remembered(model), []
+    pieces.encode(model, memory, text[:50_000])
+    for n in (50_000, 200_000):
+        began = time.process_time()
+        assert pieces.encode(model, memory, text[:n]).tolist() == library.encode(text[:n])
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0]
+
+
+def test_sections_end_with_words(model, library, monkeypatch):
+    monkeypatch.setattr(pieces, "SECTION", 7)
+    memory = pieces.Remembered(model)
+    for t in [*HARD, *random_texts(200, 11)]:
+        assert "".join(pieces.sections(t, False)) == t
+        assert pieces.encode(model, memory, t).tolist() == library.encode(t)
 
 
 def test_streaming_commits_early(model):
