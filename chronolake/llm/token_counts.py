@@ -23,11 +23,13 @@ from .words import chunks
 #: Bytes of a call to the tokenizer; parts remembered by a task, and their longest length.
 CALL_BYTES = 1 << 18
 REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
+#: White space of the pre-tokenizer.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A part is a word with the space before it, a single other white space between words, or words around runs of
 #: white space. No part ends inside such a run, and special strings hold no white space.
-PART = re.compile(r" ?\S+(?:\s{2,}\S+)*|\s{2,}\S+(?:\s{2,}\S+)*|\s+")
-#: Characters that Python counts as white space and the pre-tokenizer does not: texts with them stay whole.
-UNLIKE = re.compile("[\x1c-\x1f]")
+PART = re.compile(rf" ?[^{SPACES}]+(?:[{SPACES}]{{2,}}[^{SPACES}]+)*|[{SPACES}]{{2,}}[^{SPACES}]+(?:[{SPACES}]{{2,}}[^{SPACES}]+)*|[{SPACES}]+")
+#: Inside long parts: the pre-tokenizer ends a word between a mark other than an apostrophe and a letter or digit.
+INNER = re.compile(r"""(?<=[.,;:!?()\[\]{}"、。，；：？！」』）】》])(?=[A-Za-z0-9一-鿿ぁ-ゖァ-ヺ가-힣])""")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -37,9 +39,18 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def parts_of(text: str) -> list[str]:
-    """Parts of a text whose token counts add up to its own."""
-    return [text] if UNLIKE.search(text) else PART.findall(text)
+def parts_of(text: str, special: tuple[str, ...] = ("<|endoftext|>",)) -> list[str]:
+    """Parts of a text whose token counts add up to its own. special: strings that the tokenizer takes whole."""
+    parts = PART.findall(text)
+    if len(text) <= REMEMBERED_CHARS or max(map(len, parts), default=0) <= REMEMBERED_CHARS:
+        return parts
+    out = []
+    for part in parts:
+        if len(part) <= REMEMBERED_CHARS or any(s in part for s in special):
+            out.append(part)
+        else:
+            out.extend(INNER.split(part))
+    return out
 
 
 class Counts(dict):
@@ -52,7 +63,7 @@ class Counts(dict):
         call, held = [], 0
         for part in parts:
             call.append(part)
-            held += len(part)
+            held += len(part.encode())
             if held >= CALL_BYTES:
                 self.encode(call)
                 call, held = [], 0
@@ -80,9 +91,10 @@ def counter(path: str):
         tokenizer.no_truncation()
         tokenizer.no_padding()
         counts = Counts(tokenizer)
+        special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
         for batch in batches:
             for lo, hi, data, offsets in chunks(batch.column("text")):
-                split = [parts_of(t) if t else [] for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
+                split = [parts_of(t, special) if t else [] for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
                 if len(counts) > REMEMBERED:
                     counts.clear()
                 new = {p for parts in split for p in parts if p not in counts}

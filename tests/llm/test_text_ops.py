@@ -114,10 +114,16 @@ def test_parts_add_up():
     rng = random.Random(9)
     bits = [" ", " ", " ", "\n", "\t", "\r\n", "\u00a0", "\u2003", "\x1c", "\x85", "\u3000", "a", "word", "'s", "'ll", "12", "!?", "<|endoftext|>", "é", "日本", "😀", ".", "_", "\u200b"]
     for _ in range(4000):
-        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14 if rng.random() < 0.7 else 80)))
         parts = token_counts.parts_of(text)
         assert "".join(parts) == text and sum(map(n, parts)) == n(text), repr(text)
     assert len(token_counts.parts_of("alpha beta, gamma\ndelta")) == 5
+    tight = [b for b in bits if not b.isspace()] + ["，", "。", "、", "か", "한", "don't", "''", "(x)", "3.14", "a.b"]
+    for _ in range(1500):
+        text = "".join(rng.choice(tight) for _ in range(rng.randint(40, 120)))
+        parts = token_counts.parts_of(text)
+        assert "".join(parts) == text and sum(map(n, parts)) == n(text), repr(text)
+    assert max(map(len, token_counts.parts_of("日本語、" * 50_000))) < 70
 
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
