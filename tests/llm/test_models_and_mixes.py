@@ -191,12 +191,15 @@ def test_short_parts_of_an_article_stay():
     assert text.startswith("Loose words Head A sentence") and " short A sentence" in text and text.endswith(" end i j")
 
 
-def test_all_pages_give_their_article(spark):
-    pages = spark.read.parquet(f"{SF}/pages.parquet")
-    rows = html_text.extract_pages(pages).join(pages.select("page_id", "html"), "page_id").collect()
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_all_pages_give_their_article(spark, tag):
+    """The article of every page, also where no element says which it is."""
     import html
     import re
 
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    named = pages.withColumn("html", F.regexp_replace("html", r"(</?)(?:article|main)\b", f"$1{tag}"))
+    rows = html_text.extract_pages(named).join(pages.select("page_id", "html"), "page_id").collect()
     assert len(rows) == pages.count()
     for r in rows:
         m = re.search(r"<article>(.*)</article>", r["html"], re.S)
@@ -204,6 +207,111 @@ def test_all_pages_give_their_article(spark):
         assert " ".join(r["text"].split()) == want and r["n_chars"] == len(r["text"])
 
 
+def test_names_weigh_and_do_not_decide():
+    own = " ".join(("A sentence of the article with plain words and no links in it. " * 12).split())
+    more = "Related work was done by many people in the past years. We comment on the method here with some words."
+    for wrap in ("article", "div"):
+        kept = f"<p class='related-work'>{more[:55]}</p><section class='comments-on-method'><p>{more[56:]}</p></section>"
+        gone = f"<section class='comments'>{PROSE.replace('article', 'talk') * 6}</section><div class='ad-slot'><p>{PROSE}</p></div><form><p>{PROSE}</p></form><div id='newsletter-signup'><p>Sign up for our letter.</p></div>"
+        around = f"<header><h1>Site</h1>{PROSE}</header>{LINKS}", f"<aside>{PROSE}</aside><div id='sidebar'>{PROSE}</div><div class='cookie-banner'>{PROSE}</div><footer>{PROSE}</footer>"
+        page = f"<body>{around[0]}<{wrap}><h1>Head</h1>{PROSE * 3}{kept}{gone}</{wrap}>{around[1]}</body>"
+        assert html_text.main_text(page) == f"Head {own} {more}"
+    assert html_text.main_text(f"<body><aside><h1>Head</h1>{PROSE * 3}</aside></body>") == f"Head {own}"
+
+
+def brute_densities(tags):
+    """(characters, density, density sum) of each element of a well-formed page of divs, paragraphs and links, by definition."""
+    import math
+
+    def chars(t, link=False, inside=False):
+        own = sum(len(c.replace(" ", "")) for c in t[1] if isinstance(c, str)) if not link or inside or t[0] == "a" else 0
+        return own + sum(chars(c, link, inside or t[0] == "a") for c in t[1] if not isinstance(c, str))
+
+    def count(t, link=False, inside=False):
+        return sum((1 if not link or inside or t[0] == "a" or c[0] == "a" else 0) + count(c, link, inside or t[0] == "a") for c in t[1] if not isinstance(c, str))
+
+    root = ("html", [tags])
+    ratio = max(chars(root, True), 1) / max(chars(root), 1)
+
+    def density(t):
+        c, tg, lc = chars(t), max(count(t), 1), max(chars(t, True), 1)
+        lt = max(count(t) + 1 if t[0] == "a" else count(t, True), 1)
+        base = math.log(c / max(c - chars(t, True), 1) * chars(t, True) + ratio * c + math.e)
+        return c / tg * math.log(max(c / lc * tg / lt, 1.0) + 1.0) / base if c else 0.0
+
+    def total(t):
+        own = sum(len(c.replace(" ", "")) for c in t[1] if isinstance(c, str))
+        return sum(density(c) for c in t[1] if not isinstance(c, str)) + min(own * math.log(own + 1.0) / math.log(ratio * own + math.e), density(t))
+
+    out, stack = [], [root]
+    while stack:
+        t = stack.pop()
+        out.append((chars(t), round(density(t), 9), round(total(t), 9)))
+        stack.extend(c for c in t[1] if not isinstance(c, str))
+    return sorted(out)
+
+
+def test_densities_against_their_definition():
+    rng = random.Random(3)
+
+    def grow(depth):
+        kids = []
+        for _ in range(rng.randint(1, 4)):
+            roll = rng.random()
+            if depth < 4 and roll < 0.5:
+                kids.append(("div", grow(depth + 1)))
+            elif roll < 0.75:
+                kids.append(("p", ["some words " * rng.randint(1, 30)]))
+            elif roll < 0.9:
+                kids.append(("a", ["a link"] + ([("b", ["bold"])] if rng.random() < 0.3 else [])))
+            else:
+                kids.append("loose text " * rng.randint(1, 9))
+        return kids
+
+    write = lambda t: t if isinstance(t, str) else f"<{t[0]}>{''.join(map(write, t[1]))}</{t[0]}>"
+    for _ in range(150):
+        page = ("body", grow(0))
+        root = html_text.tree(write(page))
+        html_text.weights(root)
+        order = html_text.measure(root)
+        assert sorted((x.chars, round(x.density, 9), round(x.total, 9)) for x in order) == brute_densities(page)
+        marked, _, _ = html_text.content(order)
+        best = max(order, key=lambda x: (x.total, x.chars))
+        limit = min(x.density for x in html_text._path(best) if x.tag != "html")
+        below = lambda x: [x, *(y for k in x.children if isinstance(k, html_text.Node) for y in below(k))]
+        want = set()
+
+        def walk(x):
+            if id(x) not in want and x.chars and (x is root or x.density >= limit):
+                most = max((y.total, y.chars) for y in below(x))
+                first = next(y for y in below(x) if (y.total, y.chars) == most)
+                if first.density >= limit:
+                    want.add(id(first))
+                if first is not x:
+                    for k in reversed([k for k in x.children if isinstance(k, html_text.Node)]):
+                        walk(k)
+
+        walk(root)
+        if best.total:
+            assert want <= marked and max(x.total for x in order if id(x) in want) == best.total
+            # beside what is marked by its density only text without links goes along
+            assert all(2 * x.link_chars <= x.chars or x.tag == "a" for x in order if id(x) in marked - want)
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    shapes = ["<a ", '<a ">" ', "<div>|</span></b>", "<ul>|<li>x", "<li><ul>|", "<span><table><td>|<div>|</span>", "<p><p>|</p></i>", "<script|</script"]
+    for shape in shapes:
+        took = []
+        for n in (4_000, 32_000):
+            page = "".join(part * n for part in shape.split("|"))
+            began = time.process_time()
+            html_text.main_text(page)
+            took.append(time.process_time() - began)
+        assert took[1] < 30 * max(took[0], 0.02), (shape, took)
+
+
 def test_pages_odd_rows(spark):
     rows = spark.createDataFrame([(1, None, None, "x"), (1, "u", "<p>a" * 3000, "y")], "page_id long, url string, html string, text string")
     got = sorted((r["url"] or "", r["n_chars"]) for r in html_text.extract_pages(rows).collect())
