@@ -287,7 +287,7 @@ def test_densities_against_their_definition():
                 first = next(y for y in below(x) if (y.total, y.chars) == most)
                 if first.density >= limit:
                     want.add(id(first))
-                if first is not x:
+                if first is not x or first.density < limit:
                     for k in reversed([k for k in x.children if isinstance(k, html_text.Node)]):
                         walk(k)
 
