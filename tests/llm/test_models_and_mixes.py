@@ -277,7 +277,7 @@ def test_densities_against_their_definition():
         assert sorted((x.chars, round(x.density, 9), round(x.total, 9)) for x in order) == brute_densities(page)
         marked, _, _ = html_text.content(order)
         best = max(order, key=lambda x: (x.total, x.chars))
-        limit = min(x.density for x in html_text._path(best) if x.tag != "html")
+        limit = min((x.density for x in html_text._path(best) if x.tag != "html"), default=best.density)
         below = lambda x: [x, *(y for k in x.children if isinstance(k, html_text.Node) for y in below(k))]
         want = set()
 
