@@ -6,13 +6,17 @@ one band or in neighbours, and each set is signed for its own band and the next.
 largest size r linked sets differ in at most k = 2r/9 elements. The shingle domain (a 64-bit hash
 range) is cut in n1 first-level partitions of n2 = 2 parts each, and the subsets of n2 - 1 parts
 are enumerated as signatures: with 2 * n1 > k parts, two linked sets agree on at least one part.
-Parts that are empty in a set carry no information: the number of parts has a margin, and a set
-with more empty parts than the margin signs these too, so that no link is lost.
+Parts that are empty in a set carry no information: the number of parts has a margin, and two linked
+sets agree on a part that is not empty unless both have more empty parts than the margin. Such sets
+are partitioned again by another hash, up to FAMILIES times; only sets that are sparse in all of them
+sign their empty parts, so no link is lost.
 
 Scale: signatures travel as packed arrays keyed by a hash range, exact copies count as one node
-from the start, small buckets give all pairs, large ones a star, and what a star leaves open is
-compared in blocks inside the bucket (only pairs that are not yet connected). Candidate pairs are
-cut by size and by a parity sketch (a proven bound on the difference) before the exact test.
+from the start, small buckets give all pairs, large ones a star. A signature that is common among the
+sets of one task gives its star there and sends its centre on, so no group holds a hot signature whole.
+What stars leave open is compared in blocks inside the bucket: only rows outside its largest component
+meet the others. Candidate pairs are cut by size and by a parity sketch (a proven bound on the
+difference) before the exact test.
 """
 
 from __future__ import annotations
@@ -33,8 +37,12 @@ from .words import U, WordHasher, chunks, mix
 NUM, DEN = 80, 100
 #: Buckets up to this size give all their pairs; larger ones a star and an exact second pass.
 SMALL = 8
-#: Rows of a block in the second pass.
-BLOCK = 2048
+#: Rows of a block in the second pass, and rows that a group of blocks holds at most if it holds more than one.
+BLOCK, GROUP = 2048, 50_000
+#: Partitions by different hashes for sets with many empty parts.
+FAMILIES = 4
+#: Sets of a task's batch from which a signature that they share gives its star in the task.
+HOT = 256
 #: Words of 64 bits in the pre-filter of texts that take part in the exact test: one MB, whatever the input.
 FILTER_WORDS = 1 << 17
 BASE_OF_RANGE = 0x94D049BB133111EB
@@ -106,6 +114,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _again(doc: np.ndarray, s: np.ndarray, first: np.ndarray, size: np.ndarray, some: np.ndarray, tag: np.ndarray, all_parts: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, text number) of the parts of some sets by another hash, and how many parts of each set hold elements."""
+    at = np.repeat(first[some] - (np.cumsum(size[some]) - size[some]), size[some]) + np.arange(int(size[some].sum()))
+    own, x = np.repeat(np.arange(len(some)), size[some]), mix(s[at] + U(family * BASE_OF_RANGE % (1 << 64)))
+    part = (((x >> U(32)) * all_parts[tag[some]][own].astype(U)) >> U(32)).astype(np.int64)
+    order = np.lexsort((part, own))
+    own, part, x = own[order], part[order], x[order]
+    start = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (part[1:] != part[:-1])))
+    value = np.add.reduceat(mix(x ^ U(0x9FB21C651E98DF25)), start)
+    sig = mix(value + mix(part[start].astype(U) + U(1)) * U(3) + tag[some][own[start]].astype(U) * U(0xC2B2AE3D27D4EB4F) + U(family))
+    return sig, some[own[start]], np.bincount(own[start], minlength=len(some))
+
+
 def signatures(doc: np.ndarray, s: np.ndarray, n: int, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(signature, text number) of all sets."""
     size, first = _spans(doc, n)
@@ -135,30 +156,68 @@ def signatures(doc: np.ndarray, s: np.ndarray, n: int, low: np.ndarray, high: np
         place = (np.arange(len(owner)) - base[owner]).astype(U)
         sig = mix(value + mix(place + U(1)) * U(3) + tag[owner].astype(U) * U(0xC2B2AE3D27D4EB4F))
         empty = np.bincount(owner[held == 0], minlength=n)
-        keep = (held > 0) | (empty > np.where(use, all_margin[tag], 0))[owner]
-        out_sig.append(sig[keep])
-        out_doc.append(owner[keep])
+        out_sig.append(sig[held > 0])
+        out_doc.append(owner[held > 0])
+        sparse = np.flatnonzero(use & (empty > all_margin[tag]))
+        for family in range(1, FAMILIES):
+            if not len(sparse):
+                break
+            more = _again(doc, s, first, size, sparse, tag, all_parts, family)
+            out_sig.append(more[0])
+            out_doc.append(more[1])
+            sparse = sparse[all_parts[tag[sparse]] - more[2] > all_margin[tag[sparse]]]
+        for i in sparse:
+            place = np.arange(all_parts[tag[i]]).astype(U)
+            out_sig.append(mix(mix(place + U(1)) * U(3) + tag[i].astype(U) * U(0xC2B2AE3D27D4EB4F)))
+            out_doc.append(np.full(len(place), i))
     if not out_sig:
         return np.zeros(0, U), np.zeros(0, np.int64)
     return np.concatenate(out_sig), np.concatenate(out_doc)
 
 
+def _bucket_of(sig: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Ids of buckets from the six low bytes of their signatures and their hash ranges."""
+    return mix((sig & U((1 << 48) - 1)) + where.astype(U) * U(BASE_OF_RANGE)).astype(np.int64)
+
+
 def _signer(ranges: int, most: int = 1 << 20):
-    """Packed signatures: for each hash range a row of (range, 6-byte signatures, 8-byte nodes)."""
+    """Packed signatures: rows of a hash range with 6-byte signatures, 8-byte nodes and the signatures that were common here.
+
+    Rows with done hold pairs (kind 0) and members of large buckets (kind 1) instead, for any task.
+    """
+    names = ["p", "kind", "sigs", "nodes", "hot"]
 
-    def pack(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    def pack(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((node, sig))
         sig, node = sig[order], node[order]
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
         sig, node = sig[new], node[new]
         where = ((sig >> U(32)) * U(ranges)) >> U(32)
-        cut = np.searchsorted(where, np.arange(ranges + 1).astype(U))
+        start = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        size = np.diff(np.append(start, len(sig)))
+        common = size >= HOT
+        common_sig, common_where = sig[start[common]], where[start[common]]
+        if common.any():
+            inside = np.repeat(common, size)
+            centre = np.repeat(node[start], size)
+            bucket = _bucket_of(sig[inside], where[inside])
+            spoke = inside & (centre != node)
+            for kind, a, b in ((0, centre[spoke], node[spoke]), (1, bucket, node[inside])):
+                for lo in range(0, len(a), 1 << 16):
+                    to = ranges + int(b[lo] % ranges)
+                    yield pa.RecordBatch.from_arrays([pa.array([to], pa.int32()), pa.array([kind], pa.int32()), pa.array([a[lo : lo + (1 << 16)].tobytes()], pa.binary()), pa.array([b[lo : lo + (1 << 16)].tobytes()], pa.binary()), pa.array([b""], pa.binary())], names)
+            stay = ~inside
+            stay[start] = True
+            sig, node, where = sig[stay], node[stay], where[stay]
+        bounds = np.arange(ranges + 1).astype(U)
+        cut, hot_cut = np.searchsorted(where, bounds), np.searchsorted(common_where, bounds)
         some = np.flatnonzero(cut[1:] > cut[:-1])
-        six = np.ascontiguousarray(sig.view(np.uint8).reshape(-1, 8)[:, :6])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array([six[cut[p] : cut[p + 1]].tobytes() for p in some], pa.binary()), pa.array([node[cut[p] : cut[p + 1]].tobytes() for p in some], pa.binary())],
-            ["p", "sigs", "nodes"],
+        six = lambda x: np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :6])
+        all_six, hot_six = six(sig), six(common_sig)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array([2] * len(some), pa.int32()), pa.array([all_six[cut[p] : cut[p + 1]].tobytes() for p in some], pa.binary()), pa.array([node[cut[p] : cut[p + 1]].tobytes() for p in some], pa.binary()), pa.array([hot_six[hot_cut[p] : hot_cut[p + 1]].tobytes() for p in some], pa.binary())],
+            names,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,20 +232,27 @@ def _signer(ranges: int, most: int = 1 << 20):
                 nodes.append(node[owner])
                 held += len(sig)
                 if held >= most:
-                    yield pack(np.concatenate(sigs), np.concatenate(nodes))
+                    yield from pack(np.concatenate(sigs), np.concatenate(nodes))
                     sigs, nodes, held = [], [], 0
         if held:
-            yield pack(np.concatenate(sigs), np.concatenate(nodes))
+            yield from pack(np.concatenate(sigs), np.concatenate(nodes))
 
     return run
 
 
+def _six(parts: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.view(U).ravel()
+
+
 def _bucket_pairs(group: pd.DataFrame) -> pd.DataFrame:
     """Pairs of nodes (kind 0) of the buckets of a hash range; rows of its large buckets (kind 1: bucket, node)."""
-    raw = np.frombuffer(b"".join(group["sigs"]), np.uint8).reshape(-1, 6)
-    sig = np.zeros((len(raw), 8), np.uint8)
-    sig[:, :6] = raw
-    sig = sig.view(U).ravel()
+    if group["kind"].iloc[0] != 2:
+        whole = [(k, np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)) for k, x, y in zip(group["kind"], group["sigs"], group["nodes"])]
+        return pd.DataFrame({"kind": np.concatenate([np.full(len(x), k, np.int32) for k, x, _ in whole]), "a": np.concatenate([x for _, x, _ in whole]), "b": np.concatenate([y for _, _, y in whole])})
+    sig, hot = _six(group["sigs"].to_list()), _six(group["hot"].to_list())
     node = np.frombuffer(b"".join(group["nodes"]), np.int64)
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
@@ -195,28 +261,25 @@ def _bucket_pairs(group: pd.DataFrame) -> pd.DataFrame:
     sig, node = sig[new], node[new]
     start = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
     size = np.diff(np.append(start, len(sig)))
+    large = (size > SMALL) | np.isin(sig[start], hot)
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for m in range(2, SMALL + 1):
-        at = start[size == m]
+        at = start[(size == m) & ~large]
         for i in range(m - 1):
             for j in range(i + 1, m):
                 a.append(node[at + i])
                 b.append(node[at + j])
-    large = np.flatnonzero(size > SMALL)
-    rest = [(np.zeros(0, U), np.zeros(0, np.int64))]
-    for i in large:
-        own = node[start[i] : start[i] + size[i]]
-        a.append(np.full(len(own) - 1, own[0]))
-        b.append(own[1:])
-        rest.append((np.full(len(own), sig[start[i]]), own))
-    a, b = np.concatenate(a), np.concatenate(b)
+    inside = np.repeat(large, size)
+    centre = np.repeat(node[start], size)
+    spoke = inside & (centre != node)
+    a, b = np.concatenate([*a, centre[spoke]]), np.concatenate([*b, node[spoke]])
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     a, b = a[new], b[new]
-    bucket = mix(np.concatenate([x for x, _ in rest]) + U(int(group["p"].iloc[0]) * BASE_OF_RANGE % (1 << 64))).astype(np.int64)
-    return pd.DataFrame({"kind": np.append(np.zeros(len(a), np.int32), np.ones(len(bucket), np.int32)), "a": np.append(a, bucket), "b": np.append(b, np.concatenate([y for _, y in rest]))})
+    bucket = _bucket_of(sig[inside], np.full(int(inside.sum()), int(group["p"].iloc[0])))
+    return pd.DataFrame({"kind": np.append(np.zeros(len(a), np.int32), np.ones(len(bucket), np.int32)), "a": np.append(a, bucket), "b": np.append(b, node[inside])})
 
 
 @F.pandas_udf(T.BooleanType())
@@ -294,7 +357,7 @@ def _blocks(whole: bool):
     that would join the components.
     """
 
-    def compare(node: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[bytes], home: np.ndarray, guest: np.ndarray, same: bool):
+    def compare(node: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[bytes], home: np.ndarray, guest: np.ndarray):
         least = min(map(len, bits))
 
         def fold(x: bytes) -> np.ndarray:
@@ -310,8 +373,6 @@ def _blocks(whole: bool):
             h = home[lo : lo + step]
             ok = comp[h][:, None] != comp[guest][None, :]
             ok &= np.minimum(n[h][:, None], n[guest]) * DEN >= np.maximum(n[h][:, None], n[guest]) * NUM
-            if same:
-                ok &= node[h][:, None] < node[guest][None, :]
             x, y = np.nonzero(ok)
             if len(x):
                 x, y = h[x], guest[y]
@@ -339,12 +400,9 @@ def _blocks(whole: bool):
         cut = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for lo, hi in zip(cut, np.append(cut[1:], len(key))):
-            same = key[lo, 1] == key[lo, 2]
-            at = np.arange(hi - lo)
-            home = at[side[lo:hi] == 0]
-            guest = home if same else at[side[lo:hi] == 1]
+            home, guest = np.flatnonzero(side[lo:hi] == 0), np.flatnonzero(side[lo:hi] == 1)
             if len(home) and len(guest):
-                found.append(compare(node[lo:hi], comp[lo:hi], n[lo:hi], bits[lo:hi], home, guest, same))
+                found.append(compare(node[lo:hi], comp[lo:hi], n[lo:hi], bits[lo:hi], home, guest))
         x, y = (np.concatenate(v) for v in zip(*found))
         pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -352,18 +410,25 @@ def _blocks(whole: bool):
     return run
 
 
-def _open_buckets(rest: DataFrame, comps: DataFrame, nodes: DataFrame, groups: int, whole: bool) -> DataFrame:
-    """What the stars of large buckets leave open: pairs of nodes of one bucket that are not yet connected."""
+def _open_buckets(rest: DataFrame, comps: DataFrame, nodes: DataFrame, least: int, whole: bool) -> DataFrame:
+    """What the stars of large buckets leave open: pairs of nodes of one bucket that are not yet connected.
+
+    The rows outside the largest component of a bucket (side 0) meet all rows of the bucket (side 1), in blocks.
+    """
     labelled = rest.join(comps.withColumnRenamed("component", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    state = labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-    state = state.where("lo <> hi").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.join(state, "bucket").withColumn("own", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
-    rows = rows.join(nodes.select("node", "n", "parity"), "node")
-    across = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j"), F.when(F.col("own") <= k, 0).otherwise(1).alias("side")),
-    )
-    rows = rows.select("bucket", "node", "comp", "n", "parity", F.explode(across).alias("t")).select("bucket", "node", "comp", "n", "parity", "t.*")
+    held = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("m"))
+    state = held.groupBy("bucket").agg(F.sum("m").alias("m"), F.max(F.struct("m", "comp")).alias("top"))
+    blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    state = state.where("m > top.m").select("bucket", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("all"), blocks(F.col("m") - F.col("top.m")).alias("minor"), F.col("m"))
+    state = saved(state, "open")
+    copies = state.agg(F.sum(F.col("m") * F.col("minor") + F.col("all") * F.col("minor") * BLOCK).alias("n")).first()["n"]
+    groups = max(least, int(copies or 0) // GROUP)
+    rows = labelled.join(state.drop("m"), "bucket").join(nodes.select("node", "n", "parity"), "node")
+    own = lambda k: F.pmod(F.xxhash64("node", "bucket"), F.col(k)).cast("int")
+    over = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
+    homes = F.when(F.col("comp") != F.col("top"), F.transform(over("all"), lambda j: F.struct(own("minor").alias("i"), j.alias("j"), F.lit(0).alias("side"))))
+    guests = F.transform(over("minor"), lambda i: F.struct(i.alias("i"), own("all").alias("j"), F.lit(1).alias("side")))
+    rows = rows.select("bucket", "node", "comp", "n", "parity", F.explode(F.concat(F.coalesce(homes, F.slice(guests, 1, 0)), guests)).alias("t")).select("bucket", "node", "comp", "n", "parity", "t.*")
     rows = rows.withColumn("group", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
     return rows.groupBy("group").applyInPandas(_blocks(whole), "a long, b long").distinct()
 
@@ -390,25 +455,25 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"]
     ranges = max(shuffle_partitions(spark), 12, int(total // 600_000))
-    packed = docs.mapInArrow(_signer(ranges), "p int, sigs binary, nodes binary")
-    found = saved(packed.groupBy("p").applyInPandas(_bucket_pairs, "kind int, a long, b long"), "buckets")
+    packed = docs.mapInArrow(_signer(ranges), "p int, kind int, sigs binary, nodes binary, hot binary")
+    # a pair shares many signatures: it is one row before anything is written
+    found = saved(packed.groupBy("p").applyInPandas(_bucket_pairs, "kind int, a long, b long").distinct(), "buckets")
 
-    pairs = saved(_possible(found.where("kind = 0").select("a", "b").distinct(), nodes), "possible")
+    pairs = saved(_possible(found.where("kind = 0").select("a", "b"), nodes), "possible")
     rest = found.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("node"))
-    groups = max(shuffle_partitions(spark), int(rest.count() // 50_000))
     # one partner for each node first: most groups are whole then, and little is left to compare
     tested = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = saved(_verified(tested, nodes, docs), "links")
-    comps = components(links)
+    comps = saved(components(_verified(tested, nodes, docs)), "components")
     for step in ("stars", "nearest", "whole"):
         if step == "stars":
             more = _across(pairs.join(tested, ["a", "b"], "left_anti"), comps)
         else:
-            more = _open_buckets(rest, comps, nodes, groups, step == "whole").join(tested, ["a", "b"], "left_anti")
+            more = _open_buckets(rest, comps, nodes, shuffle_partitions(spark), step == "whole").join(tested, ["a", "b"], "left_anti")
         more = saved(more, "possible")
         if not more.isEmpty():
-            links = saved(links.unionByName(_verified(more, nodes, docs)), "links")
-            comps = components(links)
+            # the labels so far stand for the links that made them
+            links = _verified(more, nodes, docs).unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            comps = saved(components(links), "components")
             tested = tested.unionByName(more)
 
     lead = nodes.select("node", "first_id").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))

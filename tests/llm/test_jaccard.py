@@ -91,3 +91,42 @@ def test_parity_never_exceeds_the_difference():
         doc = np.repeat([0, 1], [n, m])
         bits = jaccard.parity(doc, np.concatenate([a, b]), 2).to_pylist()
         assert jaccard.differ(*bits) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_unrelated_short_sets_share_no_bucket():
+    """Sets with many empty parts are told apart by other partitions, and linked ones still meet."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    low, high = jaccard.bands()
+    for size in (4, 5, 7, 8, 9, 15, 16):
+        n = 20_000
+        s = np.sort(rng.integers(0, 1 << 63, (n, size)).astype(np.uint64) * np.uint64(2), axis=1)
+        near = s.copy()
+        near[:, size // 2] = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        near = np.sort(near, axis=1)
+        both = np.concatenate([s, near]).ravel()
+        sig, owner = jaccard.signatures(np.repeat(np.arange(2 * n), size), both, 2 * n, low, high)
+        held = defaultdict(set)
+        for g, o in zip(sig.tolist(), owner.tolist()):
+            held[g].add(o)
+        assert max(len({o % n for o in own}) for own in held.values()) <= 3, size
+        if 100 * (size - 1) >= 80 * (size + 1):
+            meets = {o % n for own in held.values() for o in own if (o + n) % (2 * n) in own}
+            assert len(meets) == n, size
+
+
+def test_signatures_common_in_a_task(spark, monkeypatch):
+    """Hot signatures give stars in the tasks; the groups are the same."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(90)]
+    out = {}
+    for k in range(260):
+        words = list(base) if k % 4 else [f"u{k}x{j}" for j in range(90)]
+        for _ in range(rng.randrange(0, 9)):
+            words[rng.randrange(90)] = f"n{rng.randrange(10**6)}"
+        out[k] = " ".join(words)
+    monkeypatch.setattr(jaccard, "HOT", 5)
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    df = spark.createDataFrame(list(out.items()), "doc_id long, text string").repartition(3)
+    assert groups(df) == brute_force(out)
