@@ -1,16 +1,20 @@
 """Quality classifier: attention-based multiple-instance learning over passages.
 
-A document is a bag of passages (runs of PASSAGE words; the last may be shorter) that covers its
-whole text. Every passage is encoded from its bytes and words, a gated attention learnt from the
-document labels weighs the passages, and the score is a logistic function of the weighted passage
-representation. Inputs are functions of the text alone.
-
-The model is small and fits on the driver from a bounded sample of labelled documents (SAMPLE, by
-hash order); scoring maps over all documents without a shuffle.
+A document is a bag of passages (runs of PASSAGE words; the last may be shorter) that covers its whole
+text. Words and byte trigrams of a passage are hashed; their embeddings, learnt end to end from the
+document labels, are pooled and joined by a few figures of the passage. A gated attention, learnt with
+them, weighs the passages, and the score is a logistic function of the weighted passage representation.
+Inputs are functions of the text alone.
+
+The model fits on the driver from a bounded sample: the SAMPLE labelled documents that come first by
+hash, and up to BAG passages of each, spread over its text, so that it never receives more than
+SAMPLE * BAG * FEATURES bytes, however long texts are. Scoring uses every passage of every document and
+maps over them without a shuffle.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,98 +27,108 @@ from .common import table
 from .words import U, WordHasher, chunks
 
 PASSAGE = 64
-#: Most labelled documents that the fit sees.
-SAMPLE = 3000
+#: Most labelled documents that the fit sees, and most passages of each.
+SAMPLE, BAG = 2000, 8
 #: Score from which a document is predicted good.
 CUT = 0.7
-HIDDEN, STEPS, SEED = 16, 250, 7
-
-#: Classes of bytes: lower case, upper case, digits, space, newline, the symbols of junk text, bars, sentence ends, other marks, other bytes.
-CLASSES = 10
-FEATURES = CLASSES + 7
-
-
-def _byte_classes() -> np.ndarray:
-    out = np.full(256, 9, np.int64)
-    out[33:127] = 8
-    out[97:123], out[65:91], out[48:58] = 0, 1, 2
-    out[[32, 9, 11, 12, 13]], out[10] = 3, 4
-    for mark in b"#*$%&<>!":
-        out[mark] = 5
-    out[ord("|")] = 6
-    for mark in b".,;:?":
-        out[mark] = 7
-    return out
+HIDDEN, EPOCHS, BATCH, SEED = 16, 24, 128, 7
+#: Hashed words, hashed byte trigrams, and figures of a passage.
+WORDS, TRIGRAMS, FIGURES = 1024, 1024, 6
+HASHED = WORDS + TRIGRAMS
+FEATURES = HASHED + FIGURES
+#: Passages that are encoded at once.
+BLOCK = 4096
 
 
 def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a / np.maximum(b, 1)
 
 
-class PassageEncoder:
-    """Features of every passage of many texts at once."""
-
-    def __init__(self) -> None:
-        self.hasher, self.classes = WordHasher(), _byte_classes()
+class Passages:
+    """The passages of many texts: owner (number of the text of each) and their features, block by block."""
 
-    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(number of its text, features) of each passage; texts without words have none."""
+    def __init__(self, hasher: WordHasher, data: np.ndarray, offsets: np.ndarray) -> None:
+        self.lower = hasher.lower[data]
         n = len(offsets) - 1
-        doc, h = self.hasher.words(data, offsets)
-        if not len(doc):
-            return np.zeros(0, np.int64), np.zeros((0, FEATURES), np.float32)
+        doc, self.hash = hasher.words(data, offsets)
         words = np.bincount(doc, minlength=n)
         rank = np.arange(len(doc)) - (np.cumsum(words) - words)[doc]
         opens = rank % PASSAGE == 0
-        passage = np.cumsum(opens) - 1
-        owner = doc[opens]
-        count = np.bincount(passage)
-        total = len(count)
+        self.word = np.flatnonzero(opens)
+        self.owner = doc[opens]
+        if not len(doc):
+            return
+        self.passage = np.cumsum(opens) - 1
+        self.count = np.bincount(self.passage)
         # bytes of a passage reach from its first word to the next passage or the end of the text
-        solid = self.hasher.solid[data]
+        solid = hasher.solid[data]
         start = solid.copy()
         start[1:] &= ~solid[:-1]
         edge = offsets[:-1][offsets[:-1] < len(data)]
         start[edge] = solid[edge]
-        first = np.flatnonzero(start)[opens]
-        upto = np.append(first[1:], offsets[-1])
-        upto = np.minimum(upto, offsets[owner + 1])
-        length = upto - first
-        at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-        by_class = np.bincount(np.repeat(np.arange(total), length) * CLASSES + self.classes[data[at]], minlength=total * CLASSES).reshape(total, CLASSES)
-        solids = np.maximum(length - by_class[:, 3] - by_class[:, 4], 1)
+        self.first = np.flatnonzero(start)[opens]
+        self.upto = np.minimum(np.append(self.first[1:], offsets[-1]), offsets[self.owner + 1])
+        total = len(self.owner)
         # distinct words of a passage, and how far the text repeats its word triples
-        order = np.lexsort((h, passage))
-        p, w = passage[order], h[order]
-        new = np.append(True, (p[1:] != p[:-1]) | (w[1:] != w[:-1]))
-        distinct = np.bincount(p[new], minlength=total)
+        order = np.lexsort((self.hash, self.passage))
+        p, w = self.passage[order], self.hash[order]
+        distinct = np.bincount(p[np.append(True, (p[1:] != p[:-1]) | (w[1:] != w[:-1]))], minlength=total)
         repeats = np.zeros(total)
-        if len(h) >= 3:
+        if len(self.hash) >= 3:
+            h = self.hash
             triple = h[:-2] * U(3) + h[1:-1] * U(0x9E3779B97F4A7C15) + (h[2:] ^ (h[2:] >> U(7)))
             inside = doc[:-2] == doc[2:]
-            d, t, where = doc[:-2][inside], triple[inside], passage[:-2][inside]
+            d, t, where = doc[:-2][inside], triple[inside], self.passage[:-2][inside]
             order = np.lexsort((t, d))
             again = np.zeros(len(d), bool)
             again[order[1:]] = (d[order][1:] == d[order][:-1]) & (t[order][1:] == t[order][:-1])
             repeats = np.bincount(where[again], minlength=total)
-        parts = [by_class[:, c] / solids for c in range(CLASSES)]
-        parts += [_ratio(solids, count), _ratio(distinct, count), _ratio(repeats, count), np.log1p(count), np.log1p(words[owner]), _ratio(by_class[:, 4], count), (count < 8).astype(float)]
-        return owner, np.stack(parts, 1).astype(np.float32)
+        length = self.upto - self.first
+        self.figures = np.stack([_ratio(length, self.count), _ratio(distinct, self.count), _ratio(repeats, self.count), np.log1p(self.count), np.log1p(words[self.owner]), (self.count < 8).astype(float)], 1)
+
+    def hashed(self, lo: int, hi: int) -> np.ndarray:
+        """Counts of hashed words and trigrams of the passages lo to hi - 1, at most 255 each."""
+        a, b = self.word[lo], self.word[hi] if hi < len(self.word) else len(self.hash)
+        words = np.bincount((self.passage[a:b] - lo) * WORDS + (self.hash[a:b] % U(WORDS)).astype(np.int64), minlength=(hi - lo) * WORDS)
+        at, end = int(self.first[lo]), int(self.upto[hi - 1])
+        x = self.lower[at:end].astype(np.uint32)
+        tri = np.zeros(0, np.int64)
+        if len(x) >= 3:
+            place = np.arange(at, end - 2)
+            own = np.searchsorted(self.first[lo:hi], place, "right") - 1
+            code = ((x[:-2] << np.uint32(16)) + (x[1:-1] << np.uint32(8)) + x[2:]) * np.uint32(0x9E3779B1)
+            tri = (own * TRIGRAMS + (code >> np.uint32(22)).astype(np.int64))[place + 2 < self.upto[lo:hi][own]]
+        tri = np.bincount(tri, minlength=(hi - lo) * TRIGRAMS)
+        return np.minimum(np.concatenate([words.reshape(-1, WORDS), tri.reshape(-1, TRIGRAMS)], 1), 255).astype(np.uint8)
+
+    def features(self, lo: int, hi: int) -> np.ndarray:
+        return joined(self.hashed(lo, hi), self.figures[lo:hi])
+
+
+def joined(counts: np.ndarray, figures: np.ndarray) -> np.ndarray:
+    """Features of passages: their counts of words and of trigrams, each with norm 1, and their figures."""
+    parts = []
+    for x in (counts[:, :WORDS].astype(np.float32), counts[:, WORDS:].astype(np.float32)):
+        parts.append(x / np.maximum(np.sqrt((x * x).sum(1)), 1)[:, None])
+    return np.concatenate([*parts, figures.astype(np.float32)], 1)
 
 
 @dataclass
 class Model:
-    """Standardising shift and scale, encoder, attention gates and output weights."""
+    """Standardising shift and scale, embeddings, attention gates and output weights."""
 
     shift: np.ndarray
     scale: np.ndarray
     weights: dict[str, np.ndarray]
 
-    def forward(self, x: np.ndarray, bag: np.ndarray, bags: int) -> dict[str, np.ndarray]:
+    def hidden(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(standardised features, representation) of passages."""
+        z = np.clip((x - self.shift) / self.scale, -6, 6).astype(np.float32)
+        return z, np.tanh(z @ self.weights["E"] + self.weights["e"])
+
+    def attend(self, h: np.ndarray, bag: np.ndarray, bags: int) -> dict[str, np.ndarray]:
         """Scores of bags 0 to bags - 1; bag: the bag of each passage, ascending, every bag with one or more."""
         w = self.weights
-        z = np.clip((x - self.shift) / self.scale, -6, 6)
-        h = np.tanh(z @ w["E"] + w["e"])
         t, g = np.tanh(h @ w["V"]), 1 / (1 + np.exp(-(h @ w["G"])))
         s = (t * g) @ w["a"]
         begin = np.searchsorted(bag, np.arange(bags))
@@ -122,82 +136,110 @@ class Model:
         a /= np.add.reduceat(a, begin)[bag]
         pooled = np.add.reduceat(a[:, None] * h, begin)
         out = 1 / (1 + np.exp(-np.clip(pooled @ w["c"] + w["d"], -30, 30)))
-        return {"z": z, "h": h, "t": t, "g": g, "a": a, "pooled": pooled, "out": out, "begin": begin}
+        return {"h": h, "t": t, "g": g, "a": a, "pooled": pooled, "out": out, "begin": begin}
 
+    def forward(self, x: np.ndarray, bag: np.ndarray, bags: int) -> dict[str, np.ndarray]:
+        z, h = self.hidden(x)
+        return {"z": z, **self.attend(h, bag, bags)}
 
-def fit(x: np.ndarray, bag: np.ndarray, label: np.ndarray) -> Model:
-    """Full-batch Adam on the log loss; the same rows give the same model."""
-    rng = np.random.default_rng(SEED)
-    f, k = x.shape[1], HIDDEN
-    weights = {"E": rng.normal(0, f**-0.5, (f, k)), "e": np.zeros(k), "V": rng.normal(0, k**-0.5, (k, k)), "G": rng.normal(0, k**-0.5, (k, k)), "a": rng.normal(0, k**-0.5, k), "c": rng.normal(0, k**-0.5, k), "d": np.zeros(1)}
-    scale = x.std(0)
-    model = Model(x.mean(0), np.where(scale > 1e-6, scale, 1.0), weights)
-    cost = 1 / len(label)
-    first, second = ({n: np.zeros_like(v) for n, v in weights.items()} for _ in range(2))
-    for step in range(1, STEPS + 1):
-        r = model.forward(x, bag, len(label))
-        err = cost * (r["out"] - label)
+    def gradient(self, r: dict[str, np.ndarray], bag: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean log loss for a forward pass."""
+        w, err = self.weights, (r["out"] - label) / len(label)
         grad = {"c": r["pooled"].T @ err, "d": np.array([err.sum()])}
-        dp = (err[:, None] * weights["c"])[bag]
+        dp = (err[:, None] * w["c"])[bag]
         dh = r["a"][:, None] * dp
         da = (dp * r["h"]).sum(1)
         ds = r["a"] * (da - np.add.reduceat(r["a"] * da, r["begin"])[bag])
         grad["a"] = (r["t"] * r["g"]).T @ ds
-        dtg = ds[:, None] * weights["a"]
+        dtg = ds[:, None] * w["a"]
         dt, dg = dtg * r["g"] * (1 - r["t"] ** 2), dtg * r["t"] * r["g"] * (1 - r["g"])
         grad["V"], grad["G"] = r["h"].T @ dt, r["h"].T @ dg
-        dh += dt @ weights["V"].T + dg @ weights["G"].T
-        de = dh * (1 - r["h"] ** 2)
-        grad["E"], grad["e"] = r["z"].T @ de, de.sum(0)
-        for n, v in weights.items():
-            grad[n] = grad[n] + 1e-4 * v
-            first[n] = 0.9 * first[n] + 0.1 * grad[n]
-            second[n] = 0.999 * second[n] + 0.001 * grad[n] ** 2
-            v -= 0.02 * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
+        de = (dh + dt @ w["V"].T + dg @ w["G"].T) * (1 - r["h"] ** 2)
+        grad["E"], grad["e"] = r["z"].T @ de.astype(np.float32), de.sum(0)
+        return grad
+
+
+def fit(x: np.ndarray, bag: np.ndarray, label: np.ndarray) -> Model:
+    """Adam on the log loss over batches of documents; the same rows give the same model."""
+    rng = np.random.default_rng(SEED)
+    f, k = x.shape[1], HIDDEN
+    weights = {"E": rng.normal(0, 0.1, (f, k)).astype(np.float32), "e": np.zeros(k), "V": rng.normal(0, k**-0.5, (k, k)), "G": rng.normal(0, k**-0.5, (k, k)), "a": rng.normal(0, k**-0.5, k), "c": rng.normal(0, k**-0.5, k), "d": np.zeros(1)}
+    # embeddings take counts as they are; figures are standardised
+    shift, scale = np.zeros(f, np.float32), np.ones(f, np.float32)
+    own = x[:, HASHED:]
+    shift[HASHED:], scale[HASHED:] = own.mean(0), np.where(own.std(0) > 1e-6, own.std(0), 1.0)
+    model = Model(shift, scale, weights)
+    begin = np.searchsorted(bag, np.arange(len(label) + 1))
+    first, second = ({n: np.zeros_like(v) for n, v in weights.items()} for _ in range(2))
+    step = 0
+    for _ in range(EPOCHS):
+        for batch in np.array_split(rng.permutation(len(label)), max(1, len(label) // BATCH)):
+            step += 1
+            rows = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in batch])
+            inside = np.repeat(np.arange(len(batch)), begin[batch + 1] - begin[batch])
+            grad = model.gradient(model.forward(x[rows], inside, len(batch)), inside, label[batch])
+            for n, v in weights.items():
+                g = grad[n] + 1e-4 * v
+                first[n] = 0.9 * first[n] + 0.1 * g
+                second[n] = 0.999 * second[n] + 0.001 * g**2
+                v -= (0.01 * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)).astype(v.dtype)
     return model
 
 
-def scores(model: Model | None, encoder: PassageEncoder, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def scores(model: Model | None, hasher: WordHasher, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A score for each text; 0 without words; 0.5 for all others if no label was there to learn from."""
     out = np.zeros(len(offsets) - 1)
-    owner, x = encoder(data, offsets)
-    if len(owner):
-        some, bag = np.unique(owner, return_inverse=True)
-        out[some] = 0.5 if model is None else model.forward(x, bag, len(some))["out"]
+    own = Passages(hasher, data, offsets)
+    if len(own.owner):
+        some, bag = np.unique(own.owner, return_inverse=True)
+        if model is None:
+            out[some] = 0.5
+        else:
+            n = len(own.owner)
+            h = np.concatenate([model.hidden(own.features(lo, min(lo + BLOCK, n)))[1] for lo in range(0, n, BLOCK)])
+            out[some] = model.attend(h, bag, len(some))["out"]
     return out
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encoder = PassageEncoder()
+    """Up to BAG passages of each text: their counts, packed, and their figures."""
+    hasher = WordHasher()
     for batch in batches:
         for lo, hi, data, offsets in chunks(batch.column("text")):
-            owner, x = encoder(data, offsets)
-            cut = np.searchsorted(owner, np.arange(hi - lo + 1))
-            packed = [x[a:b].tobytes() for a, b in zip(cut, cut[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), pa.array(packed, pa.binary())], ["doc_id", "label", "passages"])
+            own = Passages(hasher, data, offsets)
+            cut = np.searchsorted(own.owner, np.arange(hi - lo + 1))
+            counts, figures = [], []
+            for a, b in zip(cut, cut[1:]):
+                # the same number of steps apart, the first and the last included
+                use = np.unique(np.linspace(a, b - 1, min(b - a, BAG)).astype(np.int64))
+                counts.append(zlib.compress(b"".join(own.hashed(i, i + 1).tobytes() for i in use), 1) if len(use) else b"")
+                figures.append(own.figures[use].astype(np.float32).tobytes() if len(use) else b"")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), pa.array(counts, pa.binary()), pa.array(figures, pa.binary())], ["doc_id", "label", "counts", "figures"])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit on the SAMPLE labelled documents that come first by hash; None without two classes."""
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    # of rows that repeat an id one is enough to learn from: the sample stays within its bound
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.join(F.broadcast(picked), "doc_id").mapInArrow(_bags, "doc_id long, label int, passages binary").orderBy("doc_id").collect()
-    rows = sorted((r for r in rows if r["passages"]), key=lambda r: (r["doc_id"], bytes(r["passages"])))
+    bags = texts.join(F.broadcast(picked), "doc_id").mapInArrow(_bags, "doc_id long, label int, counts binary, figures binary").where(F.length("counts") > 0)
+    rows = bags.groupBy("doc_id", "label").agg(F.min(F.struct("counts", "figures")).alias("b")).select("doc_id", "label", "b.*").orderBy("doc_id").collect()
     if len({r["label"] for r in rows}) < 2:
         return None
-    x = [np.frombuffer(r["passages"], np.float32).reshape(-1, FEATURES) for r in rows]
-    bag = np.repeat(np.arange(len(x)), [len(v) for v in x])
-    return fit(np.concatenate(x).astype(np.float64), bag, np.array([r["label"] for r in rows], float))
+    counts = [np.frombuffer(zlib.decompress(r["counts"]), np.uint8).reshape(-1, HASHED) for r in rows]
+    figures = np.concatenate([np.frombuffer(r["figures"], np.float32) for r in rows]).reshape(-1, FIGURES)
+    bag = np.repeat(np.arange(len(rows)), [len(c) for c in counts])
+    return fit(joined(np.concatenate(counts), figures), bag, np.array([r["label"] for r in rows], float))
 
 
 def scorer(model: Model | None, keep_from: float | None = None):
     """A function for mapInArrow. It adds the score, or with keep_from keeps the rows that reach it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PassageEncoder()
+        hasher = WordHasher()
         for batch in batches:
-            parts = [scores(model, encoder, data, offsets) for _, _, data, offsets in chunks(batch.column("text"))]
+            parts = [scores(model, hasher, data, offsets) for _, _, data, offsets in chunks(batch.column("text"))]
             score = np.concatenate(parts) if parts else np.zeros(0)
             if keep_from is None:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])

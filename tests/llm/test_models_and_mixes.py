@@ -45,17 +45,74 @@ def test_classifier_odd_rows(spark, odd_rows, no_rows):
     assert quality_model.keep_good(odd_rows, none).columns == odd_rows.columns
 
 
-def test_attention_gradient_is_right():
-    """One step on a tiny bag set lowers the loss, and an informative passage gets the weight."""
+def test_attention_learns_the_passage_that_tells():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(400, quality_model.FEATURES))
+    x = rng.normal(size=(400, quality_model.FEATURES)) * 0.1
     bag = np.repeat(np.arange(80), 5)
     label = (rng.random(80) < 0.5).astype(float)
     x[::5, 0] = np.where(label == 1, 4, -4)
     model = quality_model.fit(x, bag, label)
     r = model.forward(x, bag, 80)
     assert ((r["out"] >= 0.5) == (label == 1)).mean() > 0.97
-    assert np.bincount(bag, weights=r["a"]) == pytest.approx(np.ones(80))
+    assert np.bincount(bag, weights=r["a"]) == pytest.approx(np.ones(80), rel=1e-5)
+
+
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(2)
+    n = quality_model.HASHED + 1
+    x, bag, label = rng.normal(size=(12, n)), np.repeat(np.arange(4), 3), np.array([0.0, 1.0, 1.0, 0.0])
+    k = 3
+    weights = {"E": rng.normal(0, 0.1, (n, k)), "e": rng.normal(size=k), "V": rng.normal(size=(k, k)), "G": rng.normal(size=(k, k)), "a": rng.normal(size=k), "c": rng.normal(size=k), "d": rng.normal(size=1)}
+    model = quality_model.Model(np.zeros(n), np.ones(n), weights)
+
+    def loss():
+        out = model.forward(x, bag, 4)["out"]
+        return -np.mean(label * np.log(out) + (1 - label) * np.log(1 - out))
+
+    grad = model.gradient(model.forward(x, bag, 4), bag, label)
+    for name, w in weights.items():
+        for at in [tuple(rng.integers(0, m) for m in w.shape) for _ in range(6)]:
+            old, step = w[at], 1e-4
+            w[at] = old + step
+            up = loss()
+            w[at] = old - step
+            down = loss()
+            w[at] = old
+            assert grad[name][at] == pytest.approx((up - down) / (2 * step), rel=2e-2, abs=1e-5), name
+
+
+def test_passages_against_brute_force(texts):
+    """Words, trigrams and figures of every passage, recomputed from the text."""
+    from chronolake.llm.words import WordHasher
+
+    some = [t or "" for t in list(texts.values())[:60]] + ["", " \n ", "one", "é 日本語 " * 90, "a" * 5000]
+    raw = [t.encode() for t in some]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw]))
+    own = quality_model.Passages(WordHasher(), data, offsets)
+    at = 0
+    for k, r in enumerate(raw):
+        words = [w for w in r.split()]
+        for lo in range(0, len(words), quality_model.PASSAGE):
+            part = words[lo : lo + quality_model.PASSAGE]
+            counts, figures = own.hashed(at, at + 1)[0].astype(int), own.figures[at]
+            assert own.owner[at] == k and counts[: quality_model.WORDS].sum() == len(part)
+            assert figures[1] == pytest.approx(len({w.lower() for w in part}) / len(part)) and figures[3] == pytest.approx(np.log1p(len(part)))
+            length = int(own.upto[at] - own.first[at])
+            tri = Counter(data[own.first[at] + j : own.first[at] + j + 3].tobytes().lower() for j in range(length - 2))
+            if max(tri.values(), default=0) < 200:
+                assert counts[quality_model.WORDS :].sum() == sum(tri.values()) and np.count_nonzero(counts[quality_model.WORDS :]) <= len(tri)
+            at += 1
+    assert at == len(own.owner)
+
+
+def test_fit_input_is_bounded(spark):
+    """A very long text and rows that repeat an id give no more than BAG passages each."""
+    rows = [(1, "good words in a row " * 60_000, 1), (2, "#$% ### |||| " * 100, 0), (3, "some more plain text " * 40, 1), (3, "some more plain text " * 41, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    out = df.mapInArrow(quality_model._bags, "doc_id long, label int, counts binary, figures binary").collect()
+    assert all(len(r["figures"]) <= quality_model.BAG * quality_model.FIGURES * 4 and len(zlib.decompress(r["counts"])) <= quality_model.BAG * quality_model.HASHED for r in out)
+    model = quality_model.train(df, df.selectExpr("doc_id", "label as quality"))
+    assert model is not None
 
 
 # --- chat ----------------------------------------------------------------------------------------------
