@@ -69,13 +69,13 @@ def board_of_listing(symbol: Column) -> Column:
 def entity_id(code: Column) -> Column:
     """Six digits and market suffix; null unless the value holds exactly six digits."""
     digits = F.regexp_replace(F.coalesce(code.cast("string"), F.lit("")), r"\D", "")
-    suffix = first_match([(starts_with(digits, "569"), ".SH"), (starts_with(digits, "0123"), ".SZ"), (starts_with(digits, "48"), ".BJ")], "")
+    suffix = first_match([(starts_with(digits, ("5", "6", "9")), ".SH"), (starts_with(digits, ("0", "1", "2", "3")), ".SZ"), (starts_with(digits, ("4", "8")), ".BJ")], "")
     return F.when(F.length(digits) == 6, F.concat(digits, suffix))
 
 
 def provider_code(code: Column, dot: bool) -> Column:
     """Exchange prefix before a six-digit code: sh.600000 with a dot, sh600000 without."""
-    market = first_match([(starts_with(code, "569"), "sh"), (starts_with(code, "48"), "bj")], "sz")
+    market = first_match([(starts_with(code, ("5", "6", "9")), "sh"), (starts_with(code, ("4", "8")), "bj")], "sz")
     return F.concat(market, F.lit("." if dot else ""), code)
 
 
@@ -113,7 +113,9 @@ COLLABORATION = ("药品授权合作", "药品合作", "药物合作", "新药",
 AUDIT_TOKENS = (
     "终止临床", "临床试验终止", "临床失败", "撤回药品注册申请", "突破性治疗",
     "上市许可申请", "优先审评", "受理", "获受理", "获得药品注册批准", "药品注册批准",
-    "获批上市", "批准上市", "临床试验批准通知书", "临床试验批准", *AGREEMENTS, "合作协议", *COLLABORATION,
+    "获批上市", "批准上市", "临床试验批准通知书", "临床试验批准",
+    "许可协议", "授权协议", "独家许可", "合作及许可协议", "许可及合作协议", "合作协议",
+    "药品授权合作", "药品合作", "药物合作", "新药", "研发合作", "临床合作", "治疗合作", "商业化合作", "里程碑付款", "里程碑支付",
 )
 
 
@@ -332,3 +334,30 @@ def has_clock(text: Column) -> Column:
 
 def query_parameter(url: Column, name: str) -> Column:
     return F.regexp_extract(url, rf"[?&]{name}=([^&#]*)", 1)
+
+
+#: Units of amounts and what they are in yuan: fixed values.
+YUAN = {"CNY": 1, "CNY_100M": 100_000_000}
+
+
+def to_yuan(value: Column, unit: Column) -> tuple[Column, Column]:
+    """(amount in yuan as decimal(28,2), whether the unit is unknown); unknown and null units give no amount."""
+    scale = F.create_map(*(x for k, v in YUAN.items() for x in (F.lit(k), F.lit(v).cast("decimal(10,0)"))))[unit]
+    return (value.cast("decimal(18,2)") * scale).cast("decimal(28,2)"), scale.isNull()
+
+
+def availability_basis(published: Column, approved: Column, observed: Column) -> Column:
+    """struct(event_date, basis, reconstructable): the publication day, else the approval day, else the day it was first seen.
+
+    Only the first two can be rebuilt later. All null gives a null day and no basis.
+    """
+    day = F.coalesce(published, approved, observed)
+    basis = F.when(published.isNotNull(), "PUBLICATION_DATE").when(approved.isNotNull(), "APPROVAL_DATE").when(observed.isNotNull(), "FIRST_OBSERVED")
+    return F.struct(day.alias("event_date"), basis.alias("basis"), (published.isNotNull() | approved.isNotNull()).alias("reconstructable"))
+
+
+def enriched(provenance: Column, added: dict[str, Column]) -> Column:
+    """A flat JSON object with more fields; a field that it has already keeps its value, null or broken JSON counts as empty."""
+    old = F.coalesce(F.from_json(provenance, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    new = F.create_map(*(x for k, v in added.items() for x in (F.lit(k), v.cast("string"))))
+    return F.to_json(F.map_concat(F.map_filter(new, lambda k, _: ~F.map_contains_key(old, k)), old))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chronolake.functions.text import normalized_text
 
 #: Labels of the standard facts, and the factors of units: fixed values.
 FACT_LABELS = [
@@ -37,18 +38,127 @@ def declared_unit(rows: DataFrame, reach: int = 20, wrapped: int = 5, key: str =
     return nearest_above(rows, F.when(starts, own), "unit", reach, key).drop("__next")
 
 
+#: Labels of the income drivers, and the words in a heading that open a statement: fixed values.
+DRIVER_LABELS = [
+    ("营业利润", "OPERATING_PROFIT_CN_GAAP"),
+    ("利润总额", "TOTAL_PROFIT_CN_GAAP"),
+    ("所得税费用", "INCOME_TAX_EXPENSE_CN_GAAP"),
+    ("减:所得税费用", "INCOME_TAX_EXPENSE_CN_GAAP"),
+]
+STATEMENTS = ["资产负债表", "利润表", "现金流量表", "所有者权益变动表"]
+#: A number, negative with a sign or in brackets, that is no part of another.
+NUMBER = r"(?<![0-9.])(?:-?[0-9][0-9,]*(?:[.][0-9]+)?|[(][0-9][0-9,]*(?:[.][0-9]+)?[)])(?![0-9.])"
+
+
+def wrapped(label: str) -> str:
+    """A pattern for a label whose characters may be apart, over lines too."""
+    return r"\s*".join(label)
+
+
+def number_of(text: Column) -> Column:
+    """The value of a number as filings write it; brackets are a minus."""
+    plain = F.regexp_replace(text, "[(),]", "")
+    value = plain.try_cast("double")
+    return F.when(text.startswith("("), -value).otherwise(value)
+
+
+def filing_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, line_no, line, unit, row_text, statement of normalised filing texts: the logical row and unit of each line, and its statement."""
+    clean = docs.select(key, F.replace(normalized_text(F.col(text)), F.lit("／"), F.lit("/")).alias(text))
+    rows = logical_rows(declared_unit(lines(clean, key, text), key=key), key=key)
+    compact = F.regexp_replace("line", r"\s+", "")
+    opens = F.filter(F.array(*(F.when(compact.endswith(s) & (F.length(compact) <= 20), F.lit(s)) for s in STATEMENTS)), lambda x: x.isNotNull())
+    w = in_order(key).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("statement", F.last(F.get(opens, F.lit(0)), ignorenulls=True).over(w))
+
+
+def labelled_numbers(rows: DataFrame, labels: list[tuple[str, str]], key: str = "doc_id") -> DataFrame:
+    """key, line_no, unit, statement, fact, between, cells, physical: each logical row that a label begins in.
+
+    between is the text from the label to its first number without white space, cells the numbers after the
+    label, physical whether the line itself begins with the label.
+    """
+    hits = []
+    for label, fact in labels:
+        at = F.regexp_instr("row_text", F.lit(wrapped(label)))
+        rest = F.regexp_extract("row_text", f"(?s){wrapped(label)}(.*)", 1)
+        own = F.regexp_replace("line", r"\s+|^[一二三四五六七八九十]+、", "").startswith(label)
+        hits.append(F.when(at.between(1, F.length("line")), F.struct(F.lit(fact).alias("fact"), rest.alias("rest"), own.alias("physical"))))
+    found = rows.select(key, "line_no", "unit", "statement", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h")).select(key, "line_no", "unit", "statement", "h.*")
+    cells = F.transform(F.regexp_extract_all("rest", F.lit(NUMBER), F.lit(0)), number_of)
+    between = F.regexp_replace(F.get(F.split("rest", NUMBER, 2), F.lit(0)), r"\s+", "")
+    return found.select(key, "line_no", "unit", "statement", "fact", "physical", between.alias("between"), cells.alias("cells")).where(F.size("cells") > 0)
+
+
+def _scale(unit: Column) -> Column:
+    return F.create_map(*(x for k, v in UNIT_SCALE.items() for x in (F.lit(k), F.lit(v))))[unit]
+
+
 def standard_facts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, fact, value of filing texts: the first labelled number in the nearest declared unit; per-share values are not scaled.
+    """key, fact, value of filing texts: for each fact the first labelled number under a declared unit, in yuan.
+
+    Parent equity comes first from a balance sheet row with exactly two numbers. Earnings per share need 元/股
+    between label and number, or the unit 元, and are not scaled. The margin is derived where revenue is not
+    zero. A number without a declared unit above is no amount. Null and empty texts give no rows.
+    """
+    rows = labelled_numbers(filing_rows(docs, key, text), FACT_LABELS, key)
+    share = F.col("fact") == "BASIC_EPS"
+    value = F.when(share, F.get("cells", F.lit(0))).otherwise(F.get("cells", F.lit(0)) * _scale(F.col("unit")))
+    proven = share & F.col("between").contains("元/股")
+    held = (F.col("fact") == "EQUITY_PARENT") & (F.col("statement") == "资产负债表") & F.col("physical") & (F.size("cells") == 2)
+    rows = rows.withColumn("value", F.when(~share | proven | (F.col("unit") == "元"), value)).where("value is not null")
+    rank = F.struct(F.when(F.coalesce(proven | held, F.lit(False)), 0).otherwise(1).alias("way"), "line_no")
+    facts = rows.groupBy(key, "fact").agg(F.min_by("value", rank).alias("value"))
+    of = lambda name: F.max(F.when(F.col("fact") == name, F.col("value")))
+    margin = facts.groupBy(key).agg(F.try_divide(of("NET_PROFIT_PARENT"), of("OPERATING_REVENUE")).alias("value")).where("value is not null")
+    return facts.unionByName(margin.select(key, F.lit("NET_PROFIT_MARGIN").alias("fact"), "value"))
+
+
+def driver_facts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, fact, value: operating profit, total profit and income tax from lines of an income statement under a declared unit."""
+    rows = labelled_numbers(filing_rows(docs, key, text), DRIVER_LABELS, key)
+    rows = rows.where("statement = '利润表' and physical").withColumn("value", F.get("cells", F.lit(0)) * _scale(F.col("unit"))).where("value is not null")
+    return rows.groupBy(key, "fact").agg(F.min_by("value", "line_no").alias("value"))
+
+
+def html_rows(pages: DataFrame, element: str = "li", key: str = "page_id", html: str = "html") -> DataFrame:
+    """key, item: the inside of each closed element of a kind, in page order, repeats included; nested ones end at the first close."""
+    return pages.select(key, F.explode(F.regexp_extract_all(html, F.lit(f"(?is)<{element}(?:\\s[^>]*)?>(.*?)</{element}>"), F.lit(1))).alias("item"))
+
+
+def sheet_changes(cells: DataFrame, names: list[str], key: str = "sheet") -> DataFrame:
+    """key, row and a column for each name, of sheets given as cells (key, row, col, value).
+
+    The first row that holds all names is the header; it says which column is which, wherever it stands. Sheets
+    without such a row give nothing.
+    """
+    named = cells.where(F.col("value").isin(names))
+    head = named.groupBy(key, "row").agg(F.count_distinct("value").alias("n"), F.map_from_entries(F.collect_set(F.struct("value", "col"))).alias("at")).where(F.col("n") == len(names))
+    head = head.groupBy(key).agg(F.min("row").alias("head"), F.min_by("at", "row").alias("at"))
+    body = cells.join(head, key).where(F.col("row") > F.col("head"))
+    return body.groupBy(key, "row").agg(*(F.max(F.when(F.col("col") == F.col("at")[n], F.col("value"))).alias(n) for n in names))
+
+
+def materialised_facts(filings: DataFrame, calendar: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(facts, coverage) of filings (key, entity, title, published, text).
 
-    A line without a declared unit above gives no amount. Null and empty texts give no rows.
+    Of the filings of an entity and period the best presentation stays (a full report before a body or an
+    abstract, a later publication before an earlier one); a filing is known from the first session after its
+    publication. Coverage says for each filing whether it was not chosen, gave facts, or had none (a soft gap).
     """
-    rows = logical_rows(declared_unit(lines(docs, key, text), key=key), key=key)
-    scale = F.create_map(*(x for k, v in UNIT_SCALE.items() for x in (F.lit(k), F.lit(v))))[F.col("unit")]
-    labels = docs.sparkSession.createDataFrame(FACT_LABELS, "label string, fact string")
-    scaled = rows.withColumn("scale", scale)
-    found = labelled_values(rows, labels, key=key).join(scaled.select(key, "line_no", "scale"), [key, "line_no"])
-    value = F.when(F.col("fact") == "BASIC_EPS", F.col("value")).otherwise(F.col("value") * F.col("scale"))
-    return found.select(key, "fact", value.alias("value")).where("value is not null")
+    from chronolake.functions.scalars import presentation, report_period
+    from chronolake.operators.calendar import available
+    from chronolake.operators.contracts import keep_last
+
+    rows = filings.withColumn("period", report_period(F.col("title"))).withColumn("kind", presentation(F.col("title")))
+    rows = available(rows, "published", calendar)
+    best = F.when(F.col("kind") == "FULL_OR_CANONICAL", 2).when(F.col("kind") == "BODY", 1).otherwise(0)
+    chosen = keep_last(rows.where("period is not null and available is not null"), ["entity", "period"], [best.desc(), F.col("published").desc(), F.col(key).desc()])
+    facts = standard_facts(chosen, key).join(chosen.select(key, "entity", "period", "available"), key).select(key, "entity", "period", "available", "fact", "value")
+    counts = facts.groupBy(key).agg(F.count("*").alias("facts"))
+    states = filings.select(key).join(chosen.select(key, F.lit(True).alias("chosen")), key, "left").join(counts, key, "left")
+    state = F.when(F.col("chosen").isNull(), "NOT_CHOSEN").when(F.col("facts").isNull(), "SOFT_NO_FACT").otherwise("PARSED")
+    return facts, states.select(key, F.coalesce("facts", F.lit(0)).alias("facts"), state.alias("state"))
 
 
 def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -31,11 +31,11 @@ def interval_join(rows: DataFrame, intervals: DataFrame, key: str, date: str, st
 
 def member_days(intervals: DataFrame, cal: DataFrame, key: str = "sym") -> DataFrame:
     """One row for each session of each interval: (key, d). The calendar is small; intervals are expanded through its slots."""
-    # the calendar travels as one sorted array, so that no range join is needed
-    days = cal.agg(F.sort_array(F.collect_list(F.struct("d", "slot"))).alias("all"))
-    bounds = intervals.crossJoin(F.broadcast(days))
-    inside = F.filter("all", lambda x: (x["d"] >= F.col("s")) & (x["d"] <= end_of(F.col("e"))))
-    return bounds.select(key, F.explode(inside).alias("x")).select(key, F.col("x.d").alias("d"), F.col("x.slot").alias("slot"))
+    # each interval unfolds its own days within the calendar's; the calendar, a row a session, says which are sessions
+    ends = cal.agg(F.min("d").alias("__lo"), F.max("d").alias("__hi"))
+    bounds = intervals.crossJoin(F.broadcast(ends)).select(key, F.greatest("s", "__lo").alias("__s"), F.least(end_of(F.col("e")), F.col("__hi")).alias("__e"))
+    days = bounds.where("__s <= __e").select(key, F.explode(F.sequence("__s", "__e", F.expr("interval 1 day"))).alias("d"))
+    return days.join(F.broadcast(cal.select("d", "slot")), "d").select(key, "d", "slot")
 
 
 def clip(intervals: DataFrame, lo: Column, hi: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake.operators.calendar import slots
@@ -62,6 +62,35 @@ def event_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots(d.where("weekday(d) < 5"))
 
 
+def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, entity, title, published, text: a filing of each customer, in the layouts that extracted filing text comes in.
+
+    Four ways to declare the unit of the summary (yuan, ten thousand yuan, thousand yuan over three lines, none), wrapped
+    labels, amounts in brackets, a value per share, and two statements with units of their own; one in sixteen holds no table.
+    """
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_acctbal")
+    k = F.col("k")
+    amount = lambda x: F.format_number(x, 2)
+    line = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts), F.lit("\n"))
+    unit = F.when(k % 4 == 0, line("单位：元 币种：人民币")).when(k % 4 == 1, line("单位：人民币万元")).when(k % 4 == 2, line("单\u200b 位 ：\n人 民 币\n千 元")).otherwise("")
+    cash = F.when(k % 3 == 0, F.concat(F.lit("("), amount(k + 0.5), F.lit(")"))).otherwise(amount(k + 0.5))
+    ends = F.when(k % 5 == 0, "项目 期初余额 期末余额").otherwise("项目 期末余额 期初余额")
+    text = F.concat(
+        line("3.1 近3年的主要会计数据和财务指标"), unit,
+        line("总资产 ", amount("c_acctbal"), " 255,168.90 -0.31"),
+        line("营业收入 ", amount(k * 8 + 0.5), " 106,190.76 16.87"),
+        line("归属于上市公司股东的净\n利润\n", amount(k * 3 + 0.25), " 52,460.16 19.55"),
+        line("经营活动产生的现金流量\n净额\n", cash, " 64,028.37 -42.68"),
+        line("归属于上市公司股东的净资产 99.00 98.00 1.02"),
+        line("基本每股收益（元／股） ", amount((k % 90) / 4), " 41.76"),
+        line("合并资产负债表\n单位：万元"), line(ends), line("归属于母公司所有者权益 ", amount(k + 0.5), " 11.00"),
+        line("合并利润表\n单位：千元"), line("一、营业利润 ", amount(k + 0.25), " 9.00"), line("二、利润总额 (", amount(k % 1000), ") 8.00"), line("减：所得税费用 ", amount(k % 7), " 7.00"),
+    )
+    title = F.concat(((k % 6) + 2001).cast("string"), F.lit("年年度报告"), F.when(k % 5 == 1, "摘要").otherwise(""))
+    published = F.date_add(F.lit("1998-05-01").cast("date"), (k % 97).cast("int")).cast("string")
+    return c.select(k.alias("doc_id"), F.floor(k / 30).alias("entity"), title.alias("title"), published.alias("published"), F.when(k % 16 == 7, "本公司无表格").otherwise(text).alias("text"))
+
+
 SQL = {
     "v_cal": "v_cal AS (SELECT d, row_number() OVER (ORDER BY d) AS slot FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) WHERE isodow(d) < 6)",
     "v_bars": "v_bars AS (SELECT b.* FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_suppkey AS sym, max(l_extendedprice) AS px, sum(l_quantity) AS vol FROM lineitem GROUP BY 1, 2) b JOIN v_cal USING (d))",
@@ -69,9 +98,12 @@ SQL = {
     "v_adjust": "v_adjust AS (SELECT s AS ed, sym, 'in' AS side FROM v_member UNION ALL SELECT e + 1, sym, 'out' FROM v_member)",
     "v_facts": "v_facts AS (SELECT *, pe + CASE ver WHEN 'P' THEN 80 ELSE 25 END AS av FROM (SELECT c_nationkey AS ent, (date_trunc('quarter', CAST(o_orderdate AS DATE)) + INTERVAL 3 MONTH - INTERVAL 1 DAY)::DATE AS pe, o_orderpriority AS ft, o_orderstatus AS ver, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS val FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4))",
     "v_annc": "v_annc AS (SELECT event_id AS doc, user_id AS ent, ts AS pub, event_type AS cls, value FROM events)",
+    # the values that the filings were made from, in yuan
+    "v_filings": "v_filings AS (SELECT c_custkey AS k, c_custkey // 30 AS entity, c_custkey % 6 + 2001 AS period_year, c_custkey % 5 = 1 AS abstract, DATE '1998-05-01' + (c_custkey % 97)::INT AS published, c_acctbal, CASE c_custkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 10000.0 WHEN 2 THEN 1000.0 END AS scale, c_custkey % 16 <> 7 AS tables FROM customer)",
+    "v_filed": "v_filed AS (SELECT doc_id, fact, value::DOUBLE AS value FROM (SELECT k AS doc_id, unnest([{'fact': 'TOTAL_ASSETS', 'value': c_acctbal * scale}, {'fact': 'OPERATING_REVENUE', 'value': (k * 8 + 0.5) * scale}, {'fact': 'NET_PROFIT_PARENT', 'value': (k * 3 + 0.25) * scale}, {'fact': 'OPERATING_CASH_FLOW_NET', 'value': CASE WHEN k % 3 = 0 THEN -1 ELSE 1 END * (k + 0.5) * scale}, {'fact': 'EQUITY_PARENT', 'value': (k + 0.5) * 10000.0}, {'fact': 'BASIC_EPS', 'value': (k % 90) / 4.0}, {'fact': 'NET_PROFIT_MARGIN', 'value': ((k * 3 + 0.25) * scale)::DOUBLE / ((k * 8 + 0.5) * scale)::DOUBLE}]) AS f FROM v_filings WHERE tables), LATERAL (SELECT f.fact AS fact, f.value AS value) WHERE value IS NOT NULL)",
     "v_ecal": "v_ecal AS (SELECT d, row_number() OVER (ORDER BY d) AS slot FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events) WHERE isodow(d) < 6)",
 }
-NEEDS = {"v_bars": ("v_cal",), "v_adjust": ("v_member",)}
+NEEDS = {"v_bars": ("v_cal",), "v_filed": ("v_filings",), "v_adjust": ("v_member",)}
 
 
 def sql(names: str, body: str) -> str:

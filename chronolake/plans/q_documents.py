@@ -30,9 +30,11 @@ def scoped_lines(spark, sf):
     return D.scoped(lines(spark, sf), header()).select("doc_id", "line_no", "block", "scope")
 
 
-@query("doc_2_nearest_unit", "", f"WITH {LINES} SELECT doc_id, line_no, last_value(nullif(regexp_extract(line, '([0-9]+)', 1), '') IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no RANGE BETWEEN 3 PRECEDING AND CURRENT ROW) AS unit FROM ln")
+@query("doc_2_nearest_unit", "v_filings", "SELECT k AS doc_id, CASE WHEN tables THEN CASE k % 4 WHEN 0 THEN '元' WHEN 1 THEN '万元' WHEN 2 THEN '千元' END END AS summary, CASE WHEN tables THEN '万元' END AS balance, CASE WHEN tables THEN '千元' END AS income FROM v_filings")
 def nearest_unit(spark, sf):
-    return D.nearest_above(lines(spark, sf), F.nullif(F.regexp_extract("line", "([0-9]+)", 1), F.lit("")), "unit", 3).select("doc_id", "line_no", "unit")
+    rows = D.filing_rows(X.filings(spark, sf))
+    at = lambda word: F.max(F.when(F.col("line").contains(word), F.col("unit")))
+    return rows.groupBy("doc_id").agg(at("总资产").alias("summary"), at("母公司所有者").alias("balance"), at("营业利润").alias("income"))
 
 
 LOGICAL = f"""{LINES}, nx AS (SELECT doc_id, line_no, list(line) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS n FROM ln),
@@ -44,20 +46,10 @@ def logical_rows(spark, sf):
     return D.logical_rows(lines(spark, sf)).select("doc_id", "line_no", F.sha2("row_text", 256).alias("row_hash"))
 
 
-LABELS = [("token", "TOKEN"), ("mail", "MAIL"), ("the", "ENGLISH"), ("der", "GERMAN"), ("que", "ROMANCE")]
-LABEL_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in LABELS) + ") l(label, fact)"
-NUMBER = "try_cast(replace(regexp_extract(row_text, '(-?[0-9][0-9,]*(?:[.][0-9]+)?)', 1), ',', '') AS DOUBLE)"
-FACTS = f"{LOGICAL}, f AS (SELECT doc_id, fact, min(line_no) AS line_no, arg_min(v, line_no) AS value FROM (SELECT doc_id, line_no, fact, {NUMBER} AS v FROM lr JOIN {LABEL_SQL} ON strpos(row_text, label) BETWEEN 1 AND length(line)) WHERE v IS NOT NULL GROUP BY doc_id, fact)"
-
-
-def fact_rows(spark, sf):
-    labels = spark.createDataFrame(LABELS, "label string, fact string")
-    return D.labelled_values(D.logical_rows(lines(spark, sf)), labels)
-
-
-@query("doc_4_standard_facts", "", f"WITH {FACTS} SELECT * FROM f")
+@query("doc_4_standard_facts", "v_filed", "SELECT doc_id, fact, round(value, 6) AS value FROM v_filed")
 def standard_facts(spark, sf):
-    return fact_rows(spark, sf)
+    """The SQL has the values that the texts were made from; nothing of it reads a text."""
+    return D.standard_facts(X.filings(spark, sf)).withColumn("value", F.round("value", 6))
 
 
 CELLS = f"""{LINES}, ce AS (SELECT doc_id, line_no, line, regexp_extract_all(replace(line, ' ', '  '), '(?:^|\\s)(-?[0-9][0-9,.]*|[-–—])(?:\\s|$)', 1) AS cells FROM ln),
@@ -83,9 +75,9 @@ def row_evidence(spark, sf):
     return rows.select("doc_id", "line_no", F.when(dash, "DASH").otherwise("NUMERIC").alias("cell_kind"), F.sha2("line", 256).alias("row_hash"))
 
 
-@query("doc_8_layout_proof", "", f"WITH {LINES} SELECT doc_id, line_no, strpos(line, 'the')::INT AS \"left\", strpos(line, 'of')::INT AS \"right\", strpos(line, 'the') < strpos(line, 'of') AS current_first FROM ln WHERE contains(line, 'the') AND contains(line, 'of')")
+@query("doc_8_layout_proof", "v_filings", "SELECT k AS doc_id, CASE WHEN k % 5 = 0 THEN 9 ELSE 4 END AS \"left\", CASE WHEN k % 5 = 0 THEN 4 ELSE 9 END AS \"right\", k % 5 <> 0 AS current_first FROM v_filings WHERE tables")
 def layout_proof(spark, sf):
-    return D.layout_proof(X.table(spark, sf, "documents"), ["the", "of"])
+    return D.layout_proof(X.filings(spark, sf), ["期末余额", "期初余额"]).select("doc_id", "left", "right", "current_first")
 
 
 @query("doc_9_biggest_block", "", f"WITH {SCOPE}, b AS (SELECT doc_id, block, count(*) AS n FROM sc WHERE block > 0 GROUP BY 1, 2) SELECT doc_id, max(n) AS n_rows, count(*) > 1 AS conflict FROM (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY n DESC) AS rk FROM b) WHERE rk = 1 GROUP BY doc_id")
@@ -95,9 +87,9 @@ def biggest_block(spark, sf):
     return top.groupBy("doc_id").agg(F.max("n").alias("n_rows"), (F.count("*") > 1).alias("conflict"))
 
 
-@query("doc_10_driver_facts", "", f"WITH {FACTS} SELECT doc_id, value FROM f WHERE fact = 'TOKEN'")
+@query("doc_10_driver_facts", "v_filings", "SELECT k AS doc_id, f.fact, round(f.value, 6) AS value FROM (SELECT k, unnest([{'fact': 'OPERATING_PROFIT_CN_GAAP', 'value': (k + 0.25) * 1000.0}, {'fact': 'TOTAL_PROFIT_CN_GAAP', 'value': -(k % 1000) * 1000.0}, {'fact': 'INCOME_TAX_EXPENSE_CN_GAAP', 'value': (k % 7) * 1000.0}]) AS f FROM v_filings WHERE tables)")
 def driver_facts(spark, sf):
-    return fact_rows(spark, sf).where("fact = 'TOKEN'").select("doc_id", "value")
+    return D.driver_facts(X.filings(spark, sf)).withColumn("value", F.round("value", 6))
 
 
 @query("doc_11_note_section", "", f"WITH {SCOPE}, f AS (SELECT doc_id, min(block) AS b FROM sc WHERE is_header AND length(line) <= 20 GROUP BY doc_id) SELECT doc_id, min(line_no) AS start_line, sha256(string_agg(line, chr(10) ORDER BY line_no)) AS section_hash FROM sc JOIN f USING (doc_id) WHERE block = b GROUP BY doc_id")
@@ -107,7 +99,7 @@ def note_section(spark, sf):
 
 @query("doc_12_html_rows", "", "SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS item FROM pages")
 def html_rows(spark, sf):
-    return X.table(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<li>(.*?)</li>"), F.lit(1))).alias("item"))
+    return D.html_rows(X.table(spark, sf, "pages"))
 
 
 @query("doc_13_links", "", "SELECT DISTINCT page_id, href FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\\s[^>]*href=\"([^\"]*)\"', 1)) AS href FROM pages) WHERE regexp_matches(href, '^/[a-z]')")
@@ -115,27 +107,27 @@ def page_links(spark, sf):
     return D.links(X.table(spark, sf, "pages"), "html", "^/[a-z]")
 
 
-@query("doc_14_sheet_changes", "", "SELECT p_partkey % 50 AS sheet, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FILTER (p_size % 2 = 0) AS added, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FILTER (p_size % 2 = 1) AS removed FROM part GROUP BY 1")
+@query("doc_14_sheet_changes", "", "SELECT p_partkey // 40 AS sheet, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FILTER (p_size % 2 = 0) AS added, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FILTER (p_size % 2 = 1) AS removed FROM part GROUP BY 1")
 def sheet_changes(spark, sf):
-    """A cell table with a header row below a title row; the header names the columns, the rows are the changes."""
-    p = X.table(spark, sf, "part").select((F.col("p_partkey") % 50).alias("sheet"), (F.col("p_partkey") + 10).alias("row"), F.col("p_partkey").cast("string").alias("code"), F.when(F.col("p_size") % 2 == 0, "add").otherwise("remove").alias("side"))
-    cells = p.select("sheet", "row", F.explode(F.array(F.struct(F.lit(0).alias("col"), F.col("side").alias("value")), F.struct(F.lit(1).alias("col"), F.col("code").alias("value")))).alias("c")).select("sheet", "row", "c.*")
-    sheets = p.select("sheet").distinct()
-    head = sheets.select("sheet", F.lit(2).cast("long").alias("row"), F.explode(F.array(F.struct(F.lit(0).alias("col"), F.lit("side").alias("value")), F.struct(F.lit(1).alias("col"), F.lit("code").alias("value")))).alias("c")).select("sheet", "row", "c.*")
-    cells = cells.unionByName(head)
-    header_row = cells.groupBy("sheet", "row").agg(F.collect_set("value").alias("v")).where(F.array_contains("v", "side") & F.array_contains("v", "code")).groupBy("sheet").agg(F.min("row").alias("hrow"))
-    body = cells.join(header_row, "sheet").where("row > hrow")
-    rows = body.groupBy("sheet", "row").agg(F.max(F.when(F.col("col") == 0, F.col("value"))).alias("side"), F.max(F.when(F.col("col") == 1, F.col("value"))).alias("code"))
+    """A cell table with a header row below a title row; the header names the columns, in either order."""
+    p = X.table(spark, sf, "part").select(F.floor(F.col("p_partkey") / 40).alias("sheet"), (F.col("p_partkey") + 10).alias("row"), F.col("p_partkey").cast("string").alias("code"), F.when(F.col("p_size") % 2 == 0, "add").otherwise("remove").alias("side"))
+    turn = (F.col("sheet") % 2).cast("int")
+    cell = lambda col, value: F.struct(col.alias("col"), value.alias("value"))
+    both = lambda side, code: F.explode(F.array(cell(turn, side), cell(1 - turn, code))).alias("c")
+    body = p.select("sheet", "row", both(F.col("side"), F.col("code")))
+    heads = p.select("sheet").distinct()
+    head = heads.select("sheet", F.lit(2).cast("long").alias("row"), both(F.lit("side"), F.lit("code"))).unionByName(heads.select("sheet", F.lit(1).cast("long").alias("row"), cell(F.lit(0), F.lit("side")).alias("c")))
+    rows = D.sheet_changes(body.unionByName(head).select("sheet", "row", "c.*"), ["side", "code"])
     pick = lambda s: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == s, F.struct("row", "code")))), lambda x: x["code"]), ",")
     return rows.groupBy("sheet").agg(F.nullif(pick("add"), F.lit("")).alias("added"), F.nullif(pick("remove"), F.lit("")).alias("removed"))
 
 
-@query("doc_15_parser_replay", "", f"WITH {FACTS}, n AS (SELECT doc_id, fact, CASE WHEN fact = 'MAIL' THEN value + 1 ELSE value END AS value FROM f WHERE NOT (fact = 'GERMAN' AND doc_id % 2 = 0)) SELECT coalesce(f.doc_id, n.doc_id) AS doc_id, coalesce(f.fact, n.fact) AS fact, CASE WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM f FULL OUTER JOIN n ON f.doc_id = n.doc_id AND f.fact = n.fact WHERE n.doc_id IS NULL OR f.value IS DISTINCT FROM n.value")
+@query("doc_15_parser_replay", "v_filed", ", n AS (SELECT doc_id, fact, CASE WHEN fact = 'TOTAL_ASSETS' THEN value + 1 ELSE value END AS value FROM v_filed WHERE NOT (fact = 'BASIC_EPS' AND doc_id % 2 = 0)) SELECT coalesce(f.doc_id, n.doc_id) AS doc_id, coalesce(f.fact, n.fact) AS fact, CASE WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change FROM v_filed f FULL OUTER JOIN n ON f.doc_id = n.doc_id AND f.fact = n.fact WHERE n.doc_id IS NULL OR f.value IS DISTINCT FROM n.value")
 def parser_replay(spark, sf):
     from chronolake.operators.sets import diff
 
-    old = fact_rows(spark, sf).select("doc_id", "fact", "value")
-    new = old.where("not (fact = 'GERMAN' and doc_id % 2 = 0)").withColumn("value", F.when(F.col("fact") == "MAIL", F.col("value") + 1).otherwise(F.col("value")))
+    old = D.standard_facts(X.filings(spark, sf))
+    new = old.where("not (fact = 'BASIC_EPS' and doc_id % 2 = 0)").withColumn("value", F.when(F.col("fact") == "TOTAL_ASSETS", F.col("value") + 1).otherwise(F.col("value")))
     return diff(old, new, ["doc_id", "fact"])
 
 
@@ -151,7 +143,18 @@ def conflict_recheck(spark, sf):
     return f.join(docs, [*keys, "ver"], "left").select("ent", "pe", "ft", "ver", F.coalesce("p", F.lit("UNCHECKED")).alias("presentation"))
 
 
-@query("doc_17_fact_materialisation", "", f"WITH {FACTS} SELECT d.doc_id, count(f.fact) AS facts, CASE WHEN count(f.fact) = 0 THEN 'SOFT_NO_FACT' ELSE 'PARSED' END AS state FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id")
+@query("doc_17_fact_materialisation", "v_cal v_filed", """
+, chosen AS (SELECT k FROM v_filings WHERE EXISTS (SELECT 1 FROM v_cal WHERE d > published) QUALIFY row_number() OVER (PARTITION BY entity, period_year ORDER BY abstract, published DESC, k DESC) = 1),
+n AS (SELECT doc_id, count(*) AS n FROM v_filed GROUP BY 1)
+SELECT v.k AS doc_id, CASE WHEN c.k IS NULL THEN 0 ELSE coalesce(n, 0) END AS facts, CASE WHEN c.k IS NULL THEN 'NOT_CHOSEN' WHEN n IS NULL THEN 'SOFT_NO_FACT' ELSE 'PARSED' END AS state
+FROM v_filings v LEFT JOIN chosen c ON c.k = v.k LEFT JOIN n ON n.doc_id = v.k""")
 def fact_materialisation(spark, sf):
-    facts = fact_rows(spark, sf).groupBy("doc_id").agg(F.count("*").alias("facts"))
-    return X.table(spark, sf, "documents").select("doc_id").join(facts, "doc_id", "left").select("doc_id", F.coalesce("facts", F.lit(0)).alias("facts"), F.when(F.col("facts").isNull(), "SOFT_NO_FACT").otherwise("PARSED").alias("state"))
+    return D.materialised_facts(X.filings(spark, sf), X.calendar(spark, sf))[1]
+
+
+@query("doc_17_filed_facts", "v_cal v_filed", """
+, chosen AS (SELECT k, entity, period_year, published FROM v_filings WHERE EXISTS (SELECT 1 FROM v_cal WHERE d > published) QUALIFY row_number() OVER (PARTITION BY entity, period_year ORDER BY abstract, published DESC, k DESC) = 1)
+SELECT doc_id, entity, make_date(period_year, 12, 31) AS period, (SELECT min(d) FROM v_cal WHERE d > published) AS available, fact, round(value, 6) AS value FROM v_filed JOIN chosen ON k = doc_id""")
+def filed_facts(spark, sf):
+    rows = D.materialised_facts(X.filings(spark, sf), X.calendar(spark, sf))[0]
+    return rows.select("doc_id", "entity", F.col("period").cast("date").alias("period"), "available", "fact", F.round("value", 6).alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
-from chronolake.operators import intervals, ledger, sets
+from chronolake.operators import combine, intervals, ledger, sets
 
 from . import fixtures as X
 from .q_scalars import TITLE_SQL, titles
@@ -69,8 +69,7 @@ def announcement_evidence(spark, sf):
 @query("pit_6_archive_coverage", "v_annc", "SELECT s.ent, coalesce(n, 0) AS records, CASE WHEN s.ent % 40 = 3 THEN 'FAILED' WHEN n IS NULL THEN 'EMPTY' ELSE 'COMPLETE' END AS query_status FROM (SELECT c_custkey AS ent FROM customer) s LEFT JOIN (SELECT ent, count(*) AS n FROM v_annc GROUP BY ent) a ON a.ent = s.ent AND s.ent % 40 <> 3")
 def archive_coverage(spark, sf):
     scope = X.table(spark, sf, "customer").select(F.col("c_custkey").alias("ent"))
-    n = X.announcements(spark, sf).where("ent % 40 <> 3").groupBy("ent").agg(F.count("*").alias("n"))
-    return scope.join(n, "ent", "left").select("ent", F.coalesce("n", F.lit(0)).alias("records"), F.when(F.col("ent") % 40 == 3, "FAILED").when(F.col("n").isNull(), "EMPTY").otherwise("COMPLETE").alias("query_status"))
+    return combine.archive_states(scope, X.announcements(spark, sf), "ent", scope.where("ent % 40 = 3"))
 
 
 @query("pit_9_direction_evidence", "v_annc", f", {TITLE_SQL}, x AS (SELECT ent, contains(title, '预增') AS up, contains(title, '预减') OR contains(title, '续亏') AS down FROM v_annc JOIN t ON event_id = doc) SELECT ent, count(*) FILTER (up AND NOT down) AS ups, count(*) FILTER (down AND NOT up) AS downs, count(*) FILTER (up = down) AS unclassified FROM x GROUP BY ent")
@@ -87,20 +86,16 @@ def domain_events(spark, sf):
 
 @query("pit_11_keyword_archive", "", f"WITH {TITLE_SQL} SELECT k AS keyword, count(*) AS hits, count(*) FILTER (event_id % 2 = 0) AS in_scope, count(DISTINCT title) AS titles FROM t, (VALUES ('公告'), ('报告'), ('协议')) w(k) WHERE contains(title, k) GROUP BY k")
 def keyword_archive(spark, sf):
-    words = F.array(*(F.lit(w) for w in ("公告", "报告", "协议")))
-    rows = titles(spark, sf).withColumn("keyword", F.explode(F.filter(words, lambda w: F.col("title").contains(w))))
+    rows = combine.keyword_hits(titles(spark, sf), "title", ["公告", "报告", "协议"])
     return rows.groupBy("keyword").agg(F.count("*").alias("hits"), F.count_if(F.col("event_id") % 2 == 0).alias("in_scope"), F.count_distinct("title").alias("titles"))
 
 
 @query("pit_12_adverse_review", "v_annc", ", n AS (SELECT ent, count(*) AS own FROM v_annc WHERE cls = 'error' GROUP BY ent), m AS (SELECT count(*) AS market FROM v_annc WHERE cls = 'error' AND ent = 0) SELECT c_custkey AS ent, coalesce(own, 0) + market AS negatives, c_custkey % 10 <> 0 AS complete, c_custkey % 10 <> 0 AND coalesce(own, 0) + market = 0 AS exclusion_clear FROM customer LEFT JOIN n ON ent = c_custkey, m")
 def adverse_review(spark, sf):
-    """Clear only with complete coverage and no negative; rows of the market-wide entity 0 count for every entity."""
+    """Rows of the market-wide entity 0 count for every entity."""
     bad = X.announcements(spark, sf).where("cls = 'error'")
-    own = bad.groupBy("ent").agg(F.count("*").alias("own"))
-    market = bad.where("ent = 0").agg(F.count("*").alias("market"))
-    rows = X.table(spark, sf, "customer").select(F.col("c_custkey").alias("ent")).join(own, "ent", "left").crossJoin(F.broadcast(market))
-    n = F.coalesce("own", F.lit(0)) + F.col("market")
-    return rows.select("ent", n.alias("negatives"), (F.col("ent") % 10 != 0).alias("complete"), ((F.col("ent") % 10 != 0) & (n == 0)).alias("exclusion_clear"))
+    scope = X.table(spark, sf, "customer").select(F.col("c_custkey").alias("ent"))
+    return combine.clear_of_negatives(scope, bad, "ent", F.col("ent") == 0, F.col("ent") % 10 != 0)
 
 
 @query("pit_13_registry_snapshot", "v_annc v_member", f"""
@@ -110,11 +105,7 @@ SELECT count(*) AS raw_rows, count(*) FILTER (mapped) AS mapped_rows, count(*) F
 def registry_snapshot(spark, sf):
     rows = X.announcements(spark, sf).where("cls in ('click', 'purchase')").select("doc", (F.col("ent") % 120 + 1).alias("sym"), F.expr("date_sub(cast(pub as date), 9862)").alias("av"))
     m = X.member(spark, sf)
-    known = m.select("sym").distinct().withColumn("mapped", F.lit(True))
-    inside = intervals.interval_join(rows, m, "sym", "av").select("doc").distinct().withColumn("inside", F.lit(True))
-    k = rows.join(known, "sym", "left").join(inside, "doc", "left")
-    yes = lambda c: F.coalesce(c, F.lit(False))
-    return k.agg(F.count("*").alias("raw_rows"), F.count_if(yes("mapped")).alias("mapped_rows"), F.count_if(~yes("mapped")).alias("unmapped_rows"), F.count_if(yes("inside")).alias("inside_rows"), F.count_if(yes("mapped") & ~yes("inside")).alias("excluded_rows"))
+    return combine.registry_accounting(rows, "sym", m, intervals.interval_join(rows, m, "sym", "av"), "doc")
 
 
 @query("pit_14_date_increment", "v_annc", f", {LEDGER} SELECT event_date, count(*) AS documents, count(*) FILTER (available_date > DATE '2024-01-20') AS not_yet_available, count(DISTINCT ent) AS entities FROM led WHERE event_date > DATE '2024-01-10' AND event_date <= DATE '2024-01-20' GROUP BY event_date")
@@ -138,14 +129,14 @@ def ledger_assembly(spark, sf):
 
 @query("pit_17_quarantine", "", "SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))")
 def quarantine(spark, sf):
-    blocked = spark.createDataFrame([("P", "1-URGENT", "ACTIVE"), ("P", "2-HIGH", "ACTIVE"), ("F", "1-URGENT", "RELEASED")], "o_orderstatus string, o_orderpriority string, state string").where("state = 'ACTIVE'")
-    return X.table(spark, sf, "orders").join(F.broadcast(blocked), ["o_orderstatus", "o_orderpriority"], "left_anti").select("o_orderkey", "o_orderstatus")
+    entries = X.table(spark, sf, "orders").where("o_orderpriority in ('1-URGENT', '2-HIGH')").select("o_orderstatus", "o_orderpriority", F.when(F.col("o_orderstatus") == "P", "ACTIVE").otherwise("RELEASED").alias("state")).distinct()
+    return combine.without_quarantined(X.table(spark, sf, "orders"), entries, ["o_orderstatus", "o_orderpriority"]).select("o_orderkey", "o_orderstatus")
 
 
 @query("set_1_union_by_name", "v_annc", "SELECT src, count(*) AS n, count(extra) AS with_extra FROM (SELECT 'a' AS src, doc, NULL AS extra FROM v_annc WHERE doc % 2 = 0 UNION ALL SELECT 'b', doc, cls FROM v_annc WHERE doc % 2 = 1) GROUP BY src")
 def union_by_name(spark, sf):
     a = X.announcements(spark, sf)
-    both = a.where("doc % 2 = 0").select(F.lit("a").alias("src"), "doc").unionByName(a.where("doc % 2 = 1").select(F.lit("b").alias("src"), "doc", F.col("cls").alias("extra")), allowMissingColumns=True)
+    both = combine.evidence_union({"a": a.where("doc % 2 = 0").select("doc"), "b": a.where("doc % 2 = 1").select("doc", F.col("cls").alias("extra"))})
     return both.groupBy("src").agg(F.count("*").alias("n"), F.count("extra").alias("with_extra"))
 
 
@@ -166,6 +157,5 @@ def remove_ids(spark, sf):
 
 @query("set_7_derived_rebuild", "v_annc", "SELECT cls, count(*) AS n FROM (SELECT cls FROM v_annc WHERE cls <> 'error' UNION ALL SELECT 'derived_negative' FROM v_annc WHERE cls = 'error' AND value > 50) GROUP BY cls")
 def derived_rebuild(spark, sf):
-    a = X.announcements(spark, sf)
-    fresh = a.where("cls = 'error' and value > 50").withColumn("cls", F.lit("derived_negative"))
-    return a.where("cls <> 'error'").unionByName(fresh).groupBy("cls").agg(F.count("*").alias("n"))
+    rows = combine.rebuilt(X.announcements(spark, sf), F.col("cls") == "error", F.col("value") > 50, "cls", "derived_negative")
+    return rows.groupBy("cls").agg(F.count("*").alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronolake.operators import limits
+from chronolake.operators import gates, limits
 
 from . import fixtures as X
 from .registry import query
@@ -73,5 +73,4 @@ def limit_pipeline(spark, sf):
 @query("ag_15_scheduled_evidence", "v_bars", "SELECT p.period, coalesce(n, 0) AS n_rows, CASE WHEN n IS NULL THEN 'MISSING' WHEN n > 540 THEN 'DUPLICATE' ELSE 'OK' END AS state FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH))::DATE AS period) p LEFT JOIN (SELECT date_trunc('month', d)::DATE AS period, count(*) AS n FROM v_bars GROUP BY 1) e USING (period)")
 def scheduled_evidence(spark, sf):
     periods = spark.range(1).select(F.explode(F.sequence(X.day("1995-01-01"), X.day("2001-12-01"), F.expr("interval 1 month"))).alias("period"))
-    seen = X.bars(spark, sf).groupBy(F.trunc("d", "MM").alias("period")).agg(F.count("*").alias("n"))
-    return periods.join(seen, "period", "left").select("period", F.coalesce("n", F.lit(0)).alias("n_rows"), F.when(F.col("n").isNull(), "MISSING").when(F.col("n") > 540, "DUPLICATE").otherwise("OK").alias("state"))
+    return gates.scheduled(periods, X.bars(spark, sf).withColumn("period", F.trunc("d", "MM")), "period", 540)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronolake.operators import contracts, intervals, membership, sets
+from chronolake.operators import combine, contracts, gates, intervals, membership, sets
 
 from . import fixtures as X
 from .registry import query
@@ -21,7 +21,7 @@ def interval_join(spark, sf):
 @query("jn_2_snapshot_filter", "v_bars", "SELECT b.sym, b.d, b.px, s_name FROM v_bars b JOIN supplier ON s_suppkey = b.sym WHERE s_acctbal > 0")
 def snapshot_filter(spark, sf):
     snap = X.table(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("sym"), "s_name")
-    return X.bars(spark, sf).join(snap, "sym").select("sym", "d", "px", "s_name")
+    return combine.snapshot_filter(X.bars(spark, sf), snap, "sym").select("sym", "d", "px", "s_name")
 
 
 @query("jn_3_active_on", "v_member", "SELECT sym, s, e, DATE '1996-06-03' BETWEEN s AND e AS inclusive, s <= DATE '1996-06-03' AND e > DATE '1996-06-03' AS half_open FROM v_member WHERE DATE '1996-06-03' BETWEEN s AND e")
@@ -64,12 +64,12 @@ def member_day_grid(spark, sf):
 
 @query("ag_2_universe_diagnostics", "v_member", "SELECT count(*) AS n_rows, count(DISTINCT sym) AS symbols, bool_and(s IS NOT NULL AND e >= s) AS point_in_time FROM v_member")
 def universe_diagnostics(spark, sf):
-    return X.member(spark, sf).agg(F.count("*").alias("n_rows"), F.count_distinct("sym").alias("symbols"), F.bool_and(F.col("s").isNotNull() & (F.col("e") >= F.col("s"))).alias("point_in_time"))
+    return gates.universe_diagnostics(X.member(spark, sf), "sym", "s", "e")
 
 
 @query("ag_3_segment_cardinality", "v_member", "SELECT date_trunc('month', s)::DATE AS segment, count(DISTINCT sym) AS members, count(DISTINCT sym) = 7 AS as_expected FROM v_member GROUP BY 1")
 def segment_cardinality(spark, sf):
-    return X.member(spark, sf).groupBy(F.trunc("s", "MM").alias("segment")).agg(F.count_distinct("sym").alias("members")).withColumn("as_expected", F.col("members") == 7)
+    return gates.cardinality(X.member(spark, sf), F.trunc("s", "MM"), "sym", 7)
 
 
 @query("ag_4_daily_member_count", "v_cal v_member", "SELECT c.d, count(DISTINCT m.sym) AS members, count(DISTINCT m.sym) = 60 AS ok FROM v_cal c LEFT JOIN v_member m ON c.d BETWEEN m.s AND m.e GROUP BY c.d")
@@ -156,21 +156,20 @@ def interval_clipping(spark, sf):
 
 
 @query("set_5_scope_union", "v_adjust", """
-SELECT sym, string_agg(DISTINCT tag, ',' ORDER BY tag) AS scopes FROM (SELECT sym, side AS tag FROM v_adjust UNION ALL SELECT s_suppkey, 'anchor' FROM supplier WHERE s_nationkey < 10) GROUP BY sym""")
+SELECT sym, string_agg(DISTINCT tag, ',' ORDER BY tag) AS scopes FROM (SELECT sym, side AS tag FROM v_adjust UNION ALL SELECT s_suppkey, 'anchor' FROM supplier) GROUP BY sym""")
 def scope_union(spark, sf):
-    adj, sup = X.adjustments(spark, sf), X.table(spark, sf, "supplier").where("s_nationkey < 10")
+    adj, sup = X.adjustments(spark, sf), X.table(spark, sf, "supplier")
     return sets.scope([(adj, "sym", F.col("side")), (sup, "s_suppkey", F.lit("anchor"))])
 
 
 @query("jn_22_alias_cut", "v_bars", "SELECT b.sym, b.d, b.px, CASE WHEN sym % 10 = 3 AND d >= DATE '1998-01-01' THEN sym + 1000 ELSE sym END AS code FROM v_bars b")
 def alias_cut(spark, sf):
-    sup = X.table(spark, sf, "supplier").where("s_suppkey % 10 = 3").select(F.col("s_suppkey").alias("old"), (F.col("s_suppkey") + 1000).alias("new"), X.day("1998-01-01").alias("cut"))
-    rows = X.bars(spark, sf).join(sup, (F.col("sym") == F.col("old")) & (F.col("d") >= F.col("cut")), "left")
-    return rows.select("sym", "d", "px", F.coalesce("new", "sym").alias("code"))
+    aliases = X.table(spark, sf, "supplier").where("s_suppkey % 10 = 3").select(F.col("s_suppkey").alias("old"), (F.col("s_suppkey") + 1000).alias("new"), X.day("1998-01-01").alias("cut"))
+    return combine.aliased(X.bars(spark, sf), aliases, "sym", "d", "code").select("sym", "d", "px", "code")
 
 
 @query("jn_23_multivalued_filter", "", "SELECT p_partkey, p_name FROM part WHERE list_contains(string_split(p_name, ' '), (SELECT string_split(p_name, ' ')[1] FROM part WHERE p_partkey = 1))")
 def multivalued_filter(spark, sf):
     part = X.table(spark, sf, "part")
     word = part.where("p_partkey = 1").select(F.split("p_name", " ")[0].alias("word"))
-    return part.crossJoin(F.broadcast(word)).where(F.array_contains(F.split("p_name", " "), F.col("word"))).select("p_partkey", "p_name")
+    return combine.holding(part, "p_name", word, "word").select("p_partkey", "p_name")

@@ -165,9 +165,8 @@ def strip_runtime_columns(spark, sf):
 @query("nrm_25_unit_canonical", "", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2))::DECIMAL(28,2) * 100000000 WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS yuan, o_orderstatus = 'P' AS unknown_unit FROM orders")
 def unit_canonical(spark, sf):
     unit = F.when(F.col("o_orderstatus") == "F", "CNY_100M").when(F.col("o_orderstatus") == "O", "CNY").otherwise("?")
-    value = F.col("o_totalprice").cast("decimal(18,2)")
-    yuan = F.when(unit == "CNY_100M", value * F.lit(100000000)).when(unit == "CNY", value).cast("decimal(28,2)")
-    return X.table(spark, sf, "orders").select("o_orderkey", yuan.alias("yuan"), (~unit.isin("CNY", "CNY_100M")).alias("unknown_unit"))
+    yuan, unknown = S.to_yuan(F.col("o_totalprice"), unit)
+    return X.table(spark, sf, "orders").select("o_orderkey", yuan.alias("yuan"), unknown.alias("unknown_unit"))
 
 
 @query("nrm_26_notice_date", "", "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 1 THEN CAST(o_orderdate AS DATE) END AS index_notice, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 2 THEN CAST(o_orderdate AS DATE) END AS exchange_notice FROM orders")
@@ -181,8 +180,9 @@ def notice_date(spark, sf):
 @query("nrm_27_availability_basis", "", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(ts AS DATE) WHEN 1 THEN CAST(ts + INTERVAL 30 DAY AS DATE) ELSE CAST(ts + INTERVAL 8 HOUR AS DATE) END AS event_date, CASE event_id % 3 WHEN 0 THEN 'PUBLICATION_DATE' WHEN 1 THEN 'APPROVAL_DATE' ELSE 'FIRST_OBSERVED' END AS basis, event_id % 3 <> 2 AS reconstructable FROM events")
 def availability_basis(spark, sf):
     k, ts = F.col("event_id") % 3, F.col("ts").cast("timestamp_ntz")
-    day = F.when(k == 0, ts.cast("date")).when(k == 1, F.date_add(ts.cast("date"), 30)).otherwise(F.expr("cast(cast(ts as timestamp_ntz) + interval 8 hours as date)"))
-    return X.table(spark, sf, "events").select("event_id", day.alias("event_date"), F.when(k == 0, "PUBLICATION_DATE").when(k == 1, "APPROVAL_DATE").otherwise("FIRST_OBSERVED").alias("basis"), (k != 2).alias("reconstructable"))
+    seen = F.expr("cast(cast(ts as timestamp_ntz) + interval 8 hours as date)")
+    basis = S.availability_basis(F.when(k == 0, ts.cast("date")), F.when(k != 2, F.date_add(ts.cast("date"), 30)), seen)
+    return X.table(spark, sf, "events").select("event_id", basis.alias("b")).select("event_id", "b.*")
 
 
 @query("nrm_28_record_identity", "", "SELECT event_id, CASE event_type WHEN 'click' THEN 'ID:' || event_id WHEN 'purchase' THEN 'ACC:' || user_id || '-' || event_id % 10 ELSE left(sha256(event_id::VARCHAR || chr(31) || event_type), 24) END AS record_id FROM events")
@@ -212,12 +212,11 @@ def column_allowlist(spark, sf):
     return allowlist(X.table(spark, sf, "orders"), ["o_orderkey", "o_orderdate"])
 
 
-@query("nrm_32_provenance_json", "", "SELECT event_id, 'events' AS source, event_id::VARCHAR AS row_id, 'v1' AS parser FROM events")
+@query("nrm_32_provenance_json", "", "SELECT event_id, 'events' AS source, event_id::VARCHAR AS row_id, 'v' || user_id % 3 AS parser FROM events")
 def provenance_json(spark, sf):
     j = F.to_json(F.struct(F.lit("events").alias("source"), F.col("event_id").cast("string").alias("row_id")))
-    rows = X.table(spark, sf, "events").select("event_id", j.alias("p"))
-    more = F.to_json(F.map_concat(F.from_json("p", "map<string,string>"), F.create_map(F.lit("parser"), F.lit("v1"))))
-    return rows.select("event_id", F.from_json(more, "source string, row_id string, parser string").alias("x")).select("event_id", "x.*")
+    more = S.enriched(j, {"parser": F.concat(F.lit("v"), F.col("user_id") % 3), "source": F.lit("other")})
+    return X.table(spark, sf, "events").select("event_id", F.from_json(more, "source string, row_id string, parser string").alias("x")).select("event_id", "x.*")
 
 
 @query("nrm_33_text_normal", "", None)

@@ -6,7 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
-from chronolake.operators import asof, breadth, calendar, contracts, intervals, valuation, windows
+from chronolake.operators import asof, breadth, calendar, combine, contracts, gates, intervals, valuation, windows
+from chronolake.sources.scratch import new_path, saved
+from chronolake.streaming import ingest
 
 from . import fixtures as X
 from .registry import query
@@ -82,15 +84,21 @@ def market_breadth(spark, sf):
     return breadth.breadth(inside, ["d"])
 
 
-@query("str_6_breadth_of_touched_sessions", "v_bars", f", {MEASURES}, {FLAGGED} SELECT d, count(*) AS securities, {BREADTH} FROM f WHERE d >= DATE '1999-01-01' GROUP BY d")
+@query("str_6_breadth_of_touched_sessions", "v_bars", f", {MEASURES}, {FLAGGED} SELECT d, count(*) AS securities, {BREADTH} FROM f GROUP BY d")
 def breadth_touched(spark, sf):
-    return breadth.breadth(breadth.flags(breadth.measures(px(spark, sf))).where(F.col("d") >= X.day("1999-01-01")), ["d"])
+    """Bars land year by year for the last years, the stream starting again each time; every session is refreshed once."""
+    path, out = new_path(spark, "landing"), new_path(spark, "stream")
+    bars, year = px(spark, sf), F.least(F.greatest(F.year("d"), F.lit(1996)), F.lit(1998))
+    bars = saved(bars.withColumn("year", year), "bars")
+    for y in (1996, 1997, 1998):
+        bars.where(F.col("year") == y).drop("year").write.mode("append").parquet(path)
+        rows = ingest.refreshed_breadth(ingest.landing(spark, path), out)
+    return rows
 
 
 @query("ag_6_daily_coverage", "v_bars", "SELECT d, count(*) AS rows_observed, count(*) FILTER (vol >= 20) AS rows_eligible, round(count(*) FILTER (vol >= 20) / count(*)::DOUBLE, 6) AS coverage FROM v_bars GROUP BY d")
 def daily_coverage(spark, sf):
-    ok = F.count_if(F.col("vol") >= 20)
-    return X.bars(spark, sf).groupBy("d").agg(F.count("*").alias("rows_observed"), ok.alias("rows_eligible"), F.round(ok / F.count("*"), 6).alias("coverage"))
+    return gates.eligible_coverage(X.bars(spark, sf), "d", F.col("vol") >= 20)
 
 
 @query("ag_7_strict_daily_coverage", "v_bars v_member", ", g AS (SELECT m.sym, c.d FROM v_member m JOIN v_cal c ON c.d BETWEEN m.s AND m.e) SELECT g.d, count(*) AS expected, count(b.px) AS observed, round(count(b.px) / count(*)::DOUBLE, 6) AS coverage FROM g LEFT JOIN v_bars b USING (sym, d) GROUP BY g.d")
@@ -102,48 +110,41 @@ def strict_daily_coverage(spark, sf):
 
 @query("ag_8_median_scale", "v_bars", "SELECT sym % 5 AS feed, median(px) AS median_px, median(vol) AS median_vol, median(px) / median(vol) <= 2000 AS plausible FROM v_bars GROUP BY 1")
 def median_scale(spark, sf):
-    m = X.bars(spark, sf).groupBy((F.col("sym") % 5).alias("feed")).agg(F.median("px").alias("median_px"), F.median("vol").alias("median_vol"))
-    return m.withColumn("plausible", F.col("median_px") / F.col("median_vol") <= 2000)
+    return gates.median_scale(X.bars(spark, sf), F.col("sym") % 5, "px", "vol", 2000)
 
 
 @query("jn_7_rail_attach", "v_bars", "SELECT b.sym, b.d, b.px, r.rail FROM v_bars b LEFT JOIN (SELECT d, max(px) AS rail FROM v_bars WHERE vol >= 30 GROUP BY d) r USING (d)")
 def rail_attach(spark, sf):
-    b = px(spark, sf)
     rail = X.bars(spark, sf).where("vol >= 30").groupBy("d").agg(F.max("px").alias("rail"))
-    return b.join(rail, "d", "left").select("sym", "d", "px", "rail")
+    return combine.attach_rail(px(spark, sf), rail, ["d"]).select("sym", "d", "px", "rail")
 
 
 @query("jn_8_bilateral_combine", "v_bars", "SELECT d, a.vol + b.vol AS total, a.vol AS one, b.vol AS two FROM (SELECT d, sum(vol) AS vol FROM v_bars WHERE sym % 2 = 0 GROUP BY d) a JOIN (SELECT d, sum(vol) AS vol FROM v_bars WHERE sym % 2 = 1 GROUP BY d) b USING (d) WHERE a.vol + b.vol > 0")
 def bilateral_combine(spark, sf):
-    b = X.bars(spark, sf).groupBy("d").agg(F.sum(F.when(F.col("sym") % 2 == 0, F.col("vol"))).alias("one"), F.sum(F.when(F.col("sym") % 2 == 1, F.col("vol"))).alias("two"))
-    return b.where("one is not null and two is not null and one + two > 0").select("d", (F.col("one") + F.col("two")).alias("total"), "one", "two")
+    return combine.both_sides(X.bars(spark, sf), "d", F.col("sym") % 2, "vol", ("one", "two"))
 
 
 @query("jn_9_calendar_spine", "v_bars", "SELECT c.d, a.px AS one, b.px AS two, a.px IS NOT NULL AND b.px IS NOT NULL AS bilateral_complete FROM v_cal c LEFT JOIN (SELECT d, max(px) AS px FROM v_bars WHERE vol >= 60 GROUP BY d) a ON a.d = c.d LEFT JOIN (SELECT d, max(px) AS px FROM v_bars WHERE vol < 4 GROUP BY d) b ON b.d = c.d")
 def calendar_spine(spark, sf):
-    b, cal = X.bars(spark, sf), X.calendar(spark, sf).select("d")
-    feed = lambda rule, name: b.where(rule).groupBy("d").agg(F.max("px").alias(name))
-    return cal.join(feed("vol >= 60", "one"), "d", "left").join(feed("vol < 4", "two"), "d", "left").withColumn("bilateral_complete", F.col("one").isNotNull() & F.col("two").isNotNull())
+    b = X.bars(spark, sf)
+    feed = lambda rule: b.where(rule).groupBy("d").agg(F.max("px").alias("px"))
+    return combine.on_spine(X.calendar(spark, sf), "d", {"one": feed("vol >= 60"), "two": feed("vol < 4")}, "bilateral_complete")
 
 
 @query("jn_20_tolerance_check", "v_bars", "SELECT a.sym, a.d, a.px AS one, b.px AS two, abs(a.px - b.px) > 20000 AS mismatch FROM v_bars a JOIN v_bars b ON b.d = a.d AND b.sym = a.sym + 1")
 def tolerance_check(spark, sf):
     b = px(spark, sf)
-    one, two = b.select("sym", "d", F.col("px").alias("one")), b.select((F.col("sym") - 1).alias("sym"), "d", F.col("px").alias("two"))
-    return one.join(two, ["sym", "d"]).withColumn("mismatch", F.abs(F.col("one") - F.col("two")) > 20000)
+    return combine.within_tolerance(b, b.withColumn("sym", F.col("sym") - 1), ["sym", "d"], "px", 20000)
 
 
 @query("ag_22_benchmark_envelope", "v_bars", "SELECT sym, count(*) AS n_rows, max(d) AS latest, count(*) FILTER (vol > 30) AS positive_rows, arg_max(px, d) AS latest_px, count(*) >= 350 AS deep_enough FROM v_bars GROUP BY sym")
 def benchmark_envelope(spark, sf):
-    return X.bars(spark, sf).groupBy("sym").agg(F.count("*").alias("n_rows"), F.max("d").alias("latest"), F.count_if(F.col("vol") > 30).alias("positive_rows"), F.max_by("px", "d").alias("latest_px")).withColumn("deep_enough", F.col("n_rows") >= 350)
+    return gates.envelope(X.bars(spark, sf), "sym", "d", "px", F.col("vol") > 30, 350)
 
 
 @query("ag_23_publication_lag", "v_bars", ", l AS (SELECT sym, max(d) AS last FROM v_bars GROUP BY sym), e AS (SELECT max(slot) AS slot FROM v_cal) SELECT sym, last, e.slot - c.slot AS lag_sessions, e.slot - c.slot IN (0, 1) AS ready FROM l JOIN v_cal c ON c.d = l.last, e")
 def publication_lag(spark, sf):
-    cal = X.calendar(spark, sf)
-    last = px(spark, sf).groupBy("sym").agg(F.max("d").alias("last"))
-    end = cal.agg(F.max("slot").alias("end"))
-    return last.join(F.broadcast(cal.withColumnRenamed("d", "last")), "last").crossJoin(F.broadcast(end)).select("sym", "last", (F.col("end") - F.col("slot")).cast("long").alias("lag_sessions"), (F.col("end") - F.col("slot")).isin(0, 1).alias("ready"))
+    return gates.publication_lag(px(spark, sf), "sym", "d", X.calendar(spark, sf), (0, 1))
 
 
 @query("tk_1_latest_row", "v_bars", "SELECT sym, max(d) AS d, arg_max(px, d) AS px, arg_max(vol, d) AS vol FROM v_bars GROUP BY sym")
@@ -181,25 +182,32 @@ def version_timeline(spark, sf):
     return asof.version_timeline(X.facts(spark, sf), ["ent", "pe", "ft"], "av", "val", "ver").select("ent", "pe", "ft", "av", "val", "conflict", "until")
 
 
+TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def asked(spark, sf):
+    """Bars that ask for one fact type of one entity each; all types and entities are asked for."""
+    kind = F.element_at(F.array(*(F.lit(t) for t in TYPES)), (F.col("sym") % 5 + 1).cast("int"))
+    return px(spark, sf).withColumn("ent", F.col("sym") % 25).withColumn("ft", kind)
+
+
 def clean(spark, sf):
     return X.facts(spark, sf).groupBy("ent", "pe", "ft", "av").agg(F.max("val").alias("val"))
 
 
-LATEST = "l AS (SELECT ent, av, arg_max(val, pe) AS val, max(pe) AS pe FROM c WHERE ft = '1-URGENT' GROUP BY ent, av)"
+LATEST = "l AS (SELECT ent, ft, av, arg_max(val, pe) AS val, max(pe) AS pe FROM c GROUP BY ent, ft, av), n AS (SELECT *, row_number() OVER (ORDER BY ft) - 1 AS k FROM (SELECT DISTINCT ft FROM c)), b AS (SELECT v_bars.*, sym % 25 AS ent, n.ft FROM v_bars JOIN n ON n.k = sym % 5)"
 
 
-@query("jn_13_backward_asof", "v_bars v_facts", f", {CLEAN}, {LATEST} SELECT b.sym, b.d, b.px, l.av AS asof_time, l.val, l.pe FROM (SELECT *, sym % 25 AS ent FROM v_bars) b ASOF LEFT JOIN l ON b.ent = l.ent AND b.d >= l.av")
+@query("jn_13_backward_asof", "v_bars v_facts", f", {CLEAN}, {LATEST} SELECT b.sym, b.d, b.ft, b.px, l.av AS asof_time, l.val, l.pe FROM b ASOF LEFT JOIN l ON b.ent = l.ent AND b.ft = l.ft AND b.d >= l.av")
 def backward_asof(spark, sf):
-    late = clean(spark, sf).where("ft = '1-URGENT'").groupBy("ent", "av").agg(F.max_by("val", "pe").alias("val"), F.max("pe").alias("pe"))
-    left = px(spark, sf).withColumn("ent", F.col("sym") % 25)
-    return asof.backward(left, late, ["ent"], "d", "av", ["val", "pe"]).select("sym", "d", "px", "asof_time", "val", "pe")
+    late = clean(spark, sf).groupBy("ent", "ft", "av").agg(F.max_by("val", "pe").alias("val"), F.max("pe").alias("pe"))
+    return asof.backward(asked(spark, sf), late, ["ent", "ft"], "d", "av", ["val", "pe"]).select("sym", "d", "ft", "px", "asof_time", "val", "pe")
 
 
-@query("jn_11_forward_asof", "v_bars v_facts", f", {CLEAN}, {LATEST} SELECT b.sym, b.d, min(l.av) AS asof_time FROM v_bars b LEFT JOIN l ON l.ent = b.sym % 25 AND l.av > b.d GROUP BY b.sym, b.d")
+@query("jn_11_forward_asof", "v_bars v_facts", f", {CLEAN}, {LATEST} SELECT b.sym, b.d, b.ft, min(l.av) AS asof_time FROM b LEFT JOIN l ON l.ent = b.ent AND l.ft = b.ft AND l.av > b.d GROUP BY b.sym, b.d, b.ft")
 def forward_asof(spark, sf):
-    late = clean(spark, sf).where("ft = '1-URGENT'").groupBy("ent", "av").agg(F.max("val").alias("val"))
-    left = px(spark, sf).select("sym", "d", (F.col("sym") % 25).alias("ent"))
-    return asof.forward(left, late, ["ent"], "d", "av", ["val"]).select("sym", "d", "asof_time")
+    late = clean(spark, sf).groupBy("ent", "ft", "av").agg(F.max("val").alias("val"))
+    return asof.forward(asked(spark, sf), late, ["ent", "ft"], "d", "av", ["val"]).select("sym", "d", "ft", "asof_time")
 
 
 PRIOR = "p AS (SELECT a.ent, a.ft, a.pe, a.av, a.val, (SELECT arg_max(b.val, b.av) FROM c b WHERE b.ent = a.ent AND b.ft = a.ft AND b.pe = last_day(a.pe - INTERVAL 12 MONTH) AND b.av <= a.av) AS prior_value FROM c a)"
@@ -243,7 +251,7 @@ def valuation_evidence(spark, sf):
     return rows.select("sym", "d", S.stable_hash(F.col("sym"), F.col("d"), F.col("ttm")).alias("evidence_id"), F.lit("TRAILING_VALUE").alias("evidence_type"), F.col("asof_time").alias("known_since"))
 
 
-KINDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+KINDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 STATE = f"""{CLEAN}, cut AS (SELECT DISTINCT ent, pe, av AS cut FROM c),
 s AS (SELECT ent, pe, cut, {', '.join(f"(SELECT arg_max(val, b.av) FROM c b WHERE b.ent = cut.ent AND b.pe = cut.pe AND b.ft = '{k}' AND b.av <= cut.cut) AS v{i}" for i, k in enumerate(KINDS))} FROM cut)"""
 
@@ -272,26 +280,25 @@ def accounting_state(spark, sf):
 
 @query("ag_10_revision_ambiguity", "v_facts", "SELECT ent, pe, ft, av, count(DISTINCT ver) AS revisions, count(DISTINCT val) > 1 AS value_conflict, string_agg(DISTINCT ver, ',' ORDER BY ver) AS versions FROM v_facts GROUP BY ent, pe, ft, av HAVING count(DISTINCT ver) > 1")
 def revision_ambiguity(spark, sf):
-    g = X.facts(spark, sf).groupBy("ent", "pe", "ft", "av").agg(F.count_distinct("ver").alias("revisions"), (F.count_distinct("val") > 1).alias("value_conflict"), F.array_join(F.array_sort(F.collect_set("ver")), ",").alias("versions"))
-    return g.where("revisions > 1")
+    return gates.revision_ambiguity(X.facts(spark, sf), ["ent", "pe", "ft", "av"], "ver", "val")
 
 
 @query("ag_11_field_coverage", "v_facts", "SELECT ft, count(*) AS n_rows, count(DISTINCT ent) AS entities, round(count(DISTINCT ent) / 25.0::DOUBLE, 6) AS ratio, min(pe) AS first_period, max(pe) AS last_period, count(*) FILTER (ver IS NULL) AS gaps FROM v_facts GROUP BY ft")
 def field_coverage(spark, sf):
-    return X.facts(spark, sf).groupBy("ft").agg(F.count("*").alias("n_rows"), F.count_distinct("ent").alias("entities"), F.round(F.count_distinct("ent") / 25.0, 6).alias("ratio"), F.min("pe").alias("first_period"), F.max("pe").alias("last_period"), F.count_if(F.col("ver").isNull()).alias("gaps"))
+    return gates.field_coverage(X.facts(spark, sf), "ft", "ent", 25, "pe", F.col("ver").isNull())
 
 
 @query("win_17_redundant_revisions", "v_facts", ", d AS (SELECT ent, pe, ft, val, av FROM v_facts UNION ALL SELECT ent, pe, ft, val, av + 10 FROM v_facts WHERE ent % 3 = 0), g AS (SELECT ent, pe, ft, count(DISTINCT val) AS n FROM d GROUP BY ALL) SELECT ent, pe, ft, n = 1 AS redundant, min(av) AS av, count(*) AS rows_seen FROM d JOIN g USING (ent, pe, ft) GROUP BY ent, pe, ft, n")
 def redundant_revisions(spark, sf):
     f = X.facts(spark, sf).select("ent", "pe", "ft", "val", "av")
     rows = f.unionByName(f.where("ent % 3 = 0").withColumn("av", F.date_add("av", 10)))
-    return rows.groupBy("ent", "pe", "ft").agg((F.count_distinct("val") == 1).alias("redundant"), F.min("av").alias("av"), F.count("*").alias("rows_seen"))
+    return combine.redundant_revisions(rows, ["ent", "pe", "ft"], "val", "av")
 
 
 @query("win_18_variant_selection", "v_facts", ", p AS (SELECT *, CASE ver WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END AS pr FROM v_facts) SELECT ent, pe, ft, av, ver, val FROM p QUALIFY pr = max(pr) OVER (PARTITION BY ent, pe, ft, av)")
 def variant_selection(spark, sf):
-    p = X.facts(spark, sf).withColumn("pr", F.when(F.col("ver") == "F", 2).when(F.col("ver") == "O", 1).otherwise(0))
-    return p.withColumn("top", F.max("pr").over(Window.partitionBy("ent", "pe", "ft", "av"))).where("pr = top").select("ent", "pe", "ft", "av", "ver", "val")
+    priority = F.when(F.col("ver") == "F", 2).when(F.col("ver") == "O", 1).otherwise(0)
+    return combine.preferred_variant(X.facts(spark, sf), ["ent", "pe", "ft", "av"], priority).select("ent", "pe", "ft", "av", "ver", "val")
 
 
 @query("win_10_keep_last", "v_bars", "SELECT sym, d, px FROM (SELECT *, row_number() OVER (PARTITION BY sym, date_trunc('month', d) ORDER BY d DESC) AS rn FROM v_bars) WHERE rn = 1")

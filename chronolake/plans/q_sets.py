@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chronolake.operators import registry, sets
+from chronolake.operators import combine, gates, registry, sets
 
 from . import fixtures as X
 from .registry import query
@@ -49,25 +49,23 @@ def dataset_diff(spark, sf):
 seg AS (SELECT ent, cls AS source, min(CAST(pub AS DATE)) AS s, max(CAST(pub AS DATE)) AS e FROM v_annc GROUP BY ALL)
 SELECT c_custkey AS ent, n.source, coalesce(s <= DATE '2024-01-10' AND e >= DATE '2024-01-20', false) AS window_complete FROM customer JOIN need n ON scope = 'all' OR (scope = 'even') = (c_custkey % 2 = 0) LEFT JOIN seg ON seg.ent = c_custkey AND seg.source = n.source""")
 def source_applicability(spark, sf):
-    rules = F.array(*(F.struct(F.lit(s).alias("source"), F.lit(w).alias("scope")) for s, w in (("click", "all"), ("error", "even"), ("purchase", "odd"))))
-    need = T(spark, sf, "customer").select(F.col("c_custkey").alias("ent"), F.explode(rules).alias("r")).select("ent", "r.*")
-    need = need.where((F.col("scope") == "all") | ((F.col("scope") == "even") == (F.col("ent") % 2 == 0)))
-    seg = X.announcements(spark, sf).groupBy("ent", F.col("cls").alias("source")).agg(F.min(F.col("pub").cast("date")).alias("s"), F.max(F.col("pub").cast("date")).alias("e"))
-    done = F.coalesce((F.col("s") <= X.day("2024-01-10")) & (F.col("e") >= X.day("2024-01-20")), F.lit(False))
+    ent = F.col("ent") % 2
+    need = combine.applicable(T(spark, sf, "customer").select(F.col("c_custkey").alias("ent")), {"click": F.lit(True), "error": ent == 0, "purchase": ent == 1})
+    seg = gates.segments(X.announcements(spark, sf).withColumn("source", F.col("cls")), ["ent", "source"], F.col("pub").cast("date"))
+    done = gates.spans(X.day("2024-01-10"), X.day("2024-01-20"))
     return need.join(seg, ["ent", "source"], "left").select("ent", "source", done.alias("window_complete"))
 
 
 @query("jn_24_coverage_merge", "", "SELECT c_custkey, coalesce(o.n, 0) AS one, coalesce(e.n, 0) AS two, coalesce(o.n, 0) + coalesce(e.n, 0) AS total FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o_custkey = c_custkey LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) e ON user_id = c_custkey")
 def coverage_merge(spark, sf):
-    one = T(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("one"))
-    two = T(spark, sf, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(F.count("*").alias("two"))
-    z = lambda c: F.coalesce(c, F.lit(0))
-    return T(spark, sf, "customer").select("c_custkey").join(one, "c_custkey", "left").join(two, "c_custkey", "left").select("c_custkey", z("one").alias("one"), z("two").alias("two"), (z("one") + z("two")).alias("total"))
+    sources = {"one": T(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "two": T(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))}
+    return combine.merged_coverage(T(spark, sf, "customer"), "c_custkey", sources)
 
 
 @query("ag_1_snapshot_merge", "", "SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS segments, min(c_name) AS first_name, count(*) AS n FROM customer GROUP BY 1")
 def snapshot_merge(spark, sf):
-    return T(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("segments"), F.min("c_name").alias("first_name"), F.count("*").alias("n"))
+    merged = gates.merged_snapshots(T(spark, sf, "customer"), "c_nationkey", "c_mktsegment", "c_name")
+    return merged.select("c_nationkey", F.col("tags").alias("segments"), F.col("c_name").alias("first_name"), "n")
 
 
 @query("ag_9_key_conflicts", "", "SELECT l_orderkey, l_linenumber, count(*) AS n_rows, count(DISTINCT (l_partkey, l_suppkey)) AS variants FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT (l_partkey, l_suppkey)) > 1")
@@ -78,7 +76,7 @@ def key_conflicts(spark, sf):
 @query("ag_12_distribution", "", "SELECT event_type, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS band, count(*) AS n, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day FROM events GROUP BY ROLLUP (event_type, band)")
 def distribution(spark, sf):
     e = T(spark, sf, "events").withColumn("band", F.when(F.col("value") > 50, "high").otherwise("low"))
-    return e.rollup("event_type", "band").agg(F.count("*").alias("n"), F.min(F.col("ts").cast("date")).alias("first_day"), F.max(F.col("ts").cast("date")).alias("last_day"))
+    return gates.distribution(e, ["event_type", "band"], F.col("ts").cast("date"))
 
 
 @query("ag_16_readiness_lattice", "", """
@@ -94,8 +92,8 @@ def readiness_lattice(spark, sf):
 
 @query("ag_17_stage_blockers", "", "SELECT s_nationkey, concat_ws(',', CASE WHEN count(*) < 4 THEN 'TOO_FEW' END, CASE WHEN min(s_acctbal) < -900 THEN 'BALANCE_LOW' END, CASE WHEN max(s_acctbal) < 9000 THEN 'BALANCE_CAP' END) AS blockers FROM supplier GROUP BY 1")
 def stage_blockers(spark, sf):
-    rule = lambda c, name: F.when(c, F.lit(name))
-    return T(spark, sf, "supplier").groupBy("s_nationkey").agg(F.concat_ws(",", rule(F.count("*") < 4, "TOO_FEW"), rule(F.min("s_acctbal") < -900, "BALANCE_LOW"), rule(F.max("s_acctbal") < 9000, "BALANCE_CAP")).alias("blockers"))
+    rules = {"TOO_FEW": F.count("*") < 4, "BALANCE_LOW": F.min("s_acctbal") < -900, "BALANCE_CAP": F.max("s_acctbal") < 9000}
+    return gates.blockers(T(spark, sf, "supplier"), "s_nationkey", rules)
 
 
 @query("ag_18_shard_accounting", "", "SELECT sym, count(DISTINCT shard) AS shards, CASE WHEN count(DISTINCT shard) > 1 THEN 'IN_TWO_SHARDS' WHEN min(shard) IS NULL THEN 'LOST' ELSE 'OK' END AS state FROM (SELECT c.c_custkey AS sym, s.shard FROM customer c LEFT JOIN (SELECT o_custkey AS sym, o_custkey % 8 AS shard FROM orders UNION ALL SELECT o_custkey, o_custkey % 8 + 1 FROM orders WHERE o_custkey % 50 = 0) s ON s.sym = c.c_custkey) GROUP BY sym")
@@ -107,51 +105,45 @@ def shard_accounting(spark, sf):
 
 @query("ag_19_entity_readiness", "", "SELECT c_custkey AS ent, coalesce(n, 0) AS receipts, CASE WHEN n IS NULL THEN 'MISSING' ELSE 'READY' END AS state, coalesce(urgent, 0) AS urgent FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1) ON o_custkey = c_custkey")
 def entity_readiness(spark, sf):
-    r = T(spark, sf, "orders").where("o_orderstatus <> 'P'").groupBy(F.col("o_custkey").alias("ent")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("u"))
-    return T(spark, sf, "customer").select(F.col("c_custkey").alias("ent")).join(r, "ent", "left").select("ent", F.coalesce("n", F.lit(0)).alias("receipts"), F.when(F.col("n").isNull(), "MISSING").otherwise("READY").alias("state"), F.coalesce("u", F.lit(0)).alias("urgent"))
+    receipts = T(spark, sf, "orders").where("o_orderstatus <> 'P'").select(F.col("o_custkey").alias("ent"), "o_orderpriority")
+    return gates.entity_readiness(T(spark, sf, "customer").select(F.col("c_custkey").alias("ent")), receipts, "ent", {"urgent": F.col("o_orderpriority") == "1-URGENT"})
 
 
 @query("ag_20_window_complete", "v_annc", ", seg AS (SELECT ent, cls, min(CAST(pub AS DATE)) <= DATE '2024-01-12' AND max(CAST(pub AS DATE)) >= DATE '2024-01-18' AS done FROM v_annc GROUP BY ALL) SELECT ent, count(*) FILTER (cls IN ('click', 'error') AND done) = 2 AS complete FROM seg GROUP BY ent")
 def window_complete(spark, sf):
-    day = F.col("pub").cast("date")
-    seg = X.announcements(spark, sf).groupBy("ent", "cls").agg(((F.min(day) <= X.day("2024-01-12")) & (F.max(day) >= X.day("2024-01-18"))).alias("done"))
-    return seg.groupBy("ent").agg((F.count_if(F.col("cls").isin("click", "error") & F.col("done")) == 2).alias("complete"))
+    seg = gates.segments(X.announcements(spark, sf), ["ent", "cls"], F.col("pub").cast("date"))
+    return gates.window_complete(seg, "ent", "cls", X.day("2024-01-12"), X.day("2024-01-18"), ["click", "error"])
 
 
 @query("ag_21_interval_evidence", "v_member", "SELECT count(*) AS candidates, count(n) AS with_intervals, count(*) FILTER (n IS NULL) AS without_intervals, coalesce(sum(n), 0)::BIGINT AS interval_rows FROM (SELECT DISTINCT l_suppkey + 20 AS sym FROM lineitem) c LEFT JOIN (SELECT sym, count(*) AS n FROM v_member GROUP BY 1) m USING (sym)")
 def interval_evidence(spark, sf):
-    c = T(spark, sf, "lineitem").select((F.col("l_suppkey") + 20).alias("sym")).distinct()
-    m = X.member(spark, sf).groupBy("sym").agg(F.count("*").alias("n"))
-    return c.join(m, "sym", "left").agg(F.count("*").alias("candidates"), F.count("n").alias("with_intervals"), F.count_if(F.col("n").isNull()).alias("without_intervals"), F.coalesce(F.sum("n"), F.lit(0)).alias("interval_rows"))
+    candidates = T(spark, sf, "lineitem").select((F.col("l_suppkey") + 20).alias("sym"))
+    return gates.interval_evidence(candidates, X.member(spark, sf), "sym")
 
 
 @query("ag_25_source_probe", "", "SELECT event_type, count(*) AS n, min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day, count(DISTINCT user_id) AS codes FROM events GROUP BY 1")
 def source_probe(spark, sf):
-    return T(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.min(F.col("ts").cast("date")).alias("first_day"), F.max(F.col("ts").cast("date")).alias("last_day"), F.count_distinct("user_id").alias("codes"))
+    return gates.probe_profile(T(spark, sf, "events"), "event_type", F.col("ts").cast("date"), "user_id")
 
 
 @query("ag_26_bundle_audit", "v_bars", "SELECT 'PRICE_WITHOUT_STATUS' AS rule, count(*) AS n FROM v_bars WHERE sym NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 6 <> 0) UNION ALL SELECT 'STATUS_WITHOUT_PRICE', count(*) FROM supplier WHERE s_suppkey % 6 <> 0 AND s_suppkey NOT IN (SELECT sym FROM v_bars WHERE d > DATE '2001-09-01')")
 def bundle_audit(spark, sf):
     b = X.bars(spark, sf)
     status = T(spark, sf, "supplier").where("s_suppkey % 6 <> 0").select(F.col("s_suppkey").alias("sym"))
-    one = b.join(status, "sym", "left_anti").agg(F.lit("PRICE_WITHOUT_STATUS").alias("rule"), F.count("*").alias("n"))
-    two = status.join(b.where(F.col("d") > X.day("2001-09-01")), "sym", "left_anti").agg(F.lit("STATUS_WITHOUT_PRICE").alias("rule"), F.count("*").alias("n"))
-    return one.unionByName(two)
+    return gates.orphans(b, status, "sym", ("PRICE_WITHOUT_STATUS", "STATUS_WITHOUT_PRICE"), b.where(F.col("d") > X.day("2001-09-01")))
 
 
-@query("ag_27_fact_bundle", "v_facts", "SELECT ft, count(*) AS facts, count(DISTINCT ent) AS entities, count(*) FILTER (ver = 'P') AS provisional FROM (SELECT *, row_number() OVER (PARTITION BY ent, pe, ft ORDER BY av DESC, ver DESC) AS rn FROM v_facts) WHERE rn = 1 AND ft <> '5-LOW' GROUP BY ft")
+@query("ag_27_fact_bundle", "v_facts", "SELECT ft, count(*) AS facts, count(DISTINCT ent) AS entities, count(*) FILTER (ver = 'P') AS provisional FROM (SELECT *, row_number() OVER (PARTITION BY ent, pe, ft ORDER BY av DESC, ver DESC) AS rn FROM v_facts) WHERE rn = 1 GROUP BY ft")
 def fact_bundle(spark, sf):
     from chronolake.operators.contracts import keep_last
 
-    last = keep_last(X.facts(spark, sf), ["ent", "pe", "ft"], [F.col("av").desc(), F.col("ver").desc()]).where("ft <> '5-LOW'")
+    last = keep_last(X.facts(spark, sf), ["ent", "pe", "ft"], [F.col("av").desc(), F.col("ver").desc()])
     return last.groupBy("ft").agg(F.count("*").alias("facts"), F.count_distinct("ent").alias("entities"), F.count_if(F.col("ver") == "P").alias("provisional"))
 
 
 @query("ag_28_reference_validation", "", "SELECT p_name, count(*) AS n, 'NAME_TWICE' AS rule FROM part GROUP BY p_name HAVING count(*) > 1 UNION ALL SELECT p_name, 1, 'BASIS_UNKNOWN' FROM part WHERE p_size > 48")
 def reference_validation(spark, sf):
-    p = T(spark, sf, "part")
-    twice = p.groupBy("p_name").agg(F.count("*").alias("n")).where("n > 1").withColumn("rule", F.lit("NAME_TWICE"))
-    return twice.unionByName(p.where("p_size > 48").select("p_name", F.lit(1).cast("long").alias("n"), F.lit("BASIS_UNKNOWN").alias("rule")))
+    return gates.reference_faults(T(spark, sf, "part"), "p_name", {"BASIS_UNKNOWN": F.col("p_size") > 48}, "NAME_TWICE")
 
 
 @query("set_4_replace_partition", "v_bars", "SELECT sym, d, CASE WHEN vol > 40 AND d >= DATE '1998-01-01' AND d < DATE '1998-02-01' THEN -1 ELSE px END AS px FROM v_bars")

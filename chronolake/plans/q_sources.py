@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
-from chronolake.operators import contracts, membership, sets, windows
-from chronolake.sources import publish, readers
+from chronolake.operators import combine, contracts, gates, membership, sets, windows
+from chronolake.sources import injected, publish, readers
 from chronolake.sources.scratch import new_path
 
 from . import fixtures as X
@@ -38,11 +38,10 @@ def adjustment_violations(spark, sf):
     return readers.adjustment_ledger(pairs(spark, sf))[1].select("ed", "broken")
 
 
-@query("src_3_anchor_manifest", "", "SELECT 'b' AS anchor, DATE '1998-12-31' AS effective_date, 'x.csv,y.csv' AS supplements")
+@query("src_3_anchor_manifest", "", "SELECT arg_max(s_name, s_suppkey) AS anchor, max(effective_date) AS effective_date, string_agg(DISTINCT supplement, ',' ORDER BY supplement) AS supplements FROM (SELECT s_suppkey, s_name, DATE '1996-01-01' + (s_suppkey * 10)::INT AS effective_date, 'part-' || s_nationkey || '.csv' AS supplement FROM supplier) WHERE effective_date <= DATE '1996-03-31'")
 def anchor_manifest(spark, sf):
-    pick = lambda *names: F.element_at(F.array(*(F.lit(n) for n in names)), (F.col("r_regionkey") + 1).cast("int"))
-    m = X.table(spark, sf, "region").select(pick("1997-01-01", "1998-12-31", "2001-01-01", "2002-01-01", "2003-01-01").cast("date").alias("effective_date"), pick("a", "b", "c", "d", "e").alias("anchor"), pick("y.csv", "x.csv", "z.csv", "v.csv", "w.csv").alias("supplement"))
-    return membership.effective_version(m, X.day("1999-06-30")).withColumn("supplements", F.array_join("supplements", ","))
+    m = X.table(spark, sf, "supplier").select(F.expr("date_add(date'1996-01-01', cast(s_suppkey * 10 as int))").alias("effective_date"), F.col("s_name").alias("anchor"), F.concat(F.lit("part-"), F.col("s_nationkey").cast("string"), F.lit(".csv")).alias("supplement"))
+    return membership.effective_version(m, X.day("1996-03-31")).withColumn("supplements", F.array_join("supplements", ","))
 
 
 @query("src_4_universe_scan", "", "SELECT lpad(s_suppkey::VARCHAR, 6, '0') AS symbol, CASE WHEN lpad(s_suppkey::VARCHAR, 6, '0')[:1] IN ('4', '8') THEN 'beijing' ELSE 'main' END AS board, DATE '2020-01-01' + (s_suppkey % 30)::INT AS effective_start, 'point_in_time' AS universe_mode FROM supplier")
@@ -52,11 +51,11 @@ def universe_scan(spark, sf):
     return readers.normalize_universe(readers.read_csv(spark, path, "symbol string, effective_start string")).select("symbol", "board", "effective_start", "universe_mode")
 
 
-@query("src_5_many_shards", "", "SELECT 'shard=' || n_regionkey AS shard, count(*) AS n FROM nation GROUP BY 1")
+@query("src_5_many_shards", "", "SELECT 'shard=' || c_nationkey AS shard, count(*) AS n FROM customer GROUP BY 1")
 def many_shards(spark, sf):
     path = new_path(spark, "source")
-    X.table(spark, sf, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("shard")).coalesce(1).write.option("header", True).partitionBy("shard").csv(path)
-    rows = readers.read_many(spark, path, "*.csv", "n_nationkey string, n_name string")
+    X.table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("shard")).write.option("header", True).partitionBy("shard").csv(path)
+    rows = readers.read_many(spark, path, "*.csv", "c_custkey string, c_name string")
     return readers.file_counts(rows).groupBy(F.regexp_extract("source_file", "(shard=[^/]*)", 1).alias("shard")).agg(F.sum("n").alias("n"))
 
 
@@ -96,7 +95,7 @@ def columnar_payload(spark, sf):
 def announcement_pages(spark, sf):
     e = X.table(spark, sf, "events")
     item = F.struct(F.col("event_id").cast("string").alias("code"), F.concat(F.lit("<em>"), F.col("event_type"), F.lit("</em>")).alias("title"))
-    pages = e.unionByName(e.where("event_id % 5 = 0")).groupBy((F.col("event_id") % 200).alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("announcements"))).alias("body"))
+    pages = e.unionByName(e.where("event_id % 5 = 0")).groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("announcements"))).alias("body"))
     return readers.flatten_pages(pages, "body", "announcements", "code string, title string", ["code"])
 
 
@@ -107,33 +106,32 @@ def pagination_proof(spark, sf):
     return readers.pagination_proof(e.join(n, "event_type"), "event_type", "total", "event_id")
 
 
-@query("src_12_registry_shapes", "", "SELECT event_type AS feed, event_id::VARCHAR AS record_id, user_id::VARCHAR AS applicant FROM events WHERE event_type IN ('click', 'purchase', 'error')")
+@query("src_12_registry_shapes", "", "SELECT CASE event_id % 3 WHEN 0 THEN 'flat' WHEN 1 THEN 'list' ELSE 'detail' END AS feed, event_id::VARCHAR AS record_id, user_id::VARCHAR AS applicant FROM events")
 def registry_shapes(spark, sf):
-    e = X.table(spark, sf, "events")
-    flat = e.where("event_type = 'click'").select(F.lit("click").alias("feed"), F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("user_id").cast("string").alias("who"))).alias("j"))
-    nested = e.where("event_type = 'purchase'").groupBy("user_id").agg(F.to_json(F.struct(F.first(F.col("user_id").cast("string")).alias("who"), F.collect_list(F.struct(F.col("event_id").cast("string").alias("id"))).alias("list"))).alias("j"))
-    detail = e.where("event_type = 'error'").select(F.to_json(F.struct(F.col("event_id").cast("string").alias("acceptance"))).alias("j"))
-    a = flat.select("feed", F.from_json("j", "id string, who string").alias("x")).select("feed", F.col("x.id").alias("record_id"), F.col("x.who").alias("applicant"))
-    b = nested.select(F.from_json("j", "who string, list array<struct<id:string>>").alias("x")).select(F.lit("purchase").alias("feed"), "x.who", F.explode_outer("x.list").alias("i")).select("feed", F.col("i.id").alias("record_id"), F.col("who").alias("applicant"))
-    c = detail.select(F.from_json("j", "acceptance string").alias("x")).select(F.lit("error").alias("feed"), F.col("x.acceptance").alias("record_id"))
-    c = c.join(e.select(F.col("event_id").cast("string").alias("record_id"), F.col("user_id").cast("string").alias("applicant")), "record_id", "left")
-    return a.unionByName(b).unionByName(c)
+    e, k = X.table(spark, sf, "events"), F.col("event_id") % 3
+    text = lambda c: F.col(c).cast("string")
+    flat = e.where(k == 0).select(F.lit("flat").alias("feed"), F.to_json(F.struct(text("event_id").alias("id"), text("user_id").alias("who"))).alias("j"))
+    nested = e.where(k == 1).groupBy("user_id").agg(F.to_json(F.struct(F.first(text("user_id")).alias("who"), F.collect_list(F.struct(text("event_id").alias("id"))).alias("list"))).alias("j")).select(F.lit("list").alias("feed"), "j")
+    detail = e.where(k == 2).select(F.lit("detail").alias("feed"), F.to_json(F.struct(text("event_id").alias("acceptance"))).alias("j"))
+    shapes = {
+        "flat": {"schema": "id string, who string", "record_id": "x.id", "applicant": "x.who"},
+        "list": {"schema": "who string, list array<struct<id:string>>", "each": "list", "record_id": "i.id", "applicant": "x.who"},
+        "detail": {"schema": "acceptance string", "record_id": "x.acceptance"},
+    }
+    details = e.select(text("event_id").alias("record_id"), text("user_id").alias("applicant"))
+    return readers.registry_rows(flat.unionByName(nested).unionByName(detail), "feed", "j", shapes, details)
 
 
 @query("src_13_exchange_overview", "v_bars", "SELECT d, sum(vol) FILTER (sym % 4 = 0) + sum(vol) FILTER (sym % 4 = 1) AS one, sum(vol) FILTER (sym % 4 = 2) - sum(vol) FILTER (sym % 4 = 3) AS two FROM v_bars GROUP BY d HAVING count(*) FILTER (sym % 4 = 0) > 0 AND count(*) FILTER (sym % 4 = 1) > 0 AND count(*) FILTER (sym % 4 = 2) > 0 AND count(*) FILTER (sym % 4 = 3) > 0")
 def exchange_overview(spark, sf):
-    part = lambda k: F.sum(F.when(F.col("sym") % 4 == k, F.col("vol")))
-    g = X.bars(spark, sf).groupBy("d").agg(*(part(k).alias(f"p{k}") for k in range(4)))
-    return g.where("p0 is not null and p1 is not null and p2 is not null and p3 is not null").select("d", (F.col("p0") + F.col("p1")).alias("one"), (F.col("p2") - F.col("p3")).alias("two"))
+    return readers.overview_totals(X.bars(spark, sf), "d", F.col("sym") % 4, "vol", {"one": {0: 1, 1: 1}, "two": {2: 1, 3: -1}})
 
 
-@query("src_14_share_snapshot", "v_bars", "SELECT lpad(sym::VARCHAR, 6, '0') AS fund_code, d AS date, vol AS fund_shares, 'SHARE' AS unit FROM v_bars JOIN supplier ON s_suppkey = sym WHERE s_acctbal > 0 AND vol > 0")
+@query("src_14_share_snapshot", "v_bars", "SELECT lpad(sym::VARCHAR, 6, '0') AS fund_code, d AS date, vol AS fund_shares, 'SHARE' AS unit FROM v_bars JOIN supplier ON s_suppkey = sym WHERE vol > 0")
 def share_snapshot(spark, sf):
-    raw = X.bars(spark, sf).select(F.concat(F.lit("F"), F.lpad(F.col("sym").cast("string"), 6, "0"), F.lit(" fund")).alias("name"), "d", "vol")
-    rows = raw.withColumn("fund_code", F.regexp_extract("name", r"(\d{6})", 1)).where("vol > 0")
-    wanted = X.table(spark, sf, "supplier").where("s_acctbal > 0").select(F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("fund_code"))
-    rows = rows.join(wanted, "fund_code", "left_semi")
-    return rows.join(F.broadcast(X.calendar(spark, sf).select("d")), "d", "left_semi").select("fund_code", F.col("d").alias("date"), F.col("vol").alias("fund_shares"), F.lit("SHARE").alias("unit"))
+    name = F.concat(F.lit("F"), F.lpad(F.col("sym").cast("string"), 6, "0"), F.lit(" fund"))
+    wanted = X.table(spark, sf, "supplier").select(F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("fund_code"))
+    return readers.share_snapshot(X.bars(spark, sf), name, "d", "vol", wanted, X.calendar(spark, sf))
 
 
 @query("src_15_share_archive", "", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN NULL ELSE (o_custkey * 10000 + o_orderkey % 10000)::HUGEINT END::VARCHAR AS shares, CASE WHEN o_orderkey % 5 = 0 THEN 'NOT_A_NUMBER' WHEN o_orderkey % 7 = 0 THEN 'NOT_WHOLE' END AS reject FROM orders")
@@ -146,13 +144,12 @@ def share_archive(spark, sf):
 
 @query("src_16_margin_balances", "v_bars", "SELECT d, sym % 2 AS exchange, round(sum(px), 2) AS balance, CASE sym % 2 WHEN 0 THEN 'CNY' ELSE 'CNY_100M' END AS source_unit FROM v_bars GROUP BY d, sym % 2")
 def margin_balances(spark, sf):
-    rows = X.bars(spark, sf).select("d", (F.col("sym") % 2).alias("exchange"), F.expr("try_cast(cast(px as string) as double)").alias("px"))
-    return rows.groupBy("d", "exchange").agg(F.round(F.sum("px"), 2).alias("balance")).withColumn("source_unit", F.when(F.col("exchange") == 0, "CNY").otherwise("CNY_100M"))
+    return readers.margin_balances(X.bars(spark, sf), "d", F.col("sym") % 2, "px", {0: "CNY", 1: "CNY_100M"})
 
 
-@query("src_17_listing_metadata", "", "SELECT p_partkey, p_size, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY p_size DESC) AS rn FROM part WHERE p_retailprice > 0 AND p_size > 5) WHERE rn = 1")
+@query("src_17_listing_metadata", "", "SELECT p_partkey, p_size, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY p_size DESC) AS rn FROM part WHERE p_retailprice > 0) WHERE rn = 1")
 def listing_metadata(spark, sf):
-    rows = X.table(spark, sf, "part").where("p_retailprice > 0 and p_size > 5")
+    rows = X.table(spark, sf, "part").where("p_retailprice > 0")
     return contracts.keep_last(rows, ["p_partkey"], [F.col("p_size").desc()]).select("p_partkey", "p_size", "p_brand")
 
 
@@ -207,21 +204,22 @@ def notice_search(spark, sf):
     return contracts.keep_last(e, ["event_id"], [F.col("term")]).select("event_id", "term")
 
 
-@query("udf_1_injected_rows", "v_bars", "SELECT sym, count(*) AS n, max(px) AS top FROM v_bars GROUP BY sym")
+@query("udf_1_injected_rows", "v_bars", "SELECT s_suppkey AS sym, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE i END AS page, s_suppkey % 7 <> 0 AS ok, CASE WHEN s_suppkey % 7 = 0 THEN 'ValueError: no route to ' || s_name END AS error FROM supplier, LATERAL (SELECT unnest(generate_series(0, CASE WHEN s_suppkey % 7 = 0 THEN 0 ELSE s_suppkey % 4 - 1 END)) AS i)")
 def injected_rows(spark, sf):
-    """A materialiser takes landed rows as a DataFrame in place of a fetcher."""
-    def materialize(landed):
-        return landed.groupBy("sym").agg(F.count("*").alias("n"), F.max("px").alias("top"))
+    """A caller's fetcher gives pages for each supplier; for some it fails, which is a row of its own."""
+    def fetch(request):
+        if request["sym"] % 7 == 0:
+            raise ValueError(f"no route to {request['s_name']}")
+        return [{"sym": request["sym"], "page": k} for k in range(request["sym"] % 4)]
 
-    return materialize(X.bars(spark, sf))
+    return injected.fetched(X.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sym"), "s_name"), fetch, "sym long, page int")
 
 
-@query("udf_2_injected_documents", "", "SELECT doc_id, length(text) AS n, sha256(text) AS document_sha256 FROM documents WHERE text IS NOT NULL")
+@query("udf_2_injected_documents", "", "SELECT b.event_id AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'MISSING' WHEN coalesce(text, '') = '' THEN 'EMPTY' ELSE 'LOADED' END AS state, length(nullif(text, '')) AS n, sha256(nullif(text, '')) AS document_sha256 FROM (SELECT DISTINCT event_id FROM events) b LEFT JOIN documents d ON d.doc_id = b.event_id")
 def injected_documents(spark, sf):
-    """Documents come as a table keyed by id; a join replaces the loader."""
-    asked = X.table(spark, sf, "documents").select("doc_id")
-    texts = X.table(spark, sf, "documents").where("text is not null").select("doc_id", "text")
-    return texts.join(asked, "doc_id", "left_semi").select("doc_id", F.length("text").cast("long").alias("n"), F.sha2("text", 256).alias("document_sha256"))
+    """Documents come as a table keyed by id; events ask for them, and many ask for none that is there."""
+    asked = X.table(spark, sf, "events").select(F.col("event_id").alias("doc_id"))
+    return injected.loaded_documents(asked, X.table(spark, sf, "documents"), "doc_id", "text")
 
 
 @query("udf_3_chunk_producer", "v_bars", "SELECT sym, year(d)::INT AS y, max(px) - min(px) AS px_range, count(*) AS n FROM v_bars GROUP BY ALL")
@@ -233,15 +231,12 @@ def chunk_producer(spark, sf):
         return pd.DataFrame({"sym": [key[0]], "y": [key[1]], "px_range": [pdf["px"].max() - pdf["px"].min()], "n": [len(pdf)]})
 
     rows = X.bars(spark, sf).select("sym", F.year("d").alias("y"), "px")
-    return rows.groupBy("sym", "y").applyInPandas(produce, "sym long, y int, px_range double, n long")
+    return injected.produced_chunks(rows, ["sym", "y"], produce, "sym long, y int, px_range double, n long")
 
 
 @query("ag_13_bundle_quality", "v_bars v_member", "SELECT max(b.d) AS latest, count(DISTINCT b.sym) AS symbols, round(count(DISTINCT b.sym) / (SELECT count(DISTINCT sym) FROM v_member)::DOUBLE, 6) AS coverage FROM v_bars b WHERE b.sym IN (SELECT sym FROM v_member)")
 def bundle_quality(spark, sf):
-    m = X.member(spark, sf).select("sym").distinct()
-    total = m.agg(F.count("*").alias("total"))
-    g = X.bars(spark, sf).join(m, "sym", "left_semi").agg(F.max("d").alias("latest"), F.count_distinct("sym").alias("symbols"))
-    return g.crossJoin(total).select("latest", "symbols", F.round(F.col("symbols") / F.col("total"), 6).alias("coverage"))
+    return gates.bundle_quality(X.bars(spark, sf), X.member(spark, sf), "sym", "d")
 
 
 @query("tk_6_modulo_shards", "", "SELECT (rn - 1) % 8 AS shard, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM (SELECT DISTINCT o_orderkey FROM orders)) GROUP BY 1")
@@ -252,10 +247,8 @@ def modulo_shards(spark, sf):
 
 @query("tk_5_canonical_order", "v_annc", "SELECT doc, row_number() OVER (PARTITION BY CAST(pub AS DATE) ORDER BY cls, ent, doc) AS place FROM v_annc")
 def canonical_order(spark, sf):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(F.col("pub").cast("date")).orderBy("cls", "ent", "doc")
-    return X.announcements(spark, sf).select("doc", F.row_number().over(w).alias("place"))
+    order = [F.col("cls"), F.col("ent"), F.col("doc")]
+    return combine.canonical_place(X.announcements(spark, sf), [F.col("pub").cast("date")], order).select("doc", "place")
 
 
 @query("set_2_disjoint_append", "v_bars", "SELECT DISTINCT d FROM v_bars WHERE d BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'")

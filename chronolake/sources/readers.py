@@ -145,3 +145,53 @@ def first_provider(bars: DataFrame, priority: dict[str, int], key: str = "symbol
 def window_around(rows: DataFrame, listings: DataFrame, key: str, date: str, before: int, after: int) -> DataFrame:
     """Rows within days around the listing of their key."""
     return rows.join(listings, key).where(F.col(date).between(F.date_sub("listed", before), F.date_add("listed", after)))
+
+
+def registry_rows(payloads: DataFrame, feed: str, payload: str, shapes: dict[str, dict], details: DataFrame | None = None) -> DataFrame:
+    """feed, record_id, applicant from JSON records of several shapes.
+
+    shapes: for each feed its schema, the path of the record id and of the applicant, and the list to unfold, if any.
+    Fields that a shape lacks are null; details (record_id, applicant) fill applicants that are. Broken JSON gives a row
+    of nulls, unknown feeds give none.
+    """
+    parts = []
+    for name, shape in shapes.items():
+        rows = payloads.where(F.col(feed) == name).select(F.lit(name).alias("feed"), F.from_json(payload, shape["schema"]).alias("x"))
+        if shape.get("each"):
+            rows = rows.withColumn("i", F.explode_outer(f"x.{shape['each']}"))
+        applicant = F.col(shape["applicant"]) if shape.get("applicant") else F.lit(None).cast("string")
+        parts.append(rows.select("feed", F.col(shape["record_id"]).alias("record_id"), applicant.alias("applicant")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if details is not None:
+        own = details.groupBy("record_id").agg(F.min("applicant").alias("__own"))
+        out = out.join(own, "record_id", "left").withColumn("applicant", F.coalesce("applicant", "__own")).drop("__own")
+    return out.select("feed", "record_id", "applicant")
+
+
+def overview_totals(rows: DataFrame, on: str, board: Column, value: str, totals: dict[str, dict]) -> DataFrame:
+    """on and one column for each total: the signed sum of its boards, where every board of every total is there."""
+    boards = sorted({b for signs in totals.values() for b in signs})
+    g = rows.groupBy(on).agg(*(F.sum(F.when(board == b, F.col(value))).alias(f"__{k}") for k, b in enumerate(boards)))
+    of = {b: F.col(f"__{k}") for k, b in enumerate(boards)}
+    for b in boards:
+        g = g.where(of[b].isNotNull())
+    return g.select(on, *(sum((of[b] * F.lit(sign) for b, sign in signs.items()), F.lit(0)).alias(name) for name, signs in totals.items()))
+
+
+def share_snapshot(rows: DataFrame, name: Column, day: str, shares: str, wanted: DataFrame, sessions: DataFrame) -> DataFrame:
+    """fund_code, date, fund_shares, unit of wanted funds (fund_code) on sessions (d); the code is the first six digits in the name.
+
+    Rows without a code, or without a positive number of shares, go.
+    """
+    out = rows.select(F.regexp_extract(name, r"(\d{6})", 1).alias("fund_code"), F.col(day).alias("d"), F.col(shares).alias("fund_shares")).where("fund_code <> '' and fund_shares > 0")
+    out = out.join(wanted.select("fund_code"), "fund_code", "left_semi").join(F.broadcast(sessions.select("d")), "d", "left_semi")
+    return out.select("fund_code", F.col("d").alias("date"), "fund_shares", F.lit("SHARE").alias("unit"))
+
+
+def margin_balances(rows: DataFrame, day: str, exchange: Column, text: str, units: dict) -> DataFrame:
+    """day, exchange, balance, source_unit: balances of each exchange in the unit it publishes; texts that are no number count nothing."""
+    out = rows.select(F.col(day), exchange.alias("exchange"), F.col(text).cast("string").try_cast("double").alias("__v"))
+    unit = F.create_map(*(x for k, v in units.items() for x in (F.lit(k), F.lit(v))))[F.col("exchange").cast("int")]
+    return out.groupBy(day, "exchange").agg(F.round(F.sum("__v"), 2).alias("balance")).withColumn("source_unit", unit)

@@ -5,8 +5,11 @@ Each job reads files as they land, runs with trigger(availableNow) or continuous
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chronolake.operators import breadth
 
 
 def capture_class(observed: Column, session: Column, decision: Column) -> Column:
@@ -27,11 +30,15 @@ def capture_class(observed: Column, session: Column, decision: Column) -> Column
     return F.struct(timing.alias("timing"), eligible.alias("eligible"))
 
 
-def landing(spark: SparkSession, path: str, time: str) -> DataFrame:
-    """Files under path as a stream, with a zoned event time: watermarks need one."""
+def landing(spark: SparkSession, path: str, time: str | None = None, files: int | None = None) -> DataFrame:
+    """Files under path as a stream, with a zoned event time (watermarks need one); files: most files of a batch."""
     schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
     # as a pattern the path may also name a single file
-    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]").withColumn(time, F.col(time).cast("timestamp"))
+    rows = reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    return rows.withColumn(time, F.col(time).cast("timestamp")) if time else rows
 
 
 def drain(stream: DataFrame, out: str, mode: str = "append") -> DataFrame:
@@ -56,9 +63,57 @@ def upsert(stream: DataFrame, out: str, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select(*keys, "r.*")
 
 
-def append_once(stream: DataFrame, key: str, time: str, delay: str = "30 days") -> DataFrame:
-    """Drop repeats of a key that arrive within the watermark."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+def append_once(stream: DataFrame, out: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Append each key once and for ever to a table at out: (the table, the conflicts), over all that has landed.
+
+    A repeat with the same values is dropped, however late it comes; one with other values is a conflict and is not
+    appended, nor is a key that comes with several values in its first batch. Every batch is compared with the keys
+    and digests of the batches before it, and a batch that runs again overwrites itself. Null keys are conflicts.
+    """
+    spark = stream.sparkSession
+    values = [c for c in stream.columns if c != key]
+    data, clashes = f"{out}/data", f"{out}/conflicts"
+    schema = T.StructType([*stream.schema, T.StructField("digest", T.LongType()), T.StructField("part", T.LongType())])
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("digest", F.xxhash64(*values) if values else F.lit(0).cast("long"))
+        new = rows.groupBy(key).agg(F.min_by(F.struct(*values, "digest"), "digest").alias("r"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+        before = spark.read.schema(schema).parquet(data).where(F.col("part") < number) if number else spark.createDataFrame([], schema)
+        before = before.select(F.col(key).alias("__key"), F.col("digest").alias("__old"))
+        met = new.join(before, F.col(key) == F.col("__key"), "left")
+        clash = F.col(key).isNull() | (F.col("lo") != F.col("hi")) | F.coalesce(F.col("__old") != F.col("lo"), F.lit(False))
+        met.where(~clash & F.col("__key").isNull()).select(key, "r.*").write.mode("overwrite").parquet(f"{data}/part={number}")
+        met.where(clash).select(key).write.mode("overwrite").parquet(f"{clashes}/part={number}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(schema).parquet(data).select(*stream.columns), spark.read.parquet(clashes).select(key).distinct()
+
+
+def refreshed_breadth(stream: DataFrame, out: str, key: str = "sym", day: str = "d", price: str = "px", rows: int = 252) -> DataFrame:
+    """Market breadth of every session that a batch touched, refreshed as bars land; the last batch of a session counts.
+
+    A batch joins the bars that landed before it and recomputes its own sessions only, from the rows of each symbol
+    that their windows reach. A batch that runs again overwrites itself.
+    """
+    spark = stream.sparkSession
+    bars, done = f"{out}/bars", f"{out}/breadth"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.select(key, day, price).write.mode("overwrite").parquet(f"{bars}/part={number}")
+        landed = spark.read.parquet(bars).where(F.col("part") <= number)
+        touched = landed.where(F.col("part") == number).select(day).distinct()
+        span = F.broadcast(touched.agg(F.min(day).alias("__from"), F.max(day).alias("__to")))
+        # a bar that comes again replaces the one before it
+        latest = landed.groupBy(key, day).agg(F.max_by(price, "part").alias(price)).crossJoin(span).where(F.col(day) <= F.col("__to"))
+        back = Window.partitionBy(key, F.col(day) < F.col("__from")).orderBy(F.col(day).desc())
+        near = latest.withColumn("__n", F.row_number().over(back)).where((F.col(day) >= F.col("__from")) | (F.col("__n") <= rows))
+        flagged = breadth.flags(breadth.measures(near.select(key, day, price), key, price), price)
+        breadth.breadth(flagged.join(F.broadcast(touched), day, "left_semi"), [day]).write.mode("overwrite").parquet(f"{done}/part={number}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows_ = spark.read.parquet(done)
+    rest = [c for c in rows_.columns if c not in (day, "part")]
+    return rows_.groupBy(day).agg(F.max_by(F.struct(*rest), "part").alias("r")).select(day, "r.*")
 
 
 def first_observation(stream: DataFrame, keys: list[str], time: str, complete: Column) -> DataFrame:

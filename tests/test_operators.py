@@ -157,7 +157,10 @@ def test_filing_facts_need_a_unit_and_keep_shares(spark):
     rows = frame(spark, [(1, text), (2, "营业收入 5"), (3, None), (4, "")], "doc_id long, text string")
     from chronolake.operators import documents
 
-    assert values(documents.standard_facts(rows), "doc_id", "fact", "value") == [(1, "BASIC_EPS", 0.25), (1, "NET_PROFIT_PARENT", 70000.0), (1, "OPERATING_REVENUE", 12345000.0)]
+    assert values(documents.standard_facts(rows), "doc_id", "fact", "value") == [(1, "NET_PROFIT_MARGIN", 70000.0 / 12345000.0), (1, "NET_PROFIT_PARENT", 70000.0), (1, "OPERATING_REVENUE", 12345000.0)]
+    # a value per share is proven by 元/股 at its label or by the unit 元, never by another unit
+    shares = frame(spark, [(1, "单位：万元\n基本每股收益(元/股) 0.25"), (2, "单位：元\n基本每股收益 0.25"), (3, "单位：万元\n基本每股收益 0.25")], "doc_id long, text string")
+    assert values(documents.standard_facts(shares), "doc_id", "fact", "value") == [(1, "BASIC_EPS", 0.25), (2, "BASIC_EPS", 0.25)]
 
 
 def test_report_titles(spark):
