@@ -506,6 +506,27 @@ def test_pipeline_rows_with_repeated_or_null_ids(spark, docs):
     assert sum(mix.values()) == want and all(n <= 2 * held[k] for k, n in mix.items()) and any(k[0] is None for k in mix)
 
 
+def test_pipeline_stages_on_odd_rows(spark, odd_rows, no_rows, tmp_path):
+    """Nulls, blanks, repeats, very long texts, clashing columns and no rows at all, stage by stage."""
+    pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as P
+
+    nothing = odd_rows.limit(1).selectExpr("cast(null as bigint) doc_id", "cast(null as string) text", "cast(null as string) lang", "cast(null as string) source", "cast(null as bigint) n_chars", "node", *(f"cast(null as string) {c}" for c in odd_rows.columns[6:]))
+    rows = odd_rows.unionByName(nothing)
+    for name, df, most in (("odd", rows, 10), ("none", no_rows, 0)):
+        for k, (stage, run) in enumerate(P.STAGES):
+            out = run(spark, df, SF)
+            assert k == len(P.STAGES) - 1 or out.columns == df.columns, stage
+            out.write.parquet(f"{tmp_path}/{name}-{k}")
+            got = spark.read.parquet(f"{tmp_path}/{name}-{k}").collect()
+            assert len(got) <= 2 * most and (most or not got), stage
+            if name == "odd" and k == 1:
+                # of the four rows of one set one stays; blank, null and short ones have no near copy
+                assert sorted((r["doc_id"] or 0) for r in got) == [0, 1, 2, 3, 4, 5, 7, 8]
+            if name == "odd" and k == 2:
+                assert sum(r["text"] is None for r in got) == 2 and len(got) == 10
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     pytest.importorskip("corpus_pipeline")
     import corpus_pipeline as P
