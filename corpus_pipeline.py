@@ -15,14 +15,19 @@ from chronolake.sources.scratch import new_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts, with all their columns.
+
+    Null, empty and blank texts score 0 and go; ids may repeat or be null, each row is scored by its text; an empty
+    table stays empty; without labels of both classes every text scores 0.5 and goes.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the smallest id, null ids last; rows without words stay.
 
-    Rows are told apart by a written key, so ids may repeat or be null.
+    Rows are told apart by a written key, so ids may repeat or be null; of rows with one id and equal sets one stays;
+    rows without words are in no group, repeats of them included; columns of any name are kept; an empty table stays empty.
     """
     names = docs.columns
     (row,) = fresh(docs, "kept_row")
@@ -37,17 +42,17 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their secrets masked."""
+    """The documents with their secrets masked; null texts stay null, every row is scanned by itself, n_chars follows the text."""
     return redacted(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them."""
+    """The documents as often as the mix takes them: rows without words are not taken, null sources are one source, repeats count each."""
     return mix_documents(docs)
 
 
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document of the mix."""
+    """Token ids of each document of the mix: null and empty texts have none, repeated rows give repeated rows."""
     return encode_documents(docs)
 
 
