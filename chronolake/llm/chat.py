@@ -132,13 +132,16 @@ def segments(turns: Column) -> Column:
 
 
 def format_records(records: DataFrame, record: str = "record") -> DataFrame:
-    """Format JSON records in the column named record: all columns, then turns, formatted, loss_mask.
+    """Format JSON records in the column named record: all columns, then turns, unread, loss_mask, formatted.
 
-    Records of an unknown layout or broken JSON give null turns and an empty text; null roles and texts are
+    Records of an unknown layout or broken JSON give null turns and an empty text, and unread says why
+    (NO_RECORD, BROKEN_JSON, UNKNOWN_LAYOUT; null for those that were read); null roles and texts are
     empty; repeated rows give repeated rows; an empty table gives an empty result.
     loss_mask is the formatted text in pieces, each marked.
     """
+    why = F.when(F.col(record).isNull(), "NO_RECORD").when(fingerprint(F.col(record)).isNull(), "BROKEN_JSON").otherwise("UNKNOWN_LAYOUT")
     rows = records.withColumn("turns", canonical_turns(F.col(record)))
+    rows = rows.withColumn("unread", F.when(F.col("turns").isNull(), why))
     rows = rows.withColumn("loss_mask", segments(F.coalesce("turns", F.array().cast(TURNS))))
     return rows.withColumn("formatted", F.array_join(F.transform("loss_mask", lambda s: s["piece"]), ""))
 

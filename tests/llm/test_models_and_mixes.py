@@ -153,7 +153,8 @@ def test_layouts_become_turns(spark):
     for k, (_, want) in enumerate(rows):
         turns = got[k]["turns"]
         assert (None if turns is None else [(t["role"], t["text"]) for t in turns]) == want
-        assert (got[k]["formatted"] == "") == (want is None)
+        assert (got[k]["formatted"] == "") == (want is None) == (got[k]["unread"] is not None)
+    assert [got[k]["unread"] for k in (7, 8, 9)] == ["UNKNOWN_LAYOUT", "BROKEN_JSON", "NO_RECORD"]
     assert chat.format_records(df.where("false")).count() == 0
 
 
@@ -161,10 +162,10 @@ def test_long_conversations_are_not_emptied(spark):
     """A text beyond the default limit of the JSON parser, in each layout of packed()."""
     rows = spark.range(3).select(F.col("id").alias("conv_id"), F.explode(F.sequence(F.lit(0), F.lit(1))).alias("turn"))
     role = F.when(F.col("turn") == 1, "assistant").when(F.col("conv_id") == 0, "user").when(F.col("conv_id") == 1, "system").otherwise("human")
-    text = F.when(F.col("turn") == 1, F.repeat(F.lit('a "word", '), F.lit(2_100_000))).otherwise("q")
+    text = F.when(F.col("turn") == 1, F.repeat(F.lit('a "word", '), F.lit(2_500_000))).otherwise("q")
     convs = chat.packed(rows.select("conv_id", "turn", role.alias("role"), text.alias("text")))
     got = convs.select("conv_id", F.transform(chat.canonical_turns(F.col("record")), lambda t: F.concat(t["role"], F.lit(":"), F.length(t["text"]))).alias("t")).collect()
-    assert {r["conv_id"]: r["t"] for r in got} == {k: [f"{role}:1", "assistant:21000000"] for k, role in enumerate(["user", "system", "human"])}
+    assert {r["conv_id"]: r["t"] for r in got} == {k: [f"{role}:1", "assistant:25000000"] for k, role in enumerate(["user", "system", "human"])}
 
 
 def test_outlines_keep_paths(spark):
