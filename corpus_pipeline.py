@@ -14,6 +14,10 @@ from chronolake.llm.secrets import redacted
 from chronolake.sources.scratch import new_path
 
 
+#: Parts of a group of near copies in the join that leaves one row of it.
+SALT = 16
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts, with all their columns.
 
@@ -36,8 +40,10 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ids = docs.select(F.col(row).alias("r"), F.col("doc_id").cast("long").alias("id"))
     groups = groups.join(ids, F.col("row") == F.col("r"))
     groups = saved(groups.select("component_id", F.struct(F.col("id").isNull().alias("none"), "id", "row").alias("place")), "groups")
-    first = groups.groupBy("component_id").agg(F.min("place").alias("first"))
-    gone = groups.join(first, "component_id").where(F.col("place.row") != F.col("first.row")).select(F.col("place.row").alias(row))
+    # only groups of several rows lose any; a large one would be one join key, so both sides carry a salt
+    first = groups.groupBy("component_id").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    groups = groups.withColumn("salt", F.pmod(F.xxhash64("place.row"), F.lit(SALT)).cast("int"))
+    gone = groups.join(first, ["component_id", "salt"]).where(F.col("place.row") != F.col("first.row")).select(F.col("place.row").alias(row))
     return docs.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in names))
 
 
