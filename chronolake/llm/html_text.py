@@ -54,6 +54,8 @@ LAYOUT = {"div", "section", "center", "table", "tbody", "thead", "tfoot", "tr",
 LISTS = {"ul", "ol", "dl", "li", "dd", "dt", "p"}
 WRAPS = {"form", "fieldset"}
 TALK = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply"}
+#: Elements that weigh 1 where they have no attributes.
+PLAIN = {"p", "a", "b", "i", "em", "strong", "span", "div", "br", "li", "ul", "ol", "td", "tr", "table", "h1", "h2", "h3"}
 #: Words of a name that say where or how a part stands, not what it is.
 NEUTRAL = {"", "left", "right", "top", "bottom", "box", "list", "item", "items", "wrap", "wrapper", "container", "section", "area", "block", "inner", "outer", "site", "page", "main", "global", "slot", "unit", "bar", "text", "link", "links", "js", "id", "the"}
 #: Share of the text around it without links from which a part's weight is 1: of most parts, and of comments and parts by element.
@@ -71,7 +73,7 @@ RAW_ENDS = {tag: re.compile(rf"</{tag}(?![a-z0-9])", re.I) for tag in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "article", "holds", "weight", "faint", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "attrs", "parent", "children", "article", "holds", "weight", "faint", "kids", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None) -> None:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
@@ -165,9 +167,9 @@ def tree(page: str) -> Node:
             if body:
                 continue
             body = True
-        if tag in CLOSES_P and now.last("p") > now.last(*P_ENDS):
+        if now.places["p"] and tag in CLOSES_P and now.last("p") > now.last(*P_ENDS):
             now.close(now.last("p"))
-        if tag in ENDS:
+        if tag in ENDS and any(now.places.get(t) for t in ENDS[tag][0]):
             own, fence = ENDS[tag]
             fenced = now.last(*fence)
             hits = [places[k] for t in own if (places := now.places.get(t)) and (k := bisect_right(places, fenced)) < len(places)]
@@ -176,7 +178,7 @@ def tree(page: str) -> Node:
         above = now.stack[-1]
         node = Node(tag, attrs, above)
         above.children.append(node)
-        if node.article and node.evidence(NO_ARTICLE) < PART:
+        if node.article and (not attrs or node.evidence(NO_ARTICLE) < PART):
             while above is not None and not above.holds:
                 above.holds = True
                 above = above.parent
@@ -236,7 +238,7 @@ def weights(root: Node) -> None:
         kept = []
         for c in node.children:
             if isinstance(c, Node):
-                weight, share = weigh(c, c.article or scope.article)
+                weight, share = (1.0, 0.0) if c.tag in PLAIN and not c.attrs else weigh(c, c.article or scope.article)
                 if not weight:
                     continue
                 if weight < 1:
@@ -263,11 +265,15 @@ def measure(root: Node) -> list[Node]:
     while stack:
         node = stack.pop()
         order.append(node)
-        stack.extend(_kids(node))
+        node.kids = [c for c in node.children if isinstance(c, Node)]
+        stack.extend(node.kids)
     order.reverse()
     for node in order:
-        kids = _kids(node)
-        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        kids = node.kids
+        own = 0
+        for c in node.children:
+            if c.__class__ is str:
+                own += len("".join(c.split()))
         node.chars = own + sum(k.chars for k in kids)
         node.tags = sum(k.tags + 1 for k in kids)
         link = node.tag == "a"
@@ -305,7 +311,8 @@ def _mostly_links(node: Node) -> bool:
 
 
 def _kids(node: Node) -> list[Node]:
-    return [c for c in node.children if isinstance(c, Node)]
+    """Children that are elements, as measure() left them."""
+    return node.kids
 
 
 def content(order: list[Node]) -> tuple[set[int], set[int], set[int]]:
