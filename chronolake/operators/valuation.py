@@ -42,23 +42,24 @@ def state_facts(facts: DataFrame, entity: str, period: str, kind: str, available
     return wide.withColumn("missing", F.array_join(F.filter(lost, lambda x: x.isNotNull()), ","))
 
 
-def trailing_value(facts: DataFrame, entity: str, period: str, available: str, value: str) -> DataFrame:
-    """Trailing-twelve-month value known from each availability date of an entity: entity, available, period, ttm.
+def trailing_value(facts: DataFrame, keys: str | list[str], period: str, available: str, value: str) -> DataFrame:
+    """Trailing-twelve-month value known from each availability date of a key: keys, available, period, ttm.
 
-    A fourth-quarter period stands for itself; an earlier one is last year's whole + its own - its comparable, each
+    keys: an entity, or an entity and a fact type, each with values of its own. A fourth-quarter period stands for itself; an earlier one is last year's whole + its own - its comparable, each
     as known then; a missing part gives null. Values are cumulative within a year. A later date never goes back
     to an older period.
     """
-    w = Window.partitionBy(entity).orderBy(available).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    times = facts.groupBy(entity, available).agg(F.max(period).alias("__p")).withColumn("latest", F.max("__p").over(w)).drop("__p")
+    keys = [keys] if isinstance(keys, str) else keys
+    w = Window.partitionBy(*keys).orderBy(available).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    times = facts.groupBy(*keys, available).agg(F.max(period).alias("__p")).withColumn("latest", F.max("__p").over(w)).drop("__p")
     year = F.year("latest")
     parts = F.array(
         F.struct(F.lit("now").alias("part"), F.col("latest").alias(period)),
         F.struct(F.lit("year").alias("part"), F.make_date(year - 1, F.lit(12), F.lit(31)).alias(period)),
         F.struct(F.lit("comparable").alias("part"), F.last_day(F.add_months("latest", -12)).alias(period)),
     )
-    asked = times.select(entity, F.col(available).alias("__cut"), "latest", F.explode(parts).alias("x")).select(entity, "__cut", "latest", "x.*")
-    known = asof.backward(asked, facts.select(entity, period, available, value), [entity, period], "__cut", available, [value])
-    wide = known.groupBy(entity, "__cut", "latest").agg(*(F.max(F.when(F.col("part") == p, F.col(value))).alias(p) for p in ("now", "year", "comparable")))
+    asked = times.select(*keys, F.col(available).alias("__cut"), "latest", F.explode(parts).alias("x")).select(*keys, "__cut", "latest", "x.*")
+    known = asof.backward(asked, facts.select(*keys, period, available, value), [*keys, period], "__cut", available, [value])
+    wide = known.groupBy(*keys, "__cut", "latest").agg(*(F.max(F.when(F.col("part") == p, F.col(value))).alias(p) for p in ("now", "year", "comparable")))
     ttm = F.when(F.month("latest") == 12, F.col("now")).otherwise(F.col("year") + F.col("now") - F.col("comparable"))
-    return wide.select(entity, F.col("__cut").alias(available), F.col("latest").alias(period), ttm.alias("ttm"))
+    return wide.select(*keys, F.col("__cut").alias(available), F.col("latest").alias(period), ttm.alias("ttm"))

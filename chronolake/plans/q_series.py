@@ -223,42 +223,43 @@ def yearly_trend(spark, sf):
     return valuation.yearly_trend(clean(spark, sf), ["ent", "ft"], "pe", "av", "val").select("ent", "ft", "pe", "av", "val", "prior_value", "change")
 
 
-TTM = f"""{CLEAN}, u AS (SELECT * FROM c WHERE ft = '2-HIGH'),
-t AS (SELECT ent, av, max(max(pe)) OVER (PARTITION BY ent ORDER BY av) AS latest FROM u GROUP BY ent, av),
-q AS (SELECT ent, av, latest,
-  (SELECT arg_max(val, b.av) FROM u b WHERE b.ent = t.ent AND b.pe = latest AND b.av <= t.av) AS now,
-  (SELECT arg_max(val, b.av) FROM u b WHERE b.ent = t.ent AND b.pe = make_date(year(latest) - 1, 12, 31) AND b.av <= t.av) AS whole,
-  (SELECT arg_max(val, b.av) FROM u b WHERE b.ent = t.ent AND b.pe = last_day(latest - INTERVAL 12 MONTH) AND b.av <= t.av) AS comparable FROM t),
-y AS (SELECT ent, av, latest AS pe, CASE WHEN month(latest) = 12 THEN now ELSE whole + now - comparable END AS ttm FROM q)"""
+TTM = f"""{CLEAN}, {LATEST},
+t AS (SELECT ent, ft, av, max(max(pe)) OVER (PARTITION BY ent, ft ORDER BY av) AS latest FROM c GROUP BY ent, ft, av),
+q AS (SELECT ent, ft, av, latest,
+  (SELECT arg_max(val, u.av) FROM c u WHERE u.ent = t.ent AND u.ft = t.ft AND u.pe = latest AND u.av <= t.av) AS now,
+  (SELECT arg_max(val, u.av) FROM c u WHERE u.ent = t.ent AND u.ft = t.ft AND u.pe = make_date(year(latest) - 1, 12, 31) AND u.av <= t.av) AS whole,
+  (SELECT arg_max(val, u.av) FROM c u WHERE u.ent = t.ent AND u.ft = t.ft AND u.pe = last_day(latest - INTERVAL 12 MONTH) AND u.av <= t.av) AS comparable FROM t),
+y AS (SELECT ent, ft, av, latest AS pe, CASE WHEN month(latest) = 12 THEN now ELSE whole + now - comparable END AS ttm FROM q)"""
 
 
-@query("win_15_trailing_twelve_months", "v_facts", f", {TTM} SELECT * FROM y")
+def trailing(spark, sf):
+    return valuation.trailing_value(clean(spark, sf), ["ent", "ft"], "pe", "av", "val")
+
+
+@query("win_15_trailing_twelve_months", "v_bars v_facts", f", {TTM} SELECT * FROM y")
 def trailing_twelve_months(spark, sf):
-    return valuation.trailing_value(clean(spark, sf).where("ft = '2-HIGH'"), "ent", "pe", "av", "val")
+    return trailing(spark, sf)
 
 
-@query("win_15_valuation_rail", "v_bars v_facts", f", {TTM} SELECT b.sym, b.d, b.px, y.ttm, round(CASE WHEN y.ttm <> 0 THEN b.px / y.ttm::DOUBLE END, 9) AS multiple FROM (SELECT *, sym % 25 AS ent FROM v_bars) b ASOF LEFT JOIN y ON b.ent = y.ent AND b.d >= y.av")
+@query("win_15_valuation_rail", "v_bars v_facts", f", {TTM} SELECT b.sym, b.d, b.ft, b.px, y.ttm, round(CASE WHEN y.ttm <> 0 THEN b.px / y.ttm::DOUBLE END, 9) AS multiple FROM b ASOF LEFT JOIN y ON b.ent = y.ent AND b.ft = y.ft AND b.d >= y.av")
 def valuation_rail(spark, sf):
-    ttm = valuation.trailing_value(clean(spark, sf).where("ft = '2-HIGH'"), "ent", "pe", "av", "val")
-    rows = asof.backward(px(spark, sf).withColumn("ent", F.col("sym") % 25), ttm, ["ent"], "d", "av", ["ttm"])
-    return rows.select("sym", "d", "px", "ttm", F.round(F.try_divide(F.col("px"), F.col("ttm").cast("double")), 9).alias("multiple"))
+    rows = asof.backward(asked(spark, sf), trailing(spark, sf), ["ent", "ft"], "d", "av", ["ttm"])
+    return rows.select("sym", "d", "ft", "px", "ttm", F.round(F.try_divide(F.col("px"), F.col("ttm").cast("double")), 9).alias("multiple"))
 
 
-@query("pit_8_valuation_evidence", "v_bars v_facts", f", {TTM}, r AS (SELECT b.sym, b.d, y.ttm, y.av FROM (SELECT *, sym % 25 AS ent FROM v_bars) b ASOF JOIN y ON b.ent = y.ent AND b.d >= y.av) SELECT sym, d, sha256(sym::VARCHAR || chr(31) || d::VARCHAR || chr(31) || ttm::VARCHAR) AS evidence_id, 'TRAILING_VALUE' AS evidence_type, av AS known_since FROM r WHERE ttm > 0")
+@query("pit_8_valuation_evidence", "v_bars v_facts", f", {TTM}, r AS (SELECT b.sym, b.d, b.ft, y.ttm, y.av FROM b ASOF JOIN y ON b.ent = y.ent AND b.ft = y.ft AND b.d >= y.av) SELECT sym, d, sha256(sym::VARCHAR || chr(31) || d::VARCHAR || chr(31) || ft || chr(31) || ttm::VARCHAR) AS evidence_id, 'TRAILING_VALUE' AS evidence_type, av AS known_since FROM r WHERE ttm > 0")
 def valuation_evidence(spark, sf):
-    ttm = valuation.trailing_value(clean(spark, sf).where("ft = '2-HIGH'"), "ent", "pe", "av", "val")
-    rows = asof.backward(px(spark, sf).withColumn("ent", F.col("sym") % 25), ttm, ["ent"], "d", "av", ["ttm"]).where("ttm > 0")
-    return rows.select("sym", "d", S.stable_hash(F.col("sym"), F.col("d"), F.col("ttm")).alias("evidence_id"), F.lit("TRAILING_VALUE").alias("evidence_type"), F.col("asof_time").alias("known_since"))
+    rows = asof.backward(asked(spark, sf), trailing(spark, sf), ["ent", "ft"], "d", "av", ["ttm"]).where("ttm > 0")
+    return rows.select("sym", "d", S.stable_hash(F.col("sym"), F.col("d"), F.col("ft"), F.col("ttm")).alias("evidence_id"), F.lit("TRAILING_VALUE").alias("evidence_type"), F.col("asof_time").alias("known_since"))
 
 
-KINDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 STATE = f"""{CLEAN}, cut AS (SELECT DISTINCT ent, pe, av AS cut FROM c),
-s AS (SELECT ent, pe, cut, {', '.join(f"(SELECT arg_max(val, b.av) FROM c b WHERE b.ent = cut.ent AND b.pe = cut.pe AND b.ft = '{k}' AND b.av <= cut.cut) AS v{i}" for i, k in enumerate(KINDS))} FROM cut)"""
+s AS (SELECT ent, pe, cut, {', '.join(f"(SELECT arg_max(val, b.av) FROM c b WHERE b.ent = cut.ent AND b.pe = cut.pe AND b.ft = '{k}' AND b.av <= cut.cut) AS v{i}" for i, k in enumerate(TYPES))} FROM cut)"""
 
 
-@query("win_16_state_at_knowledge_dates", "v_facts", f", {STATE} SELECT *, array_to_string(list_filter([{', '.join(f'CASE WHEN v{i} IS NULL THEN ' + chr(39) + k + chr(39) + ' END' for i, k in enumerate(KINDS))}], lambda x: x IS NOT NULL), ',') AS missing FROM s")
+@query("win_16_state_at_knowledge_dates", "v_facts", f", {STATE} SELECT *, array_to_string(list_filter([{', '.join(f'CASE WHEN v{i} IS NULL THEN ' + chr(39) + k + chr(39) + ' END' for i, k in enumerate(TYPES))}], lambda x: x IS NOT NULL), ',') AS missing FROM s")
 def state_at_knowledge_dates(spark, sf):
-    return valuation.state_facts(clean(spark, sf), "ent", "pe", "ft", "av", "val", KINDS)
+    return valuation.state_facts(clean(spark, sf), "ent", "pe", "ft", "av", "val", TYPES)
 
 
 @query("nrm_24_accounting_state", "v_facts", f""", {STATE},
@@ -267,7 +268,7 @@ j AS (SELECT a.*, b.r AS r0, b.p AS p0, b.c AS c0, b.m AS m0 FROM w a JOIN w b O
 SELECT ent, pe, CASE WHEN p < 0 THEN 'FUNDAMENTAL_FAIL' WHEN r < r0 AND p < p0 AND c < c0 AND m < m0 THEN 'FUNDAMENTAL_FAIL' WHEN p > 0 AND c < 0 AND c0 >= 0 AND c < c0 THEN 'FUNDAMENTAL_FAIL' WHEN p < p0 AND m < m0 AND c < c0 THEN 'FUNDAMENTAL_FAIL' WHEN p > 0 AND c >= 0 AND r >= r0 AND p >= p0 AND c >= c0 AND m >= m0 THEN 'FUNDAMENTAL_PASS' ELSE 'FUNDAMENTAL_WATCH' END AS state,
   CASE WHEN p < 0 THEN 'CURRENT_NET_LOSS' WHEN r < r0 AND p < p0 AND c < c0 AND m < m0 THEN 'BROAD_BASED_DETERIORATION' WHEN p > 0 AND c < 0 AND c0 >= 0 AND c < c0 THEN 'PROFIT_CASH_DIVERGENCE' WHEN p < p0 AND m < m0 AND c < c0 THEN 'PROFIT_MARGIN_CASH_DETERIORATION' WHEN p > 0 AND c >= 0 AND r >= r0 AND p >= p0 AND c >= c0 AND m >= m0 THEN 'ALL_CORE_DIMENSIONS_NON_DETERIORATING' ELSE 'QUALIFIED_MIXED_ACCOUNTING_STATE' END AS reason FROM j""")
 def accounting_state(spark, sf):
-    s = valuation.state_facts(clean(spark, sf), "ent", "pe", "ft", "av", "val", KINDS)
+    s = valuation.state_facts(clean(spark, sf), "ent", "pe", "ft", "av", "val", TYPES)
     # max_by drops cutoffs where the fact is not known yet, as they come earlier
     last = lambda i: F.max_by(f"v{i}", F.when(F.col(f"v{i}").isNotNull(), F.col("cut")))
     now = s.groupBy("ent", "pe").agg(last(0).alias("r"), (last(1) - 400000).alias("p"), (last(2) - 300000).alias("c"), last(3).alias("m"))

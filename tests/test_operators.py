@@ -152,6 +152,12 @@ def test_trailing_value_needs_all_parts(spark):
     assert got == {("e", D(2022, 4, 20)): None, ("e", D(2023, 4, 1)): 100, ("e", D(2023, 4, 20)): 110, ("f", D(2023, 4, 20)): None}
 
 
+def test_trailing_values_of_fact_types_do_not_mix(spark):
+    rows = [("e", k, p, a, v * x) for k, x in (("sales", 1), ("profit", 10)) for p, a, v in ((D(2022, 12, 31), D(2023, 4, 1), 100), (D(2022, 3, 31), D(2022, 4, 20), 20), (D(2023, 3, 31), D(2023, 4, 20), 30))]
+    out = valuation.trailing_value(frame(spark, rows, "ent string, ft string, pe date, av date, val int"), ["ent", "ft"], "pe", "av", "val")
+    assert values(out.where("av = date'2023-04-20'"), "ft", "ttm") == [("profit", 1100), ("sales", 110)]
+
+
 def test_filing_facts_need_a_unit_and_keep_shares(spark):
     text = "合并利润表\n单 位：人民币\n万元\n营业收入\n本期 1,234.5 900\n基本每股收益 0.25\n归属于上市公司股东的净利润 (说明) 7"
     rows = frame(spark, [(1, text), (2, "营业收入 5"), (3, None), (4, "")], "doc_id long, text string")
