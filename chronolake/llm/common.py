@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronolake.sources.scratch import new_path
 
+#: Links that a task joins into trees, 16 bytes each.
+TREE_LINKS = 1 << 18
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,12 +40,38 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its tree) of the links u - v."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    low = np.arange(len(ids))
+    while True:
+        x, y = low[a], low[b]
+        if (x == y).all():
+            return ids, ids[low]
+        # of two roots the larger goes under the smaller, then every node straight under its root
+        np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+        while (low[low] != low).any():
+            low = low[low]
+
+
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a part as (node, smallest node of its tree)."""
+    both = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    if both:
+        node, low = forest(*(np.concatenate(x) for x in zip(*both)))
+        below = node != low
+        yield pa.RecordBatch.from_arrays([pa.array(node[below]), pa.array(low[below])], ["u", "v"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components of an undirected edge list by alternating large-star and small-star steps.
+    """Connected components of an undirected edge list: trees within parts, then alternating large-star and small-star steps.
 
-    Returns (node, component): component is the smallest node id that can be reached. Only nodes
-    with an edge to another node appear. Both steps are a minimum per node and an equi-join, so a
-    hub is one skewed join key that AQE splits; no group is ever gathered in a list.
+    The edges are dealt by their hash into parts of about TREE_LINKS, so a hub spreads over all parts; a task leaves
+    one edge a node of its part. Where one part holds all edges, its trees are the components. The star steps are
+    a minimum per node and an equi-join, so a hub is one skewed join key that AQE splits; no group is ever gathered
+    in a list. Nodes are longs. Returns (node, component): component is the smallest node id that can be reached.
+    Only nodes with an edge to another node appear.
     """
     now = saved(
         edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
@@ -48,7 +81,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         row = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         return row["n"], row["x"]
 
-    before = mark(now)
+    parts = -(-now.count() // TREE_LINKS)
+    if parts:
+        now = saved(now.repartition(parts, F.xxhash64("u", "v")).mapInArrow(_trees, "u long, v long"), "trees")
+    before = mark(now) if parts > 1 else (0, None)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, saved, table
+from .common import components, forest, saved, table
 
 THRESHOLD = 0.98
 #: Bytes of vectors in a tile, and rows of the blocks that are compared at once in it.
@@ -127,20 +127,6 @@ def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(node, smallest node of its tree) of the links u - v."""
-    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = at[: len(u)], at[len(u) :]
-    low = np.arange(len(ids))
-    while True:
-        before = low.copy()
-        np.minimum.at(low, a, low[b])
-        np.minimum.at(low, b, low[a])
-        low = low[low]
-        if (low == before).all():
-            return ids, ids[low]
-
-
 def _tiles(axes: dict[int, np.ndarray], threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         home, guest = group[group["side"] == 0], group[group["side"] == 1]
