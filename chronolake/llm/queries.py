@@ -11,11 +11,14 @@ from .chat import ORACLE_OP5, op5_chat_format
 from .embedding_dups import op8_embedding_dups
 from .html_text import op6_html_text
 from .jaccard import op1_ngram_jaccard
+from .licenses import ORACLE_OP13, op13_license_scan
 from .mixing import ORACLE_OP7, op7_mix_sources
+from .phrases import ORACLE_OP11, op11_phrase_mining
 from .pieces import op2_sentencepiece
 from .quality_model import op9_quality_classifier
 from .quality_rules import op4_quality_rules
 from .secrets import op3_secret_scan
+from .spelling import ORACLE_OP12, op12_spelling_variants
 from .token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_dups": op8_embedding_dups,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_counts": op10_token_counts,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,4 +44,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": ORACLE_OP5,
     "op7_mix_sources": ORACLE_OP7,
     "op8_embedding_dups": oracles.OP8,
+    "op11_phrase_mining": ORACLE_OP11,
+    "op12_spelling_variants": ORACLE_OP12,
+    "op13_license_scan": ORACLE_OP13,
 }
