@@ -69,6 +69,44 @@ def bundle_quality(rows: DataFrame, scope: DataFrame, key: str, day: str, digits
     return inside.crossJoin(total).select("latest", "symbols", F.round(F.try_divide(F.col("symbols"), F.col("total")), digits).alias("coverage"))
 
 
+def market_quality(bars: DataFrame, universe: DataFrame, key: str, day: str, floor: float = 0.95, start: str = "effective_start", end: str = "effective_end", digits: int = 6) -> DataFrame:
+    """One row: latest, universe_symbols, seen_symbols, active_symbols, active_seen, both coverages, passed.
+
+    Historical coverage: symbols of the universe with any bar. Active coverage: of the symbols whose membership holds the
+    latest day of all bars, those with a bar on it. Both must reach floor; an empty side has coverage 0.
+    """
+    latest = bars.agg(F.max(day).alias("latest"))
+    traded = bars.select(key, day).join(F.broadcast(latest), F.lit(True)).groupBy(key).agg(F.bool_or(F.col(day) == F.col("latest")).alias("__now"))
+    held = universe.join(F.broadcast(latest), F.lit(True))
+    inside = (F.col(start) <= F.col("latest")) & F.coalesce(F.col(end) >= F.col("latest"), F.lit(True))
+    held = held.groupBy(key).agg(F.coalesce(F.bool_or(inside), F.lit(False)).alias("__active")).where(F.col(key).isNotNull())
+    rows = held.join(traded, key, "left")
+    now = F.col("__active") & F.coalesce("__now", F.lit(False))
+    counts = rows.agg(F.count("*").alias("universe_symbols"), F.count("__now").alias("seen_symbols"), F.count_if("__active").alias("active_symbols"), F.count_if(now).alias("active_seen"))
+    share = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
+    past, present = share("seen_symbols", "universe_symbols"), share("active_seen", "active_symbols")
+    return latest.join(F.broadcast(counts), F.lit(True)).select("latest", "universe_symbols", "seen_symbols", "active_symbols", "active_seen", F.round(past, digits).alias("historical_coverage"), F.round(present, digits).alias("active_coverage"), ((past >= floor) & (present >= floor)).alias("passed"))
+
+
+def bundle_faults(metadata: DataFrame, prices: DataFrame, status: DataFrame, key: str, columns: dict[str, list[str]], floor: float) -> DataFrame:
+    """rule, n of every rule that a public bundle breaks; an empty result is a sound bundle.
+
+    Schema equality (metadata, prices, status against columns), prices inside the metadata, coverage of its symbols by
+    prices, and a status for exactly its symbols. n: the columns or symbols at fault.
+    """
+    spark, faults = metadata.sparkSession, []
+    for name, df in (("metadata", metadata), ("prices", prices), ("status", status)):
+        faults.append((f"{name.upper()}_COLUMNS", len(set(df.columns) ^ set(columns[name])) or int(df.columns != columns[name])))
+    schema = spark.createDataFrame(faults, "rule string, n long")
+    known, priced, stated = (df.select(key).where(F.col(key).isNotNull()).distinct() for df in (metadata, prices, status))
+    count = lambda rows, name: rows.agg(F.lit(name).alias("rule"), F.count("*").alias("n"))
+    seen = known.join(priced.withColumn("__p", F.lit(1)), key, "left").agg(F.count("*").alias("all"), F.count("__p").alias("priced"))
+    short = seen.select(F.lit("PRICE_COVERAGE").alias("rule"), F.when(F.coalesce(F.try_divide("priced", "all"), F.lit(0.0)) < floor, F.greatest(F.col("all") - F.col("priced"), F.lit(1))).otherwise(0).alias("n"))
+    rows = schema.unionByName(count(priced.join(known, key, "left_anti"), "PRICE_OUTSIDE_METADATA")).unionByName(short)
+    rows = rows.unionByName(count(known.join(stated, key, "left_anti"), "SYMBOL_WITHOUT_STATUS")).unionByName(count(stated.join(known, key, "left_anti"), "STATUS_OUTSIDE_METADATA"))
+    return rows.where("n > 0")
+
+
 def scheduled(periods: DataFrame, rows: DataFrame, period: str, most: int) -> DataFrame:
     """period, n_rows, state of every scheduled period: MISSING without rows, DUPLICATE with more than most, else OK."""
     seen = rows.groupBy(period).agg(F.count("*").alias("n"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chronolake.functions import fingerprint
+
 from .contracts import require_columns, violations
 
 REQUIRED = ["evidence_id", "entity_id", "evidence_type", "event_date", "available_date", "source_identity", "document_id", "ingestion_id", "availability_state"]
-STATES = ("AVAILABLE", "DELAYED", "FIRST_OBSERVED")
+STATES = ("AVAILABLE", "DELAYED", "FIRST_OBSERVED", "HISTORICAL_RECONSTRUCTABLE", "DATA_INSUFFICIENT")
 
 
 def record_rules() -> dict[str, Column]:
@@ -24,8 +26,10 @@ def invalid_records(ledger: DataFrame) -> DataFrame:
     require_columns(ledger, REQUIRED)
     rows = violations(ledger, record_rules()).select("evidence_id", F.explode("broken").alias("rule"))
     for c in ("evidence_id", "ingestion_id"):
-        twice = ledger.groupBy(c).agg(F.count("*").alias("n"), F.collect_set("evidence_id").alias("ids")).where("n > 1")
-        rows = rows.unionByName(twice.select(F.explode("ids").alias("evidence_id"), F.lit(f"{c}_TWICE").alias("rule")))
+        # ids of repeated keys are joined back, so a key that all rows share is gathered nowhere
+        twice = ledger.groupBy(F.col(c).alias("__key")).agg(F.count("*").alias("__n")).where("__n > 1")
+        met = ledger.join(twice, F.col(c).eqNullSafe(F.col("__key")), "left_semi")
+        rows = rows.unionByName(met.select("evidence_id", F.lit(f"{c}_TWICE").alias("rule")).distinct())
     return rows.groupBy("evidence_id").agg(F.array_join(F.array_sort(F.collect_set("rule")), ",").alias("broken"))
 
 
@@ -35,16 +39,21 @@ def as_of(ledger: DataFrame, date: Column) -> DataFrame:
 
 
 def day_fingerprints(ledger: DataFrame) -> DataFrame:
-    """available_date, n, fingerprint: an order-free hash of the rows of each day."""
-    row = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(ledger.columns)))
-    return ledger.groupBy("available_date").agg(F.count("*").alias("n"), F.bit_xor(row).alias("fingerprint"))
+    """available_date, n, f1, f2: an order-free fingerprint of the rows of each day, repeats included."""
+    return fingerprint.content(ledger, ["available_date"])
 
 
 def changed_days(earlier: DataFrame, later: DataFrame, cut: Column) -> DataFrame:
-    """Days up to cut whose rows differ between two ledgers: replay of a prefix must give the same rows."""
-    a = day_fingerprints(as_of(earlier, cut)).select("available_date", F.col("n").alias("n1"), F.col("fingerprint").alias("f1"))
-    b = day_fingerprints(as_of(later, cut)).select("available_date", F.col("n").alias("n2"), F.col("fingerprint").alias("f2"))
-    return a.join(b, "available_date", "full_outer").where(~(F.col("n1").eqNullSafe(F.col("n2")) & F.col("f1").eqNullSafe(F.col("f2")))).select("available_date", "n1", "n2")
+    """available_date, n1, n2: days up to cut whose rows differ between two ledgers. Replay of a prefix must give the same rows."""
+    return fingerprint.differing(day_fingerprints(as_of(earlier, cut)), day_fingerprints(as_of(later, cut)), ["available_date"])
+
+
+def changed_records(earlier: DataFrame, later: DataFrame, cut: Column, known: DataFrame | None = None) -> DataFrame:
+    """available_date, entity_id, evidence_id, n1, n2, change: the rows behind `changed_days`, found by day, then entity, then id.
+
+    known: stored fingerprints of the days of earlier, so that its equal days are not read at all.
+    """
+    return fingerprint.changed_rows(as_of(earlier, cut), as_of(later, cut), ["available_date", "entity_id"], "evidence_id", known)
 
 
 def merge_append(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:

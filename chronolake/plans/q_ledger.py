@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
-from chronolake.operators import combine, intervals, ledger, sets
+from chronolake.operators import assembly, combine, intervals, ledger, sets
+from chronolake.sources.scratch import new_path, saved
 
 from . import fixtures as X
-from .q_scalars import TITLE_SQL, titles
+from .q_scalars import TITLE_SQL, like_any, titles
 from .registry import query
 
 LEDGER = """led AS (SELECT sha256(doc::VARCHAR || chr(31) || cls) AS evidence_id, ent, cls, doc, CAST(pub AS DATE) AS event_date, CAST(pub AS DATE) + CASE WHEN doc % 97 = 0 THEN -1 ELSE (doc % 4)::INT END AS available_date,
@@ -52,6 +53,17 @@ def prefix_replay(spark, sf):
     return ledger.changed_days(old, old.where("cast(get_json_object(provenance, '$.doc') as long) % 1000 <> 7"), X.day("2024-01-25"))
 
 
+@query("pit_3_changed_records", "v_annc", f", {LEDGER} SELECT available_date, ent::VARCHAR AS entity_id, evidence_id, 1::BIGINT AS n1, CASE WHEN doc % 1000 = 7 THEN NULL WHEN doc % 1000 = 9 THEN 2 ELSE 1 END::BIGINT AS n2, CASE WHEN doc % 1000 = 7 THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM led WHERE available_date <= DATE '2024-01-25' AND doc % 1000 IN (7, 8, 9)")
+def changed_records(spark, sf):
+    """A later ledger lost some rows, has others with a new state and some twice; stored fingerprints of the days stand for the earlier one."""
+    old = saved(evidence(spark, sf), "ledger")
+    doc = F.get_json_object("provenance", "$.doc").cast("long") % 1000
+    new = old.where(doc != 7).withColumn("availability_state", F.when(doc == 8, "RESTATED").otherwise(F.col("availability_state")))
+    new = saved(new.unionByName(old.where(doc == 9)), "ledger")
+    stored = saved(ledger.day_fingerprints(ledger.as_of(old, X.day("2024-01-25"))), "fingerprints")
+    return ledger.changed_records(old, new, X.day("2024-01-25"), stored)
+
+
 @query("pit_4_ledger_audit", "v_annc", f", {LEDGER} SELECT count(*) AS n, count(DISTINCT evidence_id) = count(*) AS evidence_ids_unique, count(DISTINCT ing) = count(*) AS ingestion_ids_unique, bool_and(available_date >= event_date) AS never_available_early, bool_and(state <> 'LOST') AS states_known, bool_and(document_id <> '') AS documents_named, true AS provenance_parses, min(available_date) AS first_available, max(available_date) AS last_available, count(DISTINCT ent) AS entities FROM led")
 def ledger_audit(spark, sf):
     return ledger.audit(evidence(spark, sf))
@@ -127,6 +139,107 @@ def ledger_assembly(spark, sf):
     return good.unionByName(facts).groupBy("part", F.trunc("av", "MM").alias("month")).agg(F.count("*").alias("n"))
 
 
+#: Fact types of the fixture in their roles; amounts are moved so that every state occurs.
+ROLES = {"1-URGENT": "REVENUE_TREND", "2-HIGH": "PROFIT_TREND", "3-MEDIUM": "CASH_FLOW_TREND", "4-NOT SPECIFIED": "MARGIN_TREND"}
+MARGIN = "4-NOT SPECIFIED"
+
+
+def ledger_inputs(spark, sf):
+    """Facts with profit and cash moved down, bars that ask for one fact type each, and the announcements as notices."""
+    from .q_series import asked, clean
+
+    moved = F.when(F.col("ft") == "2-HIGH", 400000).when(F.col("ft") == "3-MEDIUM", 300000).otherwise(0)
+    notices = X.announcements(spark, sf).join(titles(spark, sf), F.col("doc") == F.col("event_id"))
+    return {
+        "facts": clean(spark, sf).withColumn("val", (F.col("val") - moved).cast("decimal(18,2)")),
+        "prices": asked(spark, sf),
+        "notices": notices.select("doc", "ent", "title", F.date_format("pub", "yyyy-MM-dd HH:mm:ss").alias("published")),
+    }
+
+
+def ledger_parts(spark, sf):
+    return assembly.standard_parts(X.calendar(spark, sf), X.event_calendar(spark, sf), ROLES, (MARGIN,), list(ROLES))
+
+
+def _ledger_sql(body):
+    from .q_series import TYPES
+
+    known = ", ".join(f"(SELECT arg_max(val, b.av) FROM c b WHERE b.ent = cut.ent AND b.pe = cut.pe AND b.ft = '{k}' AND b.av <= cut.cut) AS v{i}" for i, k in enumerate(TYPES[:4]))
+    up, down = like_any(("预增", "扭亏", "续盈", "略增")), like_any(("预减", "首亏", "续亏", "略减", "由盈转亏"))
+    return f"""
+, c AS (SELECT ent, pe, ft, av, max(val) - CASE ft WHEN '2-HIGH' THEN 400000 WHEN '3-MEDIUM' THEN 300000 ELSE 0 END AS val FROM v_facts GROUP BY ent, pe, ft, av),
+p AS (SELECT a.*, (SELECT arg_max(b.val, b.av) FROM c b WHERE b.ent = a.ent AND b.ft = a.ft AND b.pe = last_day(a.pe - INTERVAL 12 MONTH) AND b.av <= a.av) AS prior FROM c a WHERE ft <> '5-LOW'),
+trend AS (SELECT 'trend' AS part, ent, CASE ft {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ROLES.items())} END AS kind, pe AS event_date, av, CASE WHEN ft = '{MARGIN}' THEN val::DOUBLE - prior::DOUBLE ELSE val::DOUBLE / prior::DOUBLE - 1 END AS x, NULL AS word FROM p WHERE prior IS NOT NULL AND (ft = '{MARGIN}' OR prior <> 0)),
+cut AS (SELECT DISTINCT ent, pe, av AS cut FROM c WHERE ft <> '5-LOW'),
+s AS (SELECT ent, pe, cut, {known} FROM cut),
+j AS (SELECT a.ent, a.pe, a.cut, a.v0 AS r, a.v1 AS p, a.v2 AS q, a.v3 AS m, b.v0 AS r0, b.v1 AS p0, b.v2 AS q0, b.v3 AS m0 FROM (SELECT *, last_day(pe - INTERVAL 12 MONTH) AS pe0 FROM s) a ASOF LEFT JOIN s b ON b.ent = a.ent AND b.pe = a.pe0 AND a.cut >= b.cut),
+state AS (SELECT 'state' AS part, ent, 'FUNDAMENTAL_STATE' AS kind, pe AS event_date, cut AS av, NULL::DOUBLE AS x, CASE WHEN r + p + q + m + r0 + p0 + q0 + m0 IS NULL THEN NULL WHEN p < 0 THEN 'FUNDAMENTAL_FAIL' WHEN r < r0 AND p < p0 AND q < q0 AND m < m0 THEN 'FUNDAMENTAL_FAIL' WHEN p > 0 AND q < 0 AND q0 >= 0 AND q < q0 THEN 'FUNDAMENTAL_FAIL' WHEN p < p0 AND m < m0 AND q < q0 THEN 'FUNDAMENTAL_FAIL' WHEN p > 0 AND q >= 0 AND r >= r0 AND p >= p0 AND q >= q0 AND m >= m0 THEN 'FUNDAMENTAL_PASS' ELSE 'FUNDAMENTAL_WATCH' END AS word FROM j),
+n AS (SELECT *, row_number() OVER (ORDER BY ft) - 1 AS k FROM (SELECT DISTINCT ft FROM c)), b AS (SELECT v_bars.*, sym % 25 AS ent, n.ft FROM v_bars JOIN n ON n.k = sym % 5),
+t AS (SELECT ent, ft, av, max(max(pe)) OVER (PARTITION BY ent, ft ORDER BY av) AS latest FROM c GROUP BY ent, ft, av),
+y0 AS (SELECT ent, ft, av, latest, (SELECT arg_max(val, u.av) FROM c u WHERE u.ent = t.ent AND u.ft = t.ft AND u.pe = latest AND u.av <= t.av) AS now,
+  (SELECT arg_max(val, u.av) FROM c u WHERE u.ent = t.ent AND u.ft = t.ft AND u.pe = make_date(year(latest) - 1, 12, 31) AND u.av <= t.av) AS whole,
+  (SELECT arg_max(val, u.av) FROM c u WHERE u.ent = t.ent AND u.ft = t.ft AND u.pe = last_day(latest - INTERVAL 12 MONTH) AND u.av <= t.av) AS comparable FROM t),
+y AS (SELECT * FROM (SELECT ent, ft, av, CASE WHEN month(latest) = 12 THEN now ELSE whole + now - comparable END AS ttm FROM y0) WHERE ttm IS NOT NULL),
+rail AS (SELECT b.sym, b.ent, b.d, slot, b.px / y.ttm::DOUBLE AS ratio FROM b JOIN v_cal USING (d) ASOF JOIN y ON b.ent = y.ent AND b.ft = y.ft AND b.d >= y.av WHERE y.ttm > 0),
+valuation AS (SELECT 'valuation' AS part, a.ent, 'TRAILING_VALUATION_CHANGE' AS kind, a.d AS event_date, a.d AS av, a.ratio / o.ratio - 1 AS x, NULL AS word FROM rail a JOIN rail o ON o.sym = a.sym AND o.slot = a.slot - 20 WHERE o.ratio <> 0),
+h AS (SELECT a.doc, a.ent, title, CAST(pub AS DATE) AS day, CASE WHEN EXISTS (SELECT 1 FROM v_ecal WHERE d = CAST(pub AS DATE)) AND strftime(pub, '%H:%M:%S') <= '15:00:00' THEN CAST(pub AS DATE) ELSE (SELECT min(d) FROM v_ecal WHERE d > CAST(pub AS DATE)) END AS av FROM v_annc a JOIN titles ON event_id = doc),
+usable AS (SELECT * FROM h WHERE av IS NOT NULL),
+earnings AS (SELECT 'earnings' AS part, ent, 'EARNINGS_DIRECTION' AS kind, day AS event_date, av, NULL::DOUBLE AS x, CASE WHEN {down} THEN 'DOWN' ELSE 'UP' END AS word FROM usable WHERE ({up}) <> ({down})),
+policy AS (SELECT 'policy' AS part, ent, CASE WHEN {like_any(S.POLICY_NEGATIVE)} THEN 'MAJOR_NEGATIVE_EVENT' ELSE 'OFFICIAL_NOTICE' END AS kind, day AS event_date, av, NULL::DOUBLE AS x, NULL AS word FROM usable),
+every AS (SELECT * FROM trend UNION ALL SELECT * FROM state UNION ALL SELECT * FROM valuation UNION ALL SELECT * FROM earnings UNION ALL SELECT part, ent, kind, event_date, av, x, kind FROM policy)
+{body}""".replace(", c AS (SELECT ent, pe", ", " + TITLE_SQL.replace("t AS (", "titles AS (", 1) + ", c AS (SELECT ent, pe", 1)
+
+
+LEDGER_VIEWS = "v_ecal v_annc v_bars v_facts"
+ALL_ROWS = _ledger_sql("SELECT part, ent::VARCHAR AS entity_id, kind AS evidence_type, event_date, av AS available_date, round(x, 6) AS x, word, CASE WHEN part = 'state' AND word IS NULL THEN 'DATA_INSUFFICIENT' ELSE 'HISTORICAL_RECONSTRUCTABLE' END AS availability_state FROM every")
+
+
+def told(rows):
+    """Ledger rows with the value of their payload: x where it is a number, word where it is not."""
+    value = F.get_json_object("payload", "$.value")
+    number = F.col("part").isin("trend", "valuation")
+    return rows.select("part", "entity_id", "evidence_type", "event_date", "available_date", F.when(number, F.round(value.cast("double"), 6)).alias("x"), F.when(~number, value).alias("word"), "availability_state")
+
+
+@query("pit_15_derived_ledger", LEDGER_VIEWS, ALL_ROWS)
+def derived_ledger(spark, sf):
+    """Trends, states, valuations, directions and policy rows in one stored ledger."""
+    return told(assembly.build(ledger_parts(spark, sf), ledger_inputs(spark, sf), new_path(spark, "derived")))
+
+
+@query("pit_15_increment", LEDGER_VIEWS, ALL_ROWS)
+def ledger_increment(spark, sf):
+    """The ledger is built from earlier inputs (facts missing and with other values, fewer bars and notices) and brought up to date: the same rows."""
+    now = {name: saved(df, name) for name, df in ledger_inputs(spark, sf).items()}
+    wrong = (F.col("ent") == 3) & (F.col("av") < "1996-01-01") & (F.col("ft") == "1-URGENT")
+    before = {
+        "facts": now["facts"].where("not (ent % 5 = 1 and av > date'1997-06-30')").withColumn("val", F.when(wrong, F.col("val") + 1).otherwise(F.col("val")).cast("decimal(18,2)")),
+        "prices": now["prices"].where("d < date'1998-03-01' or ent % 3 = 0"),
+        "notices": now["notices"].where("published < '2024-01-20'"),
+    }
+    parts, path = ledger_parts(spark, sf), new_path(spark, "derived")
+    assembly.build(parts, before, path)
+    changed = {name: assembly.changed_since(before[name], now[name], time) for name, time in (("facts", "av"), ("prices", "d"), ("notices", "published"))}
+    return told(assembly.advance(parts, now, changed, path, 1))
+
+
+@query("pit_15_manifest", LEDGER_VIEWS, _ledger_sql("SELECT part, count(*) AS n, count(DISTINCT ent) AS entities, count(*) FILTER (part = 'state' AND word IS NULL) AS insufficient, min(av) AS first_available, max(av) AS last_available FROM every GROUP BY part"))
+def ledger_manifest(spark, sf):
+    rows = assembly.build(ledger_parts(spark, sf), ledger_inputs(spark, sf), new_path(spark, "derived"))
+    return assembly.manifest(rows).select("part", "n", "entities", "insufficient", "first_available", "last_available")
+
+
+@query("pit_15_review", LEDGER_VIEWS, _ledger_sql(", g AS (SELECT ent, count(*) AS records, count(*) FILTER (kind = 'MAJOR_NEGATIVE_EVENT' OR word IN ('DOWN', 'FUNDAMENTAL_FAIL')) AS negatives, count(*) FILTER (part = 'state' AND word IS NULL) AS insufficient, max(av) AS last_available FROM every GROUP BY ent) SELECT c_custkey AS ent, coalesce(records, 0) AS records, coalesce(negatives, 0) AS negatives, coalesce(insufficient, 0) AS insufficient, last_available, coalesce(records > 0 AND negatives = 0, false) AS clear FROM customer LEFT JOIN g ON g.ent = c_custkey"))
+def ledger_review(spark, sf):
+    scope = X.table(spark, sf, "customer").select(F.col("c_custkey").alias("ent"))
+    return assembly.review(assembly.assembled(ledger_parts(spark, sf), ledger_inputs(spark, sf)), scope)
+
+
+@query("pit_9_unclassified_notices", "v_ecal v_annc", f", {TITLE_SQL}, u AS (SELECT doc, ent, {like_any(('预增', '扭亏', '续盈', '略增'))} AS up, {like_any(('预减', '首亏', '续亏', '略减', '由盈转亏'))} AS down, CASE WHEN EXISTS (SELECT 1 FROM v_ecal WHERE d = CAST(pub AS DATE)) AND strftime(pub, '%H:%M:%S') <= '15:00:00' THEN CAST(pub AS DATE) ELSE (SELECT min(d) FROM v_ecal WHERE d > CAST(pub AS DATE)) END AS available FROM v_annc JOIN t ON event_id = doc) SELECT ent, doc, available, 'NO_SINGLE_EXPLICIT_DIRECTION' AS reason FROM u WHERE up = down AND available IS NOT NULL")
+def unclassified_notices(spark, sf):
+    return assembly.unclassified(ledger_inputs(spark, sf)["notices"], X.event_calendar(spark, sf))
+
+
 @query("pit_17_quarantine", "", "SELECT o_orderkey, o_orderstatus FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))")
 def quarantine(spark, sf):
     entries = X.table(spark, sf, "orders").where("o_orderpriority in ('1-URGENT', '2-HIGH')").select("o_orderstatus", "o_orderpriority", F.when(F.col("o_orderstatus") == "P", "ACTIVE").otherwise("RELEASED").alias("state")).distinct()

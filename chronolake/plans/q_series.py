@@ -96,6 +96,19 @@ def breadth_touched(spark, sf):
     return rows
 
 
+@query("str_6_breadth_after_late_bars", "v_bars", f", {MEASURES}, {FLAGGED} SELECT d, count(*) AS securities, {BREADTH} FROM f GROUP BY d")
+def breadth_late(spark, sf):
+    """Some bars of known symbols land late, some first with a wrong price: every session they reach is right in the end."""
+    path, out = new_path(spark, "landing"), new_path(spark, "stream")
+    bars = saved(px(spark, sf), "bars")
+    late, wrong = (F.col("sym") % 4 == 1) & (F.dayofyear("d") % 40 == 3), (F.col("sym") % 4 == 2) & (F.dayofyear("d") % 50 == 7)
+    first = bars.where(~late).withColumn("px", F.when(wrong, F.col("px") * 3).otherwise(F.col("px")))
+    for batch in (first.where("d < date'1997-01-01'"), first.where("d >= date'1997-01-01'"), bars.where(late | wrong)):
+        batch.write.mode("append").parquet(path)
+        rows = ingest.refreshed_breadth(ingest.landing(spark, path), out)
+    return rows
+
+
 @query("ag_6_daily_coverage", "v_bars", "SELECT d, count(*) AS rows_observed, count(*) FILTER (vol >= 20) AS rows_eligible, round(count(*) FILTER (vol >= 20) / count(*)::DOUBLE, 6) AS coverage FROM v_bars GROUP BY d")
 def daily_coverage(spark, sf):
     return gates.eligible_coverage(X.bars(spark, sf), "d", F.col("vol") >= 20)

@@ -133,6 +133,18 @@ def bundle_audit(spark, sf):
     return gates.orphans(b, status, "sym", ("PRICE_WITHOUT_STATUS", "STATUS_WITHOUT_PRICE"), b.where(F.col("d") > X.day("2001-09-01")))
 
 
+@query("ag_26_bundle_faults", "v_bars", """, m AS (SELECT s_suppkey AS sym FROM supplier WHERE s_suppkey % 6 <> 0), b AS (SELECT DISTINCT sym FROM v_bars WHERE d > DATE '1998-08-01'), st AS (SELECT DISTINCT sym FROM v_bars WHERE vol > 95)
+SELECT * FROM (SELECT 'STATUS_COLUMNS' AS rule, 1::BIGINT AS n UNION ALL SELECT 'PRICE_OUTSIDE_METADATA', count(*) FROM b WHERE sym NOT IN (FROM m) UNION ALL SELECT 'PRICE_COVERAGE', CASE WHEN count(b.sym) < 0.999 * count(*) THEN count(*) - count(b.sym) ELSE 0 END FROM m LEFT JOIN b USING (sym)
+  UNION ALL SELECT 'SYMBOL_WITHOUT_STATUS', count(*) FROM m WHERE sym NOT IN (FROM st) UNION ALL SELECT 'STATUS_OUTSIDE_METADATA', count(*) FROM st WHERE sym NOT IN (FROM m)) WHERE n > 0""")
+def bundle_faults(spark, sf):
+    """Metadata without a sixth of the symbols, recent prices, and a status for busy symbols only, with a column too many."""
+    b = X.bars(spark, sf)
+    metadata = T(spark, sf, "supplier").where("s_suppkey % 6 <> 0").select(F.col("s_suppkey").alias("sym"))
+    status = b.where("vol > 95").select("sym", "vol")
+    columns = {"metadata": ["sym"], "prices": ["sym", "d", "px"], "status": ["sym"]}
+    return gates.bundle_faults(metadata, b.where(F.col("d") > X.day("1998-08-01")).select("sym", "d", "px"), status, "sym", columns, 0.999)
+
+
 @query("ag_27_fact_bundle", "v_facts", "SELECT ft, count(*) AS facts, count(DISTINCT ent) AS entities, count(*) FILTER (ver = 'P') AS provisional FROM (SELECT *, row_number() OVER (PARTITION BY ent, pe, ft ORDER BY av DESC, ver DESC) AS rn FROM v_facts) WHERE rn = 1 GROUP BY ft")
 def fact_bundle(spark, sf):
     from chronolake.operators.contracts import keep_last

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronolake.functions import fingerprint
 from chronolake.functions import scalars as S
 from chronolake.operators import combine, contracts, gates, membership, sets, windows
 from chronolake.sources import injected, publish, readers
@@ -166,6 +167,33 @@ def publish_manifest(spark, sf):
     return publish.publish(sets_, new_path(spark, "source")).select("dataset", "n", "columns")
 
 
+@query("src_5_shard_fingerprints", "", "SELECT 'shard=' || c_nationkey AS shard, count(*) AS n, c_nationkey % 5 <> 0 AS same FROM customer GROUP BY c_nationkey")
+def shard_fingerprints(spark, sf):
+    """Shards against the table they should hold; in some, one row stands twice for another, so their sizes agree."""
+    path = new_path(spark, "source")
+    rows = X.table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("shard"))
+    ends = rows.groupBy("shard").agg(F.min("c_custkey").alias("lo"), F.max("c_custkey").alias("hi"), F.max_by("c_name", "c_custkey").alias("last"))
+    hit = (F.col("shard") % 5 == 0) & (F.col("c_custkey") == F.col("lo"))
+    faulty = rows.join(ends, "shard").select(F.when(hit, F.col("hi")).otherwise(F.col("c_custkey")).alias("c_custkey"), F.when(hit, F.col("last")).otherwise(F.col("c_name")).alias("c_name"), "shard")
+    faulty.write.option("header", True).partitionBy("shard").csv(path)
+    found = readers.file_counts(readers.read_many(spark, path, "*.csv", "c_custkey string, c_name string"))
+    found = fingerprint.merged(found.withColumn("shard", F.regexp_extract("source_file", "(shard=[^/]*)", 1)), ["shard"])
+    want = fingerprint.content(rows.withColumn("shard", F.concat(F.lit("shard="), F.col("shard"))), ["shard"])
+    odd = fingerprint.differing(found, want, ["shard"]).select("shard", F.lit(False).alias("__same"))
+    return found.join(odd, "shard", "left").select("shard", "n", F.coalesce("__same", F.lit(True)).alias("same"))
+
+
+@query("src_21_manifest_and_drift", "v_bars", "SELECT * FROM (SELECT 'bars' AS dataset, count(*) AS n, 'd,px,sym' AS columns, max(d)::VARCHAR AS latest, false AS same FROM v_bars UNION ALL SELECT 'supplier', count(*), 's_name,s_suppkey', NULL, true FROM supplier)")
+def manifest_and_drift(spark, sf):
+    """Figures come from the pass that writes; afterwards one dataset is replaced by as many other rows."""
+    path = new_path(spark, "source")
+    bars = X.bars(spark, sf).select("sym", "d", "px")
+    sets_ = {"bars": bars, "supplier": X.table(spark, sf, "supplier").select("s_suppkey", "s_name")}
+    manifest = publish.publish(sets_, path, {"bars": ["sym", "d", "px"], "supplier": ["s_suppkey", "s_name"]}, {"bars": "d"})
+    bars.withColumn("px", F.when(F.col("sym") == 1, F.col("px") + 1).otherwise(F.col("px"))).write.mode("overwrite").parquet(f"{path}/bars")
+    return manifest.join(publish.matches_manifest(path, manifest), "dataset").select("dataset", "n", "columns", "latest", "same")
+
+
 @query("src_22_incremental_chunks", "v_bars", "SELECT date_trunc('month', d)::DATE AS month, count(*) AS n FROM v_bars GROUP BY 1 HAVING month >= DATE '1996-01-01'")
 def incremental_chunks(spark, sf):
     b = X.bars(spark, sf).select("sym", "d", "px", F.trunc("d", "MM").alias("month")).where(F.col("month") >= X.day("1996-01-01"))
@@ -239,6 +267,31 @@ def bundle_quality(spark, sf):
     return gates.bundle_quality(X.bars(spark, sf), X.member(spark, sf), "sym", "d")
 
 
+MARKET_SQL = """, z AS (SELECT max(d) AS latest FROM v_bars), u AS (SELECT sym, bool_or(s <= latest AND e >= latest) AS active FROM v_member, z GROUP BY sym), p AS (SELECT sym, bool_or(d = latest) AS now FROM v_bars, z WHERE {where} GROUP BY sym),
+k AS (SELECT count(*) AS universe_symbols, count(now) AS seen_symbols, count(*) FILTER (active) AS active_symbols, count(*) FILTER (active AND now) AS active_seen FROM u LEFT JOIN p USING (sym))
+SELECT latest, k.*, round(seen_symbols / universe_symbols::DOUBLE, 6) AS historical_coverage, round(coalesce(active_seen / nullif(active_symbols, 0)::DOUBLE, 0), 6) AS active_coverage, seen_symbols >= 0.95 * universe_symbols AND active_symbols > 0 AND active_seen >= 0.95 * active_symbols AS passed FROM k, z"""
+
+
+@query("ag_13_market_quality", "v_bars v_member", MARKET_SQL.format(where="true"))
+def market_quality(spark, sf):
+    return gates.market_quality(X.bars(spark, sf), X.member(spark, sf), "sym", "d", start="s", end="e")
+
+
+@query("ag_13_market_quality_up_to", "v_bars v_member", """, c AS (SELECT unnest([DATE '1996-12-31', DATE '1998-02-27']) AS cut), z AS (SELECT cut, max(d) AS latest FROM v_bars JOIN c ON d <= cut GROUP BY cut), u AS (SELECT cut, sym, bool_or(s <= latest AND coalesce(e >= latest, true)) AS active FROM z, (SELECT sym, s, CASE WHEN sym % 4 = 0 THEN NULL ELSE e END AS e FROM v_member) GROUP BY cut, sym), p AS (SELECT cut, sym, bool_or(d > latest - 30) AS now FROM v_bars, z WHERE d <= cut GROUP BY cut, sym)
+SELECT cut, count(*) AS universe_symbols, count(now) AS seen_symbols, count(*) FILTER (active) AS active_symbols, count(*) FILTER (active AND now) AS active_seen, count(now) >= 0.9 * count(*) AND count(*) FILTER (active AND now) >= 0.9 * count(*) FILTER (active) AS passed FROM u LEFT JOIN p USING (cut, sym) GROUP BY cut""")
+def market_quality_up_to(spark, sf):
+    """The gate at two dates, a bar of the last thirty days counting as one of the latest day; some memberships are open."""
+    out = None
+    members = X.member(spark, sf).withColumn("e", F.when(F.col("sym") % 4 != 0, F.col("e")))
+    for cut in ("1996-12-31", "1998-02-27"):
+        bars = X.bars(spark, sf).where(F.col("d") <= X.day(cut)).select("sym", "d")
+        last = bars.agg(F.max("d").alias("last"))
+        near = bars.join(F.broadcast(last), F.lit(True)).select("sym", F.when(F.col("d") > F.date_sub("last", 30), F.col("last")).otherwise(F.col("d")).alias("d"))
+        row = gates.market_quality(near, members, "sym", "d", 0.9, start="s", end="e").select(X.day(cut).alias("cut"), "universe_symbols", "seen_symbols", "active_symbols", "active_seen", "passed")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("tk_6_modulo_shards", "", "SELECT (rn - 1) % 8 AS shard, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM (SELECT DISTINCT o_orderkey FROM orders)) GROUP BY 1")
 def modulo_shards(spark, sf):
     scope = X.table(spark, sf, "orders").select("o_orderkey").distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
 from chronolake.sources.scratch import new_path
-from chronolake.streaming import ingest
+from chronolake.streaming import ingest, stateful
 
 from .registry import query
 
@@ -81,3 +81,41 @@ def stream_conflicts(spark, sf):
         part.write.mode("append").parquet(path)
         kept, conflicts = ingest.append_once(ingest.landing(spark, path), out, "event_id")
     return conflicts.join(kept, "event_id").select("event_id", "event_type")
+
+
+def by_days(spark, sf, columns):
+    """The events as batches that land in order of time, five days each, and the stream starting again for each; a last row ends all sessions."""
+    path = new_path(spark, "landing")
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(*columns, F.col("ts").cast("timestamp").alias("ts"))
+    last = rows.agg(F.max("ts").alias("t")).first()["t"]
+    first = rows.agg(F.min("ts").alias("t")).first()["t"]
+    edges = [first + (last - first) * k / 3 for k in (1, 2)]
+    end = rows.limit(1).select(*(F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns), (F.lit(last) + F.expr("interval 400 days")).alias("ts"))
+    parts = [rows.where(F.col("ts") <= edges[0]), rows.where((F.col("ts") > edges[0]) & (F.col("ts") <= edges[1])), rows.where(F.col("ts") > edges[1]), end]
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        yield ingest.landing(spark, path, "ts")
+
+
+@query("str_2_first_complete_attempt", "", """WITH a AS (SELECT event_type AS source, CAST(ts AS DATE) AS session, ts, value > 90 AS ok, CAST(ts AS DATE) AS d FROM events), f AS (SELECT source, session, min(ts) FILTER (ok) AS first_at FROM a GROUP BY ALL)
+SELECT source, session, CASE WHEN first_at IS NULL THEN 'NEVER_COMPLETE' ELSE 'COMPLETE' END AS outcome, strftime(first_at, '%Y-%m-%d %H:%M:%S') AS first_at FROM f""")
+def first_complete_attempt(spark, sf):
+    """Sources that fail most of the time; each session is told once, when it is first complete or has ended without."""
+    out = new_path(spark, "stream")
+    for stream in by_days(spark, sf, ["event_type", "value"]):
+        source = stream.withColumn("event_type", F.coalesce("event_type", F.lit("end")))
+        rows = ingest.drain(stateful.first_observations(source, "event_type", "ts", F.col("value") > 90), out)
+    return rows.where("source <> 'end'").select("source", "session", "outcome", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("first_at"))
+
+
+@query("str_5_trips", "", """WITH a AS (SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN 'code ' || event_id % 2 END AS signature FROM events),
+g AS (SELECT *, count(*) FILTER (changed) OVER (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR) AS run FROM (SELECT *, signature IS DISTINCT FROM lag(signature) OVER (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR) OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id::VARCHAR) > INTERVAL 365 DAY AS changed FROM a)),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id::VARCHAR) AS n FROM g WHERE signature IS NOT NULL)
+SELECT user_id::VARCHAR AS unit, signature, strftime(ts, '%Y-%m-%d %H:%M:%S') AS tripped_at, n FROM n WHERE n = 2""")
+def breaker_trips(spark, sf):
+    """Two failures of one kind in a row trip the breaker; the runs go on over restarts."""
+    out = new_path(spark, "stream")
+    for stream in by_days(spark, sf, ["user_id", "event_id", "event_type"]):
+        signature = F.when(F.col("event_type") == "error", F.concat(F.lit("code "), (F.col("event_id") % 2).cast("string")))
+        rows = ingest.drain(stateful.trips(stream.where("user_id is not null"), "user_id", "ts", signature, "event_id", 2, quiet_days=365), out)
+    return rows.select("unit", "signature", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("tripped_at"), "n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chronolake.functions import fingerprint
 from chronolake.functions import scalars as S
 from chronolake.operators.contracts import keep_last, require_columns
 
@@ -20,9 +21,8 @@ def read_many(spark: SparkSession, root: str, name: str, schema: str) -> DataFra
 
 
 def file_counts(rows: DataFrame) -> DataFrame:
-    """source_file, n, fingerprint of a union with lineage."""
-    values = [c for c in rows.columns if c != "source_file"]
-    return rows.groupBy("source_file").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*values)).alias("fingerprint"))
+    """source_file, n, f1, f2: size and fingerprint of each file of a union with lineage, repeated rows included."""
+    return fingerprint.content(rows, ["source_file"])
 
 
 def anchor_snapshot(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

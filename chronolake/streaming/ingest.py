@@ -89,31 +89,58 @@ def append_once(stream: DataFrame, out: str, key: str) -> tuple[DataFrame, DataF
     return spark.read.schema(schema).parquet(data).select(*stream.columns), spark.read.parquet(clashes).select(key).distinct()
 
 
+#: Symbols are stored in so many buckets, and a batch reads those of its symbols.
+BUCKETS = 64
+
+
 def refreshed_breadth(stream: DataFrame, out: str, key: str = "sym", day: str = "d", price: str = "px", rows: int = 252) -> DataFrame:
-    """Market breadth of every session that a batch touched, refreshed as bars land; the last batch of a session counts.
+    """Market breadth of every session, kept right as bars land late, again or with a new price.
 
-    A batch joins the bars that landed before it and recomputes its own sessions only, from the rows of each symbol
-    that their windows reach. A batch that runs again overwrites itself.
+    A bar reaches its own session and the sessions of the next rows - 1 bars of its symbol, as their windows look
+    back on it. A batch computes the flags of these bars again, from the buckets of its own symbols, and the breadth
+    of their sessions from the stored flags of all symbols, which it reads by month. The last batch of a bar and of a
+    session counts; a batch that runs again overwrites itself. Rows without symbol or day are left out.
     """
     spark = stream.sparkSession
-    bars, done = f"{out}/bars", f"{out}/breadth"
+    bars, flagged, done = f"{out}/bars", f"{out}/flags", f"{out}/breadth"
+
+    def values(df: DataFrame, name: str) -> list:
+        # buckets and months: bounded by BUCKETS and by the calendar
+        return [r[0] for r in df.select(name).distinct().collect()]
+
+    def latest(df: DataFrame, by: list[str]) -> DataFrame:
+        rest = [c for c in df.columns if c not in (*by, "part")]
+        return df.groupBy(*by).agg(F.max_by(F.struct(*rest), "part").alias("r")).select(*by, "r.*")
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.select(key, day, price).write.mode("overwrite").parquet(f"{bars}/part={number}")
-        landed = spark.read.parquet(bars).where(F.col("part") <= number)
-        touched = landed.where(F.col("part") == number).select(day).distinct()
-        span = F.broadcast(touched.agg(F.min(day).alias("__from"), F.max(day).alias("__to")))
-        # a bar that comes again replaces the one before it
-        latest = landed.groupBy(key, day).agg(F.max_by(price, "part").alias(price)).crossJoin(span).where(F.col(day) <= F.col("__to"))
-        back = Window.partitionBy(key, F.col(day) < F.col("__from")).orderBy(F.col(day).desc())
-        near = latest.withColumn("__n", F.row_number().over(back)).where((F.col(day) >= F.col("__from")) | (F.col("__n") <= rows))
-        flagged = breadth.flags(breadth.measures(near.select(key, day, price), key, price), price)
-        breadth.breadth(flagged.join(F.broadcast(touched), day, "left_semi"), [day]).write.mode("overwrite").parquet(f"{done}/part={number}")
+        own = batch.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(key, day, price).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
+        own.write.mode("overwrite").partitionBy("bucket").parquet(f"{bars}/part={number}")
+        if not own.isEmpty():
+            refresh(number)
+
+    def refresh(number: int) -> None:
+        stored = spark.read.option("basePath", bars).parquet(bars).where(F.col("part") <= number)
+        mine = stored.where(F.col("part") == number)
+        touched = mine.select(key, day).distinct().withColumn("__hit", F.lit(True))
+        near = stored.where(F.col("bucket").isin(values(mine, "bucket"))).join(touched.select(key).distinct(), key, "left_semi")
+        history = latest(near.select(key, day, price, "part"), [key, day]).join(touched, [key, day], "left")
+        order = Window.partitionBy(key).orderBy(day)
+        placed = history.withColumn("__n", F.row_number().over(order))
+        placed = placed.withColumn("__hit", F.when(F.col("__hit"), F.col("__n")))
+        placed = placed.withColumn("__since", F.last("__hit", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__first", F.min("__hit").over(Window.partitionBy(key)))
+        # the windows of the first bar of the batch look back on rows - 1 bars
+        placed = placed.where(F.col("__n") >= F.col("__first") - (rows - 1))
+        fresh = breadth.flags(breadth.measures(placed, key, price), price).where(F.col("__n") - F.col("__since") < rows)
+        fresh = fresh.drop("__hit", "__n", "__since", "__first").withColumn("month", F.trunc(day, "MM"))
+        fresh.write.mode("overwrite").partitionBy("month").parquet(f"{flagged}/part={number}")
+        every = spark.read.option("basePath", flagged).parquet(flagged).where(F.col("part") <= number)
+        again = every.where(F.col("part") == number)
+        sessions = again.select(day).distinct()
+        current = every.where(F.col("month").isin(values(again, "month"))).drop("month").join(F.broadcast(sessions), day, "left_semi")
+        breadth.breadth(latest(current, [key, day]), [day]).write.mode("overwrite").parquet(f"{done}/part={number}")
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    rows_ = spark.read.parquet(done)
-    rest = [c for c in rows_.columns if c not in (day, "part")]
-    return rows_.groupBy(day).agg(F.max_by(F.struct(*rest), "part").alias("r")).select(day, "r.*")
+    return latest(spark.read.option("basePath", done).parquet(done), [day])
 
 
 def first_observation(stream: DataFrame, keys: list[str], time: str, complete: Column) -> DataFrame:
