@@ -33,7 +33,7 @@ ROOM = 4
 #: Bits of the map of survivors: 32 MB whatever the input.
 BITS = 1 << 28
 #: Bytes of text that a task counts at once; n-grams it holds before it deals them out.
-TEXT, HELD = 1 << 22, 1 << 22
+TEXT, HELD = 1 << 21, 1 << 20
 #: Groups in which the first rows of a language are found before the last sort.
 SALTS = 64
 LANG = "und"
@@ -66,10 +66,10 @@ class Grams:
         byte = np.insert(lower[data], offsets[1:-1], 10) if len(offsets) > 2 else lower[data]
         kinds = kind[byte]
         solid = kinds == 0
-        edge = np.diff(np.concatenate([[0], solid.view(np.int8), [0]]))
+        edge = np.diff(np.pad(solid.view(np.int8), 1))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.n = len(start)
-        piece = np.cumsum(kinds == 2)[start]
+        piece = np.cumsum(kinds == 2, dtype=np.int32)[start]
         places = np.zeros(self.n + 1, np.int64)
         np.cumsum(end - start, out=places[1:])
         words = pa.LargeStringArray.from_buffers(self.n, pa.py_buffer(places), pa.py_buffer(byte[solid])).dictionary_encode()
@@ -82,7 +82,7 @@ class Grams:
             inside = np.flatnonzero(piece[:m] == piece[size - 1 :]) if m else np.zeros(0, np.int64)
             phrases, counts = _counted([number[inside + j] for j in range(size)], len(self.words))
             self.phrases.append(phrases)
-            self.counts.append(counts)
+            self.counts.append(counts.astype(np.int32))
 
     def hashes(self, lang: int) -> list[np.ndarray]:
         """A hash of every phrase, by its number of words."""
@@ -120,10 +120,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Grams]]:
         langs = batch.column("lang")
         for lang in langs.unique().to_pylist():
             own = batch.column("text").filter(pc.equal(langs, lang)).cast(pa.large_string()).fill_null("")
-            held.setdefault(lang, []).append(own)
-            size[lang] = size.get(lang, 0) + own.nbytes
-            if size[lang] >= TEXT:
-                yield lang, grams(lang)
+            row, ends = 0, np.cumsum(np.diff(text_buffers(own)[1]))
+            while row < len(own):
+                upto = (ends[row - 1] if row else 0) + TEXT - size.get(lang, 0)
+                end = max(row + 1, int(np.searchsorted(ends, upto, "right")))
+                held.setdefault(lang, []).append(own.slice(row, end - row))
+                size[lang] = size.get(lang, 0) + int(ends[end - 1] - (ends[row - 1] if row else 0))
+                row = end
+                if size[lang] >= TEXT or row < len(own):
+                    yield lang, grams(lang)
         while sum(size.values()) >= 8 * TEXT:
             lang = max(size, key=size.get)
             yield lang, grams(lang)
@@ -147,6 +152,7 @@ def _dealt(parts: int):
             hashes.clear(), counts.clear()
             order = np.argsort(h)
             h, c = h[order], c[order]
+            del order
             new = np.ones(len(h), bool)
             new[1:] = h[1:] != h[:-1]
             first = np.flatnonzero(new)
@@ -154,7 +160,7 @@ def _dealt(parts: int):
             h, c = h[first], np.minimum(np.add.reduceat(c, first), THRESHOLD) if len(first) else c
             part = ((h >> U(32)) * U(parts) >> U(32)).astype(np.int64)
             cuts = np.searchsorted(part, np.arange(parts + 1))
-            mass = np.add.reduceat(np.append(c, 0), np.minimum(cuts[:-1], len(c))) * (np.diff(cuts) > 0)
+            mass = np.add.reduceat(np.append(c, 0).astype(np.int64), np.minimum(cuts[:-1], len(c))) * (np.diff(cuts) > 0)
             some = np.flatnonzero(np.diff(cuts))
             prints = h.astype(np.uint32)
             entries = [prints[a:b].tobytes() + c[a:b].astype(np.uint8).tobytes() for a, b in zip(cuts[some], cuts[some + 1])]
@@ -278,7 +284,7 @@ def exact(texts: DataFrame) -> DataFrame:
                 for cut in range(0, len(which), 1 << 18):
                     some = which[cut : cut + (1 << 18)]
                     k = len(some)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array(np.full(k, size), pa.int32()), grams.strings(size, some).cast(pa.string()), pa.array(grams.counts[size - 1][some])], ["lang", "size", "phrase", "f"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array(np.full(k, size), pa.int32()), grams.strings(size, some).cast(pa.string()), pa.array(grams.counts[size - 1][some].astype(np.int64))], ["lang", "size", "phrase", "f"])
             yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([0], pa.int32()), pa.array([None], pa.string()), pa.array([grams.n], pa.int64())], ["lang", "size", "phrase", "f"])
 
     counted = texts.mapInArrow(run, "lang string, size int, phrase string, f long")
