@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chronolake.sources.scratch import new_path
 
 #: Links that a task joins into trees, 16 bytes each.
-TREE_LINKS = 1 << 18
+TREE_LINKS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +68,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list: trees within parts, then alternating large-star and small-star steps.
 
     The edges are dealt by their hash into parts of about TREE_LINKS, so a hub spreads over all parts; a task leaves
-    one edge a node of its part. Where one part holds all edges, its trees are the components. The star steps are
-    a minimum per node and an equi-join, so a hub is one skewed join key that AQE splits; no group is ever gathered
-    in a list. Nodes are longs. Returns (node, component): component is the smallest node id that can be reached.
+    one edge a node of its part. That goes on while it halves the edges; once one part holds all that are left, its
+    trees are the components. The star steps, for what stays larger, are a minimum per node and an equi-join, so a
+    hub is one skewed join key that AQE splits; no group is ever gathered in a list. Nodes are longs. Returns (node, component): component is the smallest node id that can be reached.
     Only nodes with an edge to another node appear.
     """
     now = saved(
@@ -81,10 +81,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         row = df.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         return row["n"], row["x"]
 
-    parts = -(-now.count() // TREE_LINKS)
-    if parts:
-        now = saved(now.repartition(parts, F.xxhash64("u", "v")).mapInArrow(_trees, "u long, v long"), "trees")
-    before = mark(now) if parts > 1 else (0, None)
+    links, deals = now.count(), 0
+    while links > TREE_LINKS:
+        deals += 1
+        dealt = now.repartition(-(-links // TREE_LINKS), F.xxhash64("u", "v", F.lit(deals)))
+        now = saved(dealt.mapInArrow(_trees, "u long, v long").distinct(), "trees")
+        was, links = links, now.count()
+        if links * 2 > was:
+            break
+    if links <= TREE_LINKS:
+        # one part by number, not by key: all links meet in it
+        now = saved(now.repartition(1).mapInArrow(_trees, "u long, v long"), "trees") if links else now
+        before = (0, None)
+    else:
+        before = mark(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

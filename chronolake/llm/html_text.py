@@ -49,6 +49,8 @@ ABOUT = {"has", "with", "no", "without"}
 NO_ARTICLE = {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related", "recommended", "teaser"}
 P_ENDS = ("td", "th", "table", "button", "div", "article", "section", "body", "li", "blockquote")
 CELLS = {"td", "th", "tr", "table", "tbody", "thead", "tfoot", "div", "article", "main", "body", "section"}
+#: Blocks of an article that are its text, whatever their names.
+PROSE = {"p", "blockquote", "pre", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dd", "dt", "td", "th"}
 #: Blocks that lay out a page, and lists, which are navigation where they consist of links.
 LAYOUT = {"div", "section", "center", "table", "tbody", "thead", "tfoot", "tr", "td", "th", "article", "main", "body", "form", "header", "details", "address"}
 LISTS = {"ul", "ol", "dl", "li", "dd", "dt", "p"}
@@ -62,6 +64,8 @@ NEUTRAL = {"", "left", "right", "top", "bottom", "box", "list", "item", "items",
 MAJOR, NEARLY = 0.5, 0.9
 #: Weight of a part by element or by a name that says nothing else, of a control, and of what stands beside the article of a page.
 FAINT, CONTROL, BESIDE = 0.01, 0.3, 0.1
+#: Shares of the greatest density sum that another subtree must reach to be content of its own: of a lone block, and of one with several prose blocks.
+RIVAL, PROSE_RIVAL = 0.5, 0.1
 #: A node below this weight is a part of the page, not of the text around it.
 PART = 0.5
 #: Start tags that end an open element of these kinds, unless one of the fences stands between.
@@ -207,7 +211,8 @@ def weigh(node: Node, inside: bool) -> tuple[float, float]:
     elif node.tag in OUT or node.tag == "header" and not inside:
         weight, share = FAINT, NEARLY
     elif node.tag in CONTROLS:
-        weight = CONTROL
+        # a control in a sentence of an article is part of the sentence
+        weight = 1.0 if inside and node.parent.tag not in LAYOUT | WRAPS | OUT else CONTROL
     if not node.attrs:
         return weight, share
     for key, value in NAMES.findall(node.attrs):
@@ -218,7 +223,7 @@ def weigh(node: Node, inside: bool) -> tuple[float, float]:
             weight, share = FAINT, MAJOR if value == "form" else NEARLY
     if node.article:
         return (FAINT, NEARLY) if node.evidence(NO_ARTICLE) >= PART else (weight, share)
-    if node.holds or node.tag in ("h1", "h2"):
+    if node.holds or node.tag in ("h1", "h2") or inside and node.tag in PROSE:
         return weight, share
     known = node.evidence(PARTS - {"header"} if inside else PARTS)
     if known and FAINT ** known**3 < weight:
@@ -310,6 +315,11 @@ def _mostly_links(node: Node) -> bool:
     return 2 * node.link_chars > node.chars
 
 
+def _rival(node: Node) -> float:
+    prose = sum(k.tag in BLOCK and k.tag not in LAYOUT and k.chars > 0 and not _mostly_links(k) for k in _kids(node))
+    return PROSE_RIVAL if prose > 1 else RIVAL
+
+
 def _kids(node: Node) -> list[Node]:
     """Children that are elements, as measure() left them."""
     return node.kids
@@ -318,8 +328,8 @@ def _kids(node: Node) -> list[Node]:
 def content(order: list[Node]) -> tuple[set[int], set[int], set[int]]:
     """Ids of the content nodes, of nodes below them that are none, and of nodes whose own text alone is content.
 
-    A node that reaches the threshold marks the node of the greatest density sum in it, and its children are
-    judged in turn; a marked node in an article stands for the outermost article around it. Headings,
+    A node that reaches the threshold marks the node of the greatest density sum in it, if that is the greatest
+    of the page or a good share of it, and its children are judged in turn; a marked node in an article stands for the outermost article around it. Headings,
     paragraphs, lists and loose text next to the path of a marked node, and what stands between two marked
     ones, go with it unless most of it is links; parts and blocks of links in a marked node go.
     """
@@ -348,7 +358,7 @@ def content(order: list[Node]) -> tuple[set[int], set[int], set[int]]:
         if id(x) in marked or not x.chars or (x is not root and x.density * x.faint < limit and not x.holds):
             continue
         target = top[id(x)]
-        if target.density * target.faint < limit and target is not best:
+        if target is not best and (target.density * target.faint < limit or target.total < _rival(target) * best.total):
             target = None
         if target is not None:
             target = of[id(target)] or target

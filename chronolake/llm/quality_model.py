@@ -6,32 +6,35 @@ document labels, are pooled and joined by a few figures of the passage. A gated
 them, weighs the passages, and the score is a logistic function of the weighted passage representation.
 Inputs are functions of the text alone.
 
-The model fits on the driver from a bounded sample: the SAMPLE labelled documents that come first by
-hash, and up to BAG passages of each, spread over its text, so that it never receives more than
-SAMPLE * BAG * FEATURES bytes, however long texts are. Scoring uses every passage of every document and
-maps over them without a shuffle.
+The fit sees a bounded number of documents, the SAMPLE labelled ones that come first by hash, and every
+passage of each. It runs where the texts are: PARTS tasks start a round from the same weights, go over
+their documents in small batches and return new weights, whose mean starts the next round. Texts stay in
+a written table; the driver only ever holds PARTS sets of weights, some 140 kB each. Gradients are summed
+over blocks of passages, so a document of any length fits. Scoring uses every passage of every document
+and maps over them without a shuffle.
 """
 
 from __future__ import annotations
 
-import zlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import saved, table
 from .words import U, WordHasher, chunks
 
 PASSAGE = 64
-#: Most labelled documents that the fit sees, and most passages of each.
-SAMPLE, BAG = 2000, 8
+#: Most labelled documents that the fit sees; tasks that fit side by side; rounds, and passes over the documents in each.
+SAMPLE, PARTS, ROUNDS, EPOCHS = 3000, 4, 10, 2
 #: Score from which a document is predicted good.
 CUT = 0.7
-HIDDEN, EPOCHS, BATCH, SEED = 16, 24, 128, 7
+HIDDEN, BATCH, SEED = 16, 64, 7
 #: Hashed words, hashed byte trigrams, and figures of a passage.
 WORDS, TRIGRAMS, FIGURES = 1024, 1024, 6
 HASHED = WORDS + TRIGRAMS
@@ -87,7 +90,7 @@ class Passages:
         self.figures = np.stack([_ratio(length, self.count), _ratio(distinct, self.count), _ratio(repeats, self.count), np.log1p(self.count), np.log1p(words[self.owner]), (self.count < 8).astype(float)], 1)
 
     def hashed(self, lo: int, hi: int) -> np.ndarray:
-        """Counts of hashed words and trigrams of the passages lo to hi - 1, at most 255 each."""
+        """Counts of hashed words and trigrams of the passages lo to hi - 1; of more than 255 of one kind 255 count."""
         a, b = self.word[lo], self.word[hi] if hi < len(self.word) else len(self.hash)
         words = np.bincount((self.passage[a:b] - lo) * WORDS + (self.hash[a:b] % U(WORDS)).astype(np.int64), minlength=(hi - lo) * WORDS)
         at, end = int(self.first[lo]), int(self.upto[hi - 1])
@@ -122,7 +125,7 @@ class Model:
     weights: dict[str, np.ndarray]
 
     def hidden(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(standardised features, representation) of passages."""
+        """(standardised features, no more than 6 deviations from the mean; representation) of passages."""
         z = np.clip((x - self.shift) / self.scale, -6, 6).astype(np.float32)
         return z, np.tanh(z @ self.weights["E"] + self.weights["e"])
 
@@ -138,13 +141,16 @@ class Model:
         out = 1 / (1 + np.exp(-np.clip(pooled @ w["c"] + w["d"], -30, 30)))
         return {"h": h, "t": t, "g": g, "a": a, "pooled": pooled, "out": out, "begin": begin}
 
-    def forward(self, x: np.ndarray, bag: np.ndarray, bags: int) -> dict[str, np.ndarray]:
-        z, h = self.hidden(x)
-        return {"z": z, **self.attend(h, bag, bags)}
-
-    def gradient(self, r: dict[str, np.ndarray], bag: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradient of the mean log loss for a forward pass."""
-        w, err = self.weights, (r["out"] - label) / len(label)
+    def gradient(self, blocks: list, bag: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean log loss over bags; blocks: the features of their passages, in pieces that are made when they are asked for."""
+        w, held, h = self.weights, [], []
+        for x in blocks:
+            z, own = self.hidden(x())
+            h.append(own)
+            # features of few passages are kept for the way back, of many they are made again
+            held.append(z if len(bag) <= BLOCK else None)
+        r = self.attend(np.concatenate(h), bag, len(label))
+        err = (r["out"] - label) / len(label)
         grad = {"c": r["pooled"].T @ err, "d": np.array([err.sum()])}
         dp = (err[:, None] * w["c"])[bag]
         dh = r["a"][:, None] * dp
@@ -155,35 +161,34 @@ class Model:
         dt, dg = dtg * r["g"] * (1 - r["t"] ** 2), dtg * r["t"] * r["g"] * (1 - r["g"])
         grad["V"], grad["G"] = r["h"].T @ dt, r["h"].T @ dg
         de = (dh + dt @ w["V"].T + dg @ w["G"].T) * (1 - r["h"] ** 2)
-        grad["E"], grad["e"] = r["z"].T @ de.astype(np.float32), de.sum(0)
+        grad["E"], grad["e"], at = np.zeros_like(w["E"]), de.sum(0), 0
+        for x, z in zip(blocks, held):
+            z = self.hidden(x())[0] if z is None else z
+            grad["E"] += z.T @ de[at : at + len(z)].astype(np.float32)
+            at += len(z)
         return grad
 
 
-def fit(x: np.ndarray, bag: np.ndarray, label: np.ndarray) -> Model:
-    """Adam on the log loss over batches of documents; the same rows give the same model."""
-    rng = np.random.default_rng(SEED)
-    f, k = x.shape[1], HIDDEN
-    weights = {"E": rng.normal(0, 0.1, (f, k)).astype(np.float32), "e": np.zeros(k), "V": rng.normal(0, k**-0.5, (k, k)), "G": rng.normal(0, k**-0.5, (k, k)), "a": rng.normal(0, k**-0.5, k), "c": rng.normal(0, k**-0.5, k), "d": np.zeros(1)}
-    # embeddings take counts as they are; figures are standardised
-    shift, scale = np.zeros(f, np.float32), np.ones(f, np.float32)
-    own = x[:, HASHED:]
-    shift[HASHED:], scale[HASHED:] = own.mean(0), np.where(own.std(0) > 1e-6, own.std(0), 1.0)
-    model = Model(shift, scale, weights)
-    begin = np.searchsorted(bag, np.arange(len(label) + 1))
-    first, second = ({n: np.zeros_like(v) for n, v in weights.items()} for _ in range(2))
+def first_weights(features: int = FEATURES) -> dict[str, np.ndarray]:
+    rng, k = np.random.default_rng(SEED), HIDDEN
+    return {"E": rng.normal(0, 0.1, (features, k)).astype(np.float32), "e": np.zeros(k), "V": rng.normal(0, k**-0.5, (k, k)), "G": rng.normal(0, k**-0.5, (k, k)), "a": rng.normal(0, k**-0.5, k), "c": rng.normal(0, k**-0.5, k), "d": np.zeros(1)}
+
+
+def improve(model: Model, bags: list[list], sizes: np.ndarray, label: np.ndarray, rng: np.random.Generator, epochs: int = EPOCHS) -> None:
+    """Adam on the log loss over batches of bags, in place. bags: the blocks of each bag; sizes: its passages."""
+    weights = model.weights
+    first, second = ({n: np.zeros_like(v, dtype=float) for n, v in weights.items()} for _ in range(2))
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         for batch in np.array_split(rng.permutation(len(label)), max(1, len(label) // BATCH)):
             step += 1
-            rows = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in batch])
-            inside = np.repeat(np.arange(len(batch)), begin[batch + 1] - begin[batch])
-            grad = model.gradient(model.forward(x[rows], inside, len(batch)), inside, label[batch])
+            blocks = [x for i in batch for x in bags[i]]
+            grad = model.gradient(blocks, np.repeat(np.arange(len(batch)), sizes[batch]), label[batch])
             for n, v in weights.items():
                 g = grad[n] + 1e-4 * v
                 first[n] = 0.9 * first[n] + 0.1 * g
                 second[n] = 0.999 * second[n] + 0.001 * g**2
                 v -= (0.01 * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)).astype(v.dtype)
-    return model
 
 
 def scores(model: Model | None, hasher: WordHasher, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -201,36 +206,70 @@ def scores(model: Model | None, hasher: WordHasher, data: np.ndarray, offsets: n
     return out
 
 
-def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to BAG passages of each text: their counts, packed, and their figures."""
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, Passages]]:
+    """(part, label, passages) of each text that has words; a text of any length is one."""
     hasher = WordHasher()
     for batch in batches:
-        for lo, hi, data, offsets in chunks(batch.column("text")):
-            own = Passages(hasher, data, offsets)
-            cut = np.searchsorted(own.owner, np.arange(hi - lo + 1))
-            counts, figures = [], []
-            for a, b in zip(cut, cut[1:]):
-                # the same number of steps apart, the first and the last included
-                use = np.unique(np.linspace(a, b - 1, min(b - a, BAG)).astype(np.int64))
-                counts.append(zlib.compress(b"".join(own.hashed(i, i + 1).tobytes() for i in use), 1) if len(use) else b"")
-                figures.append(own.figures[use].astype(np.float32).tobytes() if len(use) else b"")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), pa.array(counts, pa.binary()), pa.array(figures, pa.binary())], ["doc_id", "label", "counts", "figures"])
+        for part, label, text in zip(batch.column("part").to_pylist(), batch.column("label").to_pylist(), batch.column("text")):
+            for _, _, data, offsets in chunks(pa.array([text.as_py()], pa.large_string())):
+                own = Passages(hasher, data, offsets)
+                if len(own.owner):
+                    yield part, label, own
+
+
+def _figure_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number, sums and sums of squares of the figures of all passages, and of the labels of their texts."""
+    total, labels = np.zeros((3, FIGURES)), np.zeros(2, np.int64)
+    for _, label, own in _texts(batches):
+        total += [np.full(FIGURES, len(own.owner)), own.figures.sum(0), (own.figures**2).sum(0)]
+        labels[label] += 1
+    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([labels.tobytes()], pa.binary())], ["sums", "labels"])
+
+
+def _round(model: Model, number: int):
+    """A function for mapInArrow: the weights that a part comes to in a round, and how many texts it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_part: dict[int, list] = {}
+        for part, label, own in _texts(batches):
+            by_part.setdefault(part, []).append((label, own))
+        for part, texts in sorted(by_part.items()):
+            mine = Model(model.shift, model.scale, {n: v.copy() for n, v in model.weights.items()})
+            sizes = np.array([len(own.owner) for _, own in texts])
+            bags = [[partial(own.features, lo, min(lo + BLOCK, n)) for lo in range(0, n, BLOCK)] for (_, own), n in zip(texts, sizes)]
+            improve(mine, bags, sizes, np.array([label for label, _ in texts], float), np.random.default_rng([SEED, number, part]))
+            yield pa.RecordBatch.from_arrays([pa.array([len(texts)]), pa.array([pickle.dumps(mine.weights)], pa.binary())], ["n", "weights"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Fit on the SAMPLE labelled documents that come first by hash; None without two classes."""
+    """Fit on every passage of the SAMPLE labelled documents that come first by hash; None without two classes."""
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     # of rows that repeat an id one is enough to learn from: the sample stays within its bound
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    bags = texts.join(F.broadcast(picked), "doc_id").mapInArrow(_bags, "doc_id long, label int, counts binary, figures binary").where(F.length("counts") > 0)
-    rows = bags.groupBy("doc_id", "label").agg(F.min(F.struct("counts", "figures")).alias("b")).select("doc_id", "label", "b.*").orderBy("doc_id").collect()
-    if len({r["label"] for r in rows}) < 2:
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).where("text is not null")
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int")
+    sample = saved(texts.select(part.alias("part"), "doc_id", "label", "text").repartition(PARTS, "part").sortWithinPartitions("part", "doc_id"), "sample")
+    # each part is met whole and in one order, however the written files are split
+    parts = lambda: sample.repartition(PARTS, "part").sortWithinPartitions("part", "doc_id").drop("doc_id")
+    found = [(np.frombuffer(r["sums"]).reshape(3, FIGURES), np.frombuffer(r["labels"], np.int64)) for r in sample.drop("doc_id").mapInArrow(_figure_sums, "sums binary, labels binary").collect()]
+    if not found or (sum(y for _, y in found) == 0).any():
         return None
-    counts = [np.frombuffer(zlib.decompress(r["counts"]), np.uint8).reshape(-1, HASHED) for r in rows]
-    figures = np.concatenate([np.frombuffer(r["figures"], np.float32) for r in rows]).reshape(-1, FIGURES)
-    bag = np.repeat(np.arange(len(rows)), [len(c) for c in counts])
-    return fit(joined(np.concatenate(counts), figures), bag, np.array([r["label"] for r in rows], float))
+    n, total, squares = sum(x for x, _ in found)
+    # embeddings take counts as they are; figures are standardised
+    shift, scale = np.zeros(FEATURES, np.float32), np.ones(FEATURES, np.float32)
+    shift[HASHED:] = total / n
+    spread = np.sqrt(np.maximum(squares / n - (total / n) ** 2, 0))
+    scale[HASHED:] = np.where(spread > 1e-6, spread, 1.0)
+    model = Model(shift, scale, first_weights())
+    for number in range(ROUNDS):
+        rows = parts().mapInArrow(_round(model, number), "n long, weights binary").collect()
+        share = np.array([r["n"] for r in rows]) / sum(r["n"] for r in rows)
+        got = [pickle.loads(r["weights"]) for r in rows]
+        model = Model(shift, scale, {k: sum(s * w[k] for s, w in zip(share, got)).astype(v.dtype) for k, v in model.weights.items()})
+    return model
 
 
 def scorer(model: Model | None, keep_from: float | None = None):
@@ -268,7 +307,11 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that score CUT or more."""
+    """The documents, with all their columns, that score CUT or more.
+
+    Null, empty and blank texts score 0 and go; a text of any length is scored over all its passages; equal texts
+    score equally, and rows that repeat stay or go together; without labels of both classes all go.
+    """
     model = train(docs, labels.where(~held_out()))
     return docs.mapInArrow(scorer(model, CUT), docs.schema)
 
