@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronolake.operators import documents as D
+from chronolake.operators import html_tables, nonrecurring
 
 from . import fixtures as X
 from .registry import query
@@ -158,3 +159,92 @@ SELECT doc_id, entity, make_date(period_year, 12, 31) AS period, (SELECT min(d)
 def filed_facts(spark, sf):
     rows = D.materialised_facts(X.filings(spark, sf), X.calendar(spark, sf))[0]
     return rows.select("doc_id", "entity", F.col("period").cast("date").alias("period"), "available", "fact", F.round("value", 6).alias("value"))
+
+
+# --- tables of non-recurring items -------------------------------------------------------------------
+
+
+def nonrecurring_texts(spark, sf):
+    """A filing of each customer with one or two tables of non-recurring items, in yuan or thousands.
+
+    Rows wrap over lines and pages; some hold two amounts or none. By customer: a second table that is smaller, as
+    large with another total, or the same; no total; a label with two amounts.
+    """
+    k = F.col("c_custkey")
+    line = lambda *parts: F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts), F.lit("\n"))
+    n = lambda x, cents: F.concat(x.cast("string"), F.lit(cents))
+
+    def table(total, short):
+        return F.concat(
+            line("非经常性损益项目和金额"), line("√适用 □不适用"), F.when(k % 2 == 0, line("单位：元 币种：人民币")).otherwise(line("单位：人民币千元")), line("非经常性损益项目 本期金额"),
+            line("非流动性资产处置损益，包括已计提资产减值准备的冲销部分 ", n(k, ".50")), line("计入当期损益的政府补助，但与公司"), line("某某股份有限公司2020年年度报告"), line("12 / 180"), line("正常经营业务密切相关 ", n(k * 2, ".25")),
+            F.when(short, line("债务重组损益")).when(k % 4 == 0, line("债务重组损益 1.00 2.00")).otherwise(line("债务重组损益 ", n(k + 3, ".00"))),
+            line("其他符合非经常性损益定义的损益项目"), line("减：所得税影响额 (", n(k % 50, ".10"), ")"), line("少数股东权益影响额（税后） ", n(k % 9, ".75")),
+            F.when(k % 13 == 6, line("计入当期损益的政府补助 7.00")).otherwise(line("小计")), F.when(k % 11 != 5, line("合计 ", total)).otherwise(line("总计 ", total)),
+            line("对公司将《公开发行证券的公司信息披露解释性公告第1号》列举"),
+        )
+
+    one = n(k * 3, ".00")
+    second = F.when(k % 7 == 1, table(one, F.lit(True))).when(k % 7 == 2, table(n(k * 3 + 1, ".00"), F.lit(False))).when(k % 7 == 3, table(one, F.lit(False))).otherwise(line("第二节"))
+    return X.table(spark, sf, "customer").select(k.alias("doc_id"), F.concat(line("第一节 公司简介"), table(one, F.lit(False)), line("其他说明 5.00"), second).alias("text"))
+
+
+NONRECURRING_SQL = """WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 1000 END AS scale, CASE WHEN c_custkey % 11 = 5 OR c_custkey % 13 = 6 THEN 'NO_TABLE' WHEN c_custkey % 7 = 2 THEN 'CONFLICT' ELSE 'PARSED' END AS state FROM customer)"""
+
+
+@query("doc_9_nonrecurring_facts", "", NONRECURRING_SQL + """ SELECT doc_id, fact, round(v, 4) AS value FROM (SELECT k AS doc_id, unnest([{'fact': 'NR_NON_CURRENT_ASSET_DISPOSAL', 'v': (k + 0.5) * scale}, {'fact': 'NR_GOVERNMENT_GRANT', 'v': (k * 2 + 0.25) * scale}, {'fact': 'NR_DEBT_RESTRUCTURING', 'v': CASE WHEN k % 4 <> 0 THEN (k + 3.0) * scale END},
+  {'fact': 'NR_INCOME_TAX_EFFECT', 'v': -(k % 50 + 0.1) * scale}, {'fact': 'NR_MINORITY_INTEREST_EFFECT_AFTER_TAX', 'v': (k % 9 + 0.75) * scale}, {'fact': 'NR_REPORTED_NET_TOTAL', 'v': k * 3.0 * scale}], recursive := true) FROM t WHERE state = 'PARSED') WHERE v IS NOT NULL""")
+def nonrecurring_facts(spark, sf):
+    facts, _ = nonrecurring.nonrecurring_facts(nonrecurring_texts(spark, sf))
+    return facts.select("doc_id", "fact", F.round("value", 4).alias("value"))
+
+
+@query("doc_9_table_states", "", NONRECURRING_SQL + " SELECT k AS doc_id, state, CASE WHEN state = 'NO_TABLE' THEN 0 WHEN k % 7 IN (2, 3) OR k % 7 = 1 AND k % 4 = 0 THEN 2 ELSE 1 END AS tables FROM t")
+def nonrecurring_states(spark, sf):
+    _, states = nonrecurring.nonrecurring_facts(nonrecurring_texts(spark, sf))
+    return states
+
+
+# --- tables in pages ----------------------------------------------------------------------------------
+
+
+def membership_pages(spark, sf):
+    """A page of each supplier with index rows (a longer code, an unclosed cell, a nested table, repeats) and quarterly holdings."""
+    k = F.col("s_suppkey")
+    day = lambda base, span: F.date_add(F.lit(base).cast("date"), (k % span).cast("int")).cast("string")
+    cell = lambda *parts: F.concat(F.lit("<td>"), *(p if not isinstance(p, str) else F.lit(p) for p in parts), F.lit("</td>"))
+    row = lambda *cells: F.concat(F.lit("<tr>"), *cells, F.lit("</tr>\n"))
+    start, stop = day("2018-01-01", 300), day("2018-06-01", 400)
+    ended = F.when(k % 3 == 0, cell("")).otherwise(cell(stop))
+    plain = row(cell("Medicine &amp; Health"), cell(" 931152 "), cell(start), ended)
+    table = F.concat(F.lit("<h1>Indexes</h1><table><tr><th>name</th><th>code</th><th>from</th><th>to</th></tr>"), plain, plain, row(cell("Dollar"), cell("931152USD200"), cell("2017-01-01"), cell("")), F.when(k % 5 == 0, F.lit("<tr><td>left open<td>931152</td><td>2015-02-03</td></tr>")).otherwise(""), F.when(k % 4 == 0, F.lit("<tr><td>outer<table><tr><td>Inner</td><td>931152</td><td>2016-05-05</td><td>2016-02-01</td></tr></table></td></tr>")).otherwise(""), F.lit("</table>"))
+
+    def report(title, symbols):
+        held = F.transform(symbols, lambda s: F.concat(F.lit("<tr><td>"), (s + 1).cast("string"), F.lit("</td><td><a href='#'>"), F.lpad((s + 600000).cast("string"), 6, "0"), F.lit("</a></td><td>Name"), F.when(s % 5 == 3, F.lit("</td><td>1.00%")).otherwise(""), F.lit("</td><td>"), (s % 7 + 1).cast("string"), F.lit(".50%</td></tr>")))
+        return F.concat(F.lit(f"<div class='box'><h4>Fund {title}季度 report</h4><table>"), F.array_join(held, ""), F.lit("</table></div>"))
+
+    first = (k % 20).cast("int")
+    span = lambda a, b: F.sequence(first + a, first + b)
+    boxes = F.concat(report("2020年第2", span(0, 11)), report("2020年3", span(0, 9)), report("2020 年 4", span(2, 13)), F.lit("<h4>Notes</h4><table><tr><td>1</td><td>600999</td></tr></table>"))
+    return X.table(spark, sf, "supplier").select(k.alias("page_id"), F.concat(F.lit("<html><body>"), table, boxes, F.lit("</body></html>")).alias("html"))
+
+
+@query("doc_12_membership_intervals", "", """SELECT s_suppkey AS page_id, '931152' AS code, 'Medicine & Health' AS name, DATE '2018-01-01' + (s_suppkey % 300)::INT AS s, CASE WHEN s_suppkey % 3 <> 0 THEN DATE '2018-06-01' + (s_suppkey % 400)::INT END AS e FROM supplier WHERE s_suppkey % 3 = 0 OR DATE '2018-06-01' + (s_suppkey % 400)::INT > DATE '2018-01-01' + (s_suppkey % 300)::INT
+UNION ALL SELECT s_suppkey, '931152', '', DATE '2015-02-03', NULL FROM supplier WHERE s_suppkey % 5 = 0""")
+def membership_rows(spark, sf):
+    return html_tables.membership_intervals(html_tables.table_cells(membership_pages(spark, sf)), "931152")
+
+
+HOLDINGS_SQL = """WITH h AS (SELECT s_suppkey AS page_id, s_suppkey % 20 + s AS sym, report_date, q, count(*) OVER (PARTITION BY s_suppkey, report_date) AS n FROM supplier, (VALUES (DATE '2020-06-30', 2, 0, 11), (DATE '2020-09-30', 3, 0, 9), (DATE '2020-12-31', 4, 2, 13)) r(report_date, q, a, b), LATERAL (SELECT unnest(generate_series(a, b)) AS s))"""
+
+
+@query("doc_12_holdings", "", HOLDINGS_SQL + " SELECT page_id, report_date, (600000 + sym)::VARCHAR AS symbol, CASE WHEN sym % 5 <> 3 THEN round((sym % 7 + 1.5) / 100.0, 6)::DOUBLE END AS weight, q IN (2, 4) AND n >= 11 AS whole FROM h")
+def fund_holdings(spark, sf):
+    return html_tables.holdings(html_tables.table_cells(membership_pages(spark, sf))).withColumn("weight", F.round("weight", 6))
+
+
+@query("doc_12_held_intervals", "", HOLDINGS_SQL + """, g AS (SELECT page_id, sym, list_sort(list(q)) AS qs FROM h GROUP BY ALL)
+SELECT page_id, (600000 + sym)::VARCHAR AS symbol, CASE WHEN qs[1] = 2 THEN DATE '2020-06-30' ELSE DATE '2020-12-31' END AS s, CASE WHEN list_contains(qs, 4) AND list_contains(qs, 3) OR NOT list_contains(qs, 2) THEN NULL WHEN list_contains(qs, 3) THEN DATE '2020-12-30' ELSE DATE '2020-09-29' END AS e FROM g WHERE NOT (list_contains(qs, 2) AND list_contains(qs, 4) AND NOT list_contains(qs, 3))
+UNION ALL SELECT page_id, (600000 + sym)::VARCHAR, unnest([DATE '2020-06-30', DATE '2020-12-31']), unnest([DATE '2020-09-29', NULL]) FROM g WHERE list_contains(qs, 2) AND list_contains(qs, 4) AND NOT list_contains(qs, 3)""")
+def held_intervals(spark, sf):
+    return html_tables.held_intervals(html_tables.holdings(html_tables.table_cells(membership_pages(spark, sf))))
