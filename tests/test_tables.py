@@ -15,7 +15,7 @@ END = "对公司将《公开发行证券的公司信息披露解释性公告第1
 
 def test_nonrecurring_tables(spark):
     texts = {
-        1: HEAD + "债务重组损益 1.50\n非货币性资产交换\n损益 9\n合计 (2)\n",
+        1: HEAD + "债务重组损益 1.50\n非货币性资产交换损益\n 9\n合计 (2)\n",
         2: HEAD + "债务重组损益 1\n合计 2\n" + END + HEAD + "债务重组损益 1\n合计 3\n",
         3: HEAD + "债务重组损益 1\n合计 2\n" + END + HEAD + "债务重组损益 1\n合计 2\n",
         4: HEAD + "债务重组损益 1\n债务重组损益 1\n合计 2\n",
@@ -30,7 +30,7 @@ def test_nonrecurring_tables(spark):
     assert rows(states, "doc_id", "state") == sorted([(1, "PARSED"), (2, "CONFLICT"), (3, "PARSED"), (4, "NO_TABLE"), (5, "PARSED"), (6, "NO_TABLE"), (7, "NO_TABLE"), (8, "PARSED"), (9, "NO_TABLE"), (10, "NO_TABLE"), (11, "NO_TABLE"), (12, "PARSED"), (13, "PARSED")], key=str)
     got = {(r["doc_id"], r["fact"].removeprefix("NR_")): r["value"] for r in facts.collect()}
     assert got == {
-        (1, "DEBT_RESTRUCTURING"): 15_000.0, (1, "REPORTED_NET_TOTAL"): -20_000.0, (3, "DEBT_RESTRUCTURING"): 10_000.0, (3, "REPORTED_NET_TOTAL"): 20_000.0,
+        (1, "DEBT_RESTRUCTURING"): 15_000.0, (1, "NONMONETARY_ASSET_EXCHANGE"): 90_000.0, (1, "REPORTED_NET_TOTAL"): -20_000.0, (3, "DEBT_RESTRUCTURING"): 10_000.0, (3, "REPORTED_NET_TOTAL"): 20_000.0,
         (5, "DEBT_RESTRUCTURING"): 40_000.0, (5, "REPORTED_NET_TOTAL"): 20_000.0, (8, "OTHER_DEFINED_ITEM"): 30_000.0, (8, "REPORTED_NET_TOTAL"): 20_000.0, (12, "DEBT_RESTRUCTURING"): 10_000.0, (12, "REPORTED_NET_TOTAL"): 50_000.0, (13, "DEBT_RESTRUCTURING"): 30_000.0, (13, "REPORTED_NET_TOTAL"): 40_000.0,
     }
 
