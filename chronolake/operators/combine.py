@@ -12,11 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def attach_rail(rows: DataFrame, rail: DataFrame, on: list[str]) -> DataFrame:
-    """rows with the columns of a rail (one row a key; a key that comes twice is an error of the rail), null where it has none."""
-    counted = rail.groupBy(*on).agg(F.count("*").alias("__n"), *(F.first(c).alias(c) for c in rail.columns if c not in on))
+def attach_rail(rows: DataFrame, rail: DataFrame, on: list[str], complete: bool = False) -> DataFrame:
+    """rows with the columns of a rail (one row a key; a key that comes twice is an error of the rail), null where it has none.
+
+    complete: a row whose key the rail lacks is an error too.
+    """
+    rest = [c for c in rail.columns if c not in on]
+    counted = rail.groupBy(*on).agg(F.count("*").alias("__n"), F.min(F.struct(*rest)).alias("__r")).select(*on, "__n", "__r.*")
     checked = counted.withColumn("__n", F.when(F.col("__n") > 1, F.raise_error(F.lit("rail has a key twice"))).otherwise(F.col("__n")))
-    return rows.join(checked, on, "left").where(F.coalesce("__n", F.lit(1)) == 1).drop("__n")
+    lost = F.raise_error(F.lit("rail lacks a key")).cast("long") if complete else F.lit(1)
+    return rows.join(checked, on, "left").where(F.coalesce("__n", lost) == 1).drop("__n")
 
 
 def both_sides(rows: DataFrame, on: str, side: Column, value: str, names: tuple[str, str]) -> DataFrame:
@@ -73,8 +78,10 @@ def merged_coverage(scope: DataFrame, key: str, counts: dict[str, DataFrame], to
 
 
 def snapshot_filter(rows: DataFrame, snapshot: DataFrame, key: str) -> DataFrame:
-    """rows whose key is in a snapshot, with the snapshot's columns; a key that the snapshot repeats counts once."""
-    return rows.join(snapshot.dropDuplicates([key]), key)
+    """rows whose key is in a snapshot, with the snapshot's columns; of a key that the snapshot repeats the least row counts."""
+    rest = [c for c in snapshot.columns if c != key]
+    once = snapshot.groupBy(key).agg(F.min(F.struct(*rest)).alias("__r")).select(key, "__r.*") if rest else snapshot.distinct()
+    return rows.join(once, key)
 
 
 def redundant_revisions(rows: DataFrame, keys: list[str], value: str, available: str) -> DataFrame:

@@ -78,12 +78,15 @@ def labelled_numbers(rows: DataFrame, labels: list[tuple[str, str]], key: str =
     between is the text from the label to its first number without white space, cells the numbers after the
     label, physical whether the line itself begins with the label.
     """
+    # most rows hold no label at all: one look at the row without white space spares them the patterns
+    compact = F.regexp_replace("row_text", r"\s+", "")
+    rows = rows.withColumn("__compact", compact).where(F.col("__compact").rlike("|".join(label for label, _ in labels)))
     hits = []
     for label, fact in labels:
         at = F.regexp_instr("row_text", F.lit(wrapped(label)))
         rest = F.regexp_extract("row_text", f"(?s){wrapped(label)}(.*)", 1)
         own = F.regexp_replace("line", r"\s+|^[一二三四五六七八九十]+、", "").startswith(label)
-        hits.append(F.when(at.between(1, F.length("line")), F.struct(F.lit(fact).alias("fact"), rest.alias("rest"), own.alias("physical"))))
+        hits.append(F.when(F.col("__compact").contains(label) & at.between(1, F.length("line")), F.struct(F.lit(fact).alias("fact"), rest.alias("rest"), own.alias("physical"))))
     found = rows.select(key, "line_no", "unit", "statement", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("h")).select(key, "line_no", "unit", "statement", "h.*")
     cells = F.transform(F.regexp_extract_all("rest", F.lit(NUMBER), F.lit(0)), number_of)
     between = F.regexp_replace(F.get(F.split("rest", NUMBER, 2), F.lit(0)), r"\s+", "")
@@ -149,12 +152,14 @@ def materialised_facts(filings: DataFrame, calendar: DataFrame, key: str = "doc_
     from chronolake.functions.scalars import presentation, report_period
     from chronolake.operators.calendar import available
     from chronolake.operators.contracts import keep_last
+    from chronolake.sources.scratch import saved
 
     rows = filings.withColumn("period", report_period(F.col("title"))).withColumn("kind", presentation(F.col("title")))
     rows = available(rows, "published", calendar)
     best = F.when(F.col("kind") == "FULL_OR_CANONICAL", 2).when(F.col("kind") == "BODY", 1).otherwise(0)
-    chosen = keep_last(rows.where("period is not null and available is not null"), ["entity", "period"], [best.desc(), F.col("published").desc(), F.col(key).desc()])
+    chosen = saved(keep_last(rows.where("period is not null and available is not null"), ["entity", "period"], [best.desc(), F.col("published").desc(), F.col(key).desc()]), "chosen")
     facts = standard_facts(chosen, key).join(chosen.select(key, "entity", "period", "available"), key).select(key, "entity", "period", "available", "fact", "value")
+    facts = saved(facts, "facts")
     counts = facts.groupBy(key).agg(F.count("*").alias("facts"))
     states = filings.select(key).join(chosen.select(key, F.lit(True).alias("chosen")), key, "left").join(counts, key, "left")
     state = F.when(F.col("chosen").isNull(), "NOT_CHOSEN").when(F.col("facts").isNull(), "SOFT_NO_FACT").otherwise("PARSED")
@@ -192,18 +197,6 @@ def logical_rows(rows: DataFrame, most: int = 6, key: str = "doc_id") -> DataFra
     return rows.withColumn("row_text", F.array_join(F.slice("__next", F.lit(1), upto.cast("int")), " ")).drop("__next")
 
 
-def labelled_values(rows: DataFrame, labels: DataFrame, text: str = "row_text", key: str = "doc_id") -> DataFrame:
-    """key, fact, line_no, value: for each document and fact the first logical row whose first line starts a label, its first number.
-
-    labels: label, fact. A bounded rule table, read into one expression so that no cross join is made.
-    """
-    rules = [(r["label"], r["fact"]) for r in labels.orderBy("label").collect()]
-    hits = F.filter(F.array(*(F.when(F.instr(text, a).between(1, F.length("line")), F.struct(F.lit(b).alias("fact"))) for a, b in rules)), lambda x: x.isNotNull())
-    number = F.expr(f"try_cast(replace(regexp_extract({text}, '(-?[0-9][0-9,]*(?:[.][0-9]+)?)', 1), ',', '') as double)")
-    found = rows.select(key, "line_no", number.alias("value"), F.explode(hits).alias("h")).select(key, "line_no", "value", "h.fact").where("value is not null")
-    return found.groupBy(key, "fact").agg(F.min("line_no").alias("line_no"), F.min_by("value", "line_no").alias("value"))
-
-
 def cell_rows(rows: DataFrame, text: str = "line") -> DataFrame:
     """Add cells (numbers and dashes of a line) and state: PROVABLE with two cells, or a note and two; else AMBIGUOUS or EMPTY."""
     cells = F.regexp_extract_all(F.col(text), F.lit(r"(?:^|\s)(-?[0-9][0-9,.]*|[-–—])(?=\s|$)"), F.lit(1))

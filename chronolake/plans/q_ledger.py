@@ -120,6 +120,58 @@ def registry_snapshot(spark, sf):
     return combine.registry_accounting(rows, "sym", m, intervals.interval_join(rows, m, "sym", "av"), "doc")
 
 
+def registry_rows(spark, sf):
+    """Registry rows of the events, in pairs: some pairs repeat a record, some give one id two applicants; faults of each kind are planted."""
+    e = X.table(spark, sf, "events").select(F.col("event_id").cast("int").alias("row"))
+    m = F.floor(F.col("row") / 2).cast("int")
+    source, plain = F.concat(F.lit("S"), (m % 4).cast("string")), F.concat(F.lit("N"), ((m + F.when((m % 5 == 1) & (F.col("row") % 2 == 1), 1).otherwise(0)) % 30).cast("string"))
+    basis = F.when((m % 4 == 0) | (m % 41 == 0), "PUBLICATION_DATE_EXPLICIT").when(m % 4 == 1, "OFFICIAL_APPROVAL_DATE_EXPLICIT").otherwise("FIRST_OBSERVED_SNAPSHOT_DATE")
+    day = F.date_add(X.day("1995-01-01"), (m * 13 % 1600).cast("int"))
+    return e.select(
+        "row", source.alias("source"), F.when(m % 3 == 0, "filing").otherwise("approval").alias("category"), basis.alias("basis"),
+        F.when(m % 5 <= 1, m.cast("string")).otherwise(F.concat(F.lit("R"), F.col("row").cast("string"))).alias("own_id"),
+        F.when(m % 7 == 0, F.concat(plain, F.lit("; N"), ((m + 11) % 30).cast("string"))).otherwise(plain).alias("applicant"),
+        F.when(m % 37 != 0, day).alias("published"), day.alias("approved"), F.when(m % 43 == 0, X.day("1996-06-02")).otherwise(X.day("1996-06-03")).alias("captured"),
+    )
+
+
+def registry_run(spark, sf):
+    from chronolake.operators import registry_snapshot
+
+    catalog = spark.createDataFrame([("S0", ["filing", "approval"], "PUBLICATION_DATE_EXPLICIT"), ("S1", ["approval"], "OFFICIAL_APPROVAL_DATE_EXPLICIT"), ("S2", ["filing", "approval"], "FIRST_OBSERVED_SNAPSHOT_DATE")], "source string, categories array<string>, basis string")
+    names = X.table(spark, sf, "supplier").where("s_suppkey <= 25").select(F.concat(F.lit("N"), (F.col("s_suppkey") - 1).cast("string")).alias("name"), F.col("s_suppkey").alias("ent"))
+    return registry_snapshot.materialised(registry_rows(spark, sf), catalog, names, X.member(spark, sf).withColumnRenamed("sym", "ent"), X.day("1996-06-03"))
+
+
+REGISTRY_SQL = """
+, x AS (SELECT event_id AS row, event_id // 2 AS m FROM events),
+r AS (SELECT *, 'S' || m % 4 AS source, CASE WHEN m % 3 = 0 THEN 'filing' ELSE 'approval' END AS category, (m + CASE WHEN m % 5 = 1 AND row % 2 = 1 THEN 1 ELSE 0 END) % 30 AS a1, CASE WHEN m % 7 = 0 THEN (m + 11) % 30 END AS a2, CASE WHEN m % 4 < 2 THEN DATE '1995-01-01' + (m * 13 % 1600)::INT ELSE DATE '1996-06-03' END AS available,
+  concat_ws(',', CASE WHEN m % 4 = 3 THEN 'SOURCE_UNKNOWN' END, CASE WHEN m % 4 = 1 AND m % 3 = 0 THEN 'CATEGORY_NOT_OF_SOURCE' END, CASE WHEN m % 41 = 0 AND m % 4 IN (1, 2) THEN 'BASIS_NOT_OF_SOURCE' END, CASE WHEN m % 37 = 0 AND (m % 4 = 0 OR m % 41 = 0) THEN 'DATE_MISSING' END, CASE WHEN m % 43 = 0 AND m % 4 >= 2 AND m % 41 <> 0 THEN 'CAPTURED_ANOTHER_DAY' END) AS broken,
+  'S' || m % 4 || ':' || CASE WHEN m % 5 <= 1 THEN m::VARCHAR ELSE 'R' || row END AS record_id FROM x),
+s AS (SELECT * FROM r WHERE broken = '' AND m % 5 <> 1 AND (m % 5 <> 0 OR row % 2 = 0)),
+t AS (SELECT DISTINCT s.row, s_suppkey AS ent FROM s JOIN supplier ON s_suppkey <= 25 AND (s_suppkey - 1 = a1 OR s_suppkey - 1 = a2)),
+v AS (SELECT DISTINCT t.row, t.ent FROM t JOIN s USING (row) JOIN v_member k ON k.sym = t.ent AND s.available BETWEEN k.s AND k.e),
+z AS (SELECT row, record_id, CASE WHEN broken <> '' THEN 'INVALID' WHEN m % 5 = 1 THEN 'CONFLICT' WHEN m % 5 = 0 AND row % 2 = 1 THEN 'REPEAT' WHEN row NOT IN (SELECT row FROM t) THEN 'UNMAPPED' WHEN row NOT IN (SELECT row FROM v) THEN 'EXCLUDED' ELSE 'EVENT' END AS state, broken FROM r)
+"""
+
+
+@query("pit_13_registry_lineage", "v_member", REGISTRY_SQL + "SELECT row, record_id, state, CASE WHEN broken <> '' THEN broken WHEN state = 'EXCLUDED' THEN 'NOT_A_MEMBER_WHEN_AVAILABLE' END AS reason FROM z")
+def registry_lineage(spark, sf):
+    return registry_run(spark, sf)[0]
+
+
+@query("pit_13_registry_events", "v_member", REGISTRY_SQL + "SELECT record_id, ent, category, available, CASE WHEN m % 4 < 2 THEN 'HISTORICAL_RECONSTRUCTABLE' ELSE 'PROSPECTIVE_FIRST_OBSERVED_ONLY' END AS availability_state FROM v JOIN s USING (row)")
+def registry_events(spark, sf):
+    return registry_run(spark, sf)[1]
+
+
+@query("pit_13_registry_summary", "v_member", REGISTRY_SQL + "SELECT count(*) AS input_rows, count(*) FILTER (state = 'INVALID') AS invalid, count(*) FILTER (state = 'CONFLICT') AS conflict, count(*) FILTER (state = 'REPEAT') AS repeat, count(*) FILTER (state = 'UNMAPPED') AS unmapped, count(*) FILTER (state = 'EXCLUDED') AS excluded, count(*) FILTER (state = 'EVENT') AS event, (SELECT count(*) FROM v) AS events, (SELECT count(DISTINCT ent) FROM v) AS entities, (SELECT string_agg(DISTINCT category, ',' ORDER BY category) FROM v JOIN s USING (row)) AS categories FROM z")
+def registry_totals(spark, sf):
+    from chronolake.operators import registry_snapshot
+
+    return registry_snapshot.summary(*registry_run(spark, sf))
+
+
 @query("pit_14_date_increment", "v_annc", f", {LEDGER} SELECT event_date, count(*) AS documents, count(*) FILTER (available_date > DATE '2024-01-20') AS not_yet_available, count(DISTINCT ent) AS entities FROM led WHERE event_date > DATE '2024-01-10' AND event_date <= DATE '2024-01-20' GROUP BY event_date")
 def date_increment(spark, sf):
     rows = evidence(spark, sf).where((F.col("event_date") > X.day("2024-01-10")) & (F.col("event_date") <= X.day("2024-01-20")))

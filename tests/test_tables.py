@@ -71,3 +71,32 @@ def test_intervals_weights_and_runs(spark):
     assert rows(sets, "report_date", "symbol", "weight", "whole") == sorted([(d(2021, 3, 31), "600001", 0.05, False), (d(2021, 3, 31), "600002", None, False), (d(2021, 3, 31), "600003", None, False), (d(2021, 3, 31), "600004", None, False), (d(2021, 9, 30), "600001", 0.075, False)], key=str)
     dated = spark.createDataFrame([(1, d(2020, m, 1), s) for m, held in ((1, "ab"), (2, "a"), (3, "b"), (4, "ab")) for s in held], "page_id int, report_date date, symbol string")
     assert rows(html_tables.held_intervals(dated), "symbol", "s", "e") == sorted([("a", d(2020, 1, 1), d(2020, 2, 29)), ("a", d(2020, 4, 1), None), ("b", d(2020, 1, 1), d(2020, 1, 31)), ("b", d(2020, 3, 1), None)], key=str)
+
+
+def test_registry_rows_end_in_one_state(spark):
+    """Every row has a state; conflicting contents of one id are never chosen from; members count on the day itself."""
+    from pyspark.sql import functions as F
+
+    from chronolake.operators import registry_snapshot
+
+    d = dt.date
+    p, f = "PUBLICATION_DATE_EXPLICIT", "FIRST_OBSERVED_SNAPSHOT_DATE"
+    data = [
+        (1, "A", "x", p, "7", "n1", d(2020, 1, 5), None, None), (2, "A", "x", p, "7", "n1", d(2020, 1, 5), None, None), (3, "A", "x", p, "8", "n1", d(2020, 1, 5), None, None), (4, "A", "x", p, "8", "n2", d(2020, 1, 5), None, None),
+        (5, "A", "y", p, "9", "n1", d(2020, 1, 5), None, None), (6, "Z", "x", p, "9", "n1", d(2020, 1, 5), None, None), (7, "A", "x", f, "10", "n1", None, None, d(2020, 1, 9)), (8, "A", "x", p, "11", "n1", None, None, None),
+        (9, "B", "x", f, "", "n1；n2", None, None, d(2020, 1, 9)), (10, "B", "x", f, None, "n1；n2", None, None, d(2020, 1, 9)), (11, "B", "x", f, "3", "n1", None, None, d(2020, 1, 8)), (12, "A", "x", p, "12", "who", d(2020, 1, 5), None, None), (13, "A", "x", p, "13", "n1", d(2020, 1, 11), None, None),
+        (14, None, None, None, None, None, None, None, None),
+    ]
+    rows_ = spark.createDataFrame(data, "row int, source string, category string, basis string, own_id string, applicant string, published date, approved date, captured date")
+    catalog = spark.createDataFrame([("A", ["x"], p), ("B", ["x"], f)], "source string, categories array<string>, basis string")
+    names = spark.createDataFrame([("n1", 1), ("n2", 2)], "name string, ent int")
+    members = spark.createDataFrame([(1, d(2020, 1, 1), d(2020, 1, 10)), (2, d(2021, 1, 1), None)], "ent int, s date, e date")
+    lineage, events = registry_snapshot.materialised(rows_, catalog, names, members, F.lit("2020-01-09").cast("date"))
+    got = {r["row"]: (r["state"], r["reason"]) for r in lineage.collect()}
+    assert got == {
+        1: ("EVENT", None), 2: ("REPEAT", None), 3: ("CONFLICT", None), 4: ("CONFLICT", None), 5: ("INVALID", "CATEGORY_NOT_OF_SOURCE"), 6: ("INVALID", "SOURCE_UNKNOWN"), 7: ("INVALID", "BASIS_NOT_OF_SOURCE"), 8: ("INVALID", "DATE_MISSING"),
+        9: ("EVENT", None), 10: ("REPEAT", None), 11: ("INVALID", "CAPTURED_ANOTHER_DAY"), 12: ("UNMAPPED", None), 13: ("EXCLUDED", "NOT_A_MEMBER_WHEN_AVAILABLE"), 14: ("INVALID", "SOURCE_UNKNOWN,DATE_MISSING"),
+    }
+    assert rows(events, "ent", "category", "available", "availability_state") == [(1, "x", d(2020, 1, 5), "HISTORICAL_RECONSTRUCTABLE"), (1, "x", d(2020, 1, 9), "PROSPECTIVE_FIRST_OBSERVED_ONLY")]
+    s = registry_snapshot.summary(lineage, events).first()
+    assert s["input_rows"] == sum(s[k.lower()] for k in registry_snapshot.STATES) == 14 and s["events"] == 2
