@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronolake.operators import documents as D
-from chronolake.operators import html_tables, nonrecurring
+from chronolake.operators import balance_sheets, html_tables, nonrecurring
 
 from . import fixtures as X
 from .registry import query
@@ -248,3 +248,38 @@ SELECT page_id, (600000 + sym)::VARCHAR AS symbol, CASE WHEN qs[1] = 2 THEN DATE
 UNION ALL SELECT page_id, (600000 + sym)::VARCHAR, unnest([DATE '2020-06-30', DATE '2020-12-31']), unnest([DATE '2020-09-29', NULL]) FROM g WHERE list_contains(qs, 2) AND list_contains(qs, 4) AND NOT list_contains(qs, 3)""")
 def held_intervals(spark, sf):
     return html_tables.held_intervals(html_tables.holdings(html_tables.table_cells(membership_pages(spark, sf))))
+
+
+# --- balance sheets -----------------------------------------------------------------------------------
+
+
+def sheet_texts(spark, sf):
+    """A consolidated balance sheet of each customer, then one of the parent company.
+
+    Three header forms: names, names with a note column, dates; or names on two lines, which gives no places. Rows: both
+    amounts, a blank current or prior column, dashes, both blank, a note number, three amounts.
+    """
+    k = F.col("c_custkey")
+    line = lambda *parts: F.concat(*(p if not isinstance(p, str) else F.lit(p) for p in parts), F.lit("\n"))
+    at = lambda *cells: F.concat(*(F.rpad(c if not isinstance(c, str) else F.lit(c), w, " ") for c, w in cells))
+    n = lambda x, cents: F.concat(x.cast("string"), F.lit(cents))
+    row = lambda label, note, now, then: line(at((label, 24), (note, 10), (now, 30), (then, 20)))
+    form = k % 4
+    header = F.when(form == 0, row("项目", "", "期末余额", "期初余额")).when(form == 1, row("项目", "附注", "期末余额", "期初余额")).when(form == 2, row("项目", "", "2020年12月31日", "2019年12月31日")).otherwise(F.concat(line("项目 期末余额"), line("期初余额")))
+    note = lambda x: F.when(form == 1, x).otherwise("")
+    body = F.concat(
+        row("货币资金", note("12"), n(k * 2, ".50"), n(k, ".25")), row("交易性金融资产", "", "", n(k, ".00")), row("应收账款", "", n(k + 7, ".00"), ""), row("存货", note("3"), "-", n(k + 1, ".00")), row("商誉", "", "", ""), row("应收票据", "", "1.00 2.00", "3.00"),
+        row("其他流动资产", "", F.concat(F.lit("("), n(k, ".75"), F.lit(")")), "-"),
+    )
+    parent = F.concat(line("母公司资产负债表"), line("单位：元"), row("项目", "", "期末余额", "期初余额"), row("货币资金", "", "777.00", "888.00"))
+    return X.table(spark, sf, "customer").select(k.alias("doc_id"), F.concat(line("第十节 财务报告"), line("1、合并资产负债表"), F.when(k % 5 != 3, line("单位：千元")).otherwise(""), header, body, F.when(k % 2 == 0, parent).otherwise("")).alias("text"))
+
+
+@query("doc_8_sheet_rows", "", """WITH t AS (SELECT c_custkey AS k, c_custkey % 4 AS form FROM customer WHERE c_custkey % 5 <> 3),
+r AS (SELECT k, form, unnest([{'fact': 'MONETARY_FUNDS', 'n': 2, 'ck': 'NUMERIC', 'c': k * 2 + 0.5, 'pk': 'NUMERIC', 'p': k + 0.25, 'note': '12'}, {'fact': 'TRADING_FINANCIAL_ASSETS', 'n': 1, 'ck': 'BLANK', 'c': NULL, 'pk': 'NUMERIC', 'p': k, 'note': NULL}, {'fact': 'ACCOUNTS_RECEIVABLE', 'n': 1, 'ck': 'NUMERIC', 'c': k + 7, 'pk': 'BLANK', 'p': NULL, 'note': NULL},
+  {'fact': 'INVENTORIES', 'n': 2, 'ck': 'DASH', 'c': NULL, 'pk': 'NUMERIC', 'p': k + 1, 'note': '3'}, {'fact': 'GOODWILL', 'n': 0, 'ck': 'BLANK', 'c': NULL, 'pk': 'BLANK', 'p': NULL, 'note': NULL}, {'fact': 'NOTES_RECEIVABLE', 'n': 3, 'ck': NULL, 'c': NULL, 'pk': NULL, 'p': NULL, 'note': NULL}, {'fact': 'OTHER_CURRENT_ASSETS', 'n': 2, 'ck': 'NUMERIC', 'c': -(k + 0.75), 'pk': 'DASH', 'p': NULL, 'note': NULL}], recursive := true) FROM t),
+s AS (SELECT *, CASE WHEN n = 3 THEN 'OWNERSHIP_UNRESOLVED' WHEN form = 3 THEN CASE WHEN n = 2 THEN 'ORDER_PROVEN' ELSE 'OWNERSHIP_UNRESOLVED' END WHEN n = 0 THEN 'POSITION_PROVEN_BLANK_BOTH' ELSE 'POSITION_PROVEN' END AS state FROM r)
+SELECT k AS doc_id, fact, state, CASE WHEN form = 1 THEN note END AS note, CASE WHEN state <> 'OWNERSHIP_UNRESOLVED' THEN ck END AS current_kind, CASE WHEN state <> 'OWNERSHIP_UNRESOLVED' THEN round(c * 1000.0, 4)::DOUBLE END AS current_value, CASE WHEN state <> 'OWNERSHIP_UNRESOLVED' THEN pk END AS prior_kind, CASE WHEN state <> 'OWNERSHIP_UNRESOLVED' THEN round(p * 1000.0, 4)::DOUBLE END AS prior_value FROM s""")
+def sheet_rows(spark, sf):
+    rows = balance_sheets.sheet_rows(sheet_texts(spark, sf)).drop("row_hash")
+    return rows.withColumns({"current_value": F.round("current_value", 4), "prior_value": F.round("prior_value", 4)})

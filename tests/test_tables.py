@@ -100,3 +100,31 @@ def test_registry_rows_end_in_one_state(spark):
     assert rows(events, "ent", "category", "available", "availability_state") == [(1, "x", d(2020, 1, 5), "HISTORICAL_RECONSTRUCTABLE"), (1, "x", d(2020, 1, 9), "PROSPECTIVE_FIRST_OBSERVED_ONLY")]
     s = registry_snapshot.summary(lineage, events).first()
     assert s["input_rows"] == sum(s[k.lower()] for k in registry_snapshot.STATES) == 14 and s["events"] == 2
+
+
+def test_places_prove_columns(spark):
+    from chronolake.operators import balance_sheets as B
+
+    def text(header, *lines, title="合并资产负债表", unit="单位：万元"):
+        return "\n".join(["第一节", title, unit, header, *lines, "合并利润表", "货币资金      9.00   8.00"])
+
+    plain = "项目              期末余额            期初余额"
+    noted = "项目      附注      期末余额            期初余额"
+    texts = {
+        1: text(plain, "货币资金          1.00                2.00", "其中：应收账款                        3.00", "非流动资产合计    -                   －", "流动资产合计      (4.00)"),
+        2: text(noted, "货币资金  七      1.00                2.00", "存货      5       1.00", "商誉      12345   1.00                2.00"),
+        3: text("项目 期末余额\n附注\n期初余额", "货币资金 7 1.00 2.00", "存货 1,000.00 2.00", "商誉 7 1.00", "固定资产 1 2 3 4"),
+        4: text("项目        2020 年 12 月 31 日    2019 年 12 月 31 日", "货币资金    1.00", "存货                               2.00"),
+        5: text("项目", "货币资金 1.00 2.00"), 6: text(plain, "货币资金          1.00                2.00", unit="币种"), 7: text(plain, "货币资金          1.00                2.00", title="母公司资产负债表"),
+        8: text("项目              期初余额            期末余额", "货币资金          1.00                2.00"), 9: text(plain, "货币资金          1.00   5.00         2.00"), 10: None, 11: "",
+    }
+    got = {(r["doc_id"], r["fact"]): (r["state"], r["note"], r["current_kind"], r["current_value"], r["prior_kind"], r["prior_value"]) for r in B.sheet_rows(spark.createDataFrame(list(texts.items()), "doc_id int, text string")).collect()}
+    assert len(B.LABELS) == 51
+    assert got == {
+        (1, "MONETARY_FUNDS"): (B.BY_PLACE, None, "NUMERIC", 10_000.0, "NUMERIC", 20_000.0), (1, "ACCOUNTS_RECEIVABLE"): (B.BY_PLACE, None, "BLANK", None, "NUMERIC", 30_000.0),
+        (1, "TOTAL_NON_CURRENT_ASSETS"): (B.BY_PLACE, None, "DASH", None, "DASH", None), (1, "TOTAL_CURRENT_ASSETS"): (B.BY_PLACE, None, "NUMERIC", -40_000.0, "BLANK", None),
+        (2, "MONETARY_FUNDS"): (B.BY_PLACE, None, "NUMERIC", 10_000.0, "NUMERIC", 20_000.0), (2, "INVENTORIES"): (B.BY_PLACE, "5", "NUMERIC", 10_000.0, "BLANK", None), (2, "GOODWILL"): (B.OPEN, None, None, None, None, None),
+        (3, "MONETARY_FUNDS"): (B.WITH_NOTE, "7", "NUMERIC", 10_000.0, "NUMERIC", 20_000.0), (3, "INVENTORIES"): (B.NOTE_BLANK, None, "NUMERIC", 10_000_000.0, "NUMERIC", 20_000.0), (3, "GOODWILL"): (B.OPEN, None, None, None, None, None), (3, "FIXED_ASSETS"): (B.OPEN, None, None, None, None, None),
+        (4, "MONETARY_FUNDS"): (B.BY_PLACE, None, "NUMERIC", 10_000.0, "BLANK", None), (4, "INVENTORIES"): (B.BY_PLACE, None, "BLANK", None, "NUMERIC", 20_000.0),
+        (5, "MONETARY_FUNDS"): (B.NO_HEADER, None, None, None, None, None), (8, "MONETARY_FUNDS"): (B.BY_ORDER, None, "NUMERIC", 10_000.0, "NUMERIC", 20_000.0), (9, "MONETARY_FUNDS"): (B.OPEN, None, None, None, None, None),
+    }
