@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronolake.functions import scalars as S
-from chronolake.operators import assembly, combine, intervals, ledger, sets
+from chronolake.operators import archives, assembly, combine, intervals, ledger, sets
 from chronolake.sources.scratch import new_path, saved
 
 from . import fixtures as X
@@ -102,6 +102,52 @@ def keyword_archive(spark, sf):
     return rows.groupBy("keyword").agg(F.count("*").alias("hits"), F.count_if(F.col("event_id") % 2 == 0).alias("in_scope"), F.count_distinct("title").alias("titles"))
 
 
+KEYWORDS = ["协议", "公告", "报告", "无此词"]
+ARCHIVE_SQL = f""", {TITLE_SQL}, w AS (SELECT * FROM (VALUES {", ".join(f"('{w}', {k})" for k, w in enumerate(KEYWORDS))}) x(keyword, rank)),
+r AS (SELECT doc, ent, title FROM v_annc JOIN t ON event_id = doc UNION ALL SELECT doc, ent, title FROM v_annc JOIN t ON event_id = doc WHERE doc % 6 = 0),
+h AS (SELECT doc, ent, title, keyword, rank, count(*) AS hits, ent % 3 <> 1 AS inside FROM r JOIN w ON contains(title, keyword) GROUP BY ALL),
+f AS (SELECT *, inside AND rank = min(rank) FILTER (inside) OVER (PARTITION BY doc) AS kept FROM h)"""
+
+
+@query("pit_11_archive_rows", "v_annc", ARCHIVE_SQL + " SELECT doc, ent, title, keyword FROM f WHERE kept")
+def archive_rows(spark, sf):
+    return keyword_archive_run(spark, sf)[0]
+
+
+@query("pit_11_archive_stages", "v_annc", ARCHIVE_SQL + " SELECT w.keyword, coalesce(sum(hits), 0)::BIGINT AS hits, count(f.doc) AS notices, count(*) FILTER (inside) AS candidates, count(*) FILTER (kept) AS kept FROM w LEFT JOIN f USING (keyword) GROUP BY w.keyword")
+def archive_stages(spark, sf):
+    return keyword_archive_run(spark, sf)[1]
+
+
+def keyword_archive_run(spark, sf):
+    """Notices, some of which a search gives twice; entities out of scope are counted and left out."""
+    rows = X.announcements(spark, sf).join(titles(spark, sf), F.col("doc") == F.col("event_id")).select("doc", "ent", "title")
+    scope = rows.select("ent").distinct().where("ent % 3 <> 1")
+    return archives.keyword_archive(rows.unionByName(rows.where("doc % 6 = 0")), "doc", "title", KEYWORDS, scope, "ent")
+
+
+def increment_run(spark, sf):
+    """Facts of documents, two a document; some are stated twice and some become available after the target."""
+    a = X.announcements(spark, sf).select("ent", (F.col("doc") / 4).cast("long").alias("doc"), F.concat(F.lit("F"), (F.col("doc") % 4).cast("string")).alias("fact"), F.col("pub").cast("date").alias("event_date"), F.date_add(F.col("pub").cast("date"), (F.col("doc") % 5).cast("int")).alias("available"), F.col("doc").alias("id"))
+    rows = a.unionByName(a.where("id % 17 = 0"))
+    scope = X.table(spark, sf, "customer").select(F.col("c_custkey").alias("ent"))
+    return archives.increment(rows, scope, X.day("2024-01-10"), X.day("2024-01-20"))
+
+
+INCREMENT_SQL = """, r AS (SELECT ent, doc // 4 AS doc, 'F' || doc % 4 AS fact, CAST(pub AS DATE) AS event_date, CAST(pub AS DATE) + (doc % 5)::INT AS available, doc AS id FROM v_annc), x AS (SELECT * FROM r UNION ALL SELECT * FROM r WHERE id % 17 = 0),
+c AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY ent, doc, fact) > 1 THEN 'DUPLICATE_FACT' WHEN available <= DATE '2024-01-20' THEN 'AVAILABLE' ELSE 'NOT_YET_AVAILABLE' END AS state FROM x WHERE event_date > DATE '2024-01-10' AND event_date <= DATE '2024-01-20')"""
+
+
+@query("pit_14_increment_rows", "v_annc", INCREMENT_SQL + " SELECT ent, doc, fact, event_date, available, state FROM c")
+def increment_rows(spark, sf):
+    return increment_run(spark, sf)[0].drop("id")
+
+
+@query("pit_14_increment_accounting", "v_annc", INCREMENT_SQL + ", g AS (SELECT ent, count(DISTINCT doc) AS documents, count(*) FILTER (state = 'AVAILABLE') AS facts, count(*) FILTER (state = 'NOT_YET_AVAILABLE') AS pending, count(*) FILTER (state = 'DUPLICATE_FACT') AS duplicates FROM c GROUP BY ent) SELECT c_custkey AS ent, coalesce(documents, 0) AS documents, coalesce(facts, 0) AS facts, coalesce(pending, 0) AS pending, coalesce(duplicates, 0) AS duplicates, CASE WHEN documents IS NULL THEN 'EMPTY' WHEN duplicates > 0 THEN 'DUPLICATE' WHEN pending > 0 THEN 'PENDING' ELSE 'COMPLETE' END AS status FROM customer LEFT JOIN g ON ent = c_custkey")
+def increment_accounting(spark, sf):
+    return increment_run(spark, sf)[1]
+
+
 @query("pit_12_adverse_review", "v_annc", ", n AS (SELECT ent, count(*) AS own FROM v_annc WHERE cls = 'error' GROUP BY ent), m AS (SELECT count(*) AS market FROM v_annc WHERE cls = 'error' AND ent = 0) SELECT c_custkey AS ent, coalesce(own, 0) + market AS negatives, c_custkey % 10 <> 0 AS complete, c_custkey % 10 <> 0 AND coalesce(own, 0) + market = 0 AS exclusion_clear FROM customer LEFT JOIN n ON ent = c_custkey, m")
 def adverse_review(spark, sf):
     """Rows of the market-wide entity 0 count for every entity."""
