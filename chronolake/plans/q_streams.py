@@ -119,3 +119,14 @@ def breaker_trips(spark, sf):
         signature = F.when(F.col("event_type") == "error", F.concat(F.lit("code "), (F.col("event_id") % 2).cast("string")))
         rows = ingest.drain(stateful.trips(stream.where("user_id is not null"), "user_id", "ts", signature, "event_id", 2, quiet_days=365), out)
     return rows.select("unit", "signature", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("tripped_at"), "n")
+
+
+@query("str_1_first_rows", "", """SELECT event_id, event_type, 'KEPT' AS outcome FROM events UNION ALL SELECT event_id, 'changed', 'CONFLICT' FROM events WHERE event_id % 10 = 0""")
+def first_rows(spark, sf):
+    """The events, then repeats of some, then some with another type: state tells them apart without reading what came before."""
+    path, out = new_path(spark, "landing"), new_path(spark, "stream")
+    rows = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type")
+    for part in (rows, rows.where("event_id % 4 = 0"), rows.where("event_id % 10 = 0").withColumn("event_type", F.lit("changed"))):
+        part.write.mode("append").parquet(path)
+        found = ingest.drain(stateful.first_rows(ingest.landing(spark, path), "event_id"), out)
+    return found

@@ -119,3 +119,47 @@ def trips(stream: DataFrame, unit: str, time: str, signature: Column, ident: str
     rows = rows.select(F.col(unit).cast("string").alias("unit"), F.unix_millis(F.col(time)).alias("at"), signature.alias("signature"), F.col(ident).cast("string").alias("id"), F.col(time).alias("__time"))
     out = rows.groupBy("unit").transformWithState(_Breaker(limit, quiet_days * DAY), "unit string, signature string, at long, n long", "append", "eventTime")
     return out.withColumn("at", F.timestamp_millis("at").cast("timestamp_ntz"))
+
+
+class _Once(StatefulProcessor):
+    """The digest of a key's first row, for ever: repeats go, other values are conflicts."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.names = names
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "digest long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = list(rows)
+        told = lambda r, outcome: Row(**{n: r[n] for n in self.names}, outcome=outcome)
+        if key[0] is None:
+            yield from (told(r, "CONFLICT") for r in held)
+            return
+        if self.known.exists():
+            (digest,) = self.known.get()
+        elif len({r["__digest"] for r in held}) == 1:
+            digest = held[0]["__digest"]
+            self.known.update((digest,))
+            yield told(held[0], "KEPT")
+        else:
+            digest = None
+        yield from (told(r, "CONFLICT") for r in held if r["__digest"] != digest)
+
+    def close(self) -> None:
+        pass
+
+
+def first_rows(stream: DataFrame, key: str) -> DataFrame:
+    """The rows of a stream with outcome: KEPT for the first row of a key, CONFLICT for a row that differs from it, however late.
+
+    Repeats give nothing. A key that comes with several values in its first batch, or that is null, gives conflicts only.
+    A batch costs what it holds: state is looked up by key, and no earlier batch is read again. It keeps one number a
+    key for ever, as the question asks.
+    """
+    state_store(stream.sparkSession)
+    names = stream.columns
+    values = [c for c in names if c != key]
+    digest = F.xxhash64(F.concat_ws("", *(F.when(F.col(c).isNull(), "n").otherwise("v") for c in values)), *values) if values else F.lit(0).cast("long")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema) + ", outcome string"
+    return stream.withColumn("__digest", digest).groupBy(key).transformWithState(_Once(names), schema, "append", "none")

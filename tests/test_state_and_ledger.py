@@ -269,3 +269,14 @@ def test_trends_and_missing_comparables(spark):
     got = assembly.trends(inputs(spark, facts, [], [])["facts"], KINDS, ("MARGIN",))
     value = F.get_json_object("payload", "$.value").cast("double").alias("value")
     assert rows(got.select("entity_id", "evidence_type", "available_date", value)) == [("1", "MARGIN_TREND", d(2021, 3, 1), 2.0), ("1", "REVENUE_TREND", d(2021, 3, 1), 0.5), ("1", "REVENUE_TREND", d(2021, 7, 1), 2.0)]
+
+
+def test_first_rows_by_state(spark, tmp_path):
+    """Batches over restarts: late repeats go, changed rows and rows that disagree in one batch are conflicts."""
+    path, out = f"{tmp_path}/land", f"{tmp_path}/out"
+    batches = [[(1, "a"), (2, "b"), (2, "b"), (3, "x"), (3, "y"), (5, None)], [(1, "a"), (4, "d"), (5, None)], [(2, "z"), (4, "d"), (None, "n"), (5, "e")], [(3, "x")]]
+    for batch in batches:
+        spark.createDataFrame(batch, "id int, v string").coalesce(1).write.mode("append").parquet(path)
+        got = ingest.drain(stateful.first_rows(ingest.landing(spark, path), "id"), out)
+    assert rows(got.where("outcome = 'KEPT'"), "id", "v") == sorted([(1, "a"), (2, "b"), (4, "d"), (5, None), (3, "x")], key=str)
+    assert rows(got.where("outcome = 'CONFLICT'"), "id", "v") == sorted([(3, "x"), (3, "y"), (2, "z"), (None, "n"), (5, "e")], key=str)
