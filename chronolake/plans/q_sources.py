@@ -154,6 +154,44 @@ def listing_metadata(spark, sf):
     return contracts.keep_last(rows, ["p_partkey"], [F.col("p_size").desc()]).select("p_partkey", "p_size", "p_brand")
 
 
+def raw_listings(spark, sf):
+    """Parts as listings of a provider: codes of all boards and of none, dates and prices that are missing or bad, repeats that agree or not."""
+    k = F.col("p_partkey")
+    heads = F.array(*(F.lit(h) for h in ("688", "300", "600", "002", "430", "999")))
+    code = F.concat(F.element_at(heads, (k % 6 + 1).cast("int")), F.lpad((k % 1000).cast("string"), 3, "0"))
+    p = X.table(spark, sf, "part").select(k.alias("k"), code.alias("证券代码"), F.when(k % 11 == 4, "-").otherwise(F.date_add(X.day("2015-01-01"), (k % 900).cast("int")).cast("string")).alias("上市日期"), F.when(k % 13 == 5, "0").when(k % 17 == 6, "n/a").otherwise((k % 90 + 1).cast("string")).alias("发行价格"), F.concat(F.lit(" Name "), k.cast("string")).alias("名称"), F.lit(1).alias("v"))
+    again = p.where("k % 5 = 0").withColumns({"v": F.lit(2), "名称": F.lit("later")})
+    other = p.where("k % 35 = 0").withColumns({"v": F.lit(3), "发行价格": F.lit("500.5")})
+    return p.unionByName(again).unionByName(other)
+
+
+LISTINGS = """WITH p AS (SELECT p_partkey AS k, ['688', '300', '600', '002', '430', '999'][p_partkey % 6 + 1] || lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS symbol, ['STAR', 'CHINEXT', 'SSE_MAIN', 'SZSE_MAIN', 'BSE', NULL][p_partkey % 6 + 1] AS board, CASE WHEN p_partkey % 11 <> 4 THEN DATE '2015-01-01' + (p_partkey % 900)::INT END AS d, CASE WHEN p_partkey % 13 = 5 THEN 0 WHEN p_partkey % 17 <> 6 THEN p_partkey % 90 + 1 END::DOUBLE AS price FROM part),
+r AS (SELECT *, 1 AS v FROM p UNION ALL SELECT *, 2 FROM p WHERE k % 5 = 0 UNION ALL SELECT k, symbol, board, d, 500.5, 3 FROM p WHERE k % 35 = 0), w AS (SELECT *, CASE WHEN board IS NULL THEN 'NO_BOARD' WHEN d IS NULL THEN 'NO_LISTING_DATE' WHEN coalesce(price, 0) <= 0 THEN 'NO_PRICE' END AS reason FROM r), g AS (SELECT symbol, count(DISTINCT (d, price)) > 1 AS differ, count(*) AS n FROM w WHERE reason IS NULL GROUP BY symbol)"""
+
+
+@query("src_17_listings", "", LISTINGS + " SELECT symbol, CASE WHEN v = 2 THEN 'later' ELSE 'Name ' || k END AS name, board, d AS listing_date, price AS issue_price FROM w JOIN g USING (symbol) WHERE reason IS NULL AND NOT differ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY v DESC, CASE WHEN v = 2 THEN 'later' ELSE 'Name ' || k END DESC) = 1")
+def listings(spark, sf):
+    return readers.listing_metadata(raw_listings(spark, sf), "p", "v")[0].select("symbol", "name", "board", "listing_date", "issue_price")
+
+
+@query("src_17_rejected_listings", "", LISTINGS + " SELECT symbol, reason, count(*) AS n FROM w WHERE reason IS NOT NULL GROUP BY ALL UNION ALL SELECT symbol, 'CONFLICT', n FROM g WHERE differ")
+def rejected_listings(spark, sf):
+    return readers.listing_metadata(raw_listings(spark, sf), "p", "v")[1]
+
+
+@query("src_25_search_payloads", "", """WITH e AS (SELECT event_id, CAST(ts AS DATE) AS d, CASE event_type WHEN 'click' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END AS own FROM events), h AS (SELECT *, own AS t FROM e UNION ALL SELECT *, own + 1 FROM e)
+SELECT event_id AS notice_id, 'Notice ' || event_id AS title, d::VARCHAR AS published, 'T' AS theme, ['index', 'sample', 'change'][min(t) + 1] AS term FROM h WHERE t < 3 AND d BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND event_id % 19 <> 3 GROUP BY ALL""")
+def search_payloads(spark, sf):
+    """One payload a term and day; notices come under several terms, some ids are no numbers, one term is not asked for."""
+    own = F.when(F.col("event_type") == "click", 0).when(F.col("event_type") == "purchase", 1).otherwise(2)
+    e = X.table(spark, sf, "events").select("event_id", F.col("ts").cast("date").cast("string").alias("d"), own.alias("t"))
+    e = e.unionByName(e.withColumn("t", F.col("t") + 1)).withColumn("term", F.element_at(F.array(*(F.lit(t) for t in ("index", "sample", "change", "other"))), F.col("t") + 1))
+    ident = F.when(F.col("event_id") % 19 == 3, F.concat(F.lit("n"), F.col("event_id").cast("string"))).otherwise(F.concat(F.lit(" "), F.col("event_id").cast("string")))
+    row = F.struct(ident.alias("id"), F.concat(F.lit("Notice  "), F.col("event_id").cast("string"), F.lit("\n")).alias("title"), F.col("d").alias("publishDate"), F.lit("T").alias("theme"))
+    payloads = e.groupBy("term", "d").agg(F.to_json(F.struct(F.collect_list(row).alias("data"))).alias("payload"))
+    return readers.search_notices(payloads, ["index", "sample", "change"], X.day("2024-01-05"), X.day("2024-01-20"))
+
+
 @query("src_18_unlock_queue", "v_bars", ", l AS (SELECT sym, min(d) + 90 AS listed FROM v_bars GROUP BY sym) SELECT DISTINCT b.sym, b.d FROM v_bars b JOIN l USING (sym) WHERE b.d BETWEEN listed - 30 AND listed + 550")
 def unlock_queue(spark, sf):
     b = X.bars(spark, sf).select("sym", "d")

@@ -195,3 +195,59 @@ def margin_balances(rows: DataFrame, day: str, exchange: Column, text: str, unit
     out = rows.select(F.col(day), exchange.alias("exchange"), F.col(text).cast("string").try_cast("double").alias("__v"))
     unit = F.create_map(*(x for k, v in units.items() for x in (F.lit(k), F.lit(v))))[F.col("exchange").cast("int")]
     return out.groupBy(day, "exchange").agg(F.round(F.sum("__v"), 2).alias("balance")).withColumn("source_unit", unit)
+
+
+#: Names under which providers give the columns of listing metadata: fixed values.
+LISTING_COLUMNS = {
+    "symbol": ("股票代码", "证券代码", "代码"),
+    "name": ("股票简称", "证券简称", "名称"),
+    "issue_price": ("发行价", "发行价格"),
+    "listing_date": ("上市日期", "上市时间"),
+    "issue_pe": ("发行市盈率", "发行PE", "发行 P/E"),
+    "industry_pe": ("行业市盈率", "行业PE", "行业 P/E"),
+    "issue_total_raw": ("发行总数", "发行数量", "发行量"),
+}
+
+
+def listing_metadata(raw: DataFrame, provider: str, order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(metadata: one row a symbol; rejected: symbol, reason, n) of listing metadata under any of its providers' column names.
+
+    Codes that belong to no board, rows without a listing date or a positive price are rejected, and so are all rows of a symbol
+    whose listing dates or prices differ. Of rows that agree in both the last by order stays (ties and no order: the greatest row).
+    Symbol, date and price must be there under one of their names.
+    """
+    found = {name: next((c for c in names if c in raw.columns), None) for name, names in LISTING_COLUMNS.items()}
+    missing = [n for n in ("symbol", "issue_price", "listing_date") if not found[n]]
+    if missing:
+        raise ValueError(f"no column for {missing}")
+    own = lambda n: F.col(f"`{found[n]}`").cast("string") if found[n] else F.lit(None).cast("string")
+    digits = F.regexp_extract(F.regexp_replace(own("symbol"), r"\.0$", ""), r"(\d+)", 1)
+    symbol = F.when(digits != "", F.lpad(F.right(digits, F.lit(6)), 6, "0"))
+    rows = raw.select(
+        symbol.alias("symbol"), F.coalesce(F.trim(own("name")), F.lit("")).alias("name"), S.board_of_listing(symbol).alias("board"), F.try_to_timestamp(F.trim(own("listing_date"))).cast("date").alias("listing_date"), F.trim(own("issue_price")).try_cast("double").alias("issue_price"),
+        F.trim(own("issue_pe")).try_cast("double").alias("issue_pe"), F.trim(own("industry_pe")).try_cast("double").alias("industry_pe"), F.coalesce(F.trim(own("issue_total_raw")), F.lit("")).alias("issue_total_raw"), F.lit(provider).alias("metadata_provider"), (F.col(order) if order else F.lit(0)).alias("__order"),
+    )
+    reason = F.when(F.col("board").isNull(), "NO_BOARD").when(F.col("listing_date").isNull(), "NO_LISTING_DATE").when(~F.coalesce(F.col("issue_price") > 0, F.lit(False)), "NO_PRICE")
+    rows = rows.withColumn("__reason", reason)
+    rest = [c for c in rows.columns if c not in ("symbol", "__order", "__reason")]
+    good = rows.where("__reason is null").groupBy("symbol").agg(
+        (F.count_distinct("listing_date", "issue_price") > 1).alias("__differ"), F.count("*").alias("__n"), F.max_by(F.struct(*rest), F.struct("__order", *rest)).alias("__r"))
+    kept = good.where("not __differ").select("symbol", "__r.*")
+    bad = rows.where("__reason is not null").groupBy("symbol", F.col("__reason").alias("reason")).agg(F.count("*").alias("n"))
+    return kept, bad.unionByName(good.where("__differ").select("symbol", F.lit("CONFLICT").alias("reason"), F.col("__n").alias("n")))
+
+
+def search_notices(payloads: DataFrame, terms: list[str], first: Column, last: Column, payload: str = "payload", term: str = "term") -> DataFrame:
+    """notice_id, title, published, theme, term of search results (term, payload with a list data) inside a window, once for each notice.
+
+    The term that comes first in the list has the notice, within one payload the first row. Ids that are no whole numbers, dates
+    that are none and days outside the window give nothing, as does a payload without a list.
+    """
+    row = "array<struct<id:string,title:string,publishDate:string,theme:string>>"
+    found = payloads.select(F.col(term).alias("term"), F.from_json(F.get_json_object(payload, "$.data"), row).alias("data")).select("term", F.posexplode("data").alias("at", "n"))
+    clean = lambda c: F.trim(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\s+", " "))
+    rank = F.array_position(F.array(*(F.lit(t) for t in terms)), F.col("term"))
+    rows = found.select(F.trim(F.col("n.id")).try_cast("long").alias("notice_id"), clean("n.title").alias("title"), clean("n.publishDate").alias("published"), clean("n.theme").alias("theme"), "term", rank.alias("__rank"), "at")
+    day = F.try_to_timestamp("published").cast("date")
+    rows = rows.where("notice_id is not null and __rank > 0").where(day.between(first, last))
+    return keep_last(rows, ["notice_id"], [F.col("__rank"), F.col("at"), F.col("title")]).select("notice_id", "title", "published", "theme", "term")
