@@ -392,11 +392,11 @@ def test_density_decides_without_names(spark):
 
 
 def test_what_an_article_says_stays():
-    page = f"<article><p>{PROSE} press <button>Save</button> now</p><p><label>Figure 3</label> {PROSE}</p><p class='promotion'>{PROSE}</p><blockquote class='comment'>{PROSE}</blockquote><p class=reply>{PROSE}</p><form><label>Mail</label><input></form><div><button>Share</button></div></article>"
-    own = " ".join(PROSE.split())
+    own = "A sentence of the article with plain words and without links."
+    page = f"<article><p>{own} press <button>Save</button> now</p><p><label>Figure 3</label> {own}</p><p class='promotion'>{own}</p><blockquote class='comment'>{own}</blockquote><p class=reply>{own}</p><form><label>Mail</label><input></form><div><button>Share</button></div></article>"
     assert html_text.main_text(page) == f"{own} press Save now Figure 3 {own} {own} {own} {own}"
-    split = f"<body><div>{''.join(f'<p>{PROSE}</p>' for _ in range(9))}</div><div><p>{PROSE}</p><p>{PROSE}</p></div></body>"
-    assert html_text.main_text(split) == " ".join([own] * 11)
+    split = f"<body><div>{f'<p>{own}</p>' * 9}</div><div>{f'<p>{own} {own}</p>' * 3}</div></body>"
+    assert html_text.main_text(split) == " ".join([own] * 15)
 
 
 def test_malformed_pages_take_linear_time():
