@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from . import spread
+
 TOKEN = r"(?s)<!--.*?-->|<[^>]*>|[^<]+"
 DATE = r"(?:19|20)\d{2}-\d{2}-\d{2}"
 #: Symbols of a half-year or yearly report from which it is taken for a whole portfolio.
@@ -36,7 +38,9 @@ def table_cells(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
 
     row counts the row starts of a page, cell the cells of a row, both from 1. Null and empty pages give nothing.
     """
-    tokens = pages.select(key, F.posexplode(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))).alias("at", "token"))
+    # a page makes hundreds of tokens: pages are dealt first, and no token is sent, joined or broadcast afterwards
+    dealt = spread.by_key(pages.where(F.col(key).isNotNull()).select(key, F.col(html).alias("__html")), key)
+    tokens = dealt.select(key, F.posexplode(F.regexp_extract_all("__html", F.lit(TOKEN), F.lit(0))).alias("at", "token"))
     tag = F.lower(F.regexp_extract("token", r"^<(/?[a-zA-Z][a-zA-Z0-9]*)", 1))
     upto = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,14 +52,20 @@ def table_cells(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
     rows = rows.withColumn("was", last("edge", before)).withColumn("start", F.count_if(opens).over(upto))
     rows = rows.withColumn("h", F.when(F.col("tag").isin("h4", "/h4"), F.col("tag")))
     rows = rows.withColumn("in_heading", F.coalesce(last("h", before) == "h4", F.lit(False)) & (F.col("tag") == "")).withColumn("heading_no", F.count_if(F.col("tag") == "h4").over(upto))
-    closed = rows.where((F.col("tag") == "/tr") & F.col("in_row")).select(key, "row")
-    ends = rows.where((F.col("edge") == "close") & (F.col("was") == "open") & F.col("in_row")).select(key, "row", "start", "heading_no")
-    said = lambda df, by: df.groupBy(key, by).agg(_cleaned(F.transform(F.sort_array(F.collect_list(F.struct("at", "token"))), lambda x: x["token"])).alias("text"))
-    inside = (F.col("tag") == "") & ~F.col("token").startswith("<")
-    texts = said(rows.where(inside & (F.col("was") == "open")), "start")
-    headings = said(rows.where(F.col("in_heading")), "heading_no").withColumnRenamed("text", "heading")
-    cells = ends.join(closed, [key, "row"], "left_semi").join(texts, [key, "start"], "left").join(headings, [key, "heading_no"], "left")
-    place = F.row_number().over(Window.partitionBy(key, "row").orderBy("start"))
+    rows = rows.withColumn("row_closed", F.bool_or((F.col("tag") == "/tr") & F.col("in_row")).over(Window.partitionBy(key, "row")))
+    says = (F.col("tag") == "") & ~F.col("token").startswith("<") & (F.col("was") == "open")
+    ends = F.coalesce((F.col("edge") == "close") & (F.col("was") == "open") & F.col("in_row") & F.col("row_closed"), F.lit(False))
+    # a token belongs to the text of a cell, of a heading or of both
+    part = lambda kind, no: F.struct(F.lit(kind).alias("kind"), no.alias("no"))
+    owners = F.array_compact(F.array(F.when(F.coalesce(says, F.lit(False)) | ends, part("cell", F.col("start"))), F.when(F.col("in_heading"), part("heading", F.col("heading_no")))))
+    parts = rows.withColumn("ends", ends).select(key, "at", "token", "row", "heading_no", "ends", F.explode(owners).alias("of")).select("*", "of.*")
+    said = F.collect_list(F.when(~F.col("ends"), F.struct("at", "token")))
+    texts = parts.groupBy(key, "kind", "no").agg(
+        _cleaned(F.transform(F.sort_array(said), lambda x: x["token"])).alias("text"), F.max(F.when(F.col("ends"), F.struct("row", "heading_no"))).alias("end"))
+    texts = texts.withColumn("heading_no", F.when(F.col("kind") == "heading", F.col("no")).otherwise(F.col("end.heading_no"))).where("kind = 'heading' or end is not null")
+    heading = F.max(F.when(F.col("kind") == "heading", F.col("text"))).over(Window.partitionBy(key, "heading_no"))
+    cells = texts.withColumn("heading", heading).where("kind = 'cell'").withColumn("row", F.col("end.row"))
+    place = F.row_number().over(Window.partitionBy(key, "row").orderBy("no"))
     clean = lambda c: F.trim(F.regexp_replace(unescaped(F.col(c)), r"(?U)\s+", " "))
     return cells.select(key, "heading_no", clean("heading").alias("heading"), "row", place.alias("cell"), F.coalesce(clean("text"), F.lit("")).alias("text"))
 
@@ -96,9 +106,10 @@ def holdings(cells: DataFrame, key: str = "page_id") -> DataFrame:
     shares = F.filter(shares, lambda p: (p > 0) & (p <= 100))
     rows = rows.select(key, F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1))).alias("report_date"), "q", symbol.alias("symbol"), shares.alias("shares")).where("symbol is not null")
     found = rows.groupBy(key, "report_date", "q", "symbol").agg(F.sum(F.size("shares")).alias("n"), F.max(F.get("shares", F.lit(0))).alias("share"))
-    sizes = found.groupBy(key, "report_date").agg(F.count("*").alias("symbols"))
+    # rows without a date would have met none
+    found = found.where("report_date is not null").withColumn("symbols", F.count("*").over(Window.partitionBy(key, "report_date")))
     whole = F.col("q").isin(2, 4) & (F.col("symbols") >= WHOLE)
-    return found.join(sizes, [key, "report_date"]).select(key, "report_date", "symbol", F.when(F.col("n") == 1, F.col("share") / 100).alias("weight"), whole.alias("whole"))
+    return found.select(key, "report_date", "symbol", F.when(F.col("n") == 1, F.col("share") / 100).alias("weight"), whole.alias("whole"))
 
 
 def held_intervals(sets: DataFrame, key: str = "page_id", date: str = "report_date", symbol: str = "symbol") -> DataFrame:
@@ -107,9 +118,9 @@ def held_intervals(sets: DataFrame, key: str = "page_id", date: str = "report_da
     Reports are those of the key itself; e is null for what the last one lists. Gaps and islands: the place of a report
     less the place among the reports that list the symbol is constant in a run.
     """
-    reports = sets.select(key, date).distinct()
     order = Window.partitionBy(key).orderBy(date)
-    reports = reports.withColumn("__n", F.row_number().over(order)).withColumn("__next", F.lead(date).over(order))
-    held = sets.select(key, date, symbol).distinct().join(reports, [key, date])
+    later = Window.partitionBy(key).orderBy(F.datediff(F.col(date), F.lit("1970-01-01")).desc()).rangeBetween(Window.unboundedPreceding, -1)
+    held = sets.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(key, date, symbol).distinct()
+    held = held.withColumn("__n", F.dense_rank().over(order)).withColumn("__next", F.min(date).over(later))
     run = F.col("__n") - F.row_number().over(Window.partitionBy(key, symbol).orderBy(date))
     return held.withColumn("__run", run).groupBy(key, symbol, "__run").agg(F.min(date).alias("s"), F.date_sub(F.max_by("__next", date), 1).alias("e")).select(key, symbol, "s", "e")

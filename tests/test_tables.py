@@ -41,6 +41,16 @@ def test_longest_prefix(spark):
     assert rows(got, "t", "fact") == sorted([("abcz", "long"), ("abz", "short"), ("abd", "b"), ("x", "one"), ("", None), (None, None), ("b", None)], key=str)
 
 
+def test_prefixes_of_rows_in_chance_order(spark):
+    """A number dealt out twice to rows that come in another order gave a row the label of another one."""
+    from pyspark.sql import functions as F
+
+    labels = spark.createDataFrame([(str(k), f"f{k}") for k in range(10, 60)], "label string, fact string")
+    texts = spark.range(20_000).select(F.concat((F.col("id") % 60).cast("string"), F.lit("-")).alias("t")).repartition(16).select("t", F.rand().alias("r")).orderBy("r")
+    got = nonrecurring.prefix_matches(texts, "t", labels, "fact").groupBy("t", "fact").count().collect()
+    assert sorted((r["t"], r["fact"]) for r in got) == sorted((f"{k}-", f"f{k}" if k >= 10 else None) for k in range(60))
+
+
 def test_cells_of_broken_tables(spark):
     pages = {
         1: "<tr><td>a</td><td>b &amp; c<br> d</td></tr>",
@@ -128,3 +138,12 @@ def test_places_prove_columns(spark):
         (4, "MONETARY_FUNDS"): (B.BY_PLACE, None, "NUMERIC", 10_000.0, "BLANK", None), (4, "INVENTORIES"): (B.BY_PLACE, None, "BLANK", None, "NUMERIC", 20_000.0),
         (5, "MONETARY_FUNDS"): (B.NO_HEADER, None, None, None, None, None), (8, "MONETARY_FUNDS"): (B.BY_ORDER, None, "NUMERIC", 10_000.0, "NUMERIC", 20_000.0), (9, "MONETARY_FUNDS"): (B.OPEN, None, None, None, None, None),
     }
+
+
+def test_tokens_of_pages_are_never_broadcast(spark):
+    """A page makes hundreds of tokens, which its file's size does not show: no join may send them to every task."""
+    page = "<h4>2021年第2季度</h4><tr><td>600001</td><td>5%</td></tr>"
+    sets = html_tables.holdings(html_tables.table_cells(spark.createDataFrame([(1, page), (None, page)], "page_id int, html string")))
+    for df in (sets, html_tables.held_intervals(sets)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(sets, "page_id", "symbol") == [(1, "600001")]
