@@ -50,17 +50,17 @@ MOST, HEAD = 140, 15
 
 
 def prefix_matches(rows: DataFrame, text: str, labels: DataFrame, out: str) -> DataFrame:
-    """rows with the value of the longest label that their text begins with, or null: one equi-join on prefixes of the lengths that labels have.
+    """rows with the value of the longest label that their text begins with, or null: one equi-join on the characters that every label has.
 
-    labels: label, and the column out; of equally long labels the greatest value counts.
+    labels: label, and the column out; of equally long labels the greatest value counts. Each row meets one row of
+    labels at most, so rows need no numbers, which a second run would deal out anew.
     """
-    ids = rows.withColumn("__id", F.monotonically_increasing_id())
-    sizes = [r[0] for r in labels.select(F.length("label")).distinct().orderBy(F.length("label")).collect()]
-    starts = F.filter(F.array(*(F.substring(F.col(text), 1, n) for n in sizes)), lambda p: p != "")
-    # a text shorter than a length repeats itself: once is enough
-    tried = ids.select("__id", F.explode(F.array_distinct(starts)).alias("label"))
-    best = tried.join(labels.select("label", out), "label").groupBy("__id").agg(F.max(F.struct(F.length("label").alias("n"), out))[out].alias(out))
-    return ids.join(best, "__id", "left").drop("__id")
+    held = labels.where("label <> ''")
+    least = held.agg(F.min(F.length("label"))).first()[0] or 1
+    heads = held.groupBy(F.substring("label", 1, least).alias("__head")).agg(F.collect_list(F.struct(F.length("label").alias("n"), out, "label")).alias("__labels"))
+    met = rows.withColumn("__head", F.substring(F.col(text), 1, least)).join(heads, "__head", "left")
+    fits = F.filter("__labels", lambda x: F.col(text).startswith(x["label"]))
+    return met.withColumn(out, F.array_max(fits)[out]).drop("__head", "__labels")
 
 
 def _blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
