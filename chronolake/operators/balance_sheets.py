@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions.text import nfkc
 
+from . import spread
 from .documents import STATEMENTS, UNIT, UNIT_SCALE, number_of
 from .nonrecurring import prefix_matches
 
@@ -93,7 +94,8 @@ def _first_place(line: Column, words: tuple[str, ...]) -> Column:
 def layout_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, line_no, line, compact: lines that are not blank, with their spaces; compact has none."""
     clean = F.translate(F.regexp_replace(nfkc(F.col(text)), r"\r\n?", "\n"), "，：（）／−—", ",:()/--")
-    rows = docs.select(key, F.posexplode(F.split(clean, "\n")).alias("line_no", "line")).withColumn("line", F.rtrim("line")).where("line <> ''")
+    dealt = spread.by_key(docs.select(key, clean.alias(text)), key)
+    rows = dealt.select(key, F.posexplode(F.split(text, "\n")).alias("line_no", "line")).withColumn("line", F.rtrim("line")).where("line <> ''")
     return rows.withColumn("compact", F.regexp_replace("line", r"\s+", ""))
 
 

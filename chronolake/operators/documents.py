@@ -5,11 +5,16 @@ One row a line; neighbours are windows over the line number of one document.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolake.functions.text import normalized_text
 
+from . import spread
+
 #: Labels of the standard facts, and the factors of units: fixed values.
 FACT_LABELS = [
     ("营业收入", "OPERATING_REVENUE"),
@@ -29,13 +34,11 @@ UNIT = r"单位:(?:人民币)?(亿元|百万元|万元|千元|元)(?=$|币种|
 
 def declared_unit(rows: DataFrame, reach: int = 20, wrapped: int = 5, key: str = "doc_id") -> DataFrame:
     """Add unit: the nearest unit declaration at or above a line; a declaration may be wrapped over several lines."""
-    w = in_order(key).rowsBetween(0, wrapped - 1)
-    rows = rows.withColumn("__next", F.collect_list("line").over(w))
-    text = lambda k: F.replace(F.regexp_replace(F.array_join(F.slice("__next", F.lit(1), k), ""), r"\s+", ""), F.lit("："), F.lit(":"))
-    spans = F.transform(F.sequence(F.lit(1), F.size("__next")), lambda k: F.regexp_extract(text(k), UNIT, 1))
-    own = F.get(F.filter(spans, lambda u: u != ""), F.lit(0))
+    rows, following = next_lines(rows, wrapped, key)
+    text = lambda k: F.replace(F.regexp_replace(F.concat_ws("", *following[:k]), r"\s+", ""), F.lit("："), F.lit(":"))
+    own = F.coalesce(*(F.nullif(F.regexp_extract(text(k), UNIT, 1), F.lit("")) for k in range(1, wrapped + 1)))
     starts = F.col("line").contains("单")
-    return nearest_above(rows, F.when(starts, own), "unit", reach, key).drop("__next")
+    return nearest_above(rows, F.when(starts, own), "unit", reach, key).drop(*(f"__line{k}" for k in range(1, wrapped)))
 
 
 #: Labels of the income drivers, and the words in a heading that open a statement: fixed values.
@@ -64,12 +67,13 @@ def number_of(text: Column) -> Column:
 
 def filing_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, line_no, line, unit, row_text, statement of normalised filing texts: the logical row and unit of each line, and its statement."""
-    clean = docs.select(key, F.replace(normalized_text(F.col(text)), F.lit("／"), F.lit("/")).alias(text))
+    # texts are dealt, not their lines, of which a small file holds many
+    clean = spread.by_key(docs.select(key, F.replace(normalized_text(F.col(text)), F.lit("／"), F.lit("/")).alias(text)), key)
     rows = logical_rows(declared_unit(lines(clean, key, text), key=key), key=key)
     compact = F.regexp_replace("line", r"\s+", "")
-    opens = F.filter(F.array(*(F.when(compact.endswith(s) & (F.length(compact) <= 20), F.lit(s)) for s in STATEMENTS)), lambda x: x.isNotNull())
+    opens = F.coalesce(*(F.when(F.col("line").contains(s[-1]) & compact.endswith(s) & (F.length(compact) <= 20), F.lit(s)) for s in STATEMENTS))
     w = in_order(key).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("statement", F.last(F.get(opens, F.lit(0)), ignorenulls=True).over(w))
+    return rows.withColumn("statement", F.last(opens, ignorenulls=True).over(w))
 
 
 def labelled_numbers(rows: DataFrame, labels: list[tuple[str, str]], key: str = "doc_id") -> DataFrame:
@@ -80,7 +84,7 @@ def labelled_numbers(rows: DataFrame, labels: list[tuple[str, str]], key: str =
     """
     # most rows hold no label at all: one look at the row without white space spares them the patterns
     compact = F.regexp_replace("row_text", r"\s+", "")
-    rows = rows.withColumn("__compact", compact).where(F.col("__compact").rlike("|".join(label for label, _ in labels)))
+    rows = rows.withColumn("__compact", compact).where(reduce(or_, (F.col("__compact").contains(label) for label, _ in labels)))
     hits = []
     for label, fact in labels:
         at = F.regexp_instr("row_text", F.lit(wrapped(label)))
@@ -112,9 +116,11 @@ def standard_facts(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = rows.withColumn("value", F.when(~share | proven | (F.col("unit") == "元"), value)).where("value is not null")
     rank = F.struct(F.when(F.coalesce(proven | held, F.lit(False)), 0).otherwise(1).alias("way"), "line_no")
     facts = rows.groupBy(key, "fact").agg(F.min_by("value", rank).alias("value"))
+    # one pass: the facts of a filing are few, and its margin comes from them
     of = lambda name: F.max(F.when(F.col("fact") == name, F.col("value")))
-    margin = facts.groupBy(key).agg(F.try_divide(of("NET_PROFIT_PARENT"), of("OPERATING_REVENUE")).alias("value")).where("value is not null")
-    return facts.unionByName(margin.select(key, F.lit("NET_PROFIT_MARGIN").alias("fact"), "value"))
+    filed = facts.groupBy(key).agg(F.collect_list(F.struct("fact", "value")).alias("facts"), F.try_divide(of("NET_PROFIT_PARENT"), of("OPERATING_REVENUE")).alias("value"))
+    margin = F.array_compact(F.array(F.when(F.col("value").isNotNull(), F.struct(F.lit("NET_PROFIT_MARGIN").alias("fact"), "value"))))
+    return filed.select(key, F.explode(F.concat("facts", margin)).alias("f")).select(key, "f.fact", "f.value")
 
 
 def driver_facts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,10 +197,18 @@ def nearest_above(rows: DataFrame, value: Column, out: str, reach: int = 20, key
 
 def logical_rows(rows: DataFrame, most: int = 6, key: str = "doc_id") -> DataFrame:
     """Add row_text: a line with the lines after it, up to and with the first that holds a number, at most most."""
-    w = in_order(key).rowsBetween(0, most - 1)
-    rows = rows.withColumn("__next", F.collect_list("line").over(w))
-    upto = F.expr("coalesce(nullif(array_position(transform(__next, x -> x rlike '[0-9]'), true), 0), size(__next))")
-    return rows.withColumn("row_text", F.array_join(F.slice("__next", F.lit(1), upto.cast("int")), " ")).drop("__next")
+    rows, following = next_lines(rows, most, key)
+    parts, open_ = [following[0]], F.lit(True)
+    for before, line in zip(following, following[1:]):
+        open_ = open_ & ~before.rlike("[0-9]")
+        parts.append(F.when(open_, line))
+    return rows.withColumn("row_text", F.concat_ws(" ", *parts)).drop(*(f"__line{k}" for k in range(1, most)))
+
+
+def next_lines(rows: DataFrame, n: int, key: str = "doc_id") -> tuple[DataFrame, list[Column]]:
+    """rows with the n - 1 lines after each as columns, null past the end, and these columns, the line's own first."""
+    ahead = {f"__line{k}": F.lead("line", k).over(in_order(key)) for k in range(1, n)}
+    return rows.withColumns(ahead), [F.col("line"), *map(F.col, ahead)]
 
 
 def cell_rows(rows: DataFrame, text: str = "line") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronolake.functions.text import normalized_text
 
+from . import spread
 from .documents import NUMBER, UNIT, UNIT_SCALE, lines, number_of
 
 #: Row labels and the facts they begin: fixed values.
@@ -65,7 +66,7 @@ def prefix_matches(rows: DataFrame, text: str, labels: DataFrame, out: str) -> D
 
 def _blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, start, idx, line, compact, scale: the lines of every section that declares a unit; sections may overlap."""
-    clean = docs.select(key, normalized_text(F.col(text)).alias(text))
+    clean = spread.by_key(docs.select(key, normalized_text(F.col(text)).alias(text)), key)
     order = Window.partitionBy(key).orderBy("line_no")
     rows = lines(clean, key, text).withColumn("idx", F.row_number().over(order))
     compact = F.replace(F.regexp_replace("line", r"\s+", ""), F.lit("："), F.lit(":"))

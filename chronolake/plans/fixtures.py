@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronolake.operators import spread
 from chronolake.operators.calendar import slots
 
 
@@ -12,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows grow into texts: its file may be small enough for one task, their texts are not."""
+    return spread.by_key(table(spark, sf_dir, name), key)
+
+
 def day(date: str):
     return F.lit(date).cast("date")
 
@@ -68,7 +74,7 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     Four ways to declare the unit of the summary (yuan, ten thousand yuan, thousand yuan over three lines, none), wrapped
     labels, amounts in brackets, a value per share, and two statements with units of their own; one in sixteen holds no table.
     """
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_acctbal")
+    c = dealt(spark, sf_dir, "customer", "c_custkey").select(F.col("c_custkey").alias("k"), "c_acctbal")
     k = F.col("k")
     amount = lambda x: F.format_number(x, 2)
     line = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts), F.lit("\n"))

@@ -186,7 +186,7 @@ def nonrecurring_texts(spark, sf):
 
     one = n(k * 3, ".00")
     second = F.when(k % 7 == 1, table(one, F.lit(True))).when(k % 7 == 2, table(n(k * 3 + 1, ".00"), F.lit(False))).when(k % 7 == 3, table(one, F.lit(False))).otherwise(line("第二节"))
-    return X.table(spark, sf, "customer").select(k.alias("doc_id"), F.concat(line("第一节 公司简介"), table(one, F.lit(False)), line("其他说明 5.00"), second).alias("text"))
+    return X.dealt(spark, sf, "customer", "c_custkey").select(k.alias("doc_id"), F.concat(line("第一节 公司简介"), table(one, F.lit(False)), line("其他说明 5.00"), second).alias("text"))
 
 
 NONRECURRING_SQL = """WITH t AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 1000 END AS scale, CASE WHEN c_custkey % 11 = 5 OR c_custkey % 13 = 6 THEN 'NO_TABLE' WHEN c_custkey % 7 = 2 THEN 'CONFLICT' ELSE 'PARSED' END AS state FROM customer)"""
@@ -272,7 +272,7 @@ def sheet_texts(spark, sf):
         row("其他流动资产", "", F.concat(F.lit("("), n(k, ".75"), F.lit(")")), "-"),
     )
     parent = F.concat(line("母公司资产负债表"), line("单位：元"), row("项目", "", "期末余额", "期初余额"), row("货币资金", "", "777.00", "888.00"))
-    return X.table(spark, sf, "customer").select(k.alias("doc_id"), F.concat(line("第十节 财务报告"), line("1、合并资产负债表"), F.when(k % 5 != 3, line("单位：千元")).otherwise(""), header, body, F.when(k % 2 == 0, parent).otherwise("")).alias("text"))
+    return X.dealt(spark, sf, "customer", "c_custkey").select(k.alias("doc_id"), F.concat(line("第十节 财务报告"), line("1、合并资产负债表"), F.when(k % 5 != 3, line("单位：千元")).otherwise(""), header, body, F.when(k % 2 == 0, parent).otherwise("")).alias("text"))
 
 
 @query("doc_8_sheet_rows", "", """WITH t AS (SELECT c_custkey AS k, c_custkey % 4 AS form FROM customer WHERE c_custkey % 5 <> 3),

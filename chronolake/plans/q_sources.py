@@ -159,7 +159,7 @@ def raw_listings(spark, sf):
     k = F.col("p_partkey")
     heads = F.array(*(F.lit(h) for h in ("688", "300", "600", "002", "430", "999")))
     code = F.concat(F.element_at(heads, (k % 6 + 1).cast("int")), F.lpad((k % 1000).cast("string"), 3, "0"))
-    p = X.table(spark, sf, "part").select(k.alias("k"), code.alias("证券代码"), F.when(k % 11 == 4, "-").otherwise(F.date_add(X.day("2015-01-01"), (k % 900).cast("int")).cast("string")).alias("上市日期"), F.when(k % 13 == 5, "0").when(k % 17 == 6, "n/a").otherwise((k % 90 + 1).cast("string")).alias("发行价格"), F.concat(F.lit(" Name "), k.cast("string")).alias("名称"), F.lit(1).alias("v"))
+    p = X.dealt(spark, sf, "part", "p_partkey").select(k.alias("k"), code.alias("证券代码"), F.when(k % 11 == 4, "-").otherwise(F.date_add(X.day("2015-01-01"), (k % 900).cast("int")).cast("string")).alias("上市日期"), F.when(k % 13 == 5, "0").when(k % 17 == 6, "n/a").otherwise((k % 90 + 1).cast("string")).alias("发行价格"), F.concat(F.lit(" Name "), k.cast("string")).alias("名称"), F.lit(1).alias("v"))
     again = p.where("k % 5 = 0").withColumns({"v": F.lit(2), "名称": F.lit("later")})
     other = p.where("k % 35 = 0").withColumns({"v": F.lit(3), "发行价格": F.lit("500.5")})
     return p.unionByName(again).unionByName(other)
