@@ -90,8 +90,12 @@ def valuations(prices: DataFrame, facts: DataFrame, cal: DataFrame, sessions: in
     positive gives no ratio.
     """
     trailing = valuation.trailing_value(facts, ["ent", "ft"], "pe", "av", "val").where("ttm is not null")
-    rail = asof.backward(prices.select("ent", "ft", "sym", "d", "px"), trailing, ["ent", "ft"], "d", "av", ["ttm"])
-    rail = rail.withColumn("ratio", F.when(F.col("ttm") > 0, F.col("px").cast("double") / F.col("ttm").cast("double"))).where("ratio is not null")
+    # few facts value many securities: each day of a fact is looked up once, so no task holds all its securities
+    days = asof.backward(prices.select("ent", "ft", "d").distinct(), trailing, ["ent", "ft"], "d", "av", ["ttm"]).where("ttm > 0")
+    days = days.select(*(F.col(c).alias(f"__{c}") for c in ("ent", "ft", "d")), "asof_time", "ttm")
+    met = F.col("ent").eqNullSafe(F.col("__ent")) & F.col("ft").eqNullSafe(F.col("__ft")) & F.col("d").eqNullSafe(F.col("__d"))
+    rail = prices.select("ent", "ft", "sym", "d", "px").join(days, met).drop("__ent", "__ft", "__d")
+    rail = rail.withColumn("ratio", F.col("px").cast("double") / F.col("ttm").cast("double")).where("ratio is not null")
     rail = calendar.calendar_lag(rail, cal, ["sym"], "ratio", sessions, "before").where("before <> 0")
     payload = {"value": F.col("ratio") / F.col("before") - 1, "ratio": F.col("ratio"), "reference": F.col("before"), "trailing_value": F.col("ttm"), "close": F.col("px"), "sym": F.col("sym")}
     return ledger_rows(rail, "valuation", F.lit("TRAILING_VALUATION_CHANGE"), F.col("d"), F.col("d"), F.concat_ws(":", "ent", "ft", "asof_time"), [F.col("sym")], payload, {"sessions": F.lit(sessions), "known_since": F.col("asof_time")})
@@ -136,7 +140,8 @@ def standard_parts(cal: DataFrame, notice_cal: DataFrame, kinds: Mapping[str, st
 
 def _written(rows: DataFrame, path: str, generation: int, touched: DataFrame) -> None:
     """Write a generation: its rows, then the index of the partitions it replaces. Running again overwrites it."""
-    rows.withColumn("month", F.trunc("available_date", "MM")).repartition("part", "month").write.mode("overwrite").partitionBy("part", "month").parquet(f"{path}/rows/gen={generation}")
+    # a month of a part may be any share of the ledger: rebalancing splits it over tasks, and joins small months to one file
+    rows.withColumn("month", F.trunc("available_date", "MM")).hint("rebalance", "part", "month").write.mode("overwrite").partitionBy("part", "month").parquet(f"{path}/rows/gen={generation}")
     touched.select("part", "month").distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/index/gen={generation}")
 
 

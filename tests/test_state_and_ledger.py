@@ -280,3 +280,18 @@ def test_first_rows_by_state(spark, tmp_path):
         got = ingest.drain(stateful.first_rows(ingest.landing(spark, path), "id"), out)
     assert rows(got.where("outcome = 'KEPT'"), "id", "v") == sorted([(1, "a"), (2, "b"), (4, "d"), (5, None), (3, "x")], key=str)
     assert rows(got.where("outcome = 'CONFLICT'"), "id", "v") == sorted([(3, "x"), (3, "y"), (2, "z"), (None, "n"), (5, "e")], key=str)
+
+
+def test_one_month_of_a_part_is_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from chronolake.operators import assembly
+
+    rows = spark.range(40_000, numPartitions=8).select(*(F.sha2(F.concat(F.lit(c), F.col("id").cast("string")), 256).alias(c) if c not in ("part", "event_date", "available_date") else (F.lit("policy") if c == "part" else F.lit("2024-01-05").cast("date")).alias(c) for c in assembly.COLUMNS))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        assembly._written(rows, str(tmp_path), 0, rows.select("part", F.trunc("available_date", "MM").alias("month")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(tmp_path.glob("rows/gen=0/part=policy/month=2024-01-01/*.parquet"))) > 1
+    assert assembly.read_ledger(spark, str(tmp_path)).select("evidence_id").distinct().count() == 40_000
