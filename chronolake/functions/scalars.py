@@ -59,11 +59,12 @@ def board_of_prefixed_code(code: Column) -> Column:
 
 def board_of_listing(symbol: Column) -> Column:
     """Board of a listing: STAR, CHINEXT, SSE_MAIN, SZSE_MAIN, BSE or null."""
-    code = normalize_symbol(symbol)
-    return first_match(
+    # the code is worked out once, not once a prefix: the rule for all prefixes is then small enough to be compiled
+    board = lambda code: first_match(
         [(starts_with(code, ("688", "689")), "STAR"), (starts_with(code, ("300", "301", "302")), "CHINEXT"), (starts_with(code, ("600", "601", "603", "605")), "SSE_MAIN"), (starts_with(code, ("000", "001", "002", "003")), "SZSE_MAIN"), (starts_with(code, ("4", "8", "92")), "BSE")],
         None,
     ).cast("string")
+    return F.get(F.transform(F.array(normalize_symbol(symbol)), board), F.lit(0))
 
 
 def entity_id(code: Column) -> Column:

@@ -295,3 +295,20 @@ def test_one_month_of_a_part_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list(tmp_path.glob("rows/gen=0/part=policy/month=2024-01-01/*.parquet"))) > 1
     assert assembly.read_ledger(spark, str(tmp_path)).select("evidence_id").distinct().count() == 40_000
+
+
+def test_rules_for_boards_are_compiled(spark):
+    """With the code worked out for each prefix anew the generated code was too large, and rows went through the interpreter."""
+    from pyspark.sql import functions as F
+
+    from chronolake.sources import readers
+
+    raw = spark.range(100).select(F.concat(F.lit("600"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("证券代码"), F.lit("2020-01-02").alias("上市日期"), F.lit("5").alias("发行价格")).repartition(2)
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        kept, bad = readers.listing_metadata(raw, "p")
+        assert kept.where("board = 'SSE_MAIN'").count() == 100 and bad.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
