@@ -42,9 +42,10 @@ def normalize_symbol(spark, sf):
   CASE WHEN code[:3] = '688' THEN 'STAR' WHEN code[:3] IN ('600','601','603','605') THEN 'SSE_MAIN' ELSE 'UNKNOWN' END AS exchange_board,
   CASE WHEN code[:3] IN ('688','689') THEN 'STAR' WHEN code[:3] IN ('300','301','302') THEN 'CHINEXT' WHEN code[:3] IN ('600','601','603','605') THEN 'SSE_MAIN' WHEN code[:3] IN ('000','001','002','003') THEN 'SZSE_MAIN' WHEN code[:1] IN ('4','8') OR code[:2] = '92' THEN 'BSE' END AS listing_board, count(*) AS n FROM c GROUP BY ALL""")
 def board_inference(spark, sf):
+    """Codes repeat: rows are counted by code first, and each code is classified once."""
     c = F.col("code")
-    rows = codes(spark, sf).select("code", S.board_of_symbol(c).alias("board"), S.board_of_prefixed_code(F.concat(F.lit("sh."), c)).alias("exchange_board"), S.board_of_listing(c).alias("listing_board"))
-    return rows.groupBy("code", "board", "exchange_board", "listing_board").agg(F.count("*").alias("n"))
+    rows = codes(spark, sf).groupBy("code").agg(F.count("*").alias("n"))
+    return rows.select("code", S.board_of_symbol(c).alias("board"), S.board_of_prefixed_code(F.concat(F.lit("sh."), c)).alias("exchange_board"), S.board_of_listing(c).alias("listing_board"), "n")
 
 
 @query("nrm_3_entity_id", "", f"WITH {CODES} SELECT DISTINCT code, code || CASE WHEN code[:1] IN ('5','6','9') THEN '.SH' WHEN code[:1] IN ('0','1','2','3') THEN '.SZ' WHEN code[:1] IN ('4','8') THEN '.BJ' ELSE '' END AS entity FROM c")
