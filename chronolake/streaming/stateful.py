@@ -7,6 +7,7 @@ nowhere. The state store must hold several states a key: `state_store` sets the
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -121,45 +122,73 @@ def trips(stream: DataFrame, unit: str, time: str, signature: Column, ident: str
     return out.withColumn("at", F.timestamp_millis("at").cast("timestamp_ntz"))
 
 
+#: Keys share state by hash, in so many slices; the number is part of a checkpoint.
+SLICES = 16384
+
+
 class _Once(StatefulProcessor):
-    """The digest of a key's first row, for ever: repeats go, other values are conflicts."""
+    """The digests of the first rows of a slice of keys, for ever: repeats go, other values are conflicts.
+
+    A list of packed numbers, one element a batch that brought new keys: two hashes of the key and the digest of its row.
+    """
 
     def __init__(self, names: list[str]) -> None:
         self.names = names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getValueState("known", "digest long")
+        self.known = handle.getListState("known", "packed binary")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        held = list(rows)
+        known: dict[tuple[int, int], int] = {}
+        for (packed,) in self.known.get():
+            numbers = array("q", bytes(packed))
+            known.update(zip(zip(numbers[::3], numbers[1::3]), numbers[2::3]))
         told = lambda r, outcome: Row(**{n: r[n] for n in self.names}, outcome=outcome)
-        if key[0] is None:
-            yield from (told(r, "CONFLICT") for r in held)
-            return
-        if self.known.exists():
-            (digest,) = self.known.get()
-        elif len({r["__digest"] for r in held}) == 1:
-            digest = held[0]["__digest"]
-            self.known.update((digest,))
-            yield told(held[0], "KEPT")
-        else:
-            digest = None
-        yield from (told(r, "CONFLICT") for r in held if r["__digest"] != digest)
+        # of a key that is new: its row, and how often it came; None once its rows disagree
+        new: dict[tuple[int, int], list | None] = {}
+        for r in rows:
+            ident, digest = (r["__one"], r["__two"]), r["__digest"]
+            if r["__one"] is None:
+                yield told(r, "CONFLICT")
+            elif ident in known:
+                if known[ident] != digest:
+                    yield told(r, "CONFLICT")
+            elif ident not in new:
+                new[ident] = [r, 1]
+            elif new[ident] is None:
+                yield told(r, "CONFLICT")
+            elif new[ident][0]["__digest"] == digest:
+                new[ident][1] += 1
+            else:
+                held, n = new[ident]
+                new[ident] = None
+                for conflict in [held] * n + [r]:
+                    yield told(conflict, "CONFLICT")
+        kept = {ident: one[0] for ident, one in new.items() if one}
+        if kept:
+            self.known.appendValue((array("q", [x for ident, r in kept.items() for x in (*ident, r["__digest"])]).tobytes(),))
+        for r in kept.values():
+            yield told(r, "KEPT")
 
     def close(self) -> None:
         pass
 
 
-def first_rows(stream: DataFrame, key: str) -> DataFrame:
+def first_rows(stream: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
     """The rows of a stream with outcome: KEPT for the first row of a key, CONFLICT for a row that differs from it, however late.
 
     Repeats give nothing. A key that comes with several values in its first batch, or that is null, gives conflicts only.
-    A batch costs what it holds: state is looked up by key, and no earlier batch is read again. It keeps one number a
-    key for ever, as the question asks.
+    No earlier batch is read again: state keeps three numbers a key for ever, as the question asks. Keys are told apart by
+    two 64-bit hashes. They share state in slices, as a call to the state store costs far more than a row: a batch
+    makes a few calls for each slice it touches, and reads the numbers of these slices.
     """
     state_store(stream.sparkSession)
     names = stream.columns
     values = [c for c in names if c != key]
     digest = F.xxhash64(F.concat_ws("", *(F.when(F.col(c).isNull(), "n").otherwise("v") for c in values)), *values) if values else F.lit(0).cast("long")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema) + ", outcome string"
-    return stream.withColumn("__digest", digest).groupBy(key).transformWithState(_Once(names), schema, "append", "none")
+    given = F.col(key).isNotNull()
+    rows = stream.withColumns({"__digest": digest, "__one": F.when(given, F.xxhash64(key)), "__two": F.when(given, F.xxhash64(F.lit("two"), key))})
+    # rows without a key need no state; they are dealt by their values
+    rows = rows.withColumn("__slice", F.pmod(F.coalesce("__one", "__digest"), F.lit(slices)))
+    return rows.groupBy("__slice").transformWithState(_Once(names), schema, "append", "none")

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from chronolake.functions import fingerprint
@@ -282,6 +283,36 @@ def test_first_rows_by_state(spark, tmp_path):
     assert rows(got.where("outcome = 'CONFLICT'"), "id", "v") == sorted([(3, "x"), (3, "y"), (2, "z"), (None, "n"), (5, "e")], key=str)
 
 
+def test_keys_of_a_slice_share_calls_to_their_state(spark, tmp_path):
+    """A batch makes two calls for a slice, however many keys it holds, and keys of any type in one slice stay apart."""
+
+    class Listed:
+        def __init__(self):
+            self.held, self.calls = [], 0
+
+        def get(self):
+            self.calls += 1
+            return iter(self.held)
+
+        def appendValue(self, value):
+            self.calls += 1
+            self.held.append(value)
+
+    state, once = Listed(), stateful._Once(["id"])
+    once.known = state
+    row = lambda k, digest=0: Row(id=k, __one=k, __two=-k, __digest=digest)
+    assert len(list(once.handleInputRows((0,), iter([row(k) for k in range(1000)]), None))) == 1000 and state.calls == 2
+    assert list(once.handleInputRows((0,), iter([row(k, int(k == 7)) for k in range(1000)]), None)) == [Row(id=7, outcome="CONFLICT")] and state.calls == 3
+
+    path, out = f"{tmp_path}/land", f"{tmp_path}/out"
+    batches = [[(f"k{k}", 1, k * 0.5) for k in range(60)] + [("t", 1, 1.0), ("t", 1, 1.0), ("t", 2, 1.0)], [(f"k{k}", 1, k * 0.5 + (k % 10 == 0)) for k in range(80)] + [(None, 1, None)] * 2]
+    for batch in batches:
+        spark.createDataFrame(batch, "id string, n int, v double").coalesce(1).write.mode("append").parquet(path)
+        got = ingest.drain(stateful.first_rows(ingest.landing(spark, path), "id", slices=2), out)
+    assert rows(got.where("outcome = 'KEPT'"), "id", "v") == sorted(((f"k{k}", k * 0.5 + (k >= 60 and k % 10 == 0)) for k in range(80)), key=str)
+    assert rows(got.where("outcome = 'CONFLICT'"), "id", "v") == sorted([("t", 1.0)] * 3 + [(None, None)] * 2 + [(f"k{k}", k * 0.5 + 1) for k in range(0, 60, 10)], key=str)
+
+
 def test_one_month_of_a_part_is_written_by_several_tasks(spark, tmp_path):
     from pyspark.sql import functions as F
 
