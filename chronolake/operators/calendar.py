@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronolake.functions.scalars import has_clock
 
+from . import spread
+
 
 def slots(dates: DataFrame, date: str = "d") -> DataFrame:
     """d, slot: distinct dates numbered from 1. A calendar is a small dimension, so one window holds it."""
@@ -63,9 +67,25 @@ def available(rows: DataFrame, publication: str, cal: DataFrame) -> DataFrame:
 
 
 def on_spine(rows: DataFrame, cal: DataFrame, keys: list[str], date: str = "d") -> DataFrame:
-    """Every key on every session, without filling: columns of rows are null where it has none."""
-    spine = rows.select(*keys).distinct().crossJoin(F.broadcast(cal.select(F.col("d").alias(date), "slot")))
-    return spine.join(rows, [*keys, date], "left")
+    """Every key on every session, without filling: columns of rows are null where it has none.
+
+    Only rows are shuffled, by key: each gives its own session and the empty ones up to the next row of its key, the
+    first of a key those before it too. The spine is made in the tasks that hold its keys, so windows by key follow
+    without another exchange.
+    """
+    values = [c for c in rows.columns if c not in (*keys, date)]
+    sessions = F.broadcast(cal.select(F.col("d").alias(date), "slot"))
+    last = cal.agg(F.coalesce(F.max("slot"), F.lit(0)).alias("__last"))
+    # rows off the calendar and rows without a whole key stand before the first session: they only name their key
+    own = functools.reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    placed = rows.join(sessions, date, "left").withColumn("__at", F.coalesce(F.when(own, F.col("slot")), F.lit(0))).crossJoin(F.broadcast(last))
+    w = Window.partitionBy(*keys).orderBy("__at")
+    placed = spread.by_key(placed, *keys).select(*keys, *values, "__at", F.coalesce(F.lead("__at").over(w), F.col("__last") + 1).alias("__next"), F.row_number().over(w).alias("__n"))
+    low = F.when(F.col("__n") == 1, 1).otherwise(F.greatest("__at", F.lit(1)))
+    high = F.greatest(F.col("__next") - 1, F.col("__at"))
+    filled = placed.select(*keys, *values, "__at", F.explode(F.when(low <= high, F.sequence(low, high))).alias("slot"))
+    filled = filled.select(*keys, "slot", *(F.when(F.col("slot") == F.col("__at"), F.col(c)).alias(c) for c in values))
+    return filled.join(sessions, "slot").select(*keys, date, "slot", *values)
 
 
 def calendar_lag(rows: DataFrame, cal: DataFrame, keys: list[str], value: str, lag: int, out: str, date: str = "d") -> DataFrame:

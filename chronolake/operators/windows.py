@@ -28,8 +28,10 @@ def trailing_coverage(spine: DataFrame, keys: list[str], value: str, rows: int =
     """On a full calendar spine: observed, coverage (null until rows sessions passed), eligible (covered and observed today)."""
     w = by_time(keys, date)
     seen = spine.withColumn("observed", F.col(value).isNotNull())
-    count = F.sum(F.col("observed").cast("int")).over(w.rowsBetween(-(rows - 1), 0))
-    seen = seen.withColumn("coverage", F.when(F.row_number().over(w) >= rows, count / F.lit(float(rows))))
+    # how many were seen so far, less those before the window: no row looks at a whole window
+    seen = seen.withColumns({"__seen": F.sum(F.col("observed").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)), "__n": F.row_number().over(w)})
+    count = F.col("__seen") - F.lag("__seen", rows, 0).over(w)
+    seen = seen.withColumn("coverage", F.when(F.col("__n") >= rows, count / F.lit(float(rows)))).drop("__seen", "__n")
     return seen.withColumn("eligible", F.coalesce((F.col("coverage") >= ratio) & F.col("observed"), F.lit(False)))
 
 

@@ -27,6 +27,24 @@ def test_calendar_lag_is_no_row_shift(spark):
     assert values(out.where("old is not null"), "d", "old") == [(D(2024, 1, 6), 4.0)]
 
 
+def test_spine_is_made_where_its_keys_are(spark):
+    """Only rows are shuffled, once; a key whose rows are off the calendar, repeated rows and null keys are on the spine as a join has them."""
+    day = lambda k: D(2024, 1, k)
+    cal = calendar.slots(frame(spark, [(day(k),) for k in (1, 2, 4, 5)], "d date"))
+    bars = frame(spark, [("a", day(2), 1), ("a", day(2), 2), ("a", day(5), 3), ("a", day(3), 9), ("b", day(3), 4), ("b", None, 5), (None, day(2), 6), ("c", day(1), None), ("e", day(1), 7), ("e", day(4), 8)], "k string, d date, v int")
+    got = calendar.on_spine(bars, cal, ["k"])
+    want = bars.select("k").distinct().crossJoin(cal).join(bars, ["k", "d"], "left")
+    assert got.columns == want.columns == ["k", "d", "slot", "v"]
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str) and got.where("k = 'a'").count() == 5
+    covered = windows.trailing_coverage(got.where("k = 'e'"), ["k"], "v", 2)
+    assert [r["coverage"] for r in covered.orderBy("d").collect()] == [None, 0.5, 0.5, 0.5]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = windows.trailing_coverage(calendar.on_spine(bars, cal, ["k"]), ["k"], "v", 2)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(k") == 1 and "SortMergeJoin" not in plan
+    assert calendar.on_spine(bars, cal.where("false"), ["k"]).count() == calendar.on_spine(bars.where("false"), cal, ["k"]).count() == 0
+
+
 def test_publication_availability(spark):
     cal = calendar.slots(frame(spark, [(D(2024, 1, 4),), (D(2024, 1, 5),), (D(2024, 1, 8),)], "d date"))
     rows = frame(spark, [("2024-01-05",), ("2024-01-05 15:00:00",), ("2024-01-05 15:00:01",), ("2024-01-06 09:00:00",), ("2024-01-08 16:00:00",), ("2023-12-31",), (None,)], "p string")
