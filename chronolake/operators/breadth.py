@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import percent_change, rolling
+from .windows import by_time, percent_change
 
 
 def measures(bars: DataFrame, key: str = "sym", price: str = "px") -> DataFrame:
-    """Rolling measures of every bar; one shuffle by symbol serves all windows."""
-    k = [key]
-    return bars.withColumns(
+    """Rolling measures of every bar; one shuffle by symbol serves all windows.
+
+    A long extreme is that of short windows laid end to end, and a count the difference of two running counts, so that no
+    bar is compared with all of a long window.
+    """
+    w = by_time([key])
+    last = lambda rows: w.rowsBetween(-(rows - 1), 0)
+    short = bars.withColumns({"__seen": F.count(price).over(w.rowsBetween(Window.unboundedPreceding, 0)), "__low": F.min(price).over(last(10)), "__high": F.max(price).over(last(21))})
+    enough = lambda rows, least: F.col("__seen") - F.lag("__seen", rows, 0).over(w) >= least
+    ends = lambda c, step, rows: [F.lag(c, k).over(w) for k in range(0, rows, step)]
+    return short.withColumns(
         {
-            "pct": percent_change(price, k),
-            "ma20": rolling(F.avg, price, k, 20, 10),
-            "ma60": rolling(F.avg, price, k, 60, 30),
-            "low60": rolling(F.min, price, k, 60, 30),
-            "high252": rolling(F.max, price, k, 252, 100),
+            "pct": percent_change(price, [key]),
+            "ma20": F.when(enough(20, 10), F.avg(price).over(last(20))),
+            "ma60": F.when(enough(60, 30), F.avg(price).over(last(60))),
+            "low60": F.when(enough(60, 30), F.least(*ends("__low", 10, 60))),
+            "high252": F.when(enough(252, 100), F.greatest(*ends("__high", 21, 252))),
         }
-    )
+    ).drop("__seen", "__low", "__high")
 
 
 def flags(rows: DataFrame, price: str = "px") -> DataFrame:
@@ -40,6 +48,9 @@ def flags(rows: DataFrame, price: str = "px") -> DataFrame:
 
 FLAGS = ("is_advance", "above_ma20", "above_ma60", "new_low_60", "new_high_252")
 
+#: What breadth reads of a row.
+USED = ("pct", *FLAGS, "is_decline", "is_flat")
+
 
 def breadth(rows: DataFrame, by: list[str]) -> DataFrame:
     """Ratios over the known flags, their denominators, and counts, for each group."""

@@ -18,12 +18,6 @@ def percent_change(value: str, keys: list[str], date: str = "d") -> Column:
     return F.try_divide(F.col(value) - before, before) * 100
 
 
-def rolling(fn, value: str, keys: list[str], rows: int, least: int, date: str = "d") -> Column:
-    """fn over the last rows rows; null until least of them are not null."""
-    w = by_time(keys, date).rowsBetween(-(rows - 1), 0)
-    return F.when(F.count(value).over(w) >= least, fn(value).over(w))
-
-
 def trailing_coverage(spine: DataFrame, keys: list[str], value: str, rows: int = 60, ratio: float = 0.8, date: str = "d") -> DataFrame:
     """On a full calendar spine: observed, coverage (null until rows sessions passed), eligible (covered and observed today)."""
     w = by_time(keys, date)

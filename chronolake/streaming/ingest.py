@@ -114,30 +114,32 @@ def refreshed_breadth(stream: DataFrame, out: str, key: str = "sym", day: str =
 
     def write(batch: DataFrame, number: int) -> None:
         own = batch.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(key, day, price).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
-        own.write.mode("overwrite").partitionBy("bucket").parquet(f"{bars}/part={number}")
+        # few files: a bucket, and below a month, lies in few tasks
+        own.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{bars}/part={number}")
         if not own.isEmpty():
             refresh(number)
 
     def refresh(number: int) -> None:
         stored = spark.read.option("basePath", bars).parquet(bars).where(F.col("part") <= number)
         mine = stored.where(F.col("part") == number)
-        touched = mine.select(key, day).distinct().withColumn("__hit", F.lit(True))
-        near = stored.where(F.col("bucket").isin(values(mine, "bucket"))).join(touched.select(key).distinct(), key, "left_semi")
-        history = latest(near.select(key, day, price, "part"), [key, day]).join(touched, [key, day], "left")
+        near = stored.where(F.col("bucket").isin(values(mine, "bucket"))).join(mine.select(key).distinct(), key, "left_semi")
+        # one sort by symbol, day and batch serves all that follows; the last batch of a bar counts
         order = Window.partitionBy(key).orderBy(day)
-        placed = history.withColumn("__n", F.row_number().over(order))
-        placed = placed.withColumn("__hit", F.when(F.col("__hit"), F.col("__n")))
+        history = near.select(key, day, price, "part", F.lead(day).over(Window.partitionBy(key).orderBy(day, "part", price)).alias("__after"))
+        history = history.where(F.col("__after").isNull() | (F.col("__after") != F.col(day)))
+        placed = history.select(key, day, price, "part", F.row_number().over(order).alias("__n")).withColumn("__hit", F.when(F.col("part") == number, F.col("__n"))).drop("part")
         placed = placed.withColumn("__since", F.last("__hit", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__first", F.min("__hit").over(Window.partitionBy(key)))
         # the windows of the first bar of the batch look back on rows - 1 bars
         placed = placed.where(F.col("__n") >= F.col("__first") - (rows - 1))
         fresh = breadth.flags(breadth.measures(placed, key, price), price).where(F.col("__n") - F.col("__since") < rows)
-        fresh = fresh.drop("__hit", "__n", "__since", "__first").withColumn("month", F.trunc(day, "MM"))
-        fresh.write.mode("overwrite").partitionBy("month").parquet(f"{flagged}/part={number}")
+        fresh = fresh.select(key, day, *breadth.USED).withColumn("month", F.trunc(day, "MM"))
+        fresh.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(f"{flagged}/part={number}")
         every = spark.read.option("basePath", flagged).parquet(flagged).where(F.col("part") <= number)
         again = every.where(F.col("part") == number)
         sessions = again.select(day).distinct()
         current = every.where(F.col("month").isin(values(again, "month"))).drop("month").join(F.broadcast(sessions), day, "left_semi")
-        breadth.breadth(latest(current, [key, day]), [day]).write.mode("overwrite").parquet(f"{done}/part={number}")
+        current = current.withColumn("__later", F.lead("part").over(Window.partitionBy(key, day).orderBy("part"))).where("__later is null").drop("__later")
+        breadth.breadth(current, [day]).write.mode("overwrite").parquet(f"{done}/part={number}")
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return latest(spark.read.option("basePath", done).parquet(done), [day])

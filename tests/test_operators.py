@@ -76,6 +76,24 @@ def test_min_periods_and_unknown_flags(spark):
     assert (total["securities"], total["is_advance_n"], total["above_ma20_n"], total["above_ma60_ratio"]) == (12, 11, 3, None)
 
 
+def test_long_windows_are_put_together_from_short_ones(spark):
+    """Extremes of 60 and 252 bars with gaps equal a slow pass, and no frame holds 252 rows."""
+    rng = random.Random(5)
+    px = {s: [None if rng.random() < 0.3 else float(rng.randint(1, 10**6)) for _ in range(400)] for s in range(2)}
+    bars = frame(spark, [(s, D(2020, 1, 1) + datetime.timedelta(days=k), v) for s in px for k, v in enumerate(px[s])], "sym int, d date, px double")
+    found = breadth.measures(bars)
+
+    def slow(s, k, fn, n, least):
+        held = [v for v in px[s][max(0, k - n + 1) : k + 1] if v is not None]
+        return fn(held) if len(held) >= least else None
+
+    want = [(s, slow(s, k, min, 60, 30), slow(s, k, max, 252, 100), slow(s, k, len, 20, 10) is None) for s in px for k in range(400)]
+    assert [(r["sym"], r["low60"], r["high252"], r["ma20"] is None) for r in found.orderBy("sym", "d").collect()] == want
+    assert found.columns == ["sym", "d", "px", "pct", "ma20", "ma60", "low60", "high252"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RowFrame, -59" in plan and "RowFrame, -251" not in plan
+
+
 def test_percent_change_of_zero_is_null(spark):
     rows = frame(spark, [("a", D(2024, 1, 1), 0.0), ("a", D(2024, 1, 2), 5.0)], "sym string, d date, px double")
     assert values(rows.select("d", windows.percent_change("px", ["sym"]).alias("p")).where("p is not null"), "p") == []

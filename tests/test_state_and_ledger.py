@@ -92,6 +92,22 @@ def test_breadth_after_late_corrected_and_missing_bars(spark, tmp_path):
     assert {r["d"]: r for r in got.collect()} == {r["d"]: r for r in want.select(*got.columns).collect()}
 
 
+def test_breadth_is_kept_in_few_files(spark, tmp_path):
+    """A bucket of a batch is one file, however many tasks read it, and flags are stored without the measures; a bar that comes again counts once."""
+    path, out = f"{tmp_path}/land", f"{tmp_path}/out"
+    day = lambda k: dt.date(2023, 1, 1) + dt.timedelta(days=k)
+    bars = [(s, day(k), float((k * 7 + s * 3) % 50 + 1)) for k in range(40) for s in range(30)]
+    for batch in (bars, bars[:60] + [(1, day(5), 99.0)]):
+        spark.createDataFrame(batch, "sym int, d date, px double").repartition(8).write.mode("append").parquet(path)
+        got = ingest.refreshed_breadth(ingest.landing(spark, path), out)
+    last = [b for b in bars if b[:2] != (1, day(5))] + [(1, day(5), 99.0)]
+    want = breadth.breadth(breadth.flags(breadth.measures(spark.createDataFrame(last, "sym int, d date, px double"))), ["d"])
+    assert {r["d"]: r for r in got.collect()} == {r["d"]: r for r in want.select(*got.columns).collect()}
+    first = tmp_path / "out" / "bars" / "part=0"
+    assert len(list(first.glob("*/*.parquet"))) == len(list(first.glob("bucket=*")))
+    assert set(spark.read.parquet(f"{out}/flags/part=0").columns) == {"sym", "d", "month", *breadth.USED}
+
+
 # state
 
 
