@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from . import spread, sweep
 from .windows import by_time, percent_change
 
 
@@ -30,6 +32,18 @@ def measures(bars: DataFrame, key: str = "sym", price: str = "px") -> DataFrame:
     ).drop("__seen", "__low", "__high")
 
 
+def reached(bars: DataFrame, number: int, key: str = "sym", day: str = "d", price: str = "px", rows: int = sweep.LONGEST) -> DataFrame:
+    """key, day, price and the measures of the bars that batch number reaches: its own and the next rows - 1 of their symbols.
+
+    bars has the batch of each bar as part; the last batch of a bar counts, and in a batch the highest price. They are sorted
+    once by symbol and day and swept as they come, with the last bars of one symbol in memory. Prices are doubles, and the
+    measures those of measures, sums in the same order.
+    """
+    kept = bars.select(key, day, F.col(price).cast("double").alias(price), F.col("part").cast("long").alias("part"))
+    out = T.StructType([*(kept.schema[c] for c in (key, day, price)), *(T.StructField(m, T.DoubleType()) for m in sweep.MEASURES)])
+    return spread.by_key(kept, key).sortWithinPartitions(key, day, "part", price).mapInArrow(lambda batches: sweep.reached(batches, number, rows), out)
+
+
 def flags(rows: DataFrame, price: str = "px") -> DataFrame:
     """Three-valued flags: null where the measure is null, so that a mean leaves the row out."""
     p = F.col(price)

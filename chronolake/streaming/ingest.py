@@ -92,6 +92,9 @@ def append_once(stream: DataFrame, out: str, key: str) -> tuple[DataFrame, DataF
 #: Symbols are stored in so many buckets, and a batch reads those of its symbols.
 BUCKETS = 64
 
+#: Symbols of a batch that are sent to all tasks, to leave out the bars of others.
+FEW = 10_000
+
 
 def refreshed_breadth(stream: DataFrame, out: str, key: str = "sym", day: str = "d", price: str = "px", rows: int = 252) -> DataFrame:
     """Market breadth of every session, kept right as bars land late, again or with a new price.
@@ -99,7 +102,8 @@ def refreshed_breadth(stream: DataFrame, out: str, key: str = "sym", day: str =
     A bar reaches its own session and the sessions of the next rows - 1 bars of its symbol, as their windows look
     back on it. A batch computes the flags of these bars again, from the buckets of its own symbols, and the breadth
     of their sessions from the stored flags of all symbols, which it reads by month. The last batch of a bar and of a
-    session counts; a batch that runs again overwrites itself. Rows without symbol or day are left out.
+    session counts; a batch that runs again overwrites itself. Rows without symbol or day are left out; prices count as
+    doubles.
     """
     spark = stream.sparkSession
     bars, flagged, done = f"{out}/bars", f"{out}/flags", f"{out}/breadth"
@@ -122,23 +126,25 @@ def refreshed_breadth(stream: DataFrame, out: str, key: str = "sym", day: str =
     def refresh(number: int) -> None:
         stored = spark.read.option("basePath", bars).parquet(bars).where(F.col("part") <= number)
         mine = stored.where(F.col("part") == number)
-        near = stored.where(F.col("bucket").isin(values(mine, "bucket"))).join(mine.select(key).distinct(), key, "left_semi")
-        # one sort by symbol, day and batch serves all that follows; the last batch of a bar counts
-        order = Window.partitionBy(key).orderBy(day)
-        history = near.select(key, day, price, "part", F.lead(day).over(Window.partitionBy(key).orderBy(day, "part", price)).alias("__after"))
-        history = history.where(F.col("__after").isNull() | (F.col("__after") != F.col(day)))
-        placed = history.select(key, day, price, "part", F.row_number().over(order).alias("__n")).withColumn("__hit", F.when(F.col("part") == number, F.col("__n"))).drop("part")
-        placed = placed.withColumn("__since", F.last("__hit", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__first", F.min("__hit").over(Window.partitionBy(key)))
-        # the windows of the first bar of the batch look back on rows - 1 bars
-        placed = placed.where(F.col("__n") >= F.col("__first") - (rows - 1))
-        fresh = breadth.flags(breadth.measures(placed, key, price), price).where(F.col("__n") - F.col("__since") < rows)
+        near = stored.where(F.col("bucket").isin(values(mine, "bucket")))
+        symbols = mine.select(key).distinct()
+        # the other symbols of the buckets are not reached; where the batch has few, they are not sorted either
+        if symbols.limit(FEW + 1).count() <= FEW:
+            near = near.join(F.broadcast(symbols), key, "left_semi")
+        fresh = breadth.flags(breadth.reached(near, number, key, day, price, rows), price)
         fresh = fresh.select(key, day, *breadth.USED).withColumn("month", F.trunc(day, "MM"))
         fresh.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(f"{flagged}/part={number}")
         every = spark.read.option("basePath", flagged).parquet(flagged).where(F.col("part") <= number)
-        again = every.where(F.col("part") == number)
-        sessions = again.select(day).distinct()
-        current = every.where(F.col("month").isin(values(again, "month"))).drop("month").join(F.broadcast(sessions), day, "left_semi")
-        current = current.withColumn("__later", F.lead("part").over(Window.partitionBy(key, day).orderBy("part"))).where("__later is null").drop("__later")
+        # months and their batches: bounded by the calendar and by the batches
+        stored_in = every.select("month", "part").distinct().collect()
+        mine_too, older = ({r["month"] for r in stored_in if (r["part"] == number) is own} for own in (True, False))
+        # a month that no batch wrote before has each bar once
+        current = every.where((F.col("part") == number) & F.col("month").isin(list(mine_too - older))).select(day, *breadth.USED)
+        if mine_too & older:
+            met = every.where(F.col("month").isin(list(mine_too & older)))
+            sessions = met.where(F.col("part") == number).select(day).distinct()
+            met = met.join(F.broadcast(sessions), day, "left_semi").withColumn("__later", F.lead("part").over(Window.partitionBy(key, day).orderBy("part")))
+            current = current.unionByName(met.where("__later is null").select(day, *breadth.USED))
         breadth.breadth(current, [day]).write.mode("overwrite").parquet(f"{done}/part={number}")
 
     stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()

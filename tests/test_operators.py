@@ -94,6 +94,35 @@ def test_long_windows_are_put_together_from_short_ones(spark):
     assert "RowFrame, -59" in plan and "RowFrame, -251" not in plan
 
 
+def test_reached_bars_are_swept_in_one_sort(spark):
+    """Versions, gaps, zeros and numbers that are none, in batches of 7 rows: the measures of windows for the bars a batch reaches."""
+    rng, nan = random.Random(9), float("nan")
+    day = lambda k: D(2020, 1, 1) + datetime.timedelta(days=k)
+    price = lambda: rng.choice([None, nan, 0.0, 7.3, 7.3, *(rng.randint(1, 10**6) / 100 for _ in range(15))])
+    bars = [(f"s{s}", day(k), price(), part) for s in range(12) for k in range((1, 2, 40, 300, 700)[s % 5]) for part in (0, 1, 2, 2) if rng.random() < (0.9, 0.01, 0.004, 0.004)[part]]
+    bars += [("late", day(k), float(k % 9), 0) for k in range(400)] + [("late", day(10), 99.0, 2)]
+    rank = lambda v: (-1, 0) if v is None else (1, 0) if v != v else (0, v)
+    kept, hits = {}, {}
+    for s, d, v, part in sorted(bars, key=lambda b: (b[3], rank(b[2]))):
+        kept[s, d], hits[s, d] = v, part == 2
+    want = set()
+    for s in {b[0] for b in bars}:
+        own = sorted(k for k in kept if k[0] == s)
+        want |= {k for n, k in enumerate(own) if any(hits[x] for x in own[max(0, n - 251) : n + 1])}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = breadth.reached(frame(spark, bars, "sym string, d date, px double, part int"), 2)
+        got = {(r["sym"], r["d"]): r for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    every = breadth.measures(frame(spark, [(*k, v) for k, v in kept.items()], "sym string, d date, px double"))
+    assert set(got) == want and found.count() == len(want) and ("late", day(261)) in want and ("late", day(262)) not in want
+    assert {k: repr(r) for k, r in got.items()} == {(r["sym"], r["d"]): repr(r) for r in every.collect() if (r["sym"], r["d"]) in want}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("RepartitionByExpression"), plan.count("Sort ["), plan.count("Window")) == (1, 1, 0)
+
+
 def test_percent_change_of_zero_is_null(spark):
     rows = frame(spark, [("a", D(2024, 1, 1), 0.0), ("a", D(2024, 1, 2), 5.0)], "sym string, d date, px double")
     assert values(rows.select("d", windows.percent_change("px", ["sym"]).alias("p")).where("p is not null"), "p") == []

@@ -108,6 +108,22 @@ def test_breadth_is_kept_in_few_files(spark, tmp_path):
     assert set(spark.read.parquet(f"{out}/flags/part=0").columns) == {"sym", "d", "month", *breadth.USED}
 
 
+def test_breadth_of_many_symbols(spark, tmp_path, monkeypatch):
+    """A batch of too many symbols to send to all tasks leaves those it does not reach as they were."""
+    monkeypatch.setattr(ingest, "FEW", 1)
+    path, out = f"{tmp_path}/land", f"{tmp_path}/out"
+    day = lambda k: dt.date(2023, 1, 1) + dt.timedelta(days=k)
+    bars = [(s, day(k), float((k * 7 + s * 3) % 50 + 1)) for k in range(40) for s in range(200)]
+    late = [(s, day(20), 99.0) for s in (3, 4, 5)]
+    for batch in ([b for b in bars if b[:2] not in {x[:2] for x in late}], late):
+        spark.createDataFrame(batch, "sym int, d date, px double").write.mode("append").parquet(path)
+        got = ingest.refreshed_breadth(ingest.landing(spark, path), out)
+    last = [b for b in bars if b[:2] not in {x[:2] for x in late}] + late
+    want = breadth.breadth(breadth.flags(breadth.measures(spark.createDataFrame(last, "sym int, d date, px double"))), ["d"])
+    assert {r["d"]: r for r in got.collect()} == {r["d"]: r for r in want.select(*got.columns).collect()}
+    assert {(r["sym"], r["d"]) for r in spark.read.parquet(f"{out}/flags/part=1").collect()} == {(s, day(k)) for s in (3, 4, 5) for k in range(20, 40)}
+
+
 # state
 
 
