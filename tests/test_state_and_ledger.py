@@ -1,6 +1,7 @@
 """Fingerprints and their tree, breadth under late bars, keyed state, publishing gates, and the derived ledger."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -281,6 +282,34 @@ def test_an_increment_equals_a_full_run(spark, tmp_path):
     assert rows(assembly.advance(parts(spark), new, none, path, 2)) == rows(want)
 
 
+def test_an_increment_writes_only_what_it_replaces(spark, tmp_path):
+    """Other rows of the same months were written again, and each generation was stored three times over."""
+    facts, prices, notices = made(1)
+    # a later title of entity 1, and every notice of entity 2 gone
+    new = inputs(spark, facts, prices, [(*n[:2], "2020年度业绩预减公告", n[3]) if n[0] == 40 else n for n in notices if n[1] != 2])
+    old = inputs(spark, facts, prices, notices)
+    path, scratch = f"{tmp_path}/ledger", spark.conf.get("spark.checkpoint.dir")
+    there = set(os.listdir(scratch))
+    assembly.build(parts(spark), old, path)
+    changed = {"notices": assembly.changed_since(old["notices"], new["notices"], "published")}
+    day = dt.date(2020, 1, 1) + dt.timedelta(days=160)
+    assert rows(changed["notices"], "ent", "since") == [(1, day), (2, dt.date(2020, 1, 9))]
+    got = assembly.advance(parts(spark), new, changed, path, 1)
+    assert rows(got) == rows(assembly.assembled(parts(spark), new))
+    again = spark.read.parquet(f"{path}/rows/gen=1")
+    assert {r["entity_id"] for r in again.select("entity_id").distinct().collect()} == {"1"} and again.where(again.available_date < day).count() == 0
+    assert {name.split("-")[0] for name in set(os.listdir(scratch)) - there} <= {"days", "since"}
+
+
+def test_rows_are_dealt_before_they_are_spelt_out(spark):
+    """Hashes in hex went through the shuffle that deals rows by month."""
+    new = inputs(spark, *made(1))
+    for part in parts(spark):
+        plan = part.rows(new, assembly.by_month)._jdf.queryExecution().executedPlan().toString()
+        spelt, dealt = plan.rindex("sha2("), plan.index("REBALANCE_PARTITIONS_BY_COL")
+        assert spelt < dealt, part.name
+
+
 def test_the_ledger_is_sound(spark):
     got = assembly.assembled(parts(spark), inputs(spark, *made(2)))
     audit = ledger.audit(got).first()
